@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..sources.tables import table
 
 LINEITEM_FEATURES = ["l_quantity", "price_k", "l_discount", "l_tax"]
+# Money columns are divided by 1024 (not 1000): the quotient stays exact in
+# binary floating point, so means of two-decimal prices never sit exactly on a
+# decimal rounding boundary when results are compared across engines.
 PANEL_FEATURES = ["n_orders", "total_value", "avg_value", "max_value", "share_finished", "acctbal"]
 
 
@@ -19,39 +22,39 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-section: one row per line item, keys + numeric features."""
     li = table(spark, sf_dir, "lineitem")
     return li.select("l_orderkey", "l_linenumber", "l_quantity",
-                     (F.col("l_extendedprice") / 1000.0).alias("price_k"), "l_discount", "l_tax",
+                     (F.col("l_extendedprice") / 1024.0).alias("price_k"), "l_discount", "l_tax",
                      "l_returnflag", "l_linestatus", "l_shipdate")
 
 
 LINEITEM_SQL = """
-(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice / 1000.0 AS price_k, l_discount, l_tax,
+(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice / 1024.0 AS price_k, l_discount, l_tax,
         l_returnflag, l_linestatus, l_shipdate FROM lineitem)
 """
 
 
 def customer_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gappy entity x year panel (money in thousands): orders pre-aggregated per (customer, year), then
+    """Gappy entity x year panel (money in units of 1024, exact in binary): orders pre-aggregated per (customer, year), then
     joined to the customer dimension (aggregate before the join: the shuffle
     carries one row per customer-year, not one per order)."""
     o = table(spark, sf_dir, "orders")
     per_year = o.groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year")).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        (F.sum("o_totalprice") / 1000.0).alias("total_value"),
-        (F.avg("o_totalprice") / 1000.0).alias("avg_value"),
-        (F.max("o_totalprice") / 1000.0).alias("max_value"),
+        (F.sum("o_totalprice") / 1024.0).alias("total_value"),
+        (F.avg("o_totalprice") / 1024.0).alias("avg_value"),
+        (F.max("o_totalprice") / 1024.0).alias("max_value"),
         F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("share_finished"),
     )
     c = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", (F.col("c_acctbal") / 1000.0).alias("acctbal"), "c_mktsegment")
+        "c_custkey", "c_nationkey", (F.col("c_acctbal") / 1024.0).alias("acctbal"), "c_mktsegment")
     return per_year.join(c, "c_custkey")
 
 
 CUSTOMER_YEAR_PANEL_SQL = """
 (SELECT p.c_custkey, p.year, p.n_orders, p.total_value, p.avg_value, p.max_value, p.share_finished,
-        c.c_nationkey, c.c_acctbal / 1000.0 AS acctbal, c.c_mktsegment
+        c.c_nationkey, c.c_acctbal / 1024.0 AS acctbal, c.c_mktsegment
  FROM (SELECT o_custkey AS c_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
-              count(*) AS n_orders, sum(o_totalprice) / 1000.0 AS total_value,
-              avg(o_totalprice) / 1000.0 AS avg_value, max(o_totalprice) / 1000.0 AS max_value,
+              count(*) AS n_orders, sum(o_totalprice) / 1024.0 AS total_value,
+              avg(o_totalprice) / 1024.0 AS avg_value, max(o_totalprice) / 1024.0 AS max_value,
               avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS share_finished
        FROM orders GROUP BY 1, 2) p
  JOIN customer c ON p.c_custkey = c.c_custkey)
@@ -86,8 +89,8 @@ def nation_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation has 25 rows at every scale factor: broadcasting it is size-bounded.
     per = (o.join(c, o.o_custkey == c.c_custkey)
            .groupBy(F.col("c_nationkey").alias("n_nationkey"), F.year("o_orderdate").alias("year"))
-           .agg(F.count(F.lit(1)).alias("n_orders"), (F.sum("o_totalprice") / 1e6).alias("total_value"),
-                (F.avg("o_totalprice") / 1000.0).alias("avg_value"),
+           .agg(F.count(F.lit(1)).alias("n_orders"), (F.sum("o_totalprice") / 1048576.0).alias("total_value"),
+                (F.avg("o_totalprice") / 1024.0).alias("avg_value"),
                 F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("share_finished")))
     return per.join(F.broadcast(n), "n_nationkey")
 
@@ -95,7 +98,7 @@ def nation_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 NATION_YEAR_PANEL_SQL = """
 (SELECT p.n_nationkey, p.year, p.n_orders, p.total_value, p.avg_value, p.share_finished, n.n_name, n.n_regionkey
  FROM (SELECT c_nationkey AS n_nationkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders,
-              sum(o_totalprice) / 1e6 AS total_value, avg(o_totalprice) / 1000.0 AS avg_value,
+              sum(o_totalprice) / 1048576.0 AS total_value, avg(o_totalprice) / 1024.0 AS avg_value,
               avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS share_finished
        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) p
  JOIN nation n ON p.n_nationkey = n.n_nationkey)

@@ -1 +1,276 @@
-"""Registered queries."""
+"""Registered queries: cleaning, filters, windows, joins, reshaping."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import clean as K
+from ..operators import rank as RK
+from ..operators import reshape as R
+from ..sources.tables import table
+from . import panels
+from .catalog import query, rounded
+
+PANEL_SQL = panels.CUSTOMER_YEAR_PANEL_SQL
+NULL_PANEL_SQL = panels.PLANTED_NULLS_SQL
+NATION_SQL = panels.NATION_YEAR_PANEL_SQL
+_FILL = ["avg_value", "max_value", "share_finished"]
+
+
+def _null_panel(spark, sf):
+    return panels.with_planted_nulls(panels.customer_year_panel(spark, sf))
+
+
+# --- CLN1/WIN1: carry forward (segmented scan over 3-year chunks) ------------------------------
+@query("carry_forward", oracle=f"""
+SELECT c_custkey, year, {", ".join(
+    f"round(last_value({c} IGNORE NULLS) OVER (PARTITION BY c_custkey ORDER BY year "
+    f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) + 0.0 AS {c}" for c in _FILL)}
+FROM {NULL_PANEL_SQL}
+""")
+def carry_forward(spark, sf):
+    df = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
+    return rounded(K.carry_forward(df, "c_custkey", "year", _FILL, chunk=F.floor(F.col("year") / 3)))
+
+
+@query("carry_forward_complete", oracle=f"""
+SELECT * FROM (SELECT c_custkey, year, {", ".join(
+    f"round(last_value({c} IGNORE NULLS) OVER (PARTITION BY c_custkey ORDER BY year "
+    f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) + 0.0 AS {c}" for c in _FILL)}
+FROM {NULL_PANEL_SQL}) WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _FILL)}
+""")
+def carry_forward_complete(spark, sf):
+    """CLN1 with ``drop_remaining`` (single-window variant)."""
+    df = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
+    return rounded(K.carry_forward(df, "c_custkey", "year", _FILL, drop_remaining=True))
+
+
+# --- CLN2/CLN3/CLN5/CLN6: imputation ---------------------------------------------------------------
+def _fill_sql(fn):
+    return f"""
+SELECT c_custkey, year, {", ".join(
+        f"round(coalesce({c}, (SELECT {fn(c)} FROM {NULL_PANEL_SQL})), 6) + 0.0 AS {c}" for c in _FILL)}
+FROM {NULL_PANEL_SQL}
+"""
+
+
+@query("impute_median", oracle=_fill_sql(lambda c: f"quantile_cont({c}, 0.5)"))
+def impute_median(spark, sf):
+    df = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
+    return rounded(K.impute(df, _FILL, "median"))
+
+
+@query("impute_mean", oracle=_fill_sql(lambda c: f"avg({c})"))
+def impute_mean(spark, sf):
+    df = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
+    return rounded(K.impute(df, _FILL, "mean"))
+
+
+@query("impute_zero", oracle=f"""
+SELECT c_custkey, year, {", ".join(f"round(coalesce({c}, 0.0), 6) + 0.0 AS {c}" for c in _FILL)}
+FROM {NULL_PANEL_SQL}
+""")
+def impute_zero(spark, sf):
+    df = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
+    return rounded(K.impute(df, _FILL, "zero"))
+
+
+@query("impute_drop", oracle=f"""
+SELECT c_custkey, year, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in _FILL)}
+FROM {NULL_PANEL_SQL} WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _FILL)}
+""")
+def impute_drop(spark, sf):
+    """CLN2 ``drop`` = FLT2 complete cases."""
+    df = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
+    return rounded(K.impute(df, _FILL, "drop"))
+
+
+# --- CLN7: mode fill ---------------------------------------------------------------------------------
+_MODE_SRC = f"""(SELECT c_custkey, year,
+  CASE WHEN (c_custkey + year) % 13 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey FROM {PANEL_SQL})"""
+
+
+@query("fill_mode", oracle=f"""
+SELECT c_custkey, year, coalesce(c_nationkey, (SELECT c_nationkey FROM {_MODE_SRC} WHERE c_nationkey IS NOT NULL
+  GROUP BY c_nationkey ORDER BY count(*) DESC, c_nationkey LIMIT 1)) AS c_nationkey
+FROM {_MODE_SRC}
+""")
+def fill_mode(spark, sf):
+    p = panels.customer_year_panel(spark, sf)
+    df = p.select("c_custkey", "year", F.when((F.col("c_custkey") + F.col("year")) % 13 == 0, None)
+                  .otherwise(F.col("c_nationkey")).alias("c_nationkey"))
+    return K.fill_mode(df, "c_nationkey")
+
+
+# --- CLN9: first row per key under an explicit order ------------------------------------------------
+@query("dedup_first_order", oracle="""
+SELECT o_custkey, o_orderkey, round(o_totalprice / 1024.0, 6) + 0.0 AS price_k FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+WHERE rn = 1
+""")
+def dedup_first_order(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey",
+                                          (F.col("o_totalprice") / 1024.0).alias("price_k"))
+    return rounded(K.dedup_first(o, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate"))
+
+
+# --- CLN10: distinct rows ------------------------------------------------------------------------------
+@query("distinct_segments", oracle="SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")
+def distinct_segments(spark, sf):
+    return table(spark, sf, "customer").select("c_nationkey", "c_mktsegment").distinct()
+
+
+# --- FLT4/FLT3: latest valid year slice -------------------------------------------------------------
+@query("latest_valid_year", oracle=f"""
+SELECT c_custkey, year, round(avg_value, 6) + 0.0 AS avg_value FROM {NULL_PANEL_SQL}
+WHERE year = (SELECT max(year) FROM {NULL_PANEL_SQL} WHERE avg_value IS NOT NULL)
+""")
+def latest_valid_year(spark, sf):
+    df = _null_panel(spark, sf).select("c_custkey", "year", "avg_value")
+    y = K.latest_valid_time(df, "year", "avg_value")
+    return rounded(K.slice_time(df, "year", y))
+
+
+# --- AGG1: aggregate by entity ---------------------------------------------------------------------
+@query("entity_aggregate", oracle=f"""
+SELECT c_custkey, {", ".join(f"round(avg({c}), 6) + 0.0 AS {c}" for c in ["n_orders", "total_value", *_FILL])},
+       arg_min(c_mktsegment, year) AS c_mktsegment
+FROM {NULL_PANEL_SQL} GROUP BY c_custkey
+""")
+def entity_aggregate(spark, sf):
+    from ..operators.profile import aggregate_by_entity
+
+    df = _null_panel(spark, sf).select("c_custkey", "year", "n_orders", "total_value", *_FILL, "c_mktsegment")
+    out = aggregate_by_entity(df, "c_custkey", "year", numeric=["n_orders", "total_value", *_FILL])
+    return rounded(out.withColumn("n_orders", F.col("n_orders").cast("double")))
+
+
+# --- WIN2: lag of the target per entity (segmented) -------------------------------------------------
+@query("lag_target", oracle=f"""
+SELECT * FROM (SELECT c_custkey, year, round(total_value, 6) + 0.0 AS total_value,
+  round(lag(total_value) OVER (PARTITION BY c_custkey ORDER BY year), 6) + 0.0 AS total_value_lag1
+  FROM {PANEL_SQL}) WHERE total_value_lag1 IS NOT NULL
+""")
+def lag_target(spark, sf):
+    df = panels.customer_year_panel(spark, sf).select("c_custkey", "year", "total_value")
+    return rounded(K.lag_by_entity(df, "c_custkey", "year", "total_value", chunk=F.floor(F.col("year") / 3)))
+
+
+# --- WIN4: row of the minimum per group -------------------------------------------------------------
+@query("argmin_per_group", oracle=f"""
+SELECT c_nationkey, arg_min(c_custkey, (avg_value, c_custkey, year)) AS c_custkey,
+       arg_min(year, (avg_value, c_custkey, year)) AS year, round(min(avg_value), 6) + 0.0 AS avg_value
+FROM {PANEL_SQL} GROUP BY c_nationkey
+""")
+def argmin_per_group(spark, sf):
+    df = panels.customer_year_panel(spark, sf).select("c_nationkey", "avg_value", "c_custkey", "year")
+    return rounded(K.argmin_by_group(df, ["c_nationkey"], "avg_value"))
+
+
+# --- WIN3: average rank of ties -------------------------------------------------------------------------
+@query("rank_average_ties", oracle=f"""
+SELECT n_nationkey, year, n_orders,
+  CAST(rank() OVER (PARTITION BY year ORDER BY n_orders DESC) AS DOUBLE)
+  + (count(*) OVER (PARTITION BY year, n_orders) - 1) / 2.0 AS rank_avg
+FROM {NATION_SQL}
+""")
+def rank_average_ties(spark, sf):
+    df = panels.nation_year_panel(spark, sf).select("n_nationkey", "year", "n_orders")
+    return RK.average_rank(df, "n_orders", partition_by=["year"], descending=True, name="rank_avg")
+
+
+# --- JOI1: code enrichment through a dimension join ----------------------------------------------------
+@query("code_enrichment", oracle="""
+SELECT n.n_nationkey, n.n_name, r.r_name AS region_code
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+""")
+def code_enrichment(spark, sf):
+    n = table(spark, sf, "nation")
+    dim = n.join(table(spark, sf, "region"), n.n_regionkey == F.col("r_regionkey")).select("n_name", "r_name")
+    base = n.select("n_nationkey", "n_name")
+    return R.enrich_codes(base, "n_name", dim, "n_name", "r_name", code_col="region_code",
+                          overrides={"ATLANTIS": "NOWHERE"})
+
+
+# --- JOI2: panel x series on (key, year) -------------------------------------------------------------
+@query("panel_merge", oracle=f"""
+SELECT p.c_custkey, p.year, round(p.avg_value, 6) + 0.0 AS avg_value,
+       round(n.avg_value, 6) + 0.0 AS nation_avg_value, round(n.share_finished, 6) + 0.0 AS nation_share_finished
+FROM {PANEL_SQL} p LEFT JOIN {NATION_SQL} n ON p.c_nationkey = n.n_nationkey AND p.year = n.year
+""")
+def panel_merge(spark, sf):
+    p = panels.customer_year_panel(spark, sf).select("c_custkey", "year", "avg_value",
+                                                      F.col("c_nationkey").alias("n_nationkey"))
+    n = panels.nation_year_panel(spark, sf).select("n_nationkey", "year",
+                                                   F.col("avg_value").alias("nation_avg_value"),
+                                                   F.col("share_finished").alias("nation_share_finished"))
+    return rounded(R.merge_on_keys(p, n, ["n_nationkey", "year"], "left").drop("n_nationkey"))
+
+
+# --- JOI3/JOI6: backfill join and missing counts ------------------------------------------------------
+@query("backfill_report", oracle=f"""
+WITH j AS (SELECT a.*, b.avg_value AS b_avg, b.max_value AS b_max, b.share_finished AS b_share
+           FROM {NULL_PANEL_SQL} a LEFT JOIN (SELECT * FROM {PANEL_SQL} WHERE year >= 1997) b
+           ON a.c_custkey = b.c_custkey AND a.year = b.year)
+SELECT 'avg_value' AS feature, CAST(sum(CASE WHEN avg_value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_before,
+       CAST(sum(CASE WHEN coalesce(avg_value, b_avg) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_after FROM j
+UNION ALL
+SELECT 'max_value', CAST(sum(CASE WHEN max_value IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+       CAST(sum(CASE WHEN coalesce(max_value, b_max) IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM j
+UNION ALL
+SELECT 'share_finished', CAST(sum(CASE WHEN share_finished IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+       CAST(sum(CASE WHEN coalesce(share_finished, b_share) IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM j
+""")
+def backfill_report(spark, sf):
+    """Second 'edition' = the raw panel from 1997 on; left join + coalesce, then missing counts."""
+    a = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
+    b = panels.customer_year_panel(spark, sf).filter(F.col("year") >= 1997).select(
+        "c_custkey", "year", *[F.col(c).alias(f"b_{c}") for c in _FILL])
+    joined = R.merge_on_keys(a, b, ["c_custkey", "year"], "left")
+    filled = R.backfill(joined, {c: f"b_{c}" for c in _FILL})
+    return R.missing_before_after(joined, filled, _FILL)
+
+
+# --- JOI8/SET2: entities present in one year but not the next ---------------------------------------------
+@query("entities_dropped", oracle=f"""
+SELECT DISTINCT c_custkey FROM {PANEL_SQL} WHERE year = 1996
+EXCEPT SELECT c_custkey FROM {PANEL_SQL} WHERE year = 1997
+""")
+def entities_dropped(spark, sf):
+    p = panels.customer_year_panel(spark, sf).select("c_custkey", "year")
+    return R.entities_only_in(p.filter(F.col("year") == 1996), p.filter(F.col("year") == 1997), "c_custkey")
+
+
+@query("entities_kept", oracle=f"""
+SELECT DISTINCT c_custkey FROM {PANEL_SQL} WHERE year = 1996
+INTERSECT SELECT c_custkey FROM {PANEL_SQL} WHERE year = 1997
+""")
+def entities_kept(spark, sf):
+    p = panels.customer_year_panel(spark, sf).select("c_custkey", "year")
+    return R.entities_in_both(p.filter(F.col("year") == 1996), p.filter(F.col("year") == 1997), "c_custkey")
+
+
+# --- RSH3/JOI4 and RSH1: long <-> wide yearly series ----------------------------------------------------
+_YEARS = list(range(1995, 2002))
+
+
+@query("series_long_to_wide", oracle=f"""
+SELECT n_nationkey, {", ".join(f"round(max(CASE WHEN year = {y} THEN avg_value END), 6) + 0.0 AS val_{y}"
+                               for y in _YEARS)}
+FROM {NATION_SQL} GROUP BY n_nationkey
+""")
+def series_long_to_wide(spark, sf):
+    n = panels.nation_year_panel(spark, sf).select("n_nationkey", F.concat(F.lit("val_"), F.col("year")).alias("s"),
+                                                   "avg_value")
+    return rounded(R.long_to_wide(n, ["n_nationkey"], "s", "avg_value", [f"val_{y}" for y in _YEARS]))
+
+
+@query("series_wide_to_long", oracle=f"""
+SELECT n_nationkey, 'val' AS series, year, round(avg_value, 6) + 0.0 AS value FROM {NATION_SQL}
+""")
+def series_wide_to_long(spark, sf):
+    n = panels.nation_year_panel(spark, sf).select("n_nationkey", F.concat(F.lit("val_"), F.col("year")).alias("s"),
+                                                   "avg_value")
+    wide = R.long_to_wide(n, ["n_nationkey"], "s", "avg_value", [f"val_{y}" for y in _YEARS])
+    long = R.wide_to_long(wide, ["n_nationkey"], positive_only=True)
+    return rounded(long.filter(F.col("value").isNotNull()))
