@@ -76,7 +76,8 @@ def ordered_partition_stats(df: DataFrame, order: Sequence[str | Column], value:
     per task is one batch.  Returns one dict per non-empty partition, in
     global order, with ``_n``, ``_first`` and ``_last`` for boundary stitching.
     """
-    sorted_df = _range_sorted(df.select(*[c for c in order if isinstance(c, str)], value), order, partitions)
+    cols = list(dict.fromkeys([*[c for c in order if isinstance(c, str)], value]))
+    sorted_df = _range_sorted(df.select(*cols), order, partitions)
     keys = list(per_batch(np.array([0.0, 1.0]), 0, None).keys())
 
     def run(batches):

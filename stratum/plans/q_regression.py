@@ -1 +1,472 @@
-"""Registered queries."""
+"""Registered queries: OLS, diagnostics, metrics, selection, registry, evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.hashrand import uniform
+from ..operators import diagnostics as D
+from ..operators import evaluate as E
+from ..operators import ols as L
+from ..operators import selection as S
+from ..operators.clean import lag_by_entity
+from ..operators.registry import ModelRegistry
+from ..sources.tables import table
+from ..frames import small_frame
+from . import panels
+from .catalog import query, rounded
+
+PANEL_SQL = panels.CUSTOMER_YEAR_PANEL_SQL
+Y, X, X2 = "total_value", "n_orders", "avg_value"
+CANDS = ["n_orders", "avg_value", "max_value", "share_finished", "acctbal"]
+
+
+def _r(x):
+    return f"round({x}, 6) + 0.0"
+
+
+def _panel(spark, sf):
+    return panels.customer_year_panel(spark, sf)
+
+
+# Closed-form simple regression (y ~ x) used by several oracles.
+_SIMPLE = f"""s AS (SELECT CAST(regr_count({Y}, {X}) AS DOUBLE) AS n, regr_slope({Y}, {X}) AS b1, regr_intercept({Y}, {X}) AS b0,
+                  regr_sxx({Y}, {X}) AS sxx, regr_syy({Y}, {X}) AS syy, regr_sxy({Y}, {X}) AS sxy,
+                  regr_avgx({Y}, {X}) AS mx FROM {PANEL_SQL}),
+e AS (SELECT *, syy - sxy * sxy / sxx AS rss, (syy - sxy * sxy / sxx) / (n - 2) AS s2 FROM s)"""
+
+
+# --- OLS1/OLS3 -------------------------------------------------------------------------------------------
+@query("ols_simple_coefficients", oracle=f"""
+WITH {_SIMPLE}
+SELECT 'Intercept' AS term, {_r("b0")} AS coef, {_r("sqrt(s2 * (1.0 / n + mx * mx / sxx))")} AS std_err,
+       {_r("b0 / sqrt(s2 * (1.0 / n + mx * mx / sxx))")} AS t FROM e
+UNION ALL
+SELECT '{X}', {_r("b1")}, {_r("sqrt(s2 / sxx)")}, {_r("b1 / sqrt(s2 / sxx)")} FROM e
+""")
+def ols_simple_coefficients(spark, sf):
+    m = L.fit_ols(_panel(spark, sf), Y, [X])
+    return rounded(m.coefficients(spark).select("term", "coef", "std_err", "t"))
+
+
+@query("ols_coefficients_full")
+def ols_coefficients_full(spark, sf):
+    """OLS3 with p-values and 95% intervals (t tails computed on the driver: rows-only)."""
+    m = L.fit_ols(_panel(spark, sf), Y, ["n_orders", "avg_value", "share_finished", "acctbal"])
+    return rounded(m.coefficients(spark))
+
+
+# --- OLS4 -------------------------------------------------------------------------------------------------
+@query("ols_residuals", oracle=f"""
+WITH {_SIMPLE}
+SELECT p.c_custkey, p.year, {_r(f"p.{Y}")} AS y, {_r(f"b0 + b1 * p.{X}")} AS fitted,
+       {_r(f"p.{Y} - (b0 + b1 * p.{X})")} AS resid
+FROM {PANEL_SQL} p, e
+""")
+def ols_residuals(spark, sf):
+    p = _panel(spark, sf)
+    return rounded(L.fit_ols(p, Y, [X]).residuals(p, keep=["c_custkey", "year"]))
+
+
+# --- MET1 -------------------------------------------------------------------------------------------------------
+_LLF = "(-n / 2.0 * (ln(2 * pi()) + ln(rss / n) + 1))"
+
+
+@query("ols_fit_metrics", oracle=f"""
+WITH {_SIMPLE}
+SELECT n AS n_obs, {_r("1 - rss / syy")} AS r2, {_r("1 - (n - 1) / (n - 2) * (rss / syy)")} AS adj_r2,
+       {_r("sqrt(rss / n)")} AS rmse, {_r(_LLF)} AS loglik, {_r(f"4 - 2 * {_LLF}")} AS aic,
+       {_r(f"2 * ln(n) - 2 * {_LLF}")} AS bic, {_r(f"4 - 2 * {_LLF} + 12.0 / (n - 3)")} AS aicc,
+       {_r(f"-{_LLF} + ln(n)")} AS mdl
+FROM e
+""")
+def ols_fit_metrics(spark, sf):
+    m = L.fit_ols(_panel(spark, sf), Y, [X]).metrics()
+    keys = ["n_obs", "r2", "adj_r2", "rmse", "loglik", "aic", "bic", "aicc", "mdl"]
+    return rounded(small_frame(spark, [tuple(float(m[k]) for k in keys)], ", ".join(f"{k} double" for k in keys)))
+
+
+@query("ols_row_metrics", oracle=f"""
+WITH {_SIMPLE}
+SELECT {_r(f"avg(abs(p.{Y} - (b0 + b1 * p.{X})))")} AS mae,
+       {_r(f"avg(abs(p.{Y} - (b0 + b1 * p.{X})) / abs(p.{Y}))")} AS mape,
+       {_r(f"sqrt(avg((p.{Y} - (b0 + b1 * p.{X})) * (p.{Y} - (b0 + b1 * p.{X}))))")} AS rmse, CAST(count(*) AS DOUBLE) AS n
+FROM {PANEL_SQL} p, e
+""")
+def ols_row_metrics(spark, sf):
+    p = _panel(spark, sf)
+    m = D.residual_metrics(L.fit_ols(p, Y, [X]), p)
+    return rounded(small_frame(spark, [(m["mae"], m["mape"], m["rmse"], m["n"])],
+                               "mae double, mape double, rmse double, n double"))
+
+
+# --- OLS1 with two predictors: closed-form 2x2 solve --------------------------------------------------
+_TWO = f"""c AS (SELECT count(*) AS n, var_pop({X}) AS a, covar_pop({X}, {X2}) AS b, var_pop({X2}) AS d,
+                  covar_pop({X}, {Y}) AS u, covar_pop({X2}, {Y}) AS v, var_pop({Y}) AS w,
+                  avg({X}) AS m1, avg({X2}) AS m2, avg({Y}) AS my FROM {PANEL_SQL}),
+k AS (SELECT *, (d * u - b * v) / (a * d - b * b) AS b1, (a * v - b * u) / (a * d - b * b) AS b2 FROM c)"""
+
+
+@query("ols_two_predictors", oracle=f"""
+WITH {_TWO}
+SELECT 'Intercept' AS term, {_r("my - b1 * m1 - b2 * m2")} AS coef FROM k
+UNION ALL SELECT '{X}', {_r("b1")} FROM k
+UNION ALL SELECT '{X2}', {_r("b2")} FROM k
+""")
+def ols_two_predictors(spark, sf):
+    m = L.fit_ols(_panel(spark, sf), Y, [X, X2])
+    return rounded(m.coefficients(spark).select("term", "coef"))
+
+
+@query("mallows_cp", oracle=f"""
+WITH {_TWO}, {_SIMPLE}
+SELECT {_r("e.rss / ((k.n * (k.w - k.b1 * k.u - k.b2 * k.v)) / (k.n - 3)) + 4 - e.n")} AS cp FROM k, e
+""")
+def mallows_cp(spark, sf):
+    p = _panel(spark, sf)
+    full = L.fit_ols(p, Y, [X, X2])
+    small = L.fit_ols(p, Y, [X])
+    return rounded(small_frame(spark, [(L.mallows_cp(small, full),)], "cp double"))
+
+
+# --- MET5 / DIA6 ------------------------------------------------------------------------------------------
+@query("vif_two_predictors", oracle=f"""
+WITH r AS (SELECT sum({X} * {X}) AS a, sum({X} * {X2}) AS b, sum({X2} * {X2}) AS d FROM {PANEL_SQL})
+SELECT '{X}' AS term, {_r("a * d / (a * d - b * b)")} AS vif FROM r
+UNION ALL SELECT '{X2}', {_r("a * d / (a * d - b * b)")} FROM r
+""")
+def vif_two_predictors(spark, sf):
+    m = L.fit_ols(_panel(spark, sf), Y, [X, X2])
+    return rounded(small_frame(spark, list(m.vif().items()), "term string, vif double"))
+
+
+@query("condition_number", oracle=f"""
+WITH r AS (SELECT CAST(count(*) AS DOUBLE) AS a, sum({X}) AS b, sum({X} * {X}) AS d FROM {PANEL_SQL}),
+l AS (SELECT (a + d) / 2 + sqrt(((a - d) / 2) * ((a - d) / 2) + b * b) AS l1,
+             (a + d) / 2 - sqrt(((a - d) / 2) * ((a - d) / 2) + b * b) AS l2 FROM r)
+SELECT {_r("sqrt(l1 / l2)")} AS condition_number FROM l
+""")
+def condition_number(spark, sf):
+    m = L.fit_ols(_panel(spark, sf), Y, [X])
+    return rounded(small_frame(spark, [(m.condition_number(),)], "condition_number double"))
+
+
+# --- DIA7/DIA8 ------------------------------------------------------------------------------------------------
+@query("leverage_cooks", oracle=f"""
+WITH {_SIMPLE},
+r AS (SELECT p.c_custkey, p.year, p.{Y} - (b0 + b1 * p.{X}) AS resid,
+             1.0 / n + (p.{X} - mx) * (p.{X} - mx) / sxx AS h, s2 FROM {PANEL_SQL} p, e)
+SELECT c_custkey, year, {_r("h")} AS leverage, {_r("resid / sqrt(s2 * (1 - h))")} AS studentized,
+       {_r("resid * resid / (s2 * (1 - h)) / 2.0 * h / (1 - h)")} AS cooks_d
+FROM r
+""")
+def leverage_cooks(spark, sf):
+    p = _panel(spark, sf)
+    infl = D.influence(L.fit_ols(p, Y, [X]), p, keep=["c_custkey", "year"])
+    return rounded(infl.select("c_custkey", "year", "leverage", "studentized", "cooks_d"))
+
+
+# --- DIA1: Durbin-Watson over the event stream in time order ------------------------------------------
+_EV = "(SELECT event_id, ts, value, CAST(hour(ts) AS DOUBLE) AS hr FROM events)"
+
+
+@query("durbin_watson", oracle=f"""
+WITH s AS (SELECT regr_slope(value, hr) AS b1, regr_intercept(value, hr) AS b0 FROM {_EV}),
+r AS (SELECT event_id, ts, value - (b0 + b1 * hr) AS e FROM {_EV}, s),
+d AS (SELECT e, e - lag(e) OVER (ORDER BY ts, event_id) AS de FROM r)
+SELECT {_r("sum(de * de) / sum(e * e)")} AS durbin_watson FROM d
+""")
+def durbin_watson(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "ts", "value", F.hour("ts").cast("double").alias("hr"))
+    m = L.fit_ols(ev, "value", ["hr"])
+    r = m.residuals(ev, keep=["ts", "event_id"])
+    return rounded(small_frame(spark, [(D.durbin_watson(r, "resid", ["ts", "event_id"]),)], "durbin_watson double"))
+
+
+# --- DIA2 / DIA4 ---------------------------------------------------------------------------------------------------
+@query("jarque_bera", oracle=f"""
+WITH {_SIMPLE},
+r AS (SELECT p.{Y} - (b0 + b1 * p.{X}) AS e FROM {PANEL_SQL} p, e),
+m AS (SELECT count(*) AS n, avg(e) AS mu FROM r),
+c AS (SELECT n, avg(power(e - mu, 2)) AS m2, avg(power(e - mu, 3)) AS m3, avg(power(e - mu, 4)) AS m4 FROM r, m GROUP BY n)
+SELECT {_r("n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0)")} AS jarque_bera FROM c
+""")
+def jarque_bera(spark, sf):
+    p = _panel(spark, sf)
+    m = L.fit_ols(p, Y, [X])
+    infl = D.influence(m, p)
+    mom = infl.agg(F.skewness("resid").alias("s"), F.kurtosis("resid").alias("k")).first()
+    jb = m.n / 6.0 * (mom["s"] ** 2 + mom["k"] ** 2 / 4.0)
+    return rounded(small_frame(spark, [(jb,)], "jarque_bera double"))
+
+
+@query("breusch_pagan", oracle=f"""
+WITH {_SIMPLE},
+r AS (SELECT p.{X} AS x, power(p.{Y} - (b0 + b1 * p.{X}), 2) AS e2 FROM {PANEL_SQL} p, e)
+SELECT {_r("count(*) * power(corr(e2, x), 2)")} AS breusch_pagan FROM r
+""")
+def breusch_pagan(spark, sf):
+    p = _panel(spark, sf)
+    bp, _, _, _ = D.het_tests(L.fit_ols(p, Y, [X]), p)
+    return rounded(small_frame(spark, [(bp,)], "breusch_pagan double"))
+
+
+@query("assumption_table")
+def assumption_table(spark, sf):
+    """DIA9/DIA10: every check for two models, with verdicts (normal tails on the driver: rows-only)."""
+    p = _panel(spark, sf)
+    checks = {}
+    for name, rhs in {"simple": [X], "multi": [X, X2, "share_finished"]}.items():
+        checks[name] = D.assumption_checks(L.fit_ols(p, Y, rhs), p, order=["c_custkey", "year"])
+    return rounded(D.assumption_table(spark, checks))
+
+
+@query("anderson_darling")
+def anderson_darling(spark, sf):
+    """DIA3 on the simple model's residuals (rank sums over range partitions)."""
+    p = _panel(spark, sf)
+    r = L.fit_ols(p, Y, [X]).residuals(p)
+    a2, pv = D.anderson_darling(r, "resid")
+    return rounded(small_frame(spark, [(a2, pv)], "statistic double, p_value double"))
+
+
+# --- OLS8 ---------------------------------------------------------------------------------------------------------
+@query("per_predictor_ols", oracle=" UNION ALL ".join(
+    f"SELECT c_mktsegment, '{c}' AS feature, regr_count({Y}, {c}) AS n, {_r(f'regr_slope({Y}, {c})')} AS slope, "
+    f"{_r(f'regr_intercept({Y}, {c})')} AS intercept, {_r(f'regr_r2({Y}, {c})')} AS r2 "
+    f"FROM {PANEL_SQL} GROUP BY c_mktsegment" for c in CANDS))
+def per_predictor_ols(spark, sf):
+    return rounded(L.per_predictor(_panel(spark, sf), Y, CANDS, by=["c_mktsegment"]))
+
+
+# --- MET2: K-fold CV from one grouped Gram --------------------------------------------------------------------------
+_FOLD = "CAST(floor(CAST(('0x' || substr(md5('7|' || c_custkey || '|' || year), 1, 8)) AS BIGINT) / 4294967296.0 * 5) AS INTEGER)"
+
+
+@query("cv_rmse", oracle=f"""
+WITH d AS (SELECT {_FOLD} AS fold, {X} AS x, {Y} AS y FROM {PANEL_SQL}),
+f AS (SELECT fold, CAST(count(*) AS DOUBLE) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy,
+             sum(y * y) AS syy FROM d GROUP BY fold),
+t AS (SELECT sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM f),
+m AS (SELECT f.*, (t.n - f.n) AS tn, (t.sx - f.sx) AS tsx, (t.sy - f.sy) AS tsy, (t.sxx - f.sxx) AS tsxx,
+             (t.sxy - f.sxy) AS tsxy FROM f, t),
+b AS (SELECT *, (tn * tsxy - tsx * tsy) / (tn * tsxx - tsx * tsx) AS b1 FROM m),
+c AS (SELECT *, (tsy - b1 * tsx) / tn AS b0 FROM b)
+SELECT fold, {_r("sqrt((syy - 2 * b0 * sy - 2 * b1 * sxy + b0 * b0 * n + 2 * b0 * b1 * sx + b1 * b1 * sxx) / n)")} AS rmse
+FROM c
+""")
+def cv_rmse(spark, sf):
+    p = _panel(spark, sf)
+    sel = S.Selector(p, Y, [], [X], cv_folds=5, seed=7, key=["c_custkey", "year"])
+    scores = sel.cv.rmse_scores([0])
+    return rounded(small_frame(spark, list(enumerate(scores)), "fold int, rmse double"))
+
+
+# --- SEL1-SEL4, SEL7 ------------------------------------------------------------------------------------------------------
+@query("forward_selection")
+def forward_selection(spark, sf):
+    sel = S.Selector(_panel(spark, sf), Y, [], CANDS)
+    return rounded(sel.path("forward", "aic", 1.0, label="forward_aic").to_frame(spark))
+
+
+@query("selection_grid")
+def selection_grid(spark, sf):
+    sel = S.Selector(_panel(spark, sf), Y, [], CANDS, cv_folds=5, seed=0, key=["c_custkey", "year"])
+    return rounded(S.collect_paths(sel.grid(), spark, best_only=True))
+
+
+@query("coefficient_compare")
+def coefficient_compare(spark, sf):
+    sel = S.Selector(_panel(spark, sf), Y, [], CANDS)
+    paths = [sel.path("forward", c, 1.0 if c != "adj_r2" else 0.001, label=f"forward_{c}") for c in ("aic", "bic")]
+    return rounded(S.coefficient_table(paths, spark))
+
+
+@query("selection_in_cv")
+def selection_in_cv(spark, sf):
+    return rounded(S.selection_in_cv(_panel(spark, sf), Y, CANDS, k=5, seed=0, key=["c_custkey", "year"]))
+
+
+@query("interaction_screen")
+def interaction_screen(spark, sf):
+    p = _panel(spark, sf)
+    sel = S.Selector(p, Y, [X, X2], [])
+    rows = sel.interaction_screen([X, X2], [(X, X2), (X, "share_finished"), (X2, "acctbal")], p)
+    return rounded(small_frame(spark, [(r["term"], r["coef"], r["p_value"], r["delta_aic"]) for r in rows],
+                               "term string, coef double, p_value double, delta_aic double"))
+
+
+# --- REG1-REG4 -------------------------------------------------------------------------------------------------------------
+@query("registry_compare")
+def registry_compare(spark, sf):
+    p = _panel(spark, sf)
+    train = p.filter(F.col("year") < 2000)
+    test = p.filter(F.col("year") >= 2000)
+    reg = ModelRegistry()
+    reg.fit(train, Y, [X])
+    reg.fit(train, Y, [X, X2], name="two")
+    reg.fit(train, Y, [X, X2], name="two_trimmed", cooks_threshold=4.0 / 6000)
+    reg.fit_stepwise(train, Y, [], CANDS, name="stepwise_bic", direction="stepwise", criterion="bic")
+    reg.evaluate_all(test, "holdout")
+    return rounded(reg.compare(spark, sort_by="aic").drop("rhs"))
+
+
+@query("cooks_trimmed_refit", oracle=f"""
+WITH {_SIMPLE},
+r AS (SELECT p.{X} AS x, p.{Y} AS y, (p.{Y} - (b0 + b1 * p.{X})) AS resid,
+             1.0 / n + (p.{X} - mx) * (p.{X} - mx) / sxx AS h, s2, n FROM {PANEL_SQL} p, e),
+k AS (SELECT x, y FROM r WHERE resid * resid / (s2 * (1 - h)) / 2.0 * h / (1 - h) <= 4.0 / n)
+SELECT 'Intercept' AS term, {_r("regr_intercept(y, x)")} AS coef, count(*) AS n_kept FROM k
+UNION ALL SELECT '{X}', {_r("regr_slope(y, x)")}, count(*) FROM k
+""")
+def cooks_trimmed_refit(spark, sf):
+    p = _panel(spark, sf)
+    m = L.fit_ols(p, Y, [X])
+    trimmed, _ = D.refit_without(m, p)
+    rows = [(n, float(b), int(trimmed.n)) for n, b in zip(trimmed.names, trimmed.coef)]
+    return rounded(small_frame(spark, rows, "term string, coef double, n_kept long"))
+
+
+# --- EVA1/EVA6: hash split hold-out --------------------------------------------------------------------------------------
+_U42 = "CAST(('0x' || substr(md5('42|' || c_custkey || '|' || year), 1, 8)) AS BIGINT) / 4294967296.0"
+
+
+@query("holdout_eval", oracle=f"""
+WITH tr AS (SELECT regr_slope({Y}, {X}) AS b1, regr_intercept({Y}, {X}) AS b0 FROM {PANEL_SQL} WHERE {_U42} >= 0.2),
+te AS (SELECT {Y} AS y, {Y} - (b0 + b1 * {X}) AS e FROM {PANEL_SQL}, tr WHERE {_U42} < 0.2)
+SELECT 'simple' AS model, count(*) AS n, {_r("sqrt(avg(e * e))")} AS rmse, {_r("avg(abs(e))")} AS mae,
+       {_r("1 - avg(e * e) / var_pop(y)")} AS r2 FROM te
+""")
+def holdout_eval(spark, sf):
+    p = _panel(spark, sf)
+    train, test = E.split(p, ["c_custkey", "year"], 0.2, 42)
+    return rounded(E.evaluate({"simple": L.fit_ols(train, Y, [X])}, test))
+
+
+@query("eval_by_year", oracle=f"""
+WITH tr AS (SELECT regr_slope({Y}, {X}) AS b1, regr_intercept({Y}, {X}) AS b0 FROM {PANEL_SQL} WHERE year = 1996),
+te AS (SELECT year, {Y} AS y, {Y} - (b0 + b1 * {X}) AS e FROM {PANEL_SQL}, tr)
+SELECT year, 'simple' AS model, count(*) AS n, {_r("sqrt(avg(e * e))")} AS rmse, {_r("avg(abs(e))")} AS mae,
+       {_r("1 - avg(e * e) / var_pop(y)")} AS r2 FROM te GROUP BY year
+""")
+def eval_by_year(spark, sf):
+    p = _panel(spark, sf)
+    m = L.fit_ols(p.filter(F.col("year") == 1996), Y, [X])
+    return rounded(E.evaluate_by({"simple": m}, p, "year"))
+
+
+# --- EVA3: paired bootstrap of hold-out metrics ------------------------------------------------------------------------
+def _poisson_sql(u):
+    from ..functions.hashrand import POISSON1_CDF
+
+    return "(" + " + ".join(f"CASE WHEN {u} >= {p!r} THEN 1 ELSE 0 END" for p in POISSON1_CDF) + ")"
+
+
+_UB = "CAST(('0x' || substr(md5('3:' || r || '|' || c_custkey || '|' || year), 1, 8)) AS BIGINT) / 4294967296.0"
+
+
+@query("bootstrap_ci", oracle=f"""
+WITH {_SIMPLE},
+pr AS (SELECT c_custkey, year, {Y} AS y, b0 + b1 * {X} AS p FROM {PANEL_SQL}, e),
+rep AS (SELECT pr.*, {_poisson_sql(_UB)} AS w, r FROM pr, range(0, 40) t(r)),
+per AS (SELECT r, sqrt(sum(w * (y - p) * (y - p)) / sum(w)) AS rmse, sum(w * abs(y - p)) / sum(w) AS mae,
+               1 - sum(w * (y - p) * (y - p)) / (sum(w * y * y) - sum(w * y) * sum(w * y) / sum(w)) AS r2
+        FROM rep WHERE w > 0 GROUP BY r)
+SELECT 'rmse' AS metric, {_r("quantile_cont(rmse, 0.025)")} AS ci_low, {_r("quantile_cont(rmse, 0.5)")} AS median,
+       {_r("quantile_cont(rmse, 0.975)")} AS ci_high FROM per
+UNION ALL SELECT 'mae', {_r("quantile_cont(mae, 0.025)")}, {_r("quantile_cont(mae, 0.5)")},
+       {_r("quantile_cont(mae, 0.975)")} FROM per
+UNION ALL SELECT 'r2', {_r("quantile_cont(r2, 0.025)")}, {_r("quantile_cont(r2, 0.5)")},
+       {_r("quantile_cont(r2, 0.975)")} FROM per
+""")
+def bootstrap_ci(spark, sf):
+    p = _panel(spark, sf)
+    m = L.fit_ols(p, Y, [X])
+    return rounded(E.bootstrap_metrics(m, p, ["c_custkey", "year"], n_boot=40, seed=3))
+
+
+@query("bootstrap_refit")
+def bootstrap_refit(spark, sf):
+    """EVA4: weighted Gram per replicate (one grouped pass) + out-of-bag RMSE."""
+    rows = E.bootstrap_refit_rmse(_panel(spark, sf), Y, [X, X2], ["c_custkey", "year"], n_boot=20, seed=1)
+    return rounded(small_frame(spark, [(int(r["_rep"]), r["oob_rmse"], int(r["n_oob"])) for r in rows],
+                               "rep int, oob_rmse double, n_oob long"))
+
+
+@query("calibration_bins")
+def calibration_bins(spark, sf):
+    """EVA5: quantile bins of predictions with bootstrap CI of the observed bin mean."""
+    p = _panel(spark, sf)
+    m = L.fit_ols(p, Y, [X, X2])
+    pred = p.select("c_custkey", "year", F.col(Y).alias("y"), m.predict_expr().alias("p"))
+    return rounded(E.calibration(pred, "y", "p", q=10, n_boot=30, seed=2, key=["c_custkey", "year"]))
+
+
+# --- OLS5/FN5: spline terms, OLS6 band, OLS7 interaction grid -----------------------------------------------------------
+@query("spline_fit")
+def spline_fit(spark, sf):
+    p = _panel(spark, sf)
+    m = L.fit_ols(p, Y, [X, "bs(avg_value, df=4, degree=3)"])
+    return rounded(m.coefficients(spark).select("term", "coef", "std_err"))
+
+
+@query("confidence_band")
+def confidence_band(spark, sf):
+    p = _panel(spark, sf)
+    m = L.fit_ols(p, Y, [X, X2])
+    mean_x2 = p.agg(F.avg(X2)).first()[0]
+    return rounded(E.confidence_band(m, spark, X, 1.0, 10.0, {X2: mean_x2}, n_points=10))
+
+
+@query("interaction_effects")
+def interaction_effects(spark, sf):
+    """OLS7: predictions over x for the levels of ``by`` (<= 6 distinct -> all levels)."""
+    p = _panel(spark, sf)
+    m = L.fit_ols(p, Y, [X, X2, f"{X}:{X2}"])
+    levels = p.select(X).distinct()
+    n_levels = levels.count()
+    if n_levels > 6:
+        qs = p.agg(F.percentile(F.col(X).cast("double"), F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]))).first()[0]
+        levels = spark.createDataFrame([(float(q),) for q in qs], f"{X} double")
+    lo, hi = p.agg(F.min(X2), F.max(X2)).first()
+    grid = spark.range(12).select((F.lit(lo) + F.col("id") * F.lit((hi - lo) / 11.0)).alias(X2))
+    g = grid.crossJoin(F.broadcast(levels.select(F.col(X).cast("double").alias(X))))  # <= 12 x 6 rows
+    return rounded(m.predict(g, keep=[X, X2]))
+
+
+# --- OLS9: panel regression with lagged target and entity fixed effects ------------------------------------------------
+@query("panel_fixed_effects")
+def panel_fixed_effects(spark, sf):
+    p = _panel(spark, sf).select("c_custkey", "year", Y, X)
+    lagged = lag_by_entity(p, "c_custkey", "year", Y, chunk=F.floor(F.col("year") / 3))
+    lagged = lagged.withColumn("trend", F.col("year") - F.lit(1995))
+    within = L.within_transform(lagged, "c_custkey", [Y, f"{Y}_lag1", X, "trend"])
+    m = L.fit_ols(within, Y, [f"{Y}_lag1", X, "trend"], intercept=False)
+    return rounded(m.coefficients(spark))
+
+
+# --- OUT4 / CHD8 ------------------------------------------------------------------------------------------------------------
+@query("residual_outliers")
+def residual_outliers(spark, sf):
+    p = _panel(spark, sf)
+    flagged = D.residual_outliers(L.fit_ols(p, Y, [X]), p, keep=["c_custkey", "year"], threshold=3.0)
+    return rounded(flagged.filter(F.col("studentized_outlier")).select("c_custkey", "year", "studentized"))
+
+
+@query("qq_points")
+def qq_points(spark, sf):
+    p = _panel(spark, sf)
+    return rounded(D.qq_points(D.influence(L.fit_ols(p, Y, [X]), p), m=25))
+
+
+@query("split_metrics")
+def split_metrics(spark, sf):
+    """MET4: train and test metrics of one split."""
+    p = _panel(spark, sf)
+    train, test = E.split(p, ["c_custkey", "year"], 0.2, 42)
+    m = E.split_metrics(L.fit_ols(train, Y, [X, X2]), test)
+    keys = sorted(m)
+    return rounded(small_frame(spark, [tuple(float(m[k]) for k in keys)], ", ".join(f"{k} double" for k in keys)))
+
+
+del uniform
