@@ -216,3 +216,46 @@ def suggest_groups(df: DataFrame, columns: Sequence[str], threshold: float = 0.7
     frame = small_frame(df.sparkSession, rows, "group string, group_no int, size int, features string, "
                                                "mean_abs_corr double, min_abs_corr double")
     return {f"Group_{n}": feats for n, feats in enumerate(groups, start=1)}, frame.orderBy("group_no")
+
+
+def supervised_pca(df: DataFrame, features: Sequence[str], target: str, screen: float = 0.25,
+                   threshold: float = 1.0, alpha: float = 0.05):
+    """GRP8: screen features by |corr with target| > ``screen`` (FLT9), PCA on the survivors,
+    regress the target on the retained scores, keep the significant components.
+
+    One GRAM over features + target serves every step: the scores' Gram is
+    ``V' S V`` and their covariance with the target is ``V' s_xy``.
+    """
+    from .ols import model_from_gram
+    from .terms import Term
+
+    cols = list(features)
+    g = gram(df, [*cols, target])
+    r = g.corr()
+    t_idx = len(cols)
+    kept = [c for i, c in enumerate(cols) if abs(r[i, t_idx]) > screen]
+    if not kept:
+        raise ValueError("no feature passes the correlation screen")
+    pca = pca_from_gram(g.sub(kept))
+    ratios = pca.variances / pca.total_variance
+    m = n_components_for(ratios, threshold)
+    v = pca.components[:, :m]
+    ix = g.index(kept)
+    iy = g.index([target])[0]
+    k = m + 1
+    cross = np.zeros((k, k))
+    cross[:m, :m] = v.T @ g.cross[np.ix_(ix, ix)] @ v
+    cross[:m, m] = cross[m, :m] = v.T @ g.cross[ix, iy]
+    cross[m, m] = g.cross[iy, iy]
+    names = tuple([f"_t{j}" for j in range(m)] + ["_y"])
+    means = np.concatenate([np.zeros(m), [g.means[iy]]])
+    sg = Gram(names, g.n, means, cross, g.rows)
+    terms = [Term(f"PC{j + 1}", pca.score_columns()[f"PC{j + 1}"]) for j in range(m)]
+    full = model_from_gram(sg, target, terms)
+    se = np.sqrt(np.clip(np.diag(full.cov_params), 0, None))
+    from ..functions.tails import t_sf2
+
+    pvals = [t_sf2(b / s, full.df_resid) if s > 0 else 1.0 for b, s in zip(full.coef[1:], se[1:])]
+    sig = [j for j, p in enumerate(pvals) if p < alpha] or list(range(m))
+    final = model_from_gram(sg, target, terms, sig)
+    return kept, pca, final

@@ -1 +1,202 @@
-"""Registered queries."""
+"""Registered queries: clustering, cluster quality, isolation forest, smoothers, supervised PCA."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..frames import small_frame
+from ..operators import cluster as CL
+from ..operators import groups as G
+from ..operators import iforest as IF
+from ..operators import ols as L
+from ..operators import scale as SC
+from ..operators import smooth as SM
+from ..sources.tables import table
+from . import panels
+from .catalog import query, rounded
+
+PANEL_SQL = panels.CUSTOMER_YEAR_PANEL_SQL
+FEATS = ["n_orders", "avg_value", "max_value", "share_finished", "acctbal"]
+_KX, _KY = "avg_value", "max_value"
+_K, _ITERS = 3, 3
+
+
+def _r(x):
+    return f"round({x}, 6) + 0.0"
+
+
+def _lloyd_sql() -> str:
+    """Unrolled Lloyd iterations from the 3 rows with the smallest md5 key."""
+    cte = [f"p AS (SELECT {_KX} AS x, {_KY} AS y, md5('km|' || c_custkey || '|' || year) AS h FROM {PANEL_SQL})",
+           "c0 AS (SELECT " + ", ".join(
+               f"max(CASE WHEN rn = {j} THEN x END) AS x{j}, max(CASE WHEN rn = {j} THEN y END) AS y{j}"
+               for j in range(_K)) + " FROM (SELECT x, y, row_number() OVER (ORDER BY h) - 1 AS rn FROM p) WHERE rn < 3)"]
+
+    def assign(i):
+        d = [f"((x - x{j}) * (x - x{j}) + (y - y{j}) * (y - y{j}))" for j in range(_K)]
+        return (f"CASE WHEN {d[0]} <= {d[1]} AND {d[0]} <= {d[2]} THEN 0 "
+                f"WHEN {d[1]} <= {d[2]} THEN 1 ELSE 2 END")
+
+    for i in range(1, _ITERS + 1):
+        cte.append(f"a{i} AS (SELECT x, y, {assign(i)} AS cl FROM p, c{i - 1})")
+        cte.append(f"m{i} AS (SELECT cl, avg(x) AS mx, avg(y) AS my FROM a{i} GROUP BY cl)")
+        cols = ", ".join(f"coalesce((SELECT mx FROM m{i} WHERE cl = {j}), (SELECT x{j} FROM c{i - 1})) AS x{j}, "
+                         f"coalesce((SELECT my FROM m{i} WHERE cl = {j}), (SELECT y{j} FROM c{i - 1})) AS y{j}"
+                         for j in range(_K))
+        cte.append(f"c{i} AS (SELECT {cols})")
+    cte.append(f"fin AS (SELECT x, y, {assign(_ITERS + 1)} AS cluster FROM p, c{_ITERS})")
+    return ("WITH " + ",\n".join(cte) +
+            f"\nSELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, {_r('avg(x)')} AS mean_x, "
+            f"{_r('avg(y)')} AS mean_y FROM fin GROUP BY cluster")
+
+
+@query("kmeans_fixed_start", oracle=_lloyd_sql())
+def kmeans_fixed_start(spark, sf):
+    """CLU1 (checkable form): Lloyd steps from deterministic start rows, DataFrame aggregates only."""
+    p = panels.customer_year_panel(spark, sf).select("c_custkey", "year", _KX, _KY)
+    h = F.md5(F.concat(F.lit("km|"), F.col("c_custkey").cast("string"), F.lit("|"), F.col("year").cast("string")))
+    init = np.array([[r[_KX], r[_KY]] for r in p.orderBy(h).limit(_K).collect()])  # k start rows
+    _, lab = CL.lloyd(p, [_KX, _KY], init, _ITERS)
+    return rounded(lab.groupBy(F.col("cluster").cast("int").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(_KX).alias("mean_x"), F.avg(_KY).alias("mean_y")))
+
+
+@query("kmeans_embeddings")
+def kmeans_embeddings(spark, sf):
+    """CLU1: MLlib k-means (k-means||) with restarts on the 64-d embeddings."""
+    emb = table(spark, sf, "embeddings")
+    res = CL.kmeans(emb, "embedding", k=10, n_init=2, seed=1)
+    return res.assign(emb, "embedding").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("elbow_inertia")
+def elbow_inertia(spark, sf):
+    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    return rounded(CL.elbow(z, FEATS, [2, 3, 4, 5, 6], seed=0))
+
+
+@query("silhouette_by_k")
+def silhouette_by_k(spark, sf):
+    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    return rounded(CL.mean_silhouette_by_k(z, FEATS, [2, 3, 4], seed=0))
+
+
+@query("silhouette_rows", oracle=f"""
+WITH u AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS d
+           FROM embeddings),
+nr AS (SELECT vec_id, label, sum(v * v) AS q FROM u GROUP BY vec_id, label),
+cs AS (SELECT label, d, sum(v) AS s FROM u GROUP BY label, d),
+cn AS (SELECT label, CAST(count(*) AS DOUBLE) AS n, sum(q) AS qq FROM nr GROUP BY label),
+dots AS (SELECT u.vec_id, cs.label AS c, sum(u.v * cs.s) AS dot FROM u JOIN cs ON u.d = cs.d GROUP BY u.vec_id, cs.label),
+tot AS (SELECT nr.vec_id, nr.label, dots.c, cn.n * nr.q - 2 * dots.dot + cn.qq AS total, cn.n AS nc
+        FROM nr JOIN dots ON nr.vec_id = dots.vec_id JOIN cn ON cn.label = dots.c),
+ab AS (SELECT vec_id, label, max(CASE WHEN c = label THEN total / greatest(nc - 1, 1) END) AS a,
+              min(CASE WHEN c <> label THEN total / nc END) AS b, max(CASE WHEN c = label THEN nc END) AS own
+       FROM tot GROUP BY vec_id, label)
+SELECT vec_id, label, {_r("CASE WHEN own <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END")} AS silhouette_sq FROM ab
+""")
+def silhouette_rows(spark, sf):
+    """CLU4: per-row squared-Euclidean silhouette of the given labels, O(n k)."""
+    emb = table(spark, sf, "embeddings")
+    return rounded(CL.silhouette_sq(emb, "embedding", "label", keep=["vec_id"]))
+
+
+@query("gmm_clusters")
+def gmm_clusters(spark, sf):
+    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    return CL.gaussian_mixture(z, FEATS, k=3, seed=0).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("hierarchical_micro")
+def hierarchical_micro(spark, sf):
+    """CLU5 (re-aimed): ward linkage on k-means micro-cluster centroids."""
+    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    lab = CL.hierarchical(z, FEATS, k=4, method="ward", micro=50, seed=0, keep=["c_custkey", "year"])
+    return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- CLU8 -------------------------------------------------------------------------------------------------------
+_LAB = ["l_returnflag", "l_linestatus", "ship_year"]
+_LAB_SQL = "(SELECT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS VARCHAR) AS ship_year FROM lineitem)"
+
+
+def _rand_sql(a, b):
+    return (f"SELECT '{a}' AS labeling_a, '{b}' AS labeling_b, {_r('(n * (n - 1) / 2 + 2 * nij - sa - sb) / (n * (n - 1) / 2)')}"
+            f" AS rand_index FROM (SELECT sum(c) AS n, sum(c * (c - 1) / 2) AS nij FROM "
+            f"(SELECT count(*)::DOUBLE AS c FROM {_LAB_SQL} GROUP BY {a}, {b})), "
+            f"(SELECT sum(c * (c - 1) / 2) AS sa FROM (SELECT count(*)::DOUBLE AS c FROM {_LAB_SQL} GROUP BY {a})), "
+            f"(SELECT sum(c * (c - 1) / 2) AS sb FROM (SELECT count(*)::DOUBLE AS c FROM {_LAB_SQL} GROUP BY {b}))")
+
+
+@query("rand_index_matrix", oracle=" UNION ALL ".join(
+    _rand_sql(a, b) for i, a in enumerate(_LAB) for b in _LAB[i + 1:]))
+def rand_index_matrix(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus",
+                                             F.year("l_shipdate").cast("string").alias("ship_year"))
+    return rounded(CL.rand_matrix(li, _LAB))
+
+
+# --- CLU9 -------------------------------------------------------------------------------------------------------------
+_PROF = ["n_orders", "avg_value", "share_finished"]
+
+
+@query("cluster_profiles", oracle=f"""
+WITH z AS (SELECT c_mktsegment, total_value, {", ".join(
+    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in _PROF)} FROM {PANEL_SQL}),
+m AS (SELECT c_mktsegment, avg(total_value) AS t, {", ".join(f"avg({c}) AS {c}" for c in _PROF)} FROM z GROUP BY 1),
+r AS (SELECT c_mktsegment, CAST(rank() OVER (ORDER BY t DESC, c_mktsegment) AS INTEGER) AS cluster_rank FROM m)
+SELECT m.c_mktsegment, {_r("m.t")} AS target_mean, f.feature, {_r("f.mean_z")} AS mean_z, r.cluster_rank
+FROM m JOIN r ON m.c_mktsegment = r.c_mktsegment
+JOIN (SELECT c_mktsegment, unnest(['{"', '".join(_PROF)}']) AS feature, unnest([{", ".join(_PROF)}]) AS mean_z FROM m) f
+  ON f.c_mktsegment = m.c_mktsegment
+""")
+def cluster_profiles(spark, sf):
+    p = panels.customer_year_panel(spark, sf)
+    z, _ = SC.standardize(p.select("c_mktsegment", "total_value", *_PROF), _PROF)
+    return rounded(CL.cluster_profiles(z, "c_mktsegment", _PROF, "total_value"))
+
+
+# --- OUT3 ----------------------------------------------------------------------------------------------------------------
+@query("isolation_forest")
+def isolation_forest(spark, sf):
+    """OUT3: rows flagged in the top 1% of isolation-forest scores."""
+    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    forest = IF.fit(z, FEATS, key=["c_custkey", "year"], n_trees=50, psi=256, seed=0)
+    scored = IF.flag(forest.score(z, keep=["c_custkey", "year"]), contamination=0.01)
+    return rounded(scored.filter("anomaly").select("c_custkey", "year", "score"))
+
+
+# --- GRP8 -----------------------------------------------------------------------------------------------------------------
+@query("supervised_pca")
+def supervised_pca(spark, sf):
+    p = panels.customer_year_panel(spark, sf)
+    z, _ = SC.standardize(p, FEATS)
+    kept, _, model = G.supervised_pca(z, FEATS, "total_value", screen=0.25, threshold=0.95)
+    return rounded(model.coefficients(spark).select("term", "coef", "std_err", "p_value"))
+
+
+# --- OLS11 / OLS10 / OLS12 -----------------------------------------------------------------------------------------------------
+@query("lowess_curve")
+def lowess_curve(spark, sf):
+    p = panels.customer_year_panel(spark, sf)
+    return rounded(SM.binned_lowess(p, "avg_value", "total_value", frac=0.3, bins=40))
+
+
+@query("random_forest")
+def random_forest(spark, sf):
+    metrics, _ = SM.random_forest(panels.customer_year_panel(spark, sf), "total_value", FEATS[:1] + FEATS[2:] + [
+        "avg_value"], key=["c_custkey", "year"], n_trees=30, max_depth=6)
+    return rounded(metrics)
+
+
+@query("residual_calibration")
+def residual_calibration(spark, sf):
+    p = panels.customer_year_panel(spark, sf)
+    m = L.fit_ols(p, "total_value", ["n_orders"])
+    r = m.residuals(p, keep=["c_custkey", "year", "c_mktsegment", "c_nationkey"]).withColumn(
+        "year_offset", (F.col("year") - 1995).cast("double")).withColumn("nation", F.col("c_nationkey").cast("string"))
+    return rounded(SM.residual_calibration(r, ["c_mktsegment", "nation"], ["year_offset"], ["c_custkey", "year"]))
+
+
+del small_frame
