@@ -274,3 +274,22 @@ def series_wide_to_long(spark, sf):
     wide = R.long_to_wide(n, ["n_nationkey"], "s", "avg_value", [f"val_{y}" for y in _YEARS])
     long = R.wide_to_long(wide, ["n_nationkey"], positive_only=True)
     return rounded(long.filter(F.col("value").isNotNull()))
+
+
+# --- PRJ1/PRJ3/PRJ4/PRJ5: dirty headers and text values conformed in one projection -------------
+@query("conform_headers", oracle="""
+SELECT CAST(o_custkey AS VARCHAR) AS country, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS status,
+       round(o_totalprice, 6) + 0.0 AS total_price, TRY_CAST(o_orderpriority AS DOUBLE) AS order_priority
+FROM orders
+""")
+def conform_headers(spark, sf):
+    from ..sources.csv import conform, normalize_headers
+
+    o = table(spark, sf, "orders")
+    dirty = o.select(F.col("o_custkey").cast("string").alias(" Country "),
+                     F.year("o_orderdate").cast("string").alias("Year"),
+                     F.when(F.col("o_orderstatus") == "F", " Developed ").otherwise("developing").alias(" Status"),
+                     F.col("o_totalprice").cast("string").alias("Total / Price"),
+                     F.col("o_orderpriority").alias("Order-Priority"))
+    return rounded(conform(normalize_headers(dirty)).drop("year_ts"))
