@@ -49,10 +49,18 @@ POISSON1_CDF = tuple(
 )
 
 
-def poisson1(seed: int | str | Column, *key: str | Column) -> Column:
-    """Poisson(1) count per (replicate, row): number of CDF steps below ``u``."""
-    u = uniform(seed, *key)
+def poisson1_from(u: Column) -> Column:
+    """Poisson(1) count from a uniform column: how many CDF steps lie at or below ``u``."""
     total = F.lit(0)
     for p in POISSON1_CDF:
         total = total + F.when(u >= F.lit(p), 1).otherwise(0)
     return total
+
+
+def poisson1(seed: int | str | Column, *key: str | Column) -> Column:
+    """Poisson(1) count per (replicate, row).
+
+    Materialise :func:`uniform` as a column first when the count is used more
+    than once so md5 runs once per (replicate, row).
+    """
+    return poisson1_from(uniform(seed, *key))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashrand import poisson1, uniform
+from ..functions.hashrand import poisson1_from, uniform
 from .gram import gram
 from .ols import OLSModel, model_from_gram
 from .profile import quantile_bin_expr, quantile_edges
@@ -78,8 +78,8 @@ def split_metrics(model_train: OLSModel, test: DataFrame) -> dict[str, float]:
 def _replicates(df: DataFrame, n_boot: int, seed: int, key: Sequence[str]) -> DataFrame:
     reps = F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("_rep")
     out = df.select("*", reps)
-    return out.withColumn("_w", poisson1(F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string")), *key)).filter(
-        F.col("_w") > 0)
+    out = out.withColumn("_u", uniform(F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string")), *key))
+    return out.withColumn("_w", poisson1_from(F.col("_u"))).filter(F.col("_w") > 0).drop("_u")
 
 
 def bootstrap_metrics(model: OLSModel, df: DataFrame, key: Sequence[str], n_boot: int = 200, seed: int = 0,
@@ -114,7 +114,8 @@ def bootstrap_refit_rmse(df: DataFrame, target: str, terms: Sequence, key: Seque
     design = design_frame(df, target, ts, extra=list(key)).dropna(subset=names)
     reps = F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("_rep")
     wdf = design.select("*", reps).withColumn(
-        "_w", poisson1(F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string")), *key))
+        "_u", uniform(F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string")), *key)).withColumn(
+        "_w", poisson1_from(F.col("_u")))
     grams = gram(wdf.filter(F.col("_w") > 0), names, by="_rep", weight="_w")
     models = {r: model_from_gram(g, target, ts) for r, g in grams.items()}
     # out-of-bag: rows with weight 0, scored against their replicate's coefficients in one pass

@@ -71,7 +71,7 @@ class ModelRegistry:
         model is refit without rows whose Cook's distance exceeds t; the
         untrimmed fit is kept as ``entry.initial`` and as ``{name}_initial``.
         """
-        name = name or self._auto_name(rhs)
+        name = name or (_slug("_".join(rhs)) or "intercept")
         if name in self._entries and not refit:
             return self._entries[name]
         model = fit_ols(df, target, list(rhs))
