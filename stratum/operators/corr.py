@@ -102,3 +102,10 @@ def correlation_delta(before: CorrelationResult, after: CorrelationResult, spark
 def term_target_correlation(df: DataFrame, term: str, target: str) -> float:
     """COR6: Pearson of one model term with the target (complete pairs)."""
     return float(pairwise_corr(df, [term, target])[0, 1])
+
+
+def signed_top(pairs: DataFrame, n: int = 5, column: str = "correlation") -> DataFrame:
+    """TOP2/CHD4: n largest positive and n most negative values, labelled by sign."""
+    pos = pairs.filter(F.col(column) > 0).orderBy(F.desc(column), *[c for c in pairs.columns if c != column]).limit(n)
+    neg = pairs.filter(F.col(column) < 0).orderBy(F.asc(column), *[c for c in pairs.columns if c != column]).limit(n)
+    return pos.withColumn("sign", F.lit("positive")).unionByName(neg.withColumn("sign", F.lit("negative")))

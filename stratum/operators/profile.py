@@ -242,3 +242,26 @@ def aggregate_by_entity(df: DataFrame, entity: str, time: str, numeric_fn: Calla
     return df.groupBy(entity).agg(
         *[numeric_fn(F.col(c)).alias(c) for c in nums],
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in others])
+
+
+def missing_compare(a: DataFrame, b: DataFrame, label_a: str = "a", label_b: str = "b") -> DataFrame:
+    """AGG9: missing percent per shared numeric column in two editions, with the delta."""
+    shared = [c for c in numeric_columns(a) if c in set(numeric_columns(b))]
+    ma = missingness(a, shared).select("feature", F.col("pct_missing").alias(f"pct_missing_{label_a}"))
+    mb = missingness(b, shared).select("feature", F.col("pct_missing").alias(f"pct_missing_{label_b}"))
+    return ma.join(mb, "feature").withColumn(
+        "delta", F.col(f"pct_missing_{label_b}") - F.col(f"pct_missing_{label_a}"))
+
+
+def coverage(df: DataFrame, entity: str, code: str, value: str, sentinel: float = 0.0) -> DataFrame:
+    """AGG14: rows, entities, share of rows with a code, sentinel count (one aggregate).
+
+    The unmapped entities themselves are a DataFrame (:func:`unmapped`), never a list.
+    """
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(entity).alias("n_entities"),
+                  F.avg(F.col(code).isNotNull().cast("double")).alias("mapped_share"),
+                  F.sum((F.col(value) == F.lit(sentinel)).cast("long")).alias("n_sentinel"))
+
+
+def unmapped(df: DataFrame, entity: str, code: str) -> DataFrame:
+    return df.filter(F.col(code).isNull()).select(entity).distinct()

@@ -118,3 +118,11 @@ def label_union(frames: Mapping[str, DataFrame], label: str = "source") -> DataF
         f = f.withColumn(label, F.lit(k))
         out = f if out is None else out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def attach_attributes(df: DataFrame, attributes: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """JOI5: deduplicate per-entity attributes (first under ``order_by``) and left-join them."""
+    from .clean import dedup_first
+
+    dim = dedup_first(attributes, [key], order_by)
+    return sized_join(df, dim, key, "left")

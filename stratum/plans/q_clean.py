@@ -293,3 +293,65 @@ def conform_headers(spark, sf):
                      F.col("o_totalprice").cast("string").alias("Total / Price"),
                      F.col("o_orderpriority").alias("Order-Priority"))
     return rounded(conform(normalize_headers(dirty)).drop("year_ts"))
+
+
+# --- PRJ12/PRJ14/PRJ15/PRJ16: derived index columns -----------------------------------------------
+@query("derived_indices", oracle=f"""
+SELECT n_nationkey, year,
+  round(CASE WHEN avg_value * 1024 > 0 THEN (ln(avg_value * 1024) - ln(100)) / (ln(75000) - ln(100)) END, 6) + 0.0
+    AS value_index,
+  round(CASE WHEN share_finished <> 0.0 THEN share_finished END, 6) + 0.0 AS share_nonzero,
+  year - (SELECT min(year) FROM {NATION_SQL}) AS trend,
+  round((SELECT max(avg_value) FROM {NATION_SQL}) - avg_value, 6) + 0.0 AS value_gap
+FROM {NATION_SQL}
+""")
+def derived_indices(spark, sf):
+    from ..functions import transforms as T
+
+    n = panels.nation_year_panel(spark, sf)
+    out = n.select("n_nationkey", "year", T.domain_index(F.col("avg_value") * 1024).alias("value_index"),
+                   T.sentinel_to_null(F.col("share_finished"), 0.0).alias("share_nonzero"),
+                   F.col("avg_value").alias("value_gap"))
+    out = T.time_trend(out, "year", "trend")
+    return rounded(T.invert_smaller_better(out, ["value_gap"]))
+
+
+# --- JOI5: deduplicated attributes joined to the panel ---------------------------------------------
+@query("attribute_join", oracle=f"""
+SELECT p.c_custkey, p.year, f.o_orderkey AS first_order, f.o_orderpriority AS first_priority
+FROM {PANEL_SQL} p LEFT JOIN (
+  SELECT o_custkey, o_orderkey, o_orderpriority FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+  WHERE rn = 1) f ON p.c_custkey = f.o_custkey
+""")
+def attribute_join(spark, sf):
+    p = panels.customer_year_panel(spark, sf).select("c_custkey", "year")
+    attrs = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderdate",
+                                              F.col("o_orderkey").alias("first_order"),
+                                              F.col("o_orderpriority").alias("first_priority"))
+    return R.attach_attributes(p, attrs, "c_custkey", ["o_orderdate", "first_order"]).drop("o_orderdate")
+
+
+# --- CLN8: drop all-missing columns ----------------------------------------------------------------
+@query("drop_empty_columns", oracle=f"""
+SELECT c_custkey, year, total_value FROM (SELECT c_custkey, year, round(total_value, 6) + 0.0 AS total_value,
+  CAST(NULL AS DOUBLE) AS empty_col FROM {PANEL_SQL})
+""")
+def drop_empty_columns(spark, sf):
+    p = panels.customer_year_panel(spark, sf).select("c_custkey", "year", "total_value",
+                                                      F.lit(None).cast("double").alias("empty_col"))
+    return rounded(K.drop_all_missing_columns(p))
+
+
+# --- FN4: one-hot with the first level dropped -----------------------------------------------------
+@query("one_hot_segments", oracle="""
+SELECT c_custkey, """ + ", ".join(
+    f"CAST(c_mktsegment = '{s}' AS INTEGER) AS c_mktsegment_{s.lower()}"
+    for s in ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]) + " FROM customer")
+def one_hot_segments(spark, sf):
+    from ..functions.transforms import one_hot
+
+    c = table(spark, sf, "customer")
+    levels = [r[0] for r in c.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]  # categories
+    cols = one_hot(F.col("c_mktsegment"), "c_mktsegment", levels, drop_first=True)
+    return c.select("c_custkey", *[v.alias(k) for k, v in cols.items()])

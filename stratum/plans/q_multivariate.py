@@ -258,3 +258,97 @@ def suggest_groups(spark, sf):
     panel = panels.customer_year_panel(spark, sf)
     _, summary = G.suggest_groups(panel, panels.PANEL_FEATURES, threshold=0.5, min_group_size=2)
     return rounded(summary)
+
+
+# --- FLT9: threshold screen of features by |corr with target| ---------------------------------------
+@query("feature_screen", oracle="SELECT feature, round(r, 6) + 0.0 AS correlation FROM (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, corr({f}, {_TGT}) AS r FROM {PANEL_SQL}" for f in _TGT_FEATS) + ") WHERE abs(r) > 0.25")
+def feature_screen(spark, sf):
+    tc = C.target_correlations(panels.customer_year_panel(spark, sf), _TGT_FEATS, _TGT)
+    return rounded(tc.filter(F.abs("correlation") > 0.25))
+
+
+# --- TOP2/CHD4: strongest positive and negative pairs --------------------------------------------------
+@query("signed_top_correlations", oracle=f"""
+WITH p AS ({_pairs_sql(panels.PANEL_FEATURES, PANEL_SQL)})
+SELECT * FROM (SELECT feature_a, feature_b, round(r, 6) + 0.0 AS correlation, 'positive' AS sign FROM p WHERE r > 0
+               ORDER BY r DESC, feature_a, feature_b LIMIT 3)
+UNION ALL
+SELECT * FROM (SELECT feature_a, feature_b, round(r, 6) + 0.0 AS correlation, 'negative' AS sign FROM p WHERE r < 0
+               ORDER BY r ASC, feature_a, feature_b LIMIT 3)
+""")
+def signed_top_correlations(spark, sf):
+    res = C.correlation(panels.customer_year_panel(spark, sf), panels.PANEL_FEATURES)
+    pairs = res.pairs(spark).select("feature_a", "feature_b", "correlation")
+    return rounded(C.signed_top(pairs, n=3))
+
+
+# --- STD4: scaler fitted on one year, applied to another -------------------------------------------------
+@query("reference_scaling", oracle=f"""
+WITH r AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _DELTA_COLS)}
+           FROM {PANEL_SQL} WHERE year = 1996)
+SELECT c_custkey, year, {", ".join(f"round(({c} - m_{c}) / s_{c}, 6) + 0.0 AS {c}" for c in _DELTA_COLS)}
+FROM {PANEL_SQL}, r WHERE year = 1997
+""")
+def reference_scaling(spark, sf):
+    p = panels.customer_year_panel(spark, sf).select("c_custkey", "year", *_DELTA_COLS)
+    model = S.fit_scaler(p.filter(F.col("year") == 1996), _DELTA_COLS)
+    return rounded(model.transform(p.filter(F.col("year") == 1997)))
+
+
+# --- PCA6: projecting other rows with a fitted PCA ---------------------------------------------------------
+@query("pca_project_new")
+def pca_project_new(spark, sf):
+    p = panels.customer_year_panel(spark, sf)
+    z, scaler = S.standardize(p.filter(F.col("year") <= 1997), panels.PANEL_FEATURES)
+    m = P.fit_pca(z, panels.PANEL_FEATURES, n_components=2)
+    later = scaler.transform(p.filter(F.col("year") > 1997))
+    return rounded(m.transform(later, keep=["c_custkey", "year"]))
+
+
+# --- GRP3/GRP6: grouped PCA transferred to another period; standardized combination ---------------------------
+@query("grouped_pca_transfer")
+def grouped_pca_transfer(spark, sf):
+    p = panels.customer_year_panel(spark, sf)
+    z, scaler = S.standardize(p.filter(F.col("year") == 1996), panels.PANEL_FEATURES)
+    model = G.fit_grouped_pca(z, _GROUPS, threshold=0.8)
+    return rounded(model.transform(scaler.transform(p.filter(F.col("year") == 1997)).select(
+        "c_custkey", "year", *[c for g in _GROUPS for c in g.features])))
+
+
+@query("combine_standardized")
+def combine_standardized(spark, sf):
+    p = panels.with_planted_nulls(panels.customer_year_panel(spark, sf))
+    model = G.fit_combine(p, ["avg_value", "max_value", "share_finished"], "price_index", standardize=True)
+    return rounded(model.transform(p.select("c_custkey", "year", "avg_value", "max_value", "share_finished")))
+
+
+# --- CHD3: heatmap matrix with pretty labels ------------------------------------------------------------------
+@query("heatmap_labels", oracle=f"""
+SELECT a.f AS feature_a, b.f AS feature_b,
+       round(CASE WHEN a.f = b.f THEN 1.0 ELSE coalesce(p1.r, p2.r) END, 6) + 0.0 AS correlation,
+       a.l AS label_a, b.l AS label_b
+FROM (VALUES {", ".join(f"('{c}', '{' '.join(w.capitalize() for w in c.split('_'))}')" for c in LI)}) a(f, l)
+CROSS JOIN (VALUES {", ".join(f"('{c}', '{' '.join(w.capitalize() for w in c.split('_'))}')" for c in LI)}) b(f, l)
+LEFT JOIN ({_pairs_sql(LI, LI_SQL)}) p1 ON p1.feature_a = a.f AND p1.feature_b = b.f
+LEFT JOIN ({_pairs_sql(LI, LI_SQL)}) p2 ON p2.feature_a = b.f AND p2.feature_b = a.f
+""")
+def heatmap_labels(spark, sf):
+    from ..functions.transforms import pretty_name
+
+    res = C.correlation(panels.lineitem(spark, sf), LI)
+    labels = spark.createDataFrame([(c, pretty_name(c)) for c in LI], "f string, l string")
+    t = res.tidy(spark)
+    t = t.join(F.broadcast(labels.toDF("feature_a", "label_a")), "feature_a")  # k label rows
+    t = t.join(F.broadcast(labels.toDF("feature_b", "label_b")), "feature_b")
+    return rounded(t)
+
+
+# --- PCA7: biplot data -----------------------------------------------------------------------------------------------
+@query("biplot_data")
+def biplot_data(spark, sf):
+    z, _ = S.standardize(panels.lineitem(spark, sf), LI)
+    m = P.fit_pca(z, LI)
+    top, scale = m.biplot_scale(z, top=3)
+    return rounded(spark.createDataFrame([(f, i + 1, float(scale)) for i, f in enumerate(top)],
+                                         "feature string, rank int, arrow_scale double"))

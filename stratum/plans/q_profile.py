@@ -329,3 +329,51 @@ SELECT n_nationkey, year, {_r("(avg_value - min(avg_value) OVER ()) * 100.0 / (m
 def minmax_scores(spark, sf):
     n = panels.nation_year_panel(spark, sf).select("n_nationkey", "year", "avg_value")
     return rounded(O.minmax_scaled(n, "avg_value").drop("avg_value"))
+
+
+# --- AGG9: missingness of two editions ------------------------------------------------------------------
+@query("edition_missing_compare", oracle=f"""
+WITH a AS (SELECT * FROM {PANEL_SQL}), b AS (SELECT * FROM {NULL_PANEL_SQL})
+""" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, {_r(f"(SELECT avg(CASE WHEN {c} IS NULL THEN 100.0 ELSE 0.0 END) FROM a)")} AS pct_missing_raw,
+    {_r(f"(SELECT avg(CASE WHEN {c} IS NULL THEN 100.0 ELSE 0.0 END) FROM b)")} AS pct_missing_planted,
+    {_r(f"(SELECT avg(CASE WHEN {c} IS NULL THEN 100.0 ELSE 0.0 END) FROM b) - (SELECT avg(CASE WHEN {c} IS NULL THEN 100.0 ELSE 0.0 END) FROM a)")} AS delta"""
+    for c in ["n_orders", "total_value", "avg_value", "max_value", "share_finished", "c_nationkey", "acctbal"]))
+def edition_missing_compare(spark, sf):
+    a = panels.customer_year_panel(spark, sf).drop("c_custkey", "year")
+    b = panels.with_planted_nulls(panels.customer_year_panel(spark, sf)).drop("c_custkey", "year")
+    return rounded(PR.missing_compare(a, b, "raw", "planted"))
+
+
+# --- AGG14: coverage table ------------------------------------------------------------------------------
+_COV_SQL = f"""(SELECT p.c_custkey, p.share_finished, CASE WHEN p.c_nationkey < 20 THEN n.n_name END AS code
+  FROM {PANEL_SQL} p JOIN nation n ON p.c_nationkey = n.n_nationkey)"""
+
+
+@query("coverage_table", oracle=f"""
+SELECT count(*) AS n_rows, count(DISTINCT c_custkey) AS n_entities,
+       {_r("avg(CASE WHEN code IS NOT NULL THEN 1.0 ELSE 0.0 END)")} AS mapped_share,
+       CAST(sum(CASE WHEN share_finished = 0.0 THEN 1 ELSE 0 END) AS BIGINT) AS n_sentinel
+FROM {_COV_SQL}
+""")
+def coverage_table(spark, sf):
+    """Codes exist only for nations 0-19 of the dimension: the rest count as unmapped."""
+    p = panels.customer_year_panel(spark, sf)
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    j = p.join(F.broadcast(n), p.c_nationkey == n.n_nationkey).select(  # nation: 25 rows at every scale
+        "c_custkey", "share_finished", F.when(F.col("c_nationkey") < 20, F.col("n_name")).alias("code"))
+    return rounded(PR.coverage(j, "c_custkey", "code", "share_finished", 0.0))
+
+
+# --- CHD5: feature-vs-target long table -------------------------------------------------------------------
+@query("feature_target_long", oracle=" UNION ALL ".join(
+    f"SELECT c_custkey, year, '{c}' AS feature, {_r(c)} AS value, {_r('total_value')} AS target, c_mktsegment "
+    f"FROM {PANEL_SQL}" for c in ["n_orders", "avg_value", "share_finished"]))
+def feature_target_long(spark, sf):
+    from ..operators.reshape import melt
+
+    p = panels.customer_year_panel(spark, sf).select(
+        "c_custkey", "year", F.col("total_value").alias("target"), "c_mktsegment",
+        F.col("n_orders").cast("double").alias("n_orders"), "avg_value", "share_finished")
+    return rounded(melt(p, ["c_custkey", "year", "target", "c_mktsegment"], ["n_orders", "avg_value",
+                                                                             "share_finished"]))
