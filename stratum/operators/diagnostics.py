@@ -17,6 +17,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,14 +84,17 @@ def durbin_watson(df: DataFrame, resid: str, order: Sequence[str]) -> float:
     return num / den if den > 0 else float("nan")
 
 
-def anderson_darling(df: DataFrame, column: str) -> tuple[float, float]:
+def anderson_darling(df: DataFrame, column: str, moments: tuple[int, float, float] | None = None) -> tuple[float, float]:
     """DIA3: Anderson-Darling normality test (mean and sample sd estimated).
 
     Ranks come from range partitions ordered by the value; each partition
     returns rank-weighted sums and the driver adds partition offsets.
+    ``moments`` = (n, mean, sample sd) when the caller already has them.
     """
-    m = df.agg(F.count(column).alias("n"), F.avg(column).alias("m"), F.stddev_samp(column).alias("s")).first()
-    n, mu, sd = int(m["n"]), float(m["m"]), float(m["s"] or 0.0)
+    if moments is None:
+        m = df.agg(F.count(column).alias("n"), F.avg(column).alias("m"), F.stddev_samp(column).alias("s")).first()
+        moments = (int(m["n"]), float(m["m"]), float(m["s"] or 0.0))
+    n, mu, sd = moments
     if n < 3 or sd <= 0:
         return float("nan"), float("nan")
 
@@ -126,11 +130,22 @@ def anderson_darling(df: DataFrame, column: str) -> tuple[float, float]:
 
 def assumption_checks(model: OLSModel, df: DataFrame, order: Sequence[str] | None = None) -> dict[str, float]:
     """DIA1-DIA8: DW, JB, AD, BP, White, condition number, max VIF, leverage and Cook summaries."""
-    infl = influence(model, df, keep=list(order or []))
+    # five passes read the model's columns: keep only those (spillable) instead of
+    # recomputing the input for every pass
+    need = list(dict.fromkeys([*(order or []), model.target, *[c for t in model.terms for c in t.source]]))
+    base = df.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _checks(model, base, influence(model, base, keep=list(order or [])), order)
+    finally:
+        base.unpersist()
+
+
+def _checks(model: OLSModel, df: DataFrame, infl: DataFrame, order: Sequence[str] | None) -> dict[str, float]:
     n = model.n
     mom = infl.agg(F.skewness("resid").alias("skew"), F.kurtosis("resid").alias("kurt"),
                    F.max("leverage").alias("max_leverage"), F.max("cooks_d").alias("max_cooks"),
-                   F.sum((F.col("cooks_d") > 4.0 / n).cast("long")).alias("n_cooks_gt_4n")).first()
+                   F.sum((F.col("cooks_d") > 4.0 / n).cast("long")).alias("n_cooks_gt_4n"),
+                   F.count("resid").alias("n"), F.avg("resid").alias("m"), F.stddev_samp("resid").alias("s")).first()
     skew, kurt = float(mom["skew"] or 0.0), float(mom["kurt"] or 0.0)
     jb = n / 6.0 * (skew ** 2 + kurt ** 2 / 4.0)
     bp, bp_p, white, white_p = het_tests(model, df)
@@ -142,7 +157,7 @@ def assumption_checks(model: OLSModel, df: DataFrame, order: Sequence[str] | Non
         "max_leverage": float(mom["max_leverage"]), "max_cooks_d": float(mom["max_cooks"]),
         "n_cooks_gt_4n": float(mom["n_cooks_gt_4n"]),
     }
-    ad, ad_p = anderson_darling(infl, "resid")
+    ad, ad_p = anderson_darling(infl, "resid", (int(mom["n"]), float(mom["m"]), float(mom["s"] or 0.0)))
     out.update({"anderson_darling": ad, "anderson_darling_pvalue": ad_p})
     out["durbin_watson"] = durbin_watson(infl, "resid", order) if order else float("nan")
     return out

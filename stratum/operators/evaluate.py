@@ -75,11 +75,22 @@ def split_metrics(model_train: OLSModel, test: DataFrame) -> dict[str, float]:
             "test_r2": t["r2"], "test_rmse": t["rmse"], "test_n": float(t["n"])}
 
 
+def replicate_weights(n_boot: int, seed: int, key: Sequence[str]) -> Column:
+    """Array of (``_rep``, ``_w``) structs: Poisson(1) weight of this row in every replicate.
+
+    The uniforms are built inside array functions, so each md5 is evaluated
+    exactly once per (row, replicate) and exploding the array materialises the
+    weights (the optimizer cannot inline a generator's output into the
+    aggregates that use it several times).
+    """
+    reps = F.sequence(F.lit(0), F.lit(n_boot - 1))
+    us = F.transform(reps, lambda r: uniform(F.concat(F.lit(f"{seed}:"), r.cast("string")), *key))
+    return F.transform(us, lambda u, i: F.struct(i.alias("_rep"), poisson1_from(u).alias("_w")))
+
+
 def _replicates(df: DataFrame, n_boot: int, seed: int, key: Sequence[str]) -> DataFrame:
-    reps = F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("_rep")
-    out = df.select("*", reps)
-    out = out.withColumn("_u", uniform(F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string")), *key))
-    return out.withColumn("_w", poisson1_from(F.col("_u"))).filter(F.col("_w") > 0).drop("_u")
+    out = df.select("*", F.explode(replicate_weights(n_boot, seed, key)).alias("_rw"))
+    return out.select(*df.columns, "_rw._rep", "_rw._w").filter(F.col("_w") > 0)
 
 
 def bootstrap_metrics(model: OLSModel, df: DataFrame, key: Sequence[str], n_boot: int = 200, seed: int = 0,
@@ -112,10 +123,8 @@ def bootstrap_refit_rmse(df: DataFrame, target: str, terms: Sequence, key: Seque
     ts = expand(terms, df)
     names = [*[f"_t{i}" for i in range(len(ts))], Y]
     design = design_frame(df, target, ts, extra=list(key)).dropna(subset=names)
-    reps = F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("_rep")
-    wdf = design.select("*", reps).withColumn(
-        "_u", uniform(F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string")), *key)).withColumn(
-        "_w", poisson1_from(F.col("_u")))
+    wdf = design.select("*", F.explode(replicate_weights(n_boot, seed, key)).alias("_rw")).select(
+        *design.columns, "_rw._rep", "_rw._w")
     grams = gram(wdf.filter(F.col("_w") > 0), names, by="_rep", weight="_w")
     models = {r: model_from_gram(g, target, ts) for r, g in grams.items()}
     # out-of-bag: rows with weight 0, scored against their replicate's coefficients in one pass

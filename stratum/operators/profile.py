@@ -40,19 +40,22 @@ def long_by_feature(df: DataFrame, columns: Sequence[str], stats: dict[str, Call
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """AGG6: count, mean, std (sample), min, 25%, 50%, 75%, max per column."""
+    """AGG6: count, mean, std (sample), min, 25%, 50%, 75%, max per column.
+
+    One aggregate; the three quartiles of a column share one percentile buffer.
+    """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    stats = {
-        "count": lambda c: F.count(c),
-        "mean": lambda c: F.avg(c),
-        "std": lambda c: F.stddev_samp(c),
-        "min": lambda c: F.min(c).cast("double"),
-        "q25": lambda c: quantile_expr(c, 0.25, exact),
-        "q50": lambda c: quantile_expr(c, 0.5, exact),
-        "q75": lambda c: quantile_expr(c, 0.75, exact),
-        "max": lambda c: F.max(c).cast("double"),
-    }
-    return long_by_feature(df, cols, stats)
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
+                 F.min(c).cast("double").alias(f"lo{i}"), quantile_expr(c, [0.25, 0.5, 0.75], exact).alias(f"q{i}"),
+                 F.max(c).cast("double").alias(f"hi{i}")]
+    row = df.agg(*aggs)
+    structs = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
+                        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
+                        F.col(f"q{i}")[1].alias("q50"), F.col(f"q{i}")[2].alias("q75"), F.col(f"hi{i}").alias("max"))
+               for i, c in enumerate(cols)]
+    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
 def missingness(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -98,19 +101,24 @@ def yearly_trend(df: DataFrame, time: str, value: str) -> DataFrame:
 
 
 def range_summary(df: DataFrame, columns: Sequence[str], label: str, exact: bool = True) -> DataFrame:
-    """AGG10 piece: min, median, p99, max per column with an edition label."""
-    stats = {"min": lambda c: F.min(c).cast("double"), "median": lambda c: quantile_expr(c, 0.5, exact),
-             "p99": lambda c: quantile_expr(c, 0.99, exact), "max": lambda c: F.max(c).cast("double")}
-    return long_by_feature(df, columns, stats).withColumn("edition", F.lit(label))
+    """AGG10 piece: min, median, p99, max per column with an edition label (one aggregate)."""
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.min(c).cast("double").alias(f"lo{i}"), quantile_expr(c, [0.5, 0.99], exact).alias(f"q{i}"),
+                 F.max(c).cast("double").alias(f"hi{i}")]
+    row = df.agg(*aggs)
+    structs = [F.struct(F.lit(c).alias("feature"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("median"),
+                        F.col(f"q{i}")[1].alias("p99"), F.col(f"hi{i}").alias("max")) for i, c in enumerate(columns)]
+    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*").withColumn("edition", F.lit(label))
 
 
 def tail_shares(df: DataFrame, column: str, upper: float, lower: float, exact: bool = True) -> DataFrame:
     """AGG11: share above/below bounds, p1, p99, max."""
     c = F.col(column)
-    return df.agg(F.avg((c > upper).cast("double")).alias("share_above"),
-                  F.avg((c < lower).cast("double")).alias("share_below"),
-                  quantile_expr(column, 0.01, exact).alias("p01"), quantile_expr(column, 0.99, exact).alias("p99"),
-                  F.max(c).cast("double").alias("max"))
+    out = df.agg(F.avg((c > upper).cast("double")).alias("share_above"),
+                 F.avg((c < lower).cast("double")).alias("share_below"),
+                 quantile_expr(column, [0.01, 0.99], exact).alias("_q"), F.max(c).cast("double").alias("max"))
+    return out.select("share_above", "share_below", F.col("_q")[0].alias("p01"), F.col("_q")[1].alias("p99"), "max")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], time: str | None = None, approx_rsd: float | None = None):
@@ -129,9 +137,10 @@ def agreement(df: DataFrame, a: str, b: str, exact: bool = True) -> DataFrame:
     return pair.agg(F.count(F.lit(1)).alias("n"), F.corr(a, b).alias("pearson"),
                     F.regr_slope(b, a).alias("slope"), F.regr_intercept(b, a).alias("intercept"),
                     F.avg(err).alias("bias"), F.avg(F.abs(err)).alias("mae"),
-                    quantile_expr(F.abs(err), 0.5, exact).alias("median_abs_err"),
-                    quantile_expr(F.abs(err), 0.95, exact).alias("p95_abs_err"),
-                    F.max(F.abs(err)).alias("max_abs_err"))
+                    quantile_expr(F.abs(err), [0.5, 0.95], exact).alias("_q"),
+                    F.max(F.abs(err)).alias("max_abs_err")).select(
+        "n", "pearson", "slope", "intercept", "bias", "mae", F.col("_q")[0].alias("median_abs_err"),
+        F.col("_q")[1].alias("p95_abs_err"), "max_abs_err")
 
 
 def value_sets(df: DataFrame, by: Sequence[str], column: str, flag: str) -> DataFrame:

@@ -29,6 +29,9 @@ def get_session(master: str | None = None, app: str = "stratum", shuffle_partiti
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # small shuffle outputs followed by CPU-heavy stages (bootstrap replicates,
+        # forest scoring) must not collapse into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
