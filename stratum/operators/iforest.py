@@ -1,9 +1,9 @@
 """Isolation forest (OUT3), built and scored on Spark.
 
-* sampling: every (tree, row) pair gets ``u = md5(seed:tree | key)``; a row
-  joins tree t's sample when u is among the ``psi`` smallest.  Candidates are
-  pre-filtered by ``u < oversample * psi / n`` inside the scan, so at most a
-  few hundred rows per tree leave it, then ``row_number`` per tree keeps psi;
+* sampling: one md5 per row draws a bounded uniform pool (about
+  oversample x trees x psi rows, independent of n); inside the pool every
+  (tree, row) pair gets ``u = md5(seed:tree | key)`` and a tree keeps its psi
+  smallest, so each tree's window partition holds a few hundred rows;
 * building: ``groupBy(tree).applyInPandas`` grows all trees in parallel
   (each group holds <= psi rows); split feature and value come from a numpy
   generator seeded by md5(seed, tree), so the forest is reproducible;
@@ -121,20 +121,30 @@ class IsolationForest:
 
 def fit(df: DataFrame, features: Sequence[str], key: Sequence[str], n_trees: int = 100, psi: int = 256,
         seed: int = 0, oversample: float = 3.0) -> IsolationForest:
-    """Build the forest; ``key`` identifies rows for the hash sampling."""
+    """Build the forest; ``key`` identifies rows for the hash sampling.
+
+    Two-level sampling keeps the cost at one hash per row: a uniform pool of
+    about ``oversample * n_trees * psi`` rows is drawn first (independent of
+    n), then every tree takes the psi rows with the smallest ``md5(seed:tree|key)``
+    inside the pool.  Two trees share psi^2 / pool rows on average (< 1 row
+    for the defaults), so samples are practically independent.
+    """
     cols = list(features)
     base = df.dropna(subset=cols)
     n = base.count()
     psi = int(min(psi, n))
     if psi < 2:
         raise ValueError("need at least two complete rows")
-    thr = min(1.0, oversample * psi / n)
+    pool_share = min(1.0, oversample * n_trees * psi / n)
+    pool = base.filter(uniform(f"{seed}:pool", *key) < pool_share).select(
+        *key, *[F.col(c).cast("double").alias(c) for c in cols])
+    thr = min(1.0, oversample * psi / max(pool_share * n, 1.0))
     trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")
-    cand = (base.select(*key, *[F.col(c).cast("double").alias(c) for c in cols], trees)
+    cand = (pool.select("*", trees)
             .withColumn("_u", uniform(F.concat(F.lit(f"{seed}:"), F.col("tree").cast("string")), *key))
             .filter(F.col("_u") < thr))
     sample = cand.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy("_u", *key))).filter(
-        F.col("_r") <= psi)  # per tree: at most oversample * psi candidate rows
+        F.col("_r") <= psi)  # per tree: about oversample * psi candidate rows
     max_depth = int(math.ceil(math.log2(psi)))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

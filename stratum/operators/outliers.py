@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..frames import small_frame
 from .profile import quantile_expr
+from .quantiles import quantiles
 
 
 @dataclass(frozen=True)
@@ -54,13 +55,13 @@ class Fences:
                            "feature string, lower double, upper double")
 
 
-def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5, exact: bool = True) -> Fences:
-    """OUT1: ``[q1 - k iqr, q3 + k iqr]`` from one quartile aggregate."""
-    row = df.agg(*[quantile_expr(c, [0.25, 0.75], exact).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5, method: str = "auto") -> Fences:
+    """OUT1: ``[q1 - k iqr, q3 + k iqr]`` from exact quartiles (see ``quantiles.quantiles``)."""
+    qs = quantiles(df, columns, [0.25, 0.75], method)
     lo, hi = [], []
-    for i, _ in enumerate(columns):
-        q = row[f"q{i}"]
-        if q is None:
+    for c in columns:
+        q = qs[c]
+        if q[0] is None:
             lo.append(None)
             hi.append(None)
             continue

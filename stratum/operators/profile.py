@@ -39,23 +39,24 @@ def long_by_feature(df: DataFrame, columns: Sequence[str], stats: dict[str, Call
     return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
     """AGG6: count, mean, std (sample), min, 25%, 50%, 75%, max per column.
 
-    One aggregate; the three quartiles of a column share one percentile buffer.
+    Moments and extremes come from one aggregate; quartiles from
+    :func:`quantiles.quantiles` (map-based or sort-based by distinct count).
     """
+    from .quantiles import quantiles
+
     cols = list(columns) if columns is not None else numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.min(c).cast("double").alias(f"lo{i}"), quantile_expr(c, [0.25, 0.5, 0.75], exact).alias(f"q{i}"),
-                 F.max(c).cast("double").alias(f"hi{i}")]
-    row = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
-                        F.col(f"q{i}")[1].alias("q50"), F.col(f"q{i}")[2].alias("q75"), F.col(f"hi{i}").alias("max"))
-               for i, c in enumerate(cols)]
-    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
+    r = df.agg(*aggs).first()
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], method)
+    rows = [(c, r[f"n{i}"], r[f"m{i}"], r[f"s{i}"], r[f"lo{i}"], *qs[c], r[f"hi{i}"]) for i, c in enumerate(cols)]
+    return small_frame(df.sparkSession, rows, "feature string, count long, mean double, std double, min double, "
+                                              "q25 double, q50 double, q75 double, max double")
 
 
 def missingness(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -178,9 +179,11 @@ def equal_width_bins(df: DataFrame, x: str, bins: int, value: str | None = None)
     return df.filter(F.col(x).isNotNull()).groupBy(b.alias("bin")).agg(*aggs)
 
 
-def quantile_edges(df: DataFrame, x: str, q: int, exact: bool = True) -> list[float]:
-    edges = df.agg(quantile_expr(x, [i / q for i in range(q + 1)], exact)).first()[0] or []
-    return sorted(set(float(e) for e in edges))
+def quantile_edges(df: DataFrame, x: str, q: int, method: str = "auto") -> list[float]:
+    from .quantiles import quantiles
+
+    edges = quantiles(df, [x], [i / q for i in range(q + 1)], method)[x]
+    return sorted(set(float(e) for e in edges if e is not None))
 
 
 def quantile_bin_expr(x: str | Column, edges: Sequence[float]) -> Column:
@@ -190,9 +193,9 @@ def quantile_bin_expr(x: str | Column, edges: Sequence[float]) -> Column:
     return F.greatest(F.size(F.filter(arr, lambda e: e < col)), F.lit(1)).cast("int")
 
 
-def quantile_bins(df: DataFrame, x: str, q: int, value: str | None = None, exact: bool = True) -> DataFrame:
+def quantile_bins(df: DataFrame, x: str, q: int, value: str | None = None, method: str = "auto") -> DataFrame:
     """AGG19: qcut-style bins from exact quantile edges; fewer than 3 edges -> no bins."""
-    edges = quantile_edges(df, x, q, exact)
+    edges = quantile_edges(df, x, q, method)
     if len(edges) < 3:
         return df.sparkSession.createDataFrame([], "bin int, n long, mean_x double, mean_value double")
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean_x")]
@@ -222,15 +225,17 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     return long.groupBy("feature", "bin", "left").agg(F.count(F.lit(1)).alias("count"))
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], k: float = 1.5, exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str], k: float = 1.5, method: str = "auto") -> DataFrame:
     """CHD2: quartiles, whiskers (extreme values inside the fences) and flier counts.
 
-    Two scans: quartiles, then whiskers/fliers against literal fences.
+    Quartiles first, then one scan for whiskers/fliers against literal fences.
     """
-    q = df.agg(*[quantile_expr(c, [0.25, 0.5, 0.75], exact).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+    from .quantiles import quantiles
+
+    qs = quantiles(df, columns, [0.25, 0.5, 0.75], method)
     aggs, fences = [], {}
     for i, c in enumerate(columns):
-        q1, med, q3 = q[f"q{i}"]
+        q1, med, q3 = qs[c]
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
         fences[c] = (q1, med, q3, lo, hi)
         col = F.col(c)

@@ -86,12 +86,11 @@ def apply_transforms(df: DataFrame, tf_map: Mapping[str, Callable | None],
     return df.select(*out)
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact column medians in one aggregate (``percentile`` = linear interpolation)."""
-    if not columns:
-        return {}
-    row = df.agg(*[F.percentile(F.col(c), F.lit(0.5)).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[f"q{i}"] for i, c in enumerate(columns)}
+def medians(df: DataFrame, columns: Sequence[str], method: str = "auto") -> dict[str, float | None]:
+    """Exact column medians (linear interpolation), map- or sort-based by distinct count."""
+    from .quantiles import quantiles
+
+    return {c: v[0] for c, v in quantiles(df, list(columns), [0.5], method).items()}
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,13 +115,13 @@ def tf_and_norm(df: DataFrame, features: Sequence[str], tf_map: Mapping[str, Cal
 
 
 def std_summary(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """STD5: mean and population sd per column before and after, long form."""
+    """STD5: mean and population sd per column before and after, long form (one aggregate each)."""
 
     def one(df: DataFrame, label: str) -> DataFrame:
-        stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns
-        ])).alias("kv")).select("kv.*")
-        return stacked.groupBy("feature").agg(F.avg("value").alias("mean"),
-                                              F.stddev_pop("value").alias("sd")).withColumn("stage", F.lit(label))
+        row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+                     *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)])
+        structs = [F.struct(F.lit(c).alias("feature"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("sd"))
+                   for i, c in enumerate(columns)]
+        return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*").withColumn("stage", F.lit(label))
 
     return one(before, "before").unionByName(one(after, "after"))

@@ -32,6 +32,15 @@ def describe_features(spark, sf):
     return rounded(PR.describe(panels.lineitem(spark, sf), LI))
 
 
+@query("describe_features_sorted", oracle=" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS count, {_r(f'avg({c})')} AS mean, {_r(f'stddev_samp({c})')} AS std, "
+    f"{_r(f'min({c})')} AS min, {_r(f'quantile_cont({c}, 0.25)')} AS q25, {_r(f'quantile_cont({c}, 0.5)')} AS q50, "
+    f"{_r(f'quantile_cont({c}, 0.75)')} AS q75, {_r(f'max({c})')} AS max FROM {LI_SQL}" for c in LI))
+def describe_features_sorted(spark, sf):
+    """AGG6 through the distributed-sort exact quantiles (the path taken for high-cardinality columns)."""
+    return rounded(PR.describe(panels.lineitem(spark, sf), LI, method="sort"))
+
+
 # --- AGG7/AGG8 ------------------------------------------------------------------------------------------
 @query("missingness_by_year", oracle=" UNION ALL ".join(
     f"SELECT year, '{c}' AS feature, count(*) AS n_rows, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) "

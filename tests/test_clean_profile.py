@@ -125,3 +125,19 @@ def test_global_index_and_average_rank(spark):
     small = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 1.0)], "k int, s double")
     got = {r["k"]: r["rank"] for r in RK.average_rank(small, "s").collect()}
     assert got == {1: 1.5, 2: 1.5, 3: 3.0}
+
+
+def test_sorted_quantiles_match_numpy_with_hot_value_and_nulls(spark, rng):
+    from stratum.operators.quantiles import quantiles
+
+    x = np.concatenate([rng.normal(size=3000), np.zeros(2000)])
+    y = rng.exponential(size=5000)
+    rows = [(float(a), None if i % 7 == 0 else float(b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "x double, y double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = quantiles(df, ["x", "y"], probs, method="sort")
+    ys = np.array([r[1] for r in rows if r[1] is not None])
+    np.testing.assert_allclose(got["x"], np.quantile(x, probs), rtol=1e-12)
+    np.testing.assert_allclose(got["y"], np.quantile(ys, probs), rtol=1e-12)
+    pct = quantiles(df, ["x", "y"], probs, method="percentile")
+    np.testing.assert_allclose(got["x"], pct["x"], rtol=1e-12)
