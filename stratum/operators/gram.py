@@ -261,11 +261,15 @@ def _shifted_sums_arrow(base, cols, by, weighted, shift):
 def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     """Pearson matrix with pairwise-complete rows (pandas ``DataFrame.corr`` semantics).
 
-    One ``agg``: per pair ``covar_pop`` plus both variances restricted to rows
-    where the partner is present; zero variance -> NaN instead of an error.
+    k <= ``NARROW_K``: one ``agg`` with, per pair, ``covar_pop`` plus both
+    variances restricted to rows where the partner is present.  Wider: masked
+    moment matrices per Arrow batch (see :func:`_pairwise_moments`).  Zero
+    variance gives NaN instead of an error.
     """
     cols = list(cols)
     k = len(cols)
+    if k > NARROW_K:
+        return _pairwise_moments(df, cols)
     aggs = []
     for i in range(k):
         for j in range(i + 1, k):
@@ -286,3 +290,48 @@ def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
             val = c / np.sqrt(va * vb) if c is not None and va and vb else np.nan
             r[i, j] = r[j, i] = val
     return r
+
+
+def _pairwise_moments(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Pairwise-complete correlations from four k x k masked moment matrices.
+
+    With M the presence mask and X0 the shifted values (0 where missing):
+    ``N = M'M``, ``S = X0'M``, ``Q = (X0^2)'M``, ``P = X0'X0`` give, for every
+    pair, the count, sums, sums of squares and cross products over the rows
+    where both are present.  Pass 1: column means (shift); pass 2: the
+    matrices per Arrow batch, reduced as (slot, value) rows.
+    """
+    k = len(cols)
+    base = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    mrow = base.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    shift = np.array([mrow[c] if mrow[c] is not None else 0.0 for c in cols], float)
+    kk = k * k
+    schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("v", T.DoubleType())])
+
+    def partial(batches):
+        acc = np.zeros(4 * kk)
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
+            m = ~np.isnan(x)
+            x0 = np.where(m, x - shift, 0.0)
+            mf = m.astype(float)
+            acc += np.concatenate([(mf.T @ mf).ravel(), (x0.T @ mf).ravel(), ((x0 * x0).T @ mf).ravel(),
+                                   (x0.T @ x0).ravel()])
+        yield pa.RecordBatch.from_pydict({"slot": list(range(4 * kk)), "v": acc.tolist()},
+                                         schema=pa.schema([("slot", pa.int32()), ("v", pa.float64())]))
+
+    long = base.mapInArrow(partial, schema).groupBy("slot").agg(F.sum("v").alias("v"))
+    vec = np.zeros(4 * kk)
+    for r in long.collect():  # 4 k^2 numbers
+        vec[r["slot"]] = r["v"]
+    n, s, q, p = (vec[i * kk:(i + 1) * kk].reshape(k, k) for i in range(4))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = p - s * s.T / n
+        va = q - s * s / n
+        vb = va.T
+        r = cov / np.sqrt(va * vb)
+    r[~np.isfinite(r)] = np.nan
+    np.fill_diagonal(r, 1.0)
+    return r

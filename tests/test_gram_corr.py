@@ -83,3 +83,19 @@ def test_constant_column_gives_null_not_error(spark):
     assert np.isnan(res.matrix[0, 1])
     rows = res.tidy(spark).filter("feature_a = 'a' AND feature_b = 'c'").collect()
     assert rows[0]["correlation"] is None
+
+
+def test_pairwise_moments_match_pandas(spark, rng):
+    import pandas as pd
+
+    from stratum.operators.gram import pairwise_corr
+
+    x = rng.normal(size=(400, 8))
+    x[:, 1] += x[:, 0]
+    mask = rng.random((400, 8)) < 0.15
+    x[mask] = np.nan
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(8)])
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(8)))
+    got = pairwise_corr(df, list(pdf.columns))
+    np.testing.assert_allclose(got, pdf.corr().to_numpy(), atol=1e-10)
