@@ -256,7 +256,9 @@ def residual_outliers(model: OLSModel, df: DataFrame, keep: Sequence[str] = (),
 def qq_points(infl: DataFrame, column: str = "studentized", m: int = 99) -> DataFrame:
     """CHD8: m sample quantiles of ``column`` against normal quantiles (m points, not n)."""
     probs = [(i + 0.5) / m for i in range(m)]
-    qs = infl.agg(F.percentile(F.col(column), F.array(*[F.lit(p) for p in probs]))).first()[0]
+    from .quantiles import quantiles
+
+    qs = quantiles(infl, [column], probs)[column]
     rows = [(p, tails.norm_ppf(p), float(q)) for p, q in zip(probs, qs)]
     return small_frame(infl.sparkSession, rows, "prob double, theoretical double, sample double")
 

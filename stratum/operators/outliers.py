@@ -102,17 +102,30 @@ def compare_detectors(flagged: dict[str, DataFrame]) -> DataFrame:
 
 
 def anomaly_share_by_period(df: DataFrame, time: str, columns: Sequence[str], k: float = 1.5,
-                            exact: bool = True) -> DataFrame:
+                            method: str = "auto") -> DataFrame:
     """OUT6 piece: per period, share of rows with any IQR flag, with fences fitted *per period*.
 
-    One ``groupBy(time)`` for the quartiles, a join of the small fence table
-    (one row per period) and one ``groupBy(time)`` for the shares.
+    Quartiles per (period, column) come from :func:`quantiles.quantiles` with
+    ``by=time`` (grouped map or grouped distributed sort); the fence table
+    (periods x columns numbers) is joined back as a broadcast literal table,
+    then one ``groupBy(time)`` computes the shares.
     """
-    q = df.groupBy(time).agg(*[quantile_expr(c, [0.25, 0.75], exact).alias(f"q{i}") for i, c in enumerate(columns)])
-    joined = df.join(F.broadcast(q), time)  # one row per period: bounded by the number of periods
+    qs = quantiles(df, columns, [0.25, 0.75], method, by=time)
+    periods = sorted({g for g, _ in qs}, key=lambda v: (v is None, v))
+    rows = []
+    for g in periods:
+        r = [g]
+        for c in columns:
+            q = qs.get((g, c))
+            r += [q[0], q[1]] if q else [None, None]
+        rows.append(tuple(r))
+    tdt = df.schema[time].dataType.simpleString()
+    schema = f"`{time}` {tdt}, " + ", ".join(f"q1_{i} double, q3_{i} double" for i in range(len(columns)))
+    fences = df.sparkSession.createDataFrame(rows, schema)
+    joined = df.join(F.broadcast(fences), time)  # one row per period: bounded by the number of periods
     any_flag = F.lit(False)
     for i, c in enumerate(columns):
-        q1, q3 = F.col(f"q{i}")[0], F.col(f"q{i}")[1]
+        q1, q3 = F.col(f"q1_{i}"), F.col(f"q3_{i}")
         iqr = q3 - q1
         any_flag = any_flag | F.coalesce((F.col(c) < q1 - k * iqr) | (F.col(c) > q3 + k * iqr), F.lit(False))
     return joined.groupBy(time).agg(F.avg(any_flag.cast("double")).alias("outlier_share"),

@@ -85,11 +85,16 @@ def group_summary(df: DataFrame, by: Sequence[str], value: str, z: float = 1.96)
     return out.withColumn("se", se).withColumn("ci_low", F.col("mean") - z * se).withColumn("ci_high", F.col("mean") + z * se)
 
 
-def group_stats(df: DataFrame, by: Sequence[str], value: str, exact: bool = True) -> DataFrame:
-    """AGG4: n, mean, sd, median, max per group."""
-    return df.groupBy(*by).agg(F.count(F.col(value)).alias("n"), F.avg(value).alias("mean"),
-                               F.stddev_samp(value).alias("sd"), quantile_expr(value, 0.5, exact).alias("median"),
-                               F.max(value).alias("max"))
+def group_stats(df: DataFrame, by: str, value: str, method: str = "auto") -> DataFrame:
+    """AGG4: n, mean, sd, median, max per group (medians by grouped map or grouped sort)."""
+    from .quantiles import quantiles
+
+    moments = df.groupBy(by).agg(F.count(F.col(value)).alias("n"), F.avg(value).alias("mean"),
+                                 F.stddev_samp(value).alias("sd"), F.max(value).cast("double").alias("max"))
+    med = quantiles(df, [value], [0.5], method, by=by)
+    tdt = df.schema[by].dataType.simpleString()
+    meds = df.sparkSession.createDataFrame([(g, q[0]) for (g, _), q in med.items()], f"`{by}` {tdt}, median double")
+    return moments.join(F.broadcast(meds), by, "left")  # one row per group on both sides
 
 
 def yearly_trend(df: DataFrame, time: str, value: str) -> DataFrame:

@@ -28,75 +28,88 @@ MAP_LIMIT = 2_000_000
 _POS_BITS = 33
 
 
-def _sorted_long(df: DataFrame, columns: Sequence[str], partitions: int | None) -> DataFrame:
-    src = df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).cast("double").alias(c) for c in columns])
-    long = src.select("_row", F.explode(F.array(*[
+def _sorted_long(df: DataFrame, columns: Sequence[str], partitions: int | None, by: str | None) -> DataFrame:
+    g = F.col(by) if by else F.lit(0)
+    src = df.select(F.monotonically_increasing_id().alias("_row"), g.alias("_g"),
+                    *[F.col(c).cast("double").alias(c) for c in columns])
+    long = src.select("_row", "_g", F.explode(F.array(*[
         F.struct(F.lit(i).alias("f"), F.col(c).alias("v")) for i, c in enumerate(columns)])).alias("r")).select(
-        "_row", "r.f", "r.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+        "_row", "_g", "r.f", "r.v").filter(F.col("v").isNotNull() & ~F.isnan("v") & F.col("_g").isNotNull())
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the row id breaks runs of equal values, so a hot value still spreads over partitions
-    return (long.repartitionByRange(n, "f", "v", "_row").sortWithinPartitions("f", "v", "_row")
+    return (long.repartitionByRange(n, "_g", "f", "v", "_row").sortWithinPartitions("_g", "f", "v", "_row")
             .withColumn("_mid", F.monotonically_increasing_id()))
 
 
-def sorted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                     partitions: int | None = None) -> dict[str, list[float | None]]:
-    """Exact quantiles (numpy 'linear') through a distributed sort."""
-    ranked = _sorted_long(df, columns, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+def sorted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None,
+                     partitions: int | None = None) -> dict:
+    """Exact quantiles (numpy 'linear') through a distributed sort.
+
+    Returns ``{column: [q...]}``, or ``{(group, column): [q...]}`` with ``by``.
+    Driver traffic: one count per (partition, group, column) and at most
+    2 x groups x columns x probs values.
+    """
+    ranked = _sorted_long(df, columns, partitions, by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pid = F.shiftright(F.col("_mid"), _POS_BITS)
-        counts = ranked.groupBy(pid.alias("pid"), "f").count().collect()  # partitions x features rows
-        by_pid: dict[int, list[tuple[int, int]]] = {}
+        counts = ranked.groupBy(pid.alias("pid"), "_g", "f").count().collect()
+        by_pid: dict[int, list] = {}
         for r in counts:
-            by_pid.setdefault(r["pid"], []).append((r["f"], r["count"]))
-        # per feature: ordered list of (pid, start position inside pid, count)
-        spans: dict[int, list[tuple[int, int, int]]] = {}
+            by_pid.setdefault(r["pid"], []).append((r["_g"], r["f"], r["count"]))
+        # per (group, feature): ordered spans (pid, start position inside pid, count);
+        # rows inside a partition are sorted by (group, feature), so spans are contiguous
+        spans: dict[tuple, list[tuple[int, int, int]]] = {}
         for p in sorted(by_pid):
             start = 0
-            for f, c in sorted(by_pid[p]):
-                spans.setdefault(f, []).append((p, start, c))
+            for g, f, c in sorted(by_pid[p], key=lambda t: (_sort_key(t[0]), t[1])):
+                spans.setdefault((g, f), []).append((p, start, c))
                 start += c
-        wanted: dict[int, tuple[int, int]] = {}
-        plan: dict[int, list[tuple[int, int, float]]] = {}
-        for f in range(len(columns)):
-            total = sum(c for _, _, c in spans.get(f, []))
-            plan[f] = []
+        wanted: set[int] = set()
+        plan: dict[tuple, list[tuple[int, int, float]]] = {}
+        for key, sp in spans.items():
+            total = sum(c for _, _, c in sp)
+            plan[key] = []
             for p in probs:
-                if total == 0:
-                    plan[f].append((-1, -1, 0.0))
-                    continue
                 h = (total - 1) * float(p)
                 lo, frac = int(math.floor(h)), h - math.floor(h)
-                hi = min(lo + 1, total - 1)
                 ids = []
-                for rank in (lo, hi):
+                for rank in (lo, min(lo + 1, total - 1)):
                     off = 0
-                    for q, start, c in spans[f]:
+                    for q, start, c in sp:
                         if rank < off + c:
-                            mid = (q << _POS_BITS) + start + (rank - off)
-                            wanted[mid] = (f, rank)
-                            ids.append(mid)
+                            ids.append((q << _POS_BITS) + start + (rank - off))
                             break
                         off += c
-                plan[f].append((ids[0], ids[1], frac))
+                wanted.update(ids)
+                plan[key].append((ids[0], ids[1], frac))
         vals = {}
         if wanted:
-            for r in ranked.filter(F.col("_mid").isin(list(wanted))).select("_mid", "v").collect():
+            for r in ranked.filter(F.col("_mid").isin(sorted(wanted))).select("_mid", "v").collect():
                 vals[r["_mid"]] = r["v"]
     finally:
         ranked.unpersist()
-    out = {}
-    for f, c in enumerate(columns):
-        res = []
-        for a, b, frac in plan[f]:
-            res.append(None if a < 0 else vals[a] + frac * (vals[b] - vals[a]))
-        out[c] = res
+    out: dict = {}
+    for (g, f), steps in plan.items():
+        res = [vals[a] + frac * (vals[b] - vals[a]) for a, b, frac in steps]
+        out[(g, columns[f]) if by else columns[f]] = res
+    if not by:
+        for c in columns:
+            out.setdefault(c, [None] * len(probs))
     return out
 
 
+def _sort_key(v):
+    return (v is None, v)
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], method: str = "auto",
-              accuracy: int = 100000) -> dict[str, list[float | None]]:
-    """Quantiles of several columns: ``auto`` | ``percentile`` | ``sort`` | ``approx``."""
+              accuracy: int = 100000, by: str | None = None) -> dict:
+    """Quantiles of several columns (optionally per group): ``auto`` | ``percentile`` | ``sort`` | ``approx``.
+
+    ``auto`` takes the map-based ``percentile`` only when every column has at
+    most ``MAP_LIMIT`` distinct values (HyperLogLog estimate), else the sort.
+    With ``by`` the result is keyed by (group, column).
+    """
     columns = list(columns)
     if not columns:
         return {}
@@ -104,7 +117,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], met
         nd = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
         method = "percentile" if max(nd[f"d{i}"] for i in range(len(columns))) <= MAP_LIMIT else "sort"
     if method == "sort":
-        return sorted_quantiles(df, columns, probs)
+        return sorted_quantiles(df, columns, probs, by)
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if method == "percentile":
         aggs = [F.percentile(F.col(c).cast("double"), arr).alias(f"q{i}") for i, c in enumerate(columns)]
@@ -112,5 +125,12 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], met
         aggs = [F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
     else:
         raise ValueError(f"unknown quantile method {method!r}")
+    if by:
+        out = {}
+        for row in df.filter(F.col(by).isNotNull()).groupBy(by).agg(*aggs).collect():  # one row per group
+            for i, c in enumerate(columns):
+                if row[f"q{i}"] is not None:
+                    out[(row[by], c)] = list(row[f"q{i}"])
+        return out
     row = df.agg(*aggs).first()
     return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)) for i, c in enumerate(columns)}

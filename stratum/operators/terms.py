@@ -85,10 +85,11 @@ def expand(specs: Sequence[str | Term], df: DataFrame | None = None) -> list[Ter
                 raise ValueError("bs() terms need the training frame for their knots")
             n_inner = k - deg
             probs = [(i + 1) / (n_inner + 1) for i in range(n_inner)]
-            row = df.agg(F.min(a), F.max(a), *([F.percentile(F.col(a), F.array(*[F.lit(p) for p in probs]))]
-                                              if probs else [])).first()
-            lo, hi = float(row[0]), float(row[1])
-            knots = list(row[2]) if probs else []
+            from .quantiles import quantiles
+
+            qs = quantiles(df, [a], [0.0, *probs, 1.0])[a]
+            lo, hi = float(qs[0]), float(qs[-1])
+            knots = list(qs[1:-1])
             basis = bspline_basis(F.col(a).cast("double"), knots, deg, lo, hi)
             out += [Term(f"{a}_bs{j + 1}", e, (a,)) for j, e in enumerate(basis)]
         elif "*" in s:

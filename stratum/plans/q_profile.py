@@ -79,7 +79,7 @@ SELECT c_mktsegment, count(avg_value) AS n, {_r("avg(avg_value)")} AS mean, {_r(
 FROM {PANEL_SQL} GROUP BY c_mktsegment
 """)
 def group_stats(spark, sf):
-    return rounded(PR.group_stats(panels.customer_year_panel(spark, sf), ["c_mktsegment"], "avg_value"))
+    return rounded(PR.group_stats(panels.customer_year_panel(spark, sf), "c_mktsegment", "avg_value"))
 
 
 # --- AGG5 -------------------------------------------------------------------------------------------------------
@@ -312,7 +312,7 @@ FROM m JOIN o ON m.year = o.year
 def period_scores(spark, sf):
     df = panels.with_planted_nulls(panels.customer_year_panel(spark, sf))
     miss = PR.average_missingness(df, _FILL, by=["year"])
-    outl = O.anomaly_share_by_period(df, "year", _OUT_COLS)
+    outl = O.anomaly_share_by_period(df, "year", _OUT_COLS, method="sort")
     return rounded(O.period_score(miss, outl, "year"))
 
 

@@ -426,7 +426,9 @@ def interaction_effects(spark, sf):
     levels = p.select(X).distinct()
     n_levels = levels.count()
     if n_levels > 6:
-        qs = p.agg(F.percentile(F.col(X).cast("double"), F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]))).first()[0]
+        from ..operators.quantiles import quantiles
+
+        qs = quantiles(p, [X], [0.25, 0.5, 0.75])[X]
         levels = spark.createDataFrame([(float(q),) for q in qs], f"{X} double")
     lo, hi = p.agg(F.min(X2), F.max(X2)).first()
     grid = spark.range(12).select((F.lit(lo) + F.col("id") * F.lit((hi - lo) / 11.0)).alias(X2))
