@@ -232,7 +232,7 @@ def anderson_darling(spark, sf):
 
 # --- OLS8 ---------------------------------------------------------------------------------------------------------
 @query("per_predictor_ols", oracle=" UNION ALL ".join(
-    f"SELECT c_mktsegment, '{c}' AS feature, regr_count({Y}, {c}) AS n, {_r(f'regr_slope({Y}, {c})')} AS slope, "
+    f"SELECT c_mktsegment, '{c}' AS feature, CAST(regr_count({Y}, {c}) AS BIGINT) AS n, {_r(f'regr_slope({Y}, {c})')} AS slope, "
     f"{_r(f'regr_intercept({Y}, {c})')} AS intercept, {_r(f'regr_r2({Y}, {c})')} AS r2 "
     f"FROM {PANEL_SQL} GROUP BY c_mktsegment" for c in CANDS))
 def per_predictor_ols(spark, sf):
