@@ -25,6 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAP_LIMIT = 2_000_000
+# The sorted route returns per-group positions through the driver: meant for
+# low-cardinality groups (periods, segments).  Above this many groups the
+# grouped map-based percentile is used instead (each group's map is small).
+SORT_MAX_GROUPS = 10_000
 _POS_BITS = 33
 
 
@@ -114,8 +118,13 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], met
     if not columns:
         return {}
     if method == "auto":
-        nd = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+        aggs = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
+        if by:
+            aggs.append(F.approx_count_distinct(by).alias("_groups"))
+        nd = df.agg(*aggs).first()
         method = "percentile" if max(nd[f"d{i}"] for i in range(len(columns))) <= MAP_LIMIT else "sort"
+        if by and nd["_groups"] > SORT_MAX_GROUPS:
+            method = "percentile"
     if method == "sort":
         return sorted_quantiles(df, columns, probs, by)
     arr = F.array(*[F.lit(float(p)) for p in probs])
