@@ -448,7 +448,13 @@ def panel_fixed_effects(spark, sf):
 
 
 # --- OUT4 / CHD8 ------------------------------------------------------------------------------------------------------------
-@query("residual_outliers")
+@query("residual_outliers", oracle=f"""
+WITH {_SIMPLE},
+r AS (SELECT p.c_custkey, p.year, (p.{Y} - (b0 + b1 * p.{X})) / sqrt(s2 * (1 - (1.0 / n + (p.{X} - mx) * (p.{X} - mx) / sxx)))
+             AS studentized FROM {PANEL_SQL} p, e),
+z AS (SELECT avg(studentized) AS m, stddev_samp(studentized) AS sd FROM r)
+SELECT c_custkey, year, {_r("studentized")} AS studentized FROM r, z WHERE abs(studentized - m) > 3 * sd
+""")
 def residual_outliers(spark, sf):
     p = _panel(spark, sf)
     flagged = D.residual_outliers(L.fit_ols(p, Y, [X]), p, keep=["c_custkey", "year"], threshold=3.0)
