@@ -352,3 +352,32 @@ def biplot_data(spark, sf):
     top, scale = m.biplot_scale(z, top=3)
     return rounded(spark.createDataFrame([(f, i + 1, float(scale)) for i, f in enumerate(top)],
                                          "feature string, rank int, arrow_scale double"))
+
+
+# --- GRP1/GRP4 with two-column groups: closed-form eigenvalues per group -------------------------------
+_PAIR_GROUPS = (G.FeatureGroup("volume", ("n_orders", "total_value")), G.FeatureGroup("price", ("avg_value", "max_value")))
+
+
+def _group_eig_sql(name, x, y, src):
+    return f"""SELECT '{name}' AS grp, a, d, (a + d) / 2 + sqrt(((a - d) / 2) * ((a - d) / 2) + b * b) AS l1,
+       (a + d) / 2 - sqrt(((a - d) / 2) * ((a - d) / 2) + b * b) AS l2
+FROM (SELECT var_samp({x}) AS a, covar_samp({x}, {y}) AS b, var_samp({y}) AS d FROM {src})"""
+
+
+_Z_PANEL = f"""(SELECT {", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}"
+                                  for c in ["n_orders", "total_value", "avg_value", "max_value"])} FROM {PANEL_SQL})"""
+
+
+@query("grouped_pca_pairs", oracle=f"""
+WITH e AS ({" UNION ALL ".join(_group_eig_sql(g.name, *g.features, _Z_PANEL) for g in _PAIR_GROUPS)})
+SELECT grp AS "group", 'PC1' AS PC, round(l1, 6) + 0.0 AS variance, round(l1 / (a + d), 6) + 0.0 AS explained_ratio,
+       round(l1 / (a + d), 6) + 0.0 AS cumulative_ratio, true AS retained FROM e
+UNION ALL
+SELECT grp, 'PC2', round(l2, 6) + 0.0, round(l2 / (a + d), 6) + 0.0, round((l1 + l2) / (a + d), 6) + 0.0,
+       l1 / (a + d) < 0.8 - 1e-12 FROM e
+""")
+def grouped_pca_pairs(spark, sf):
+    """GRP1/GRP4 on z-scored panel features in two-column groups, threshold 0.8."""
+    cols = ["n_orders", "total_value", "avg_value", "max_value"]
+    z, _ = S.standardize(panels.customer_year_panel(spark, sf).select(*cols), cols)
+    return rounded(G.fit_grouped_pca(z, _PAIR_GROUPS, threshold=0.8).variance_table(spark))

@@ -467,7 +467,24 @@ def qq_points(spark, sf):
     return rounded(D.qq_points(D.influence(L.fit_ols(p, Y, [X]), p), m=25))
 
 
-@query("split_metrics")
+_TRAIN_TWO = f"""c AS (SELECT CAST(count(*) AS DOUBLE) AS n, var_pop({X}) AS a, covar_pop({X}, {X2}) AS b,
+                  var_pop({X2}) AS d, covar_pop({X}, {Y}) AS u, covar_pop({X2}, {Y}) AS v, var_pop({Y}) AS w,
+                  avg({X}) AS m1, avg({X2}) AS m2, avg({Y}) AS my FROM {PANEL_SQL} WHERE {_U42} >= 0.2),
+k AS (SELECT *, (d * u - b * v) / (a * d - b * b) AS b1, (a * v - b * u) / (a * d - b * b) AS b2 FROM c),
+f AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, n * (w - ((d * u - b * v) / (a * d - b * b)) * u
+             - ((a * v - b * u) / (a * d - b * b)) * v) AS rss, n * w AS tss FROM k)"""
+
+
+@query("split_metrics", oracle=f"""
+WITH {_TRAIN_TWO},
+t AS (SELECT p.{Y} AS y, p.{Y} - (f.b0 + f.b1 * p.{X} + f.b2 * p.{X2}) AS e FROM {PANEL_SQL} p, f WHERE {_U42} < 0.2)
+SELECT {_r("(SELECT 1 - avg(e * e) / var_pop(y) FROM t)")} AS test_r2,
+       {_r("(SELECT sqrt(avg(e * e)) FROM t)")} AS test_rmse, (SELECT CAST(count(*) AS DOUBLE) FROM t) AS test_n,
+       {_r("1 - rss / tss")} AS train_r2, {_r("sqrt(rss / n)")} AS train_rmse,
+       {_r("1 - (n - 1) / (n - 3) * (rss / tss)")} AS train_adj_r2,
+       {_r("6 + n * (ln(2 * pi()) + ln(rss / n) + 1)")} AS train_aic
+FROM f
+""")
 def split_metrics(spark, sf):
     """MET4: train and test metrics of one split."""
     p = _panel(spark, sf)
