@@ -12,9 +12,9 @@ Physical shape:
   ``covar_pop`` expressions.  ``covar_pop`` merges partial buffers with the
   numerically stable pairwise update, so one scan suffices and partial
   aggregation runs map-side (one row per task is shuffled).
-* weighted or wide: pass 1 computes global means (k ``avg``), pass 2 sums
-  shifted first and second moments.  Shifting by the global mean keeps the
-  cancellation in ``S2 - s1 s1'/W`` harmless.  For wide k the second pass runs
+* weighted or wide: a pilot read of a few thousand rows gives a shift close
+  to the means, then ONE full pass sums shifted first and second moments.
+  Shifting keeps the cancellation in ``S2 - s1 s1'/W`` harmless.  For wide k the second pass runs
   numpy ``X'X`` per Arrow batch (``mapInArrow``) and emits one long row per
   matrix slot, reduced by ``groupBy(group, slot).sum`` - a normal distributed
   aggregation, so no partition's partial ever passes through the driver.
@@ -175,11 +175,23 @@ def _gram_covar(base: DataFrame, cols: list[str], by: str | None) -> Gram | dict
     return out.get(None) or Gram(tuple(cols), 0.0, np.full(k, np.nan), np.full((k, k), np.nan), 0)
 
 
+PILOT_ROWS = 4096
+
+
+def _pilot_means(base: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """Shift for the shifted-sums passes: means of a few thousand leading rows.
+
+    Only closeness to the true mean matters (it keeps ``S2 - s1 s1'/W`` from
+    cancelling), so a bounded pilot read replaces a second full scan.
+    """
+    row = base.limit(PILOT_ROWS).agg(*[F.avg(c).alias(c) for c in cols]).first()
+    return np.array([row[c] if row is not None and row[c] is not None else 0.0 for c in cols], float)
+
+
 def _gram_shifted(base: DataFrame, cols: list[str], by: str | None, weighted: bool) -> Gram | dict[object, Gram]:
     k = len(cols)
     w = F.col("_w") if weighted else F.lit(1.0)
-    shift_row = base.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    shift = np.array([shift_row[c] if shift_row[c] is not None else 0.0 for c in cols], float)
+    shift = _pilot_means(base, cols)
     if k <= WIDE_K:
         d = [F.col(c) - F.lit(float(s)) for c, s in zip(cols, shift)]
         aggs = [F.sum(w).alias("_W"), F.count(F.lit(1)).alias("_n")]
@@ -298,13 +310,12 @@ def _pairwise_moments(df: DataFrame, cols: list[str]) -> np.ndarray:
     With M the presence mask and X0 the shifted values (0 where missing):
     ``N = M'M``, ``S = X0'M``, ``Q = (X0^2)'M``, ``P = X0'X0`` give, for every
     pair, the count, sums, sums of squares and cross products over the rows
-    where both are present.  Pass 1: column means (shift); pass 2: the
-    matrices per Arrow batch, reduced as (slot, value) rows.
+    where both are present.  A pilot read gives the shift; one full pass
+    builds the matrices per Arrow batch, reduced as (slot, value) rows.
     """
     k = len(cols)
     base = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
-    mrow = base.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    shift = np.array([mrow[c] if mrow[c] is not None else 0.0 for c in cols], float)
+    shift = _pilot_means(base, cols)
     kk = k * k
     schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("v", T.DoubleType())])
 

@@ -99,3 +99,13 @@ def test_pairwise_moments_match_pandas(spark, rng):
     df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(8)))
     got = pairwise_corr(df, list(pdf.columns))
     np.testing.assert_allclose(got, pdf.corr().to_numpy(), atol=1e-10)
+
+
+def test_shifted_gram_is_stable_with_large_offset(spark, rng, monkeypatch):
+    from stratum.operators import gram as G
+
+    x = rng.normal(size=(2000, 3)) + np.array([1e9, -5e8, 3.0])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    monkeypatch.setattr(G, "WIDE_K", 1)
+    g = G.gram(df, ["a", "b", "c"])
+    np.testing.assert_allclose(g.cov(), np.cov(x - x.mean(0), rowvar=False), rtol=1e-6)
