@@ -31,12 +31,12 @@ class CorrelationResult:
         return small_frame(spark, rows, "feature_a string, feature_b string, correlation double")
 
     def pairs(self, spark) -> DataFrame:
-        """Upper-triangle pair list with abs value and a ``a__b`` pair label."""
+        """Upper-triangle pair list with abs value and an ``a vs b`` pair label (fixed label format)."""
         rows = []
         for i, a in enumerate(self.columns):
             for j in range(i + 1, len(self.columns)):
                 r = float(self.matrix[i, j])
-                rows.append((a, self.columns[j], r, abs(r), f"{a}__{self.columns[j]}"))
+                rows.append((a, self.columns[j], r, abs(r), f"{a} vs {self.columns[j]}"))
         return small_frame(spark, rows,
                            "feature_a string, feature_b string, correlation double, abs_correlation double, pair string")
 

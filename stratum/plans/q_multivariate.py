@@ -29,7 +29,7 @@ def _pairs_sql(cols, src, expr=lambda c: c):
 # --- COR1/COR2: all pairs -------------------------------------------------------------------
 @query("corr_pairs", oracle=f"""
 SELECT feature_a, feature_b, round(r, 6) + 0.0 AS correlation, round(abs(r), 6) + 0.0 AS abs_correlation,
-       feature_a || '__' || feature_b AS pair
+       feature_a || ' vs ' || feature_b AS pair
 FROM ({_pairs_sql(LI, LI_SQL)})
 """)
 def corr_pairs(spark, sf):
@@ -39,7 +39,7 @@ def corr_pairs(spark, sf):
 # --- TOP1: strongest pairs ------------------------------------------------------------------
 @query("corr_top_pairs", oracle=f"""
 SELECT feature_a, feature_b, round(r, 6) + 0.0 AS correlation, round(abs(r), 6) + 0.0 AS abs_correlation,
-       feature_a || '__' || feature_b AS pair
+       feature_a || ' vs ' || feature_b AS pair
 FROM ({_pairs_sql(panels.PANEL_FEATURES, PANEL_SQL)})
 ORDER BY abs(r) DESC, feature_a, feature_b LIMIT 5
 """)
