@@ -73,7 +73,7 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str) ->
     if target is None:
         raise ValueError("a target column is required")
     if target not in df.columns:
-        raise KeyError(f"target {target!r} not in frame")
+        raise ValueError(f"target column {target!r} not found in data")
     feats = [f for f in features if f != target]
     m = pairwise_corr(df, [target, *feats])
     rows = [(f, float(m[0, i + 1])) for i, f in enumerate(feats)]
