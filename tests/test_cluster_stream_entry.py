@@ -102,3 +102,19 @@ def test_entry_contract(spark):
     qs, orc = e.queries(), e.oracle_sql()
     assert set(orc) <= set(qs)
     assert len(qs) >= 100
+
+
+def test_roles_and_view(spark):
+    from stratum.roles import Roles, make_view
+
+    rows = [("A", 2015, 1, 80.0, 1000.0, 20.0), ("B", 2015, 0, 70.0, None, 18.0), ("C", 2015, 1, 75.0, 500.0, 22.0)]
+    df = spark.createDataFrame(rows, "country string, year int, status int, life_expectancy double, gdp double, "
+                                     "bmi double")
+    roles = Roles(target="life_expectancy", status="status", labels={"gdp": "GDP per capita"})
+    assert roles.feature_columns(df) == ["gdp", "bmi"]
+    v = make_view(df, roles, standardized=True)
+    assert v.is_standardized and v.target == "life_expectancy"
+    assert v.features == ["gdp", "bmi"] and v.labels["bmi"] == "Bmi" and v.labels["gdp"] == "GDP per capita"
+    assert v.df.count() == 2  # incomplete row dropped after whole-frame scaling
+    with pytest.raises(KeyError):
+        make_view(df.drop("life_expectancy"), roles)
