@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,5 +172,8 @@ def flag(scored: DataFrame, contamination: float | str = "auto", accuracy: int =
     share = float(contamination)
     if not 0.0 < share < 0.5:
         raise ValueError("contamination must be 'auto' or in (0, 0.5)")
-    cut = scored.agg(F.percentile_approx("score", 1.0 - share, accuracy)).first()[0]
-    return scored.withColumn("anomaly", F.col("score") >= F.lit(cut))
+    # the cut needs one pass over the scores and the flags another: keep the scores
+    # (spillable) so the forest walk in Python runs once per row
+    kept = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    cut = kept.agg(F.percentile_approx("score", 1.0 - share, accuracy)).first()[0]
+    return kept.withColumn("anomaly", F.col("score") >= F.lit(cut))

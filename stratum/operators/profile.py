@@ -45,14 +45,17 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str =
     Moments and extremes come from one aggregate; quartiles from
     :func:`quantiles.quantiles` (map-based or sort-based by distinct count).
     """
-    from .quantiles import quantiles
+    from .quantiles import MAP_LIMIT, quantiles
 
     cols = list(columns) if columns is not None else numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
-    r = df.agg(*aggs).first()
+                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"),
+                 F.approx_count_distinct(c).alias(f"d{i}")]
+    r = df.agg(*aggs).first()  # moments and the cardinality check share one pass
+    if method == "auto":
+        method = "percentile" if max(r[f"d{i}"] for i in range(len(cols))) <= MAP_LIMIT else "sort"
     qs = quantiles(df, cols, [0.25, 0.5, 0.75], method)
     rows = [(c, r[f"n{i}"], r[f"m{i}"], r[f"s{i}"], r[f"lo{i}"], *qs[c], r[f"hi{i}"]) for i, c in enumerate(cols)]
     return small_frame(df.sparkSession, rows, "feature string, count long, mean double, std double, min double, "
