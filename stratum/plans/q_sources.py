@@ -85,3 +85,26 @@ def wide_csv_roundtrip(spark, sf):
     wide.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
     back = SC.read_wide_series(spark, path, ["val"], years=[1996, 1997, 1998], id_columns=("iso3",))
     return rounded(wide_to_long(back, ["iso3"]))
+
+
+@query("edition2_roundtrip", oracle=f"""
+SELECT n.n_name AS country, n.year, CASE WHEN n.share_finished > 0.5 THEN 1 ELSE 0 END AS status,
+       round(CAST(n.n_orders AS DOUBLE) * 1000.0, 6) + 0.0 AS population, round(n.avg_value, 6) + 0.0 AS alcohol,
+       CAST(n.n_regionkey AS VARCHAR) AS region, round(e.total_value, 6) + 0.0 AS percentage_expenditure
+FROM {NATION_SQL} n LEFT JOIN (SELECT n_name, year, total_value FROM {NATION_SQL} WHERE year >= 1997) e
+  ON n.n_name = e.n_name AND n.year = e.year
+""")
+def edition2_roundtrip(spark, sf):
+    """SRC2 + PRJ2/PRJ6/PRJ7 + JOI3: second-edition vocabulary, status dummies, millions, backfill join."""
+    path = scratch_path(spark, "edition2")
+    n = panels.nation_year_panel(spark, sf)
+    dev = (F.col("share_finished") > 0.5).cast("int")
+    e2 = n.select(F.col("n_name").alias("Country"), F.col("year").cast("string").alias("Year"),
+                  dev.alias("Economy_status_Developed"), (1 - dev).alias("Economy_status_Developing"),
+                  (F.col("n_orders") / 1000.0).alias("Population_mln"), F.col("avg_value").alias("Alcohol_consumption"),
+                  F.col("n_regionkey").cast("string").alias("Region"))
+    e2.write.mode("overwrite").option("header", True).csv(path)
+    edition1 = n.filter(F.col("year") >= 1997).select(F.col("n_name").alias("country"), "year",
+                                                      F.col("total_value").alias("percentage_expenditure"))
+    back = SC.read_panel_edition2(spark, path, edition1=edition1, backfill_columns=("percentage_expenditure",))
+    return rounded(back.drop("year_ts"))

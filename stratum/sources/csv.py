@@ -124,7 +124,7 @@ def read_panel_edition2(spark: SparkSession, path: str, edition1: DataFrame | No
     df = conform(status_from_dummies(raw.withColumns({
         "economy_status_developed": F.expr("try_cast(economy_status_developed AS DOUBLE)"),
         "economy_status_developing": F.expr("try_cast(economy_status_developing AS DOUBLE)")})),
-        identifiers=("country", "year", "region"), status=None)
+        identifiers=("country", "year", "region", "status"), status=None)
     if "population" in df.columns:
         df = df.withColumn("population", F.col("population") * 1e6)  # PRJ7
     if edition1 is not None:
