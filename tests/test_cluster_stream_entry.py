@@ -118,3 +118,55 @@ def test_roles_and_view(spark):
     assert v.df.count() == 2  # incomplete row dropped after whole-frame scaling
     with pytest.raises(KeyError):
         make_view(df.drop("life_expectancy"), roles)
+
+
+@pytest.mark.parametrize("method", ["single", "complete", "average", "ward", "centroid"])
+def test_linkage_matches_naive_recompute(rng, method):
+    """Lance-Williams updates equal distances recomputed from the merged point sets."""
+    x = rng.normal(size=(12, 2))
+    w = np.ones(12)
+    got = CL._linkage(x, w, 3, method)
+
+    def dist(a, b):
+        pa, pb = x[a], x[b]
+        d2 = ((pa[:, None, :] - pb[None, :, :]) ** 2).sum(-1)
+        if method == "single":
+            return np.sqrt(d2).min()
+        if method == "complete":
+            return np.sqrt(d2).max()
+        if method == "average":
+            return np.sqrt(d2).mean()
+        ca, cb = pa.mean(0), pb.mean(0)
+        if method == "centroid":
+            return ((ca - cb) ** 2).sum()
+        return len(a) * len(b) / (len(a) + len(b)) * ((ca - cb) ** 2).sum()  # ward (squared form)
+
+    groups = [[i] for i in range(12)]
+    while len(groups) > 3:
+        best = min(((dist(groups[i], groups[j]), i, j) for i in range(len(groups)) for j in range(i + 1, len(groups))))
+        _, i, j = best
+        groups[i] = groups[i] + groups[j]
+        del groups[j]
+    ref = np.empty(12, int)
+    for lab, g in enumerate(sorted(groups, key=min)):
+        ref[g] = lab
+    assert (got == ref).all()
+
+
+def test_lowess_linear_and_bootstrap_ci(spark, rng):
+    from stratum.operators import evaluate as E
+    from stratum.operators import ols as L
+    from stratum.operators.smooth import binned_lowess
+
+    x = rng.uniform(0, 10, 2000)
+    y = 3.0 + 2.0 * x + rng.normal(0, 0.5, 2000)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))],
+                               "id int, x double, y double")
+    curve = binned_lowess(df, "x", "y", frac=0.3, bins=20).toPandas()
+    np.testing.assert_allclose(curve["fitted"], 3.0 + 2.0 * curve["x_center"], atol=0.3)
+    m = L.fit_ols(df, "y", ["x"])
+    ci = E.bootstrap_metrics(m, df, ["id"], n_boot=30, seed=1).toPandas().set_index("metric")
+    rmse = m.metrics()["rmse"]
+    assert ci.loc["rmse", "ci_low"] <= rmse <= ci.loc["rmse", "ci_high"]
+    band = E.confidence_band(m, spark, "x", 0.0, 10.0, {}, n_points=5).toPandas()
+    assert ((band["lower"] < band["fit"]) & (band["fit"] < band["upper"])).all()
