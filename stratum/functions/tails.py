@@ -114,6 +114,12 @@ def chi2_sf(x: float, df: float) -> float:
     return gammainc_upper(df / 2.0, x / 2.0)
 
 
+# Coefficients of the published Chebyshev fit of erfc (fractional
+# error < 1.2e-7): erfc(z) ~ t exp(-z^2 + c0 + t (c1 + t (c2 + ... t c9))), t = 1/(1 + z/2).
+ERFC_COEFFS = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587,
+               -0.82215223, 0.17087277)
+
+
 def norm_cdf(x: float) -> float:
     return 0.5 * math.erfc(-x / math.sqrt(2.0))
 

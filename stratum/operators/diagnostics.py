@@ -60,10 +60,11 @@ def _erfc(x: np.ndarray) -> np.ndarray:
     """Vectorised complementary error function (Chebyshev fit, relative error < 1.2e-7)."""
     z = np.abs(x)
     t = 1.0 / (1.0 + 0.5 * z)
-    # Coefficients of the published erfc Chebyshev approximation.
-    poly = -z * z - 1.26551223 + t * (1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (
-        -0.18628806 + t * (0.27886807 + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277))))))))
-    ans = t * np.exp(poly)
+    c = tails.ERFC_COEFFS
+    poly = c[-1]
+    for coef in reversed(c[1:-1]):
+        poly = coef + t * poly
+    ans = t * np.exp(-z * z + c[0] + t * poly)
     return np.where(x >= 0, ans, 2.0 - ans)
 
 
