@@ -103,14 +103,19 @@ def lloyd(df: DataFrame, features: Sequence[str], init: np.ndarray, iterations:
     """
     cols = [F.col(c).cast("double") for c in features]
     centers = np.array(init, dtype=float)
-    for _ in range(iterations):
-        lab = _argmin([_sq_dist(cols, c) for c in centers])
-        agg = df.select(lab.alias("cluster"), *[c.alias(n) for c, n in zip(cols, features)]).groupBy("cluster").agg(
-            *[F.avg(n).alias(n) for n in features]).collect()  # k rows
-        new = centers.copy()
-        for r in agg:
-            new[r["cluster"]] = [r[n] for n in features]
-        centers = new
+    # iterations re-read only the feature columns: keep them (spillable, recomputable)
+    pts = df.select(*[c.alias(n) for c, n in zip(cols, features)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for _ in range(iterations):
+            lab = _argmin([_sq_dist([F.col(n) for n in features], c) for c in centers])
+            agg = pts.select(lab.alias("cluster"), *features).groupBy("cluster").agg(
+                *[F.avg(n).alias(n) for n in features]).collect()  # k rows
+            new = centers.copy()
+            for r in agg:
+                new[r["cluster"]] = [r[n] for n in features]
+            centers = new
+    finally:
+        pts.unpersist()
     lab = _argmin([_sq_dist(cols, c) for c in centers])
     return centers, df.withColumn("cluster", lab)
 

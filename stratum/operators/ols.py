@@ -206,12 +206,18 @@ def fit_ols(df: DataFrame, target: str, terms: Sequence[str | Term], intercept:
 
 
 def fit_design(df: DataFrame, target: str, columns: Sequence[str], add_intercept: bool | None = None) -> OLSModel:
-    """OLS2: columns taken as they are; an all-ones column counts as the intercept; NULL is an error."""
-    nulls = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in [*columns, target]]).first()
-    bad = [c for c in [*columns, target] if nulls[c]]
+    """OLS2: columns taken as they are; an all-ones column counts as the intercept; NULL is an error.
+
+    One aggregate checks NULLs and constant-one columns for every column.
+    """
+    allc = [*columns, target]
+    chk = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(f"n{i}") for i, c in enumerate(allc)],
+                 *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
+                 *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)]).first()
+    bad = [c for i, c in enumerate(allc) if chk[f"n{i}"]]
     if bad:
         raise ValueError(f"design contains missing values in {bad}")
-    const = [c for c in columns if df.agg((F.min(c) == 1) & (F.max(c) == 1)).first()[0]]
+    const = [c for i, c in enumerate(columns) if chk[f"lo{i}"] == 1 and chk[f"hi{i}"] == 1]
     cols = [c for c in columns if c not in const]
     intercept = bool(const) if add_intercept is None else add_intercept or bool(const)
     return fit_ols(df, target, cols, intercept=intercept)
