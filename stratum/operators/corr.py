@@ -83,7 +83,7 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str) ->
 
 
 def covariance(df: DataFrame, columns: Sequence[str], ddof: int = 1) -> DataFrame:
-    """COR5: tidy covariance matrix plus means and variances on the diagonal rows."""
+    """COR5: tidy covariance matrix (variances on the diagonal), ``ddof=1`` by default."""
     g = gram(df, columns)
     c = g.cov(ddof)
     rows = [(a, b, float(c[i, j])) for i, a in enumerate(g.columns) for j, b in enumerate(g.columns)]

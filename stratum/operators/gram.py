@@ -104,22 +104,6 @@ class Gram:
         return Gram(self.columns, n, m, raw - n * np.outer(m, m), self.rows - other.rows)
 
 
-def _as_frame(df: DataFrame, cols: Sequence[str | Column]) -> tuple[DataFrame, list[str]]:
-    names, exprs, need_select = [], [], False
-    for i, c in enumerate(cols):
-        if isinstance(c, str):
-            names.append(c)
-            exprs.append(F.col(c))
-        else:
-            name = f"_g{i}"
-            names.append(name)
-            exprs.append(c.alias(name))
-            need_select = True
-    if need_select:
-        return df.select(*exprs, *[x for x in df.columns if x not in names]), names
-    return df, names
-
-
 def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows where every listed column is non-NULL (NaN is treated as missing too)."""
     cond = None

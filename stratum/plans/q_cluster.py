@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..frames import small_frame
 from ..operators import cluster as CL
 from ..operators import groups as G
 from ..operators import iforest as IF
@@ -198,5 +197,3 @@ def residual_calibration(spark, sf):
         "year_offset", (F.col("year") - 1995).cast("double")).withColumn("nation", F.col("c_nationkey").cast("string"))
     return rounded(SM.residual_calibration(r, ["c_mktsegment", "nation"], ["year_offset"], ["c_custkey", "year"]))
 
-
-del small_frame

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.hashrand import uniform
 from ..operators import diagnostics as D
 from ..operators import evaluate as E
 from ..operators import ols as L
@@ -526,5 +525,3 @@ def split_metrics(spark, sf):
     keys = sorted(m)
     return rounded(small_frame(spark, [tuple(float(m[k]) for k in keys)], ", ".join(f"{k} double" for k in keys)))
 
-
-del uniform
