@@ -42,6 +42,7 @@ class OLSModel:
     rss: float
     tss: float
     gram: Gram = field(repr=False)
+    absorbed: int = 0  # parameters swept out before the fit (entity means of a within transform)
 
     # --- sizes -------------------------------------------------------------------------------
     @property
@@ -54,7 +55,7 @@ class OLSModel:
 
     @property
     def df_resid(self) -> float:
-        return self.n - self.n_params
+        return self.n - self.n_params - self.absorbed
 
     @property
     def df_model(self) -> float:
@@ -177,15 +178,22 @@ def solve_from_gram(g: Gram, x: Sequence[str], y: str, intercept: bool = True):
 
 
 def model_from_gram(g: Gram, target: str, terms: Sequence[Term], idx: Sequence[int] | None = None,
-                    intercept: bool = True) -> OLSModel:
-    """Fit a sub-model using Gram columns ``_t{i}`` (i in ``idx``) and ``_y``."""
+                    intercept: bool = True, absorbed: int = 0) -> OLSModel:
+    """Fit a sub-model using Gram columns ``_t{i}`` (i in ``idx``) and ``_y``.
+
+    ``absorbed`` degrees of freedom (e.g. one per entity after a within
+    transform) are removed from the residual df, as in the dummy-variable fit.
+    """
     idx = list(range(len(terms))) if idx is None else list(idx)
     x = [f"_t{i}" for i in idx]
     coef, cov, rss, tss = solve_from_gram(g, x, Y, intercept)
+    p = len(idx) + (1 if intercept else 0)
+    if absorbed and g.n - p - absorbed > 0:
+        cov = cov * (g.n - p) / (g.n - p - absorbed)
     sub = g.sub([*x, Y])
     # re-key the sub Gram so the model's own terms are _t0.._tm
     sub = Gram(tuple([f"_t{j}" for j in range(len(idx))] + [Y]), sub.n, sub.means, sub.cross, sub.rows)
-    return OLSModel(target, tuple(terms[i] for i in idx), intercept, coef, cov, g.n, rss, tss, sub)
+    return OLSModel(target, tuple(terms[i] for i in idx), intercept, coef, cov, g.n, rss, tss, sub, absorbed)
 
 
 def design_frame(df: DataFrame, target: str | None, terms: Sequence[Term], extra: Sequence[str | Column] = ()) -> DataFrame:
@@ -195,14 +203,15 @@ def design_frame(df: DataFrame, target: str | None, terms: Sequence[Term], extra
     return df.select(*extra, *cols)
 
 
-def fit_ols(df: DataFrame, target: str, terms: Sequence[str | Term], intercept: bool = True) -> OLSModel:
+def fit_ols(df: DataFrame, target: str, terms: Sequence[str | Term], intercept: bool = True,
+            absorbed: int = 0) -> OLSModel:
     """OLS1/OLS2: ``target ~ terms``; rows with NULL in any used column are dropped."""
     ts = expand(terms, df)
     check_columns(df, ts, target)
     g = gram(design_frame(df, target, ts), [*[f"_t{i}" for i in range(len(ts))], Y])
     if g.n <= 0:
         raise ValueError("no complete rows to fit")
-    return model_from_gram(g, target, ts, intercept=intercept)
+    return model_from_gram(g, target, ts, intercept=intercept, absorbed=absorbed)
 
 
 def fit_design(df: DataFrame, target: str, columns: Sequence[str], add_intercept: bool | None = None) -> OLSModel:

@@ -475,7 +475,8 @@ def panel_fixed_effects(spark, sf):
     lagged = lag_by_entity(p, "c_custkey", "year", Y, chunk=F.floor(F.col("year") / 3))
     lagged = lagged.withColumn("trend", F.col("year") - F.lit(1995))
     within = L.within_transform(lagged, "c_custkey", [Y, f"{Y}_lag1", X, "trend"])
-    m = L.fit_ols(within, Y, [f"{Y}_lag1", X, "trend"], intercept=False)
+    n_entities = lagged.agg(F.countDistinct("c_custkey")).first()[0]
+    m = L.fit_ols(within, Y, [f"{Y}_lag1", X, "trend"], intercept=False, absorbed=n_entities)
     return rounded(m.coefficients(spark))
 
 

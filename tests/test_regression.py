@@ -165,3 +165,21 @@ def test_shapiro_wilk_calibration(rng):
     rejections = np.mean([shapiro_wilk(rng.normal(size=60))[1] < 0.05 for _ in range(300)])
     assert 0.01 < rejections < 0.10  # about the nominal 5% under normality
     assert shapiro_wilk(rng.exponential(size=200))[1] < 1e-6
+
+
+def test_within_transform_equals_dummy_regression(spark, rng):
+    """OLS9: entity fixed effects by demeaning give the dummy-variable coefficients and standard errors."""
+    ents = np.repeat(np.arange(8), 15)
+    x = rng.normal(size=ents.size) + ents * 0.3
+    y = 2.0 * x + ents * 1.5 + rng.normal(size=ents.size)
+    df = spark.createDataFrame([(int(e), float(a), float(b)) for e, a, b in zip(ents, x, y)], "e int, x double, y double")
+    w = L.within_transform(df, "e", ["x", "y"])
+    m = L.fit_ols(w, "y", ["x"], intercept=False, absorbed=8)
+    dummies = (ents[:, None] == np.arange(8)[None, :]).astype(float)
+    xd = np.column_stack([x, dummies])
+    b, *_ = np.linalg.lstsq(xd, y, rcond=None)
+    e = y - xd @ b
+    s2 = e @ e / (len(y) - xd.shape[1])
+    se = math.sqrt(s2 * np.linalg.inv(xd.T @ xd)[0, 0])
+    assert m.coef[0] == pytest.approx(b[0], rel=1e-9)
+    assert math.sqrt(m.cov_params[0, 0]) == pytest.approx(se, rel=1e-9)
