@@ -173,3 +173,24 @@ def confidence_band(model: OLSModel, spark, x: str, lo: float, hi: float, at: di
     q = tails.t_ppf(1 - alpha / 2, model.df_resid)
     fit = model.predict_expr()
     return grid.select(x, fit.alias("fit"), (fit - F.lit(q) * se).alias("lower"), (fit + F.lit(q) * se).alias("upper"))
+
+
+def interaction_grid(model: OLSModel, df: DataFrame, x: str, by: str, n_points: int = 12,
+                     max_levels: int = 6) -> DataFrame:
+    """OLS7: predictions over a grid of ``x`` for each level of ``by``.
+
+    At most ``max_levels`` distinct values of ``by`` are used as they are,
+    otherwise its quartiles; the (x, level) grid has at most
+    ``n_points x max_levels`` rows and is built on the driver.
+    """
+    from .quantiles import quantiles
+
+    first = [r[0] for r in df.select(by).distinct().limit(max_levels + 1).collect()]  # bounded read
+    levels = sorted(float(v) for v in first if v is not None)
+    if len(first) > max_levels:
+        levels = [float(q) for q in quantiles(df, [by], [0.25, 0.5, 0.75])[by]]
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    step = (hi - lo) / max(n_points - 1, 1)
+    rows = [(float(lo + i * step), lv) for lv in levels for i in range(n_points)]
+    grid = df.sparkSession.createDataFrame(rows, f"`{x}` double, `{by}` double")
+    return model.predict(grid, keep=[by, x])

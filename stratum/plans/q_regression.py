@@ -455,17 +455,7 @@ def interaction_effects(spark, sf):
     """OLS7: predictions over x for the levels of ``by`` (<= 6 distinct -> all levels)."""
     p = _panel(spark, sf)
     m = L.fit_ols(p, Y, [X, X2, f"{X}:{X2}"])
-    levels = p.select(X).distinct()
-    n_levels = levels.count()
-    if n_levels > 6:
-        from ..operators.quantiles import quantiles
-
-        qs = quantiles(p, [X], [0.25, 0.5, 0.75])[X]
-        levels = spark.createDataFrame([(float(q),) for q in qs], f"{X} double")
-    lo, hi = p.agg(F.min(X2), F.max(X2)).first()
-    grid = spark.range(12).select((F.lit(lo) + F.col("id") * F.lit((hi - lo) / 11.0)).alias(X2))
-    g = grid.crossJoin(F.broadcast(levels.select(F.col(X).cast("double").alias(X))))  # <= 12 x 6 rows
-    return rounded(m.predict(g, keep=[X, X2]))
+    return rounded(E.interaction_grid(m, p, X2, X, n_points=12, max_levels=6))
 
 
 # --- OLS9: panel regression with lagged target and entity fixed effects ------------------------------------------------
