@@ -282,3 +282,50 @@ def cluster_profiles(df: DataFrame, cluster: str, features: Sequence[str], targe
         "cluster_rank", F.rank().over(Window.orderBy(F.desc("target_mean"), cluster)))
     long = means.unpivot([cluster, "target_mean"], list(features), "feature", "mean_z")
     return long.join(order.drop("target_mean"), cluster)
+
+
+def _spectral_labels(points: np.ndarray, k: int, n_neighbors: int, seed: int) -> np.ndarray:
+    """Normalised spectral clustering of m points (m x m on the driver, m bounded)."""
+    m = len(points)
+    d2 = ((points[:, None, :] - points[None, :, :]) ** 2).sum(-1)
+    nn = np.argsort(d2, axis=1)[:, 1 : n_neighbors + 1]
+    a = np.zeros((m, m))
+    a[np.repeat(np.arange(m), nn.shape[1]), nn.ravel()] = 1.0
+    a = np.maximum(a, a.T)  # symmetric k-nearest-neighbour connectivity
+    deg = a.sum(1)
+    dinv = np.where(deg > 0, 1.0 / np.sqrt(deg), 0.0)
+    lap = np.eye(m) - dinv[:, None] * a * dinv[None, :]
+    _, vecs = np.linalg.eigh(lap)
+    emb = vecs[:, :k]
+    emb = emb / np.maximum(np.linalg.norm(emb, axis=1, keepdims=True), 1e-12)
+    rng = np.random.default_rng(seed)
+    best = None
+    for _ in range(10):  # k-means restarts on the m x k embedding
+        c = emb[rng.choice(m, k, replace=False)]
+        for _ in range(100):
+            lab = ((emb[:, None, :] - c[None, :, :]) ** 2).sum(-1).argmin(1)
+            new = np.array([emb[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(k)])
+            if np.allclose(new, c):
+                break
+            c = new
+        cost = ((emb - c[lab]) ** 2).sum()
+        if best is None or cost < best[0]:
+            best = (cost, lab)
+    return best[1]
+
+
+def spectral(df: DataFrame, features: Sequence[str], k: int, n_neighbors: int = 10, micro: int = 200, seed: int = 0,
+             keep: Sequence[str] = ()) -> DataFrame:
+    """CLU7 (re-aimed): spectral clustering of k-means micro-cluster centroids.
+
+    A row-level affinity graph needs neighbour pairs of rows; here the graph
+    is built over at most ``micro`` centroids on the driver (m x m), and rows
+    inherit their micro-cluster's label through a broadcast join of m rows.
+    """
+    res = kmeans(df, features, micro, n_init=1, seed=seed)
+    micro_lab = res.model.transform(_vector_col(df, features)).select(*keep, F.col("prediction").alias("micro"))
+    used = sorted(r["micro"] for r in micro_lab.select("micro").distinct().collect())  # <= micro rows
+    labels = _spectral_labels(res.centers[used], min(k, len(used)), min(n_neighbors, len(used) - 1), seed)
+    mapping = df.sparkSession.createDataFrame([(int(u), int(lab)) for u, lab in zip(used, labels)],
+                                              "micro int, cluster int")
+    return micro_lab.join(F.broadcast(mapping), "micro").drop("micro")  # mapping has <= micro rows

@@ -197,3 +197,11 @@ def residual_calibration(spark, sf):
         "year_offset", (F.col("year") - 1995).cast("double")).withColumn("nation", F.col("c_nationkey").cast("string"))
     return rounded(SM.residual_calibration(r, ["c_mktsegment", "nation"], ["year_offset"], ["c_custkey", "year"]))
 
+
+
+@query("spectral_micro")
+def spectral_micro(spark, sf):
+    """CLU7 (re-aimed): spectral clustering over k-means micro-cluster centroids."""
+    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    lab = CL.spectral(z, FEATS, k=3, n_neighbors=10, micro=60, seed=0, keep=["c_custkey", "year"])
+    return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))

@@ -170,3 +170,15 @@ def test_lowess_linear_and_bootstrap_ci(spark, rng):
     assert ci.loc["rmse", "ci_low"] <= rmse <= ci.loc["rmse", "ci_high"]
     band = E.confidence_band(m, spark, "x", 0.0, 10.0, {}, n_points=5).toPandas()
     assert ((band["lower"] < band["fit"]) & (band["fit"] < band["upper"])).all()
+
+
+def test_spectral_separates_rings(spark, rng):
+    """Two concentric rings: spectral grouping of micro-centroids recovers them (k-means cannot)."""
+    t = rng.uniform(0, 2 * np.pi, 600)
+    r = np.where(np.arange(600) < 300, 1.0, 5.0)
+    x = np.column_stack([r * np.cos(t), r * np.sin(t)]) + rng.normal(0, 0.05, (600, 2))
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "id int, p double, q double")
+    lab = CL.spectral(df, ["p", "q"], k=2, n_neighbors=5, micro=60, seed=0, keep=["id"]).toPandas()
+    ring = (lab["id"] >= 300).astype(int)
+    agree = max((lab["cluster"] == ring).mean(), (lab["cluster"] != ring).mean())
+    assert agree > 0.95
