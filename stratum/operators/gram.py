@@ -220,10 +220,14 @@ def _shifted_sums_arrow(base, cols, by, weighted, shift):
             x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols]) - shift
             wv = b.column("_w").to_numpy(zero_copy_only=False).astype(float) if weighted else np.ones(b.num_rows)
             if by:
-                keys = np.asarray(b.column(by).to_pylist(), dtype=object)
-                uniq, inv = np.unique(keys.astype(str), return_inverse=True)
-                firsts = {u: keys[np.argmax(inv == j)] for j, u in enumerate(uniq)}
-                groups = [(firsts[u], inv == j) for j, u in enumerate(uniq)]
+                col = b.column(by)
+                keys = (col.to_numpy(zero_copy_only=False) if pa.types.is_integer(col.type)
+                        else np.asarray(col.to_pylist(), dtype=object))
+                uniq, inv = np.unique(keys, return_inverse=True)
+                order = np.argsort(inv, kind="stable")
+                bounds = np.cumsum(np.bincount(inv, minlength=len(uniq)))[:-1]
+                groups = [(u.item() if hasattr(u, "item") else u, idx)
+                          for u, idx in zip(uniq, np.split(order, bounds))]
             else:
                 groups = [(None, slice(None))]
             for g, sel in groups:

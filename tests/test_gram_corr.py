@@ -109,3 +109,16 @@ def test_shifted_gram_is_stable_with_large_offset(spark, rng, monkeypatch):
     monkeypatch.setattr(G, "WIDE_K", 1)
     g = G.gram(df, ["a", "b", "c"])
     np.testing.assert_allclose(g.cov(), np.cov(x - x.mean(0), rowvar=False), rtol=1e-6)
+
+
+def test_grouped_wide_path_matches_narrow(spark, monkeypatch):
+    from stratum.operators import gram as G
+
+    df = panels.lineitem(spark, SF_SMALL).withColumn("g", (F.col("l_orderkey") % 4).cast("int"))
+    narrow = G.gram(df, LI, by="g")
+    monkeypatch.setattr(G, "WIDE_K", 1)
+    wide = G.gram(df, LI, by="g")
+    assert set(narrow) == set(wide)
+    for key in narrow:
+        np.testing.assert_allclose(wide[key].cross, narrow[key].cross, rtol=1e-8)
+        np.testing.assert_allclose(wide[key].means, narrow[key].means, rtol=1e-10)
