@@ -234,7 +234,10 @@ def fit_design(df: DataFrame, target: str, columns: Sequence[str], add_intercept
 
 def mallows_cp(model: OLSModel, full: OLSModel) -> float:
     """MET3: ``RSS / s2_full + 2 p - n`` (p includes the intercept)."""
-    return model.rss / full.sigma2 + 2.0 * model.n_params - model.n
+    s2 = full.sigma2
+    if not (s2 > 0 and math.isfinite(s2)):  # the full model fits exactly: Cp is undefined
+        return float("nan")
+    return model.rss / s2 + 2.0 * model.n_params - model.n
 
 
 def per_predictor(df: DataFrame, target: str, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -183,3 +183,15 @@ def test_within_transform_equals_dummy_regression(spark, rng):
     se = math.sqrt(s2 * np.linalg.inv(xd.T @ xd)[0, 0])
     assert m.coef[0] == pytest.approx(b[0], rel=1e-9)
     assert math.sqrt(m.cov_params[0, 0]) == pytest.approx(se, rel=1e-9)
+
+
+def test_exact_fit_is_handled(spark):
+    """A model that reproduces the target exactly (RSS = 0) gives NaN/inf criteria, not an error."""
+    rows = [(float(i), float(i % 7), float(i) * float(i % 7)) for i in range(1, 60)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    sel = S.Selector(df, "y", ["a", "b"], ["a:b"])
+    step = sel.fit(["a", "b", "a:b"])
+    assert step.metrics["rss"] == pytest.approx(0.0, abs=1e-6)
+    assert math.isnan(step.cp)
+    rows_out = sel.interaction_screen(["a", "b"], [("a", "b")], df)
+    assert len(rows_out) == 1
