@@ -103,3 +103,17 @@ NATION_YEAR_PANEL_SQL = """
        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) p
  JOIN nation n ON p.n_nationkey = n.n_nationkey)
 """
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a derived panel that several passes will read.
+
+    ``checkpoint`` writes it once to the shared folder named by
+    ``spark.checkpoint.dir`` (never a machine-local folder on a cluster); later
+    passes read those files instead of re-aggregating the source tables, and a
+    lost executor does not force the aggregation to run again.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -71,13 +71,13 @@ def kmeans_embeddings(spark, sf):
 
 @query("elbow_inertia")
 def elbow_inertia(spark, sf):
-    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
     return rounded(CL.elbow(z, FEATS, [2, 3, 4, 5, 6], seed=0))
 
 
 @query("silhouette_by_k")
 def silhouette_by_k(spark, sf):
-    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
     return rounded(CL.mean_silhouette_by_k(z, FEATS, [2, 3, 4], seed=0))
 
 
@@ -110,7 +110,7 @@ def gmm_clusters(spark, sf):
 @query("hierarchical_micro")
 def hierarchical_micro(spark, sf):
     """CLU5 (re-aimed): ward linkage on k-means micro-cluster centroids."""
-    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
     lab = CL.hierarchical(z, FEATS, k=4, method="ward", micro=50, seed=0, keep=["c_custkey", "year"])
     return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
@@ -160,7 +160,7 @@ def cluster_profiles(spark, sf):
 @query("isolation_forest")
 def isolation_forest(spark, sf):
     """OUT3: rows flagged in the top 1% of isolation-forest scores."""
-    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
     forest = IF.fit(z, FEATS, key=["c_custkey", "year"], n_trees=50, psi=256, seed=0)
     scored = IF.flag(forest.score(z, keep=["c_custkey", "year"]), contamination=0.01)
     return rounded(scored.filter("anomaly").select("c_custkey", "year", "score"))
@@ -202,6 +202,6 @@ def residual_calibration(spark, sf):
 @query("spectral_micro")
 def spectral_micro(spark, sf):
     """CLU7 (re-aimed): spectral clustering over k-means micro-cluster centroids."""
-    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
     lab = CL.spectral(z, FEATS, k=3, n_neighbors=10, micro=60, seed=0, keep=["c_custkey", "year"])
     return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))

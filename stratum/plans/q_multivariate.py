@@ -233,7 +233,7 @@ def grouped_pca_variance(spark, sf):
 @query("grouped_pca_scores")
 def grouped_pca_scores(spark, sf):
     """GRP2/SET3: retained group scores projected in one select over every panel row."""
-    panel = panels.customer_year_panel(spark, sf)
+    panel = panels.materialize(panels.customer_year_panel(spark, sf))
     z, _ = S.standardize(panel, panels.PANEL_FEATURES)
     model = G.fit_grouped_pca(z, _GROUPS, threshold=0.8)
     return rounded(model.transform(z.select("c_custkey", "year", *[c for g in _GROUPS for c in g.features])))

@@ -213,7 +213,7 @@ def breusch_pagan(spark, sf):
 @query("assumption_table")
 def assumption_table(spark, sf):
     """DIA9/DIA10: every check for two models, with verdicts (normal tails on the driver: rows-only)."""
-    p = _panel(spark, sf)
+    p = panels.materialize(_panel(spark, sf))
     checks = {}
     for name, rhs in {"simple": [X], "multi": [X, X2, "share_finished"]}.items():
         checks[name] = D.assumption_checks(L.fit_ols(p, Y, rhs), p, order=["c_custkey", "year"])
@@ -331,7 +331,7 @@ def interaction_screen(spark, sf):
 # --- REG1-REG4 -------------------------------------------------------------------------------------------------------------
 @query("registry_compare")
 def registry_compare(spark, sf):
-    p = _panel(spark, sf)
+    p = panels.materialize(_panel(spark, sf))
     train = p.filter(F.col("year") < 2000)
     test = p.filter(F.col("year") >= 2000)
     reg = ModelRegistry()
@@ -412,7 +412,7 @@ UNION ALL SELECT 'r2', {_r("quantile_cont(r2, 0.025)")}, {_r("quantile_cont(r2,
        {_r("quantile_cont(r2, 0.975)")} FROM per
 """)
 def bootstrap_ci(spark, sf):
-    p = _panel(spark, sf)
+    p = panels.materialize(_panel(spark, sf))
     m = L.fit_ols(p, Y, [X])
     return rounded(E.bootstrap_metrics(m, p, ["c_custkey", "year"], n_boot=40, seed=3))
 
@@ -428,7 +428,7 @@ def bootstrap_refit(spark, sf):
 @query("calibration_bins")
 def calibration_bins(spark, sf):
     """EVA5: quantile bins of predictions with bootstrap CI of the observed bin mean."""
-    p = _panel(spark, sf)
+    p = panels.materialize(_panel(spark, sf))
     m = L.fit_ols(p, Y, [X, X2])
     pred = p.select("c_custkey", "year", F.col(Y).alias("y"), m.predict_expr().alias("p"))
     return rounded(E.calibration(pred, "y", "p", q=10, n_boot=30, seed=2, key=["c_custkey", "year"]))
