@@ -219,14 +219,30 @@ def assumption_checks(model: OLSModel, df: DataFrame, order: Sequence[str] | Non
 
 
 def _checks(model: OLSModel, df: DataFrame, infl: DataFrame, order: Sequence[str] | None) -> dict[str, float]:
+    """The independent passes (moments, auxiliary Gram, ordered DW pass) are submitted
+    as concurrent Spark jobs; the normality pass follows once the moments are known."""
+    from concurrent.futures import ThreadPoolExecutor
+
     n = model.n
-    mom = infl.agg(F.skewness("resid").alias("skew"), F.kurtosis("resid").alias("kurt"),
-                   F.max("leverage").alias("max_leverage"), F.max("cooks_d").alias("max_cooks"),
-                   F.sum((F.col("cooks_d") > 4.0 / n).cast("long")).alias("n_cooks_gt_4n"),
-                   F.count("resid").alias("n"), F.avg("resid").alias("m"), F.stddev_samp("resid").alias("s")).first()
+
+    def moments():
+        return infl.agg(F.skewness("resid").alias("skew"), F.kurtosis("resid").alias("kurt"),
+                        F.max("leverage").alias("max_leverage"), F.max("cooks_d").alias("max_cooks"),
+                        F.sum((F.col("cooks_d") > 4.0 / n).cast("long")).alias("n_cooks_gt_4n"),
+                        F.count("resid").alias("n"), F.avg("resid").alias("m"),
+                        F.stddev_samp("resid").alias("s")).first()
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_mom = pool.submit(moments)
+        f_het = pool.submit(het_tests, model, df)
+        f_dw = pool.submit(durbin_watson, infl, "resid", order) if order else None
+        mom = f_mom.result()
+        f_norm = pool.submit(normality, infl, "resid", (int(mom["n"]), float(mom["m"]), float(mom["s"] or 0.0)))
+        bp, bp_p, white, white_p = f_het.result()
+        dw = f_dw.result() if f_dw else float("nan")
+        norm = f_norm.result()
     skew, kurt = float(mom["skew"] or 0.0), float(mom["kurt"] or 0.0)
     jb = n / 6.0 * (skew ** 2 + kurt ** 2 / 4.0)
-    bp, bp_p, white, white_p = het_tests(model, df)
     out = {
         "jarque_bera": jb, "jarque_bera_pvalue": math.exp(-jb / 2.0),
         "breusch_pagan": bp, "breusch_pagan_pvalue": bp_p, "white": white, "white_pvalue": white_p,
@@ -235,8 +251,8 @@ def _checks(model: OLSModel, df: DataFrame, infl: DataFrame, order: Sequence[str
         "max_leverage": float(mom["max_leverage"]), "max_cooks_d": float(mom["max_cooks"]),
         "n_cooks_gt_4n": float(mom["n_cooks_gt_4n"]),
     }
-    out.update(normality(infl, "resid", (int(mom["n"]), float(mom["m"]), float(mom["s"] or 0.0))))
-    out["durbin_watson"] = durbin_watson(infl, "resid", order) if order else float("nan")
+    out.update(norm)
+    out["durbin_watson"] = dw
     return out
 
 
