@@ -484,7 +484,24 @@ def residual_outliers(spark, sf):
     return rounded(flagged.filter(F.col("studentized_outlier")).select("c_custkey", "year", "studentized"))
 
 
-@query("qq_points")
+def _qq_sql(m: int) -> str:
+    """Sample quantiles of studentized residuals in SQL; theoretical normal quantiles as literals."""
+    from ..functions.tails import norm_ppf
+
+    probs = [(i + 0.5) / m for i in range(m)]
+    plist = ", ".join(repr(p) for p in probs)
+    tlist = ", ".join(repr(norm_ppf(p)) for p in probs)
+    return f"""
+WITH {_SIMPLE},
+r AS (SELECT (p.{Y} - (b0 + b1 * p.{X})) / sqrt(s2 * (1 - (1.0 / n + (p.{X} - mx) * (p.{X} - mx) / sxx)))
+             AS studentized FROM {PANEL_SQL} p, e),
+q AS (SELECT unnest([{plist}]::DOUBLE[]) AS prob, unnest([{tlist}]::DOUBLE[]) AS theoretical,
+             unnest(quantile_cont(studentized, [{plist}])) AS sample FROM r)
+SELECT {_r("prob")} AS prob, {_r("theoretical")} AS theoretical, {_r("sample")} AS sample FROM q
+"""
+
+
+@query("qq_points", oracle=_qq_sql(25))
 def qq_points(spark, sf):
     p = _panel(spark, sf)
     return rounded(D.qq_points(D.influence(L.fit_ols(p, Y, [X]), p), m=25))
