@@ -355,3 +355,15 @@ def one_hot_segments(spark, sf):
     levels = [r[0] for r in c.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]  # categories
     cols = one_hot(F.col("c_mktsegment"), "c_mktsegment", levels, drop_first=True)
     return c.select("c_custkey", *[v.alias(k) for k, v in cols.items()])
+
+
+# --- FN3: ordered status categories -> dummies (first level dropped) -----------------------------------
+@query("status_dummies", oracle=f"""
+SELECT c_custkey, year, CASE WHEN share_finished > 0.5 THEN 1 ELSE 0 END AS status_developed FROM {PANEL_SQL}
+""")
+def status_dummies(spark, sf):
+    from ..functions.transforms import status_dummies as dummies
+
+    p = panels.customer_year_panel(spark, sf)
+    text = F.when(F.col("share_finished") > 0.5, " Developed ").otherwise("Developing")
+    return p.select("c_custkey", "year", *[v.alias(k) for k, v in dummies(text, "status").items()])

@@ -381,3 +381,17 @@ def grouped_pca_pairs(spark, sf):
     cols = ["n_orders", "total_value", "avg_value", "max_value"]
     z, _ = S.standardize(panels.customer_year_panel(spark, sf).select(*cols), cols)
     return rounded(G.fit_grouped_pca(z, _PAIR_GROUPS, threshold=0.8).variance_table(spark))
+
+
+# --- COR6: correlation of a model term with the target --------------------------------------------------
+@query("term_target_correlation", oracle=f"""
+SELECT 'I(n_orders^2)' AS term, round(corr(CAST(n_orders AS DOUBLE) * n_orders, total_value), 6) + 0.0 AS correlation
+FROM {PANEL_SQL}
+""")
+def term_target_correlation(spark, sf):
+    from ..operators.terms import expand
+
+    p = panels.customer_year_panel(spark, sf)
+    t = expand(["I(n_orders^2)"])[0]
+    r = C.term_target_correlation(p.withColumn("_term", t.expr), "_term", "total_value")
+    return rounded(spark.createDataFrame([(t.name, r)], "term string, correlation double"))
