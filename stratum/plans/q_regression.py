@@ -442,7 +442,25 @@ def spline_fit(spark, sf):
     return rounded(m.coefficients(spark).select("term", "coef", "std_err"))
 
 
-@query("confidence_band")
+def _t975_sql(nu: str) -> str:
+    """t quantile 0.975 by the Cornish-Fisher series in 1/df (Abramowitz-Stegun 26.7.5), for large df."""
+    z = 1.959963984540054
+    g = [(z ** 3 + z) / 4, (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96,
+         (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384,
+         (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160]
+    return f"({z!r} + " + " + ".join(f"{c!r} / power({nu}, {i + 1})" for i, c in enumerate(g)) + ")"
+
+
+_BAND = f"""(SELECT 1.0 + CAST(i AS DOUBLE) AS x FROM range(0, 10) t(i))"""
+
+
+@query("confidence_band", oracle=f"""
+WITH {_TWO},
+f AS (SELECT *, n * (w - b1 * u - b2 * v) / (n - 3) AS s2, {_t975_sql("(n - 3)")} AS q FROM k),
+g AS (SELECT x, my + b1 * (x - m1) AS fit,
+             sqrt(s2 * (1.0 / n + (x - m1) * (x - m1) * d / (n * (a * d - b * b)))) AS se, q FROM {_BAND}, f)
+SELECT {_r("x")} AS {X}, {_r("fit")} AS fit, {_r("fit - q * se")} AS lower, {_r("fit + q * se")} AS upper FROM g
+""")
 def confidence_band(spark, sf):
     p = _panel(spark, sf)
     m = L.fit_ols(p, Y, [X, X2])
