@@ -8,7 +8,8 @@
   (each group holds <= psi rows); split feature and value come from a numpy
   generator seeded by md5(seed, tree), so the forest is reproducible;
 * scoring: the forest (trees x <= 2 psi nodes, independent of n) is
-  broadcast and ``mapInPandas`` walks all trees over each Arrow batch.
+  broadcast as node-indexed arrays and ``mapInPandas`` walks each tree level
+  by level for a whole Arrow batch at once (depth <= log2 psi numpy steps).
 
 Score ``s = 2^(-E[h] / c(psi))`` with ``c(n) = 2 H(n-1) - 2 (n-1)/n``.
 ``contamination="auto"`` flags s > 0.5; a share flags the top share by the
@@ -80,25 +81,39 @@ class IsolationForest:
     psi: int
     trees: dict[int, dict[int, tuple]]  # tree -> node -> (feature, split, left, right, size, depth)
 
-    def path_lengths(self, x: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(x))
+    def arrays(self) -> list[tuple[np.ndarray, ...]]:
+        """Per tree: feature, split, left, right, leaf path length (depth + c(size)) as node-indexed arrays."""
+        out = []
         for nodes in self.trees.values():
-            cur = np.zeros(len(x), dtype=int)
-            depth = np.zeros(len(x))
-            active = np.ones(len(x), dtype=bool)
-            while active.any():
-                for nid in np.unique(cur[active]):
-                    f, split, left, right, size, d = nodes[int(nid)]
-                    sel = active & (cur == nid)
-                    if f < 0:
-                        depth[sel] = d + c_factor(size)
-                        active[sel] = False
-                    else:
-                        go_left = sel & (x[:, f] < split)
-                        cur[go_left] = left
-                        cur[sel & ~go_left] = right
-            total += depth
-        return total / max(len(self.trees), 1)
+            m = max(nodes) + 1
+            feat = np.full(m, -1, dtype=np.int64)
+            split = np.zeros(m)
+            left = np.zeros(m, dtype=np.int64)
+            right = np.zeros(m, dtype=np.int64)
+            leaf = np.zeros(m)
+            for nid, (f, sp, lft, rgt, size, d) in nodes.items():
+                feat[nid], split[nid] = f, sp
+                left[nid], right[nid] = max(lft, 0), max(rgt, 0)
+                leaf[nid] = d + c_factor(size)
+            out.append((feat, split, left, right, leaf))
+        return out
+
+    def path_lengths(self, x: np.ndarray, arrays: list[tuple[np.ndarray, ...]] | None = None) -> np.ndarray:
+        """Mean path length over trees; every tree is walked level by level for all rows at once."""
+        arrays = arrays if arrays is not None else self.arrays()
+        rows = np.arange(len(x))
+        total = np.zeros(len(x))
+        for feat, split, left, right, leaf in arrays:
+            cur = np.zeros(len(x), dtype=np.int64)
+            while True:
+                f = feat[cur]
+                inner = f >= 0
+                if not inner.any():
+                    break
+                go_left = x[rows, np.where(inner, f, 0)] < split[cur]
+                cur = np.where(inner, np.where(go_left, left[cur], right[cur]), cur)
+            total += leaf[cur]
+        return total / max(len(arrays), 1)
 
     def score(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Anomaly score per row (rows with a NULL feature are skipped)."""
@@ -111,10 +126,11 @@ class IsolationForest:
 
         def run(batches):
             forest = bc.value
+            arrays = forest.arrays()  # once per task
             for b in batches:
                 if b.empty:
                     continue
-                h = forest.path_lengths(b[cols].to_numpy(dtype=float))
+                h = forest.path_lengths(b[cols].to_numpy(dtype=float), arrays)
                 yield b.assign(score=np.power(2.0, -h / cpsi))
 
         return src.mapInPandas(run, schema)

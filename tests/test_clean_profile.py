@@ -141,3 +141,24 @@ def test_sorted_quantiles_match_numpy_with_hot_value_and_nulls(spark, rng):
     np.testing.assert_allclose(got["y"], np.quantile(ys, probs), rtol=1e-12)
     pct = quantiles(df, ["x", "y"], probs, method="percentile")
     np.testing.assert_allclose(got["x"], pct["x"], rtol=1e-12)
+
+
+def test_forest_vectorised_walk_matches_naive(spark, outlier_frame):
+    from stratum.operators import iforest as IF
+
+    forest = IF.fit(outlier_frame, ["feature1", "feature2"], key=["id"], n_trees=10, psi=32, seed=3)
+    x = outlier_frame.select("feature1", "feature2").toPandas().to_numpy()
+
+    def naive(row):
+        total = 0.0
+        for nodes in forest.trees.values():
+            nid = 0
+            while True:
+                f, split, left, right, size, d = nodes[nid]
+                if f < 0:
+                    total += d + IF.c_factor(size)
+                    break
+                nid = left if row[f] < split else right
+        return total / len(forest.trees)
+
+    np.testing.assert_allclose(forest.path_lengths(x), [naive(r) for r in x], rtol=1e-12)
