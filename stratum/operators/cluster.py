@@ -149,8 +149,7 @@ def silhouette_sq(df: DataFrame, features: Sequence[str] | str, cluster: str, ke
     n = np.array([stats[c][0] for c in labels])
     s = np.vstack([stats[c][1] for c in labels])
     q = np.array([stats[c][2] for c in labels])
-    pos = {c: i for i, c in enumerate(labels)}
-    bc = df.sparkSession.sparkContext.broadcast((n, s, q, pos))  # k x d numbers
+    bc = df.sparkSession.sparkContext.broadcast((n, s, q, np.array(labels)))  # k x d numbers
     if isinstance(features, str):
         src = df.select(*keep, F.col(cluster), F.col(features).cast("array<double>").alias("_x"))
     else:
@@ -159,12 +158,12 @@ def silhouette_sq(df: DataFrame, features: Sequence[str] | str, cluster: str, ke
                                T.StructField("silhouette_sq", T.DoubleType())])
 
     def run(batches):
-        n_, s_, q_, pos_ = bc.value
+        n_, s_, q_, labs = bc.value
         for b in batches:
             if b.empty:
                 continue
             x = np.vstack(b["_x"].to_numpy())
-            own = np.array([pos_[v] for v in b[cluster]])
+            own = np.searchsorted(labs, b[cluster].to_numpy())  # labels are sorted: vectorised lookup
             tot = n_[None, :] * (x * x).sum(1)[:, None] - 2.0 * x @ s_.T + q_[None, :]
             rows = np.arange(len(x))
             a = tot[rows, own] / np.maximum(n_[own] - 1.0, 1.0)
