@@ -40,6 +40,9 @@ from pyspark.sql import types as T
 # per Arrow batch takes over.
 NARROW_K = 6
 WIDE_K = NARROW_K
+# Pairwise-complete correlation needs three aggregates per pair, so the
+# expression route stops earlier (measured at 600k rows, k=6: 5.2 s vs 1.2 s).
+PAIRWISE_NARROW_K = 4
 
 
 @dataclass(frozen=True)
@@ -261,14 +264,14 @@ def _shifted_sums_arrow(base, cols, by, weighted, shift):
 def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     """Pearson matrix with pairwise-complete rows (pandas ``DataFrame.corr`` semantics).
 
-    k <= ``NARROW_K``: one ``agg`` with, per pair, ``covar_pop`` plus both
-    variances restricted to rows where the partner is present.  Wider: masked
-    moment matrices per Arrow batch (see :func:`_pairwise_moments`).  Zero
-    variance gives NaN instead of an error.
+    k <= ``PAIRWISE_NARROW_K``: one ``agg`` with, per pair, ``covar_pop`` plus
+    both variances restricted to rows where the partner is present.  Wider:
+    masked moment matrices per Arrow batch (see :func:`_pairwise_moments`).
+    Zero variance gives NaN instead of an error.
     """
     cols = list(cols)
     k = len(cols)
-    if k > NARROW_K:
+    if k > PAIRWISE_NARROW_K:
         return _pairwise_moments(df, cols)
     aggs = []
     for i in range(k):
