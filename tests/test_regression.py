@@ -195,3 +195,17 @@ def test_exact_fit_is_handled(spark):
     assert math.isnan(step.cp)
     rows_out = sel.interaction_screen(["a", "b"], [("a", "b")], df)
     assert len(rows_out) == 1
+
+
+def test_registry_paths_and_save(spark, panel):
+    from stratum.session import scratch_path
+
+    reg = ModelRegistry()
+    sel = S.Selector(panel, Y, [], ["n_orders", "avg_value", "acctbal"])
+    paths = sel.grid(directions=("forward", "backward"), criteria=("aic", "bic"))
+    entries = reg.register_best_paths(paths)
+    assert len(entries) == 4 and len({e.name for e in entries}) == 4
+    path = scratch_path(spark, "registry-test")
+    reg.save(spark, path)
+    assert spark.read.parquet(f"{path}/coefficients").count() == sum(len(e.model.coef) for e in reg)
+    assert spark.read.parquet(f"{path}/metrics").count() == len(reg)
