@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import jaccard, quality
 from .registry import query, table
 
 _QUALITY_SQL = f"""
@@ -63,3 +63,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
+
+
+@query("op3_ngram_jaccard_join")
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links at similarity 0.8 of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
