@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, quality
+from . import decontam, jaccard, quality
 from .registry import query, table
 
 _QUALITY_SQL = f"""
@@ -69,3 +69,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links at similarity 0.8 of every document."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_benchmark_decontamination")
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a full, paraphrased or edited copy of a benchmark item, with score and place."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
