@@ -164,14 +164,13 @@ def select_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str = "lang", k
     counts = (holdout.select(F.col(stratum).alias("stratum"), F.explode(F.create_map(
         *[x for r, e in RULES.items() for x in (F.lit(r), F.expr(e))])).alias("rule", "value"))
         .groupBy("stratum", "rule", "value").agg(F.count("*").alias("n")))
-    strata = stats.select(F.col(stratum).alias("stratum")).distinct().agg(F.count("*").alias("n_strata"))
     grid = np.array(sorted(cutoffs))
     n_rules = len(RULES)
+    tests = n_rules * len(grid) * stats.select(stratum).distinct().count()
 
     def choose(group: pa.Table) -> pa.Table:
         value, count = group["value"].to_numpy(), group["n"].to_numpy()
         n = int(count.sum())
-        tests = n_rules * len(grid) * group["n_strata"][0].as_py()
         allowed = most_rejections(n, risk / n_rules, delta / tests)
         rejected = np.array([count[value > c].sum() for c in grid])
         chosen = np.flatnonzero(rejected <= allowed)[:1]
@@ -181,7 +180,7 @@ def select_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str = "lang", k
         return of
 
     kind = stats.schema[stratum].dataType.simpleString()
-    return (counts.join(F.broadcast(strata)).groupBy("stratum", "rule")
+    return (counts.groupBy("stratum", "rule")
             .applyInArrow(choose, f"stratum {kind}, rule string, cutoff long, n_good long, n_rejected long"))
 
 

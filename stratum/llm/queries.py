@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, quality
+from . import decontam, jaccard, mixing, quality
 from .registry import query, table
 
 _QUALITY_SQL = f"""
@@ -75,3 +75,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a full, paraphrased or edited copy of a benchmark item, with score and place."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_pivotal_mixing")
+def op8_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes from every document."""
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
