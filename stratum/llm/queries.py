@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, mixing, quality
+from . import decontam, jaccard, mixing, quality, ring
 from .registry import query, table
 
 _QUALITY_SQL = f"""
@@ -82,3 +82,14 @@ def op8_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes from every document."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+SHARDS = 16
+
+
+@query("op4_consistent_hash_ring")
+def op4_consistent_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards on a ring with exact row bounds: counts are at most one apart."""
+    out = ring.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
