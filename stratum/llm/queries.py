@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, mixing, quality, ring
+from . import decontam, jaccard, mixing, quality, ring, toxicity
 from .registry import query, table
 
 _QUALITY_SQL = f"""
@@ -93,3 +93,9 @@ def op4_consistent_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ring.assign(table(spark, sf_dir, "documents"), SHARDS)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text, learnt from four folds of the labels."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
