@@ -112,8 +112,8 @@ def candidate_groups(reps: DataFrame, block: int = BLOCK) -> DataFrame:
         F.sum(F.col("n").cast("double") * F.col("n")).alias("by_bucket")))
     sizes = (reps.select("key", "size").join(label, F.col("key") == F.col("node")).groupBy("label").agg(
         F.count("*").alias("c_n"), F.sum("size").alias("c_weight")))
-    whole = (cost.join(sizes, "label").where("cast(c_n as double) * c_n <= by_bucket")
-             .select(F.col("label").alias("c_label"), "c_weight"))
+    whole = written(cost.join(sizes, "label").where("cast(c_n as double) * c_n <= by_bucket")
+                    .select(F.col("label").alias("c_label"), "c_weight"), "jaccard-whole")
     of = label.join(whole, F.col("label") == F.col("c_label"), "left").select(
         F.col("node"), F.col("c_label"), "c_weight")
     blocks = lambda w: F.ceil(F.col(w) / F.lit(block))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, mixing, quality, ring, toxicity
+from . import decontam, jaccard, mixing, quality, ring, toxicity, urlrules, warc
 from .registry import query, table
 
 _QUALITY_SQL = f"""
@@ -99,3 +99,47 @@ def op4_consistent_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text, learnt from four folds of the labels."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: fixed by the query's contract: host, path, verdict
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+_URL_SQL = f"""
+WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{urlrules._UPPER}', '{urlrules._LOWER}') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rules(rh, rp, v) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+found AS (
+  SELECT host, path, max_by(rh || rp, length(rh || rp)) AS rule, max_by(v, length(rh || rp)) AS v
+  FROM (SELECT DISTINCT host, path FROM parts), rules
+  WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY host, path)
+SELECT page_id, p.host, p.path, rule, coalesce(v, 'allow') AS verdict
+FROM parts p LEFT JOIN found f ON p.host = f.host AND p.path = f.path"""
+
+
+@query("op7_url_filters", _URL_SQL)
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return urlrules.judge(table(spark, sf_dir, "pages"), urlrules.rule_table(spark, URL_RULES))
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d, n) ELSE page_id END AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f"""
+
+
+@query("op2_warc_index", _WARC_SQL)
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and looked up again through the two-level index."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))

@@ -29,3 +29,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder with its partitions and their order kept."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
