@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, mixing, quality, ring, toxicity, urlrules, warc
+from . import chat, decontam, jaccard, mixing, quality, ring, toxicity, urlrules, warc
 from .registry import query, table
+from .store import written
 
 _QUALITY_SQL = f"""
 WITH w AS (
@@ -143,3 +144,16 @@ FROM f"""
 def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and looked up again through the two-level index."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+#: fixed by the query's contract: conversation -1
+CHAT_PROBE = "</s>[INST] ok [/INST]"
+
+
+@query("op10_chat_formatting")
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted in budgeted windows, written, and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.sql("SELECT -1L AS conv_id, r.turn AS turn, r.role AS role, :probe AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS r(turn, role)",
+                      args={"probe": CHAT_PROBE})
+    return chat.digests(written(chat.format_conversations(turns.unionByName(probe)), "chat-windows"))
