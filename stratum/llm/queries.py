@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, mixing, quality, ring, toxicity, urlrules, warc
+from . import chat, decontam, jaccard, licenses, mixing, quality, ring, toxicity, urlrules, warc
 from .registry import query, table
 from .store import written
 
@@ -157,3 +157,9 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.sql("SELECT -1L AS conv_id, r.turn AS turn, r.role AS role, :probe AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS r(turn, role)",
                       args={"probe": CHAT_PROBE})
     return chat.digests(written(chat.format_conversations(turns.unionByName(probe)), "chat-windows"))
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place where a document holds a license notice, with the share of the notice that it holds."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
