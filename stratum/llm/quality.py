@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import words as W
 from .store import written
@@ -47,7 +48,7 @@ CUTOFFS = tuple(range(0, 1000, 20))
 RISK = 0.02
 DELTA = 0.05
 
-STATS = ("n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long")
+STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
 def _per_row(marks: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -108,15 +109,14 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
         }
         for k, v in found.items():
             out.setdefault(k, []).append(v.astype(np.int64))
-    names = [x.split()[0] for x in STATS.split(", ")]
-    return {k: np.concatenate(out[k]) if k in out else np.zeros(0, np.int64) for k in names}
+    return {k: np.concatenate(out[k]) if k in out else np.zeros(0, np.int64) for k in STATS}
 
 
 def text_stats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns and the counts of every whole text, one row per input row."""
     names = [f"k{i}" for i in range(len(keep))]
     source = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).alias("t"))
-    kinds = [source.schema[n].dataType.simpleString() for n in names]
+    schema = StructType([*(source.schema[n] for n in names), *(StructField(n, LongType()) for n in STATS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,11 +124,7 @@ def text_stats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str =
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *map(pa.array, found.values())],
                                              names=[*names, *found])
 
-    schema = ", ".join([f"{n} {k}" for n, k in zip(names, kinds)] + [STATS])
-    out = source.mapInArrow(run, schema)
-    for n, c in zip(names, keep):
-        out = out.withColumnRenamed(n, c)
-    return out
+    return source.mapInArrow(run, schema).withColumnsRenamed(dict(zip(names, keep)))
 
 
 def base_failed() -> F.Column:
@@ -201,3 +197,12 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key: str =
     stats = written(text_stats(docs, (key, stratum)), "quality-stats")
     cutoffs = written(select_cutoffs(stats, labels, stratum, key, **options), "quality-cutoffs")
     return verdicts(stats, cutoffs, stratum)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, judged row by row: no join by id."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("id"),
+                       F.col(stratum).alias("of"), F.col(text).alias("t"))
+    cutoffs = select_cutoffs(written(text_stats(rows, ("id", "of"), "t"), "quality-stats"), labels.withColumnRenamed(key, "id"), "of", "id", **options)
+    judged = verdicts(text_stats(rows, ("row", "of"), "t"), written(cutoffs, "quality-cutoffs"), "of")
+    return judged.where("kept").select("row.*")
