@@ -18,8 +18,8 @@ shares a bucket is compared, in exactly one unit.
 
 Defined cases: null and blank texts have no shingles, link to nothing and are
 classes of their own; a text of one to four words is one shingle; repeated rows
-are copies of each other; a null id takes part under a hash of its text and
-comes out null; only id and text are read, so other columns cannot clash; an
+are copies of each other; a null id takes part under a hash of its text, after
+all ids, and comes out null; only id and text are read, so other columns cannot clash; an
 empty table gives an empty result.
 """
 
@@ -61,8 +61,8 @@ def least_matches(threshold: float, tolerance: float, n: int) -> int:
 
 
 def _key(key: str, text: str) -> F.Column:
-    """The id; for a row without one, a negative hash of its text."""
-    return F.coalesce(F.col(key).cast("long"), -F.abs(F.xxhash64(F.col(text))) - 1)
+    """The id; for a row without one, a hash of its text from 2^62 up, after all ids."""
+    return F.coalesce(F.col(key).cast("long"), F.xxhash64(F.col(text)).bitwiseAND((1 << 62) - 1) + F.lit(1 << 62))
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -289,9 +289,8 @@ def links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str = "te
     return ordered.mapInArrow(lambda b: _compare(_units(b), threshold, tolerance), "u long, v long, links long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row per document: ``key``, ``class_id`` (smallest id of its linked group), ``copy_of``
-    (smallest id with the same shingles) and ``n_links`` (documents at or above the threshold)."""
+def _classes(docs: DataFrame, key: str, text: str, **options) -> DataFrame:
+    """``(id, key, class_id, copy_of, n_links)`` of every row."""
     prints = written(fingerprints(docs, key, text), "jaccard-prints")
     reps = written(prints.where("size > 0").groupBy("d1", "d2").agg(
         F.min("key").alias("key"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands")), "jaccard-reps")
@@ -304,18 +303,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
                     (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     joined = prints.select("id", "key", "size", "d1", "d2").join(
         info, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col("size") > 0), "left")
-    return joined.select(F.col("id").alias(key), F.coalesce("class_id", "key").alias("class_id"),
-                         F.coalesce("copy_of", "key").alias("copy_of"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return joined.select("id", "key", F.coalesce("class_id", "key").alias("class_id"), F.coalesce("copy_of", "key").alias("copy_of"),
+                         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class: that with the smallest id (repeated rows of it: one).
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per document: ``key``, ``class_id`` (smallest id of its linked group), ``copy_of``
+    (smallest id with the same shingles) and ``n_links`` (documents at or above the threshold)."""
+    return _classes(docs, key, text, **options).withColumnRenamed("id", key).select(key, "class_id", "copy_of", "n_links")
 
-    Documents without an id have no smallest id to be known by; those whose class has one go, the others stay.
-    """
-    found = written(near_duplicates(docs, key, text, **options), "jaccard-found")
-    gone = found.where(F.col(key).isNotNull() & (F.col("class_id") != F.col(key))).select(F.col(key).alias("gone")).distinct()
-    again = found.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("again")).count().where("count > 1").select("again")
-    kept = docs.join(gone, F.col(key) == F.col("gone"), "left_anti")
-    once = kept.join(again, F.col(key) == F.col("again"), "left_anti")
-    return once.unionAll(kept.join(again, F.col(key) == F.col("again"), "left_semi").dropDuplicates([key, text]))
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each class: that with the smallest id (rows without id come last; repeated rows count once)."""
+    found = written(_classes(docs, key, text, **options), "jaccard-found")
+    gone = found.where("class_id <> key").select(F.col("key").alias("gone_key")).distinct()
+    again = found.groupBy(F.col("key").alias("again_key")).count().where("count > 1").select("again_key")
+    kept = docs.join(gone, _key(key, text) == F.col("gone_key"), "left_anti")
+    once = kept.join(again, _key(key, text) == F.col("again_key"), "left_anti")
+    return once.unionAll(kept.join(again, _key(key, text) == F.col("again_key"), "left_semi").dropDuplicates([key, text]))

@@ -168,6 +168,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         need = F.col("left") - F.coalesce("took", F.lit(0.0)) - F.col("p") * F.coalesce("m_after", F.lit(0))
         plan = plan.select("number", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / cell)).alias("cells"),
                            F.when(F.col("p") > 0, _clip(need / F.col("m"))).otherwise(F.lit(0.0)).alias("q"))
+        plan = written(plan, f"mix-plan-{k}")  # a row a source: its size is known before the join
         elements = held.where((F.col("tier") == k) & (F.col("size") > 0)).join(plan, "number").select(
             "number", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.col("cells")).alias("cell"),
             F.struct("id", "size", F.col("q").alias("p")).alias("e"))
