@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .store import written
+from .store import packed, unpacked, written
 
 GRAM = 3
 SPREAD = 4
@@ -234,6 +234,7 @@ def _block(docs: DataFrame, block: pa.Table, key: str, text: str, ratio: float,
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without those that hold a copy of a benchmark item (a document without id stays only if its text is clean)."""
-    marked = docs.select(F.coalesce(F.col(key), -F.abs(F.xxhash64(F.col(text))) - 1).alias("k"), F.col(text).alias("t"))
-    found = written(contaminated(marked, benchmark, "k", "t", **options).select(F.col("k").alias("found")).distinct(), "decontam-found")
-    return docs.join(found, F.coalesce(F.col(key), -F.abs(F.xxhash64(F.col(text))) - 1) == F.col("found"), "left_anti")
+    name = F.coalesce(F.col(key), -F.abs(F.xxhash64(F.col(text))) - 1)
+    marked = docs.select(name.alias("k"), F.col(text).alias("t"))
+    found = contaminated(marked, benchmark, "k", "t", **options).select(F.col("k").alias("found")).distinct()
+    return unpacked(packed(docs, k=name).join(written(found, "decontam-found"), F.col("k") == F.col("found"), "left_anti"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .store import written
+from .store import packed, unpacked, written
 
 THRESHOLD = 0.8
 #: 32 bands of 4 values: a pair at similarity 0.8 shares no band with probability 5e-8
@@ -318,6 +318,6 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     found = written(_classes(docs, key, text, **options), "jaccard-found")
     gone = found.where("class_id <> key").select(F.col("key").alias("gone_key")).distinct()
     again = found.groupBy(F.col("key").alias("again_key")).count().where("count > 1").select("again_key")
-    kept = docs.join(gone, _key(key, text) == F.col("gone_key"), "left_anti")
-    once = kept.join(again, _key(key, text) == F.col("again_key"), "left_anti")
-    return once.unionAll(kept.join(again, _key(key, text) == F.col("again_key"), "left_semi").dropDuplicates([key, text]))
+    kept = packed(docs, key=_key(key, text), t=F.col(text)).join(gone, F.col("key") == F.col("gone_key"), "left_anti")
+    once = kept.join(again, F.col("key") == F.col("again_key"), "left_anti")
+    return unpacked(once.unionAll(kept.join(again, F.col("key") == F.col("again_key"), "left_semi").dropDuplicates(["key", "t"])))

@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import packed, unpacked, written
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -185,15 +185,16 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def repeat(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say."""
     mixed = written(mix(docs, key, text, source, **options).select(F.col(key).alias("m_key"), F.col("size").alias("m_size"), "copies"), "mix-copies")
-    columns = docs.columns
     many = mixed.groupBy("m_key").count().where("count > 1 or m_key is null").select(F.col("m_key").alias("r_key"))
     many = written(many, "mix-repeated")
-    once = docs.join(mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_anti"), F.col(key) == F.col("m_key"))
+    rows = packed(docs, k=F.col(key).cast("long"), t=F.col(text))
+    once = rows.join(mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_anti"), F.col("k") == F.col("m_key"))
     # rows that share an id: the n-th by size gets the n-th outcome by size
-    twin = docs.join(many, F.col(key).eqNullSafe(F.col("r_key")), "left_semi").withColumn(
-        "m_place", F.row_number().over(Window.partitionBy(key).orderBy(F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)))))
+    size = F.coalesce(F.regexp_count("t", F.lit(_WORD)), F.lit(0))
+    twin = rows.join(many, F.col("k").eqNullSafe(F.col("r_key")), "left_semi").withColumn(
+        "place", F.row_number().over(Window.partitionBy("k").orderBy(size)))
     outcome = mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_semi").withColumn(
         "o_place", F.row_number().over(Window.partitionBy("m_key").orderBy("m_size")))
-    twins = twin.join(outcome, F.col(key).eqNullSafe(F.col("m_key")) & (F.col("m_place") == F.col("o_place")))
-    taken = once.select(*columns, "copies").unionAll(twins.select(*columns, "copies")).where("copies > 0")
-    return taken.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*columns)
+    twins = twin.join(outcome, F.col("k").eqNullSafe(F.col("m_key")) & (F.col("place") == F.col("o_place")))
+    taken = once.select("row", "copies").unionAll(twins.select("row", "copies")).where("copies > 0")
+    return unpacked(taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))

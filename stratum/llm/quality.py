@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from . import words as W
-from .store import written
+from .store import packed, unpacked, written
 
 #: fixed by the contract of the base rules
 MIN_WORDS = 50
@@ -201,8 +201,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key: str =
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, judged row by row: no join by id."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("id"),
-                       F.col(stratum).alias("of"), F.col(text).alias("t"))
+    rows = packed(docs, id=F.col(key), of=F.col(stratum), t=F.col(text))
     cutoffs = select_cutoffs(written(text_stats(rows, ("id", "of"), "t"), "quality-stats"), labels.withColumnRenamed(key, "id"), "of", "id", **options)
     judged = verdicts(text_stats(rows, ("row", "of"), "t"), written(cutoffs, "quality-cutoffs"), "of")
-    return judged.where("kept").select("row.*")
+    return unpacked(judged.where("kept"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -37,3 +38,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
     return df.checkpoint()
+
+
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``row`` with all of ``df`` and the named columns: no name of ``df`` can clash with an operator's own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """The rows that :func:`packed` put away."""
+    return df.select("row.*")

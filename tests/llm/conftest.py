@@ -21,7 +21,8 @@ def documents(spark):
         if extra:  # names that operators use inside
             from pyspark.sql import functions as F
 
-            for name in ("key", "id", "t", "u", "k", "size", "label", "copies", "number", "cell", "stratum", "score", "row", "rank", "n"):
+            for name in ("key", "id", "u", "k", "size", "label", "copies", "number", "cell", "stratum", "score", "row", "rank", "n",
+                         "found", "gone_key", "t", "of", "place", "kept", "n_words", "spans", "roles", "positive", "html"):
                 df = df.withColumn(name, F.lit("other"))
         return df
 
