@@ -52,6 +52,11 @@ def bands_for(similarity: float, miss: float, rows: int = 1) -> int:
     return math.ceil(math.log(miss) / math.log1p(-similarity ** rows))
 
 
+def stretch(words: int) -> int:
+    """Shingle positions within which a template of that many words is looked for: its own, and room for added words."""
+    return words - W.SHINGLE + 1 + 3 + words // 10
+
+
 BANDS = bands_for(LEAST_SIMILARITY, MISS)
 
 
@@ -123,10 +128,13 @@ def _verified(w: W.Words, known: Templates, containment: float) -> Iterator[tupl
         lo = max(int(w.first[r]), int(begin[p]) - length)
         hi = min(int(w.first[r + 1]) - W.SHINGLE + 1, int(begin[p]) + length + WINDOW)
         hit = np.flatnonzero(np.isin(shingles[lo:hi], own))
-        # the stretch of one template length that holds most of its shingles
+        # the stretch of one template's length, and some words more, that reaches into the window and holds most of its shingles
         share, start, stop = 0.0, 0, 0
-        for k in range(len(hit)):
-            upto = np.searchsorted(hit, hit[k] + length + WINDOW - W.SHINGLE + 1)
+        inside = (int(begin[p]) - lo, int(begin[p]) - lo + WINDOW - W.SHINGLE)
+        for k in np.flatnonzero((hit <= inside[1]) & (hit + stretch(length) > inside[0])).tolist():
+            upto = int(np.searchsorted(hit, hit[k] + stretch(length)))
+            if hit[upto - 1] < inside[0]:
+                continue
             part = len(np.unique(shingles[lo + hit[k:upto]])) / len(own)
             if part > share:
                 share, start, stop = part, lo + int(hit[k]), lo + int(hit[upto - 1]) + W.SHINGLE
