@@ -40,9 +40,9 @@ MIN_TEXTS = 5
 MIN_Z = 4.5
 PREFIX_BYTES = (4, 5, 6)
 FOLDS = 5
-STEPS = 300
+STEPS = 1000
 RATE = 0.05
-DECAY = 2e-5
+DECAY = 2e-4
 BATCH_ROWS = 2048
 
 
