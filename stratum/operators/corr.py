@@ -1,8 +1,7 @@
 """Correlation and covariance (COR1-COR6, TOP1, RSH4).
 
-All matrices come from one GRAM pass (complete cases) or, when NULLs are
-present and pairwise-complete semantics are wanted, from one ``agg`` of
-per-pair moments.  The k x k result is turned into tidy frames on the driver.
+All matrices come from one pass: pairwise-complete moments, or one GRAM where
+complete cases are asked for.  The k x k result is turned into tidy frames on the driver.
 """
 
 from __future__ import annotations
@@ -52,16 +51,13 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, *, target:
                 pairwise: bool | None = None) -> CorrelationResult:
     """COR1: Pearson matrix over numeric columns.
 
-    ``pairwise=None`` picks pairwise-complete moments only when a column has
-    NULLs (decided by the same single aggregate pass that counts them).
+    Pairwise-complete moments (one pass) equal the complete-case matrix where
+    nothing is missing; ``pairwise=False`` asks for complete cases.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     if target and target not in cols:
         cols.append(target)
-    if pairwise is None:
-        nulls = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols]).first()
-        pairwise = any((nulls[c] or 0) > 0 for c in cols)
-    m = pairwise_corr(df, cols) if pairwise else gram(df, cols).corr()
+    m = gram(df, cols).corr() if pairwise is False else pairwise_corr(df, cols)
     return CorrelationResult(tuple(cols), m, target)
 
 

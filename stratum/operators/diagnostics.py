@@ -29,26 +29,14 @@ from .rank import ordered_partition_stats
 from .terms import Term
 
 
-def _quad_form(vec: Sequence[Column], m: np.ndarray) -> Column:
-    expr = F.lit(0.0)
-    p = len(vec)
-    for i in range(p):
-        expr = expr + vec[i] * vec[i] * F.lit(float(m[i, i]))
-        for j in range(i + 1, p):
-            expr = expr + vec[i] * vec[j] * F.lit(float(2.0 * m[i, j]))
-    return expr
-
-
 def influence(model: OLSModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """DIA7/DIA8/CHD7: y, fitted, resid, leverage, studentized, cooks_d (complete cases)."""
-    inv = model.xtx_inverse()
-    xs = ([F.lit(1.0)] if model.intercept else []) + [t.expr for t in model.terms]
     s2, p = model.sigma2, model.n_params
     cond = F.col(model.target).isNotNull()
     for t in model.terms:
         cond = cond & t.expr.isNotNull()
     yhat = model.predict_expr()
-    h = _quad_form(xs, inv)
+    h = model.leverage_expr()
     out = df.filter(cond).select(*keep, F.col(model.target).cast("double").alias("y"), yhat.alias("fitted"),
                                  (F.col(model.target) - yhat).alias("resid"), h.alias("leverage"))
     r = F.col("resid") / F.sqrt(F.lit(s2) * (F.lit(1.0) - F.col("leverage")))
@@ -129,81 +117,10 @@ def anderson_darling(df: DataFrame, column: str, moments: tuple[int, float, floa
     return a2, pval
 
 
-SHAPIRO_MAX_N = 5000
-
-
-def _poly(cc: Sequence[float], x: float) -> float:
-    return sum(c * x ** i for i, c in enumerate(cc))
-
-
-def shapiro_wilk(x: np.ndarray) -> tuple[float, float]:
-    """Shapiro-Wilk W and p-value (Royston's approximation), 3 <= n <= 5000.
-
-    Runs on the driver: the test is only defined up to ``SHAPIRO_MAX_N``
-    values, so the collected column has a proven size bound.
-    """
-    x = np.sort(np.asarray(x, float))
-    n = len(x)
-    if n < 3:
-        return float("nan"), float("nan")
-    # Polynomial coefficients of Royston's approximation (AS R94).
-    c1 = (0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056)
-    c2 = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
-    c3 = (0.544, -0.39978, 0.025054, -6.714e-4)
-    c4 = (1.3822, -0.77857, 0.062767, -0.0020322)
-    c5 = (-1.5861, -0.31082, -0.083751, 0.0038915)
-    c6 = (-0.4803, -0.082676, 0.0030302)
-    g = (-2.273, 0.459)
-    half = n // 2
-    if n == 3:
-        a = np.array([math.sqrt(0.5)])
-    else:
-        m = np.array([tails.norm_ppf((i - 0.375) / (n + 0.25)) for i in range(1, half + 1)])
-        summ2 = 2.0 * float(m @ m)
-        ssumm2 = math.sqrt(summ2)
-        rsn = 1.0 / math.sqrt(n)
-        a1 = _poly(c1, rsn) - m[0] / ssumm2
-        a = np.empty(half)
-        if n > 5:
-            a2 = -m[1] / ssumm2 + _poly(c2, rsn)
-            fac = math.sqrt((summ2 - 2 * m[0] ** 2 - 2 * m[1] ** 2) / (1 - 2 * a1 ** 2 - 2 * a2 ** 2))
-            a[1] = a2
-            start = 2
-        else:
-            fac = math.sqrt((summ2 - 2 * m[0] ** 2) / (1 - 2 * a1 ** 2))
-            start = 1
-        a[0] = a1
-        a[start:] = -m[start:] / fac
-    diff = x[::-1][:half] - x[:half]
-    ss = float(((x - x.mean()) ** 2).sum())
-    if ss <= 0:
-        return float("nan"), float("nan")
-    w = min(float((a @ diff) ** 2 / ss), 1.0)
-    if n == 3:
-        pw = 6.0 / math.pi * (math.asin(math.sqrt(w)) - math.pi / 3.0)
-        return w, max(pw, 0.0)
-    w1 = math.log(1.0 - w) if w < 1.0 else -math.inf
-    if n <= 11:
-        gamma = _poly(g, n)
-        if w1 >= gamma:
-            return w, 1e-99
-        y = -math.log(gamma - w1)
-        mu, sd = _poly(c3, n), math.exp(_poly(c4, n))
-    else:
-        ln = math.log(n)
-        y, mu, sd = w1, _poly(c5, ln), math.exp(_poly(c6, ln))
-    return w, 1.0 - tails.norm_cdf((y - mu) / sd)
-
-
 def normality(df: DataFrame, column: str, moments: tuple[int, float, float] | None = None) -> dict[str, float]:
-    """DIA3 as in the reference: Shapiro-Wilk up to 5000 values, Anderson-Darling above."""
-    n = moments[0] if moments else df.filter(F.col(column).isNotNull()).count()
-    if 3 <= n <= SHAPIRO_MAX_N:
-        vals = np.array([r[0] for r in df.select(column).dropna().collect()], float)  # <= 5000 values
-        w, p = shapiro_wilk(vals)
-        return {"normality_test": 0.0, "normality_stat": w, "normality_pvalue": p}
+    """DIA3: Anderson-Darling at every size."""
     a2, p = anderson_darling(df, column, moments)
-    return {"normality_test": 1.0, "normality_stat": a2, "normality_pvalue": p}
+    return {"normality_stat": a2, "normality_pvalue": p}
 
 
 def assumption_checks(model: OLSModel, df: DataFrame, order: Sequence[str] | None = None) -> dict[str, float]:

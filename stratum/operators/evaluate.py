@@ -166,10 +166,7 @@ def confidence_band(model: OLSModel, spark, x: str, lo: float, hi: float, at: di
 
     grid = spark.range(n_points).select((F.lit(lo) + F.col("id") * F.lit((hi - lo) / max(n_points - 1, 1))).alias(x))
     grid = grid.select(x, *[(v if isinstance(v, Column) else F.lit(float(v))).alias(k) for k, v in at.items()])
-    xs = ([F.lit(1.0)] if model.intercept else []) + [t.expr for t in model.terms]
-    from .diagnostics import _quad_form
-
-    se = F.sqrt(_quad_form(xs, model.cov_params))
+    se = F.sqrt(F.lit(model.sigma2) * model.leverage_expr())
     q = tails.t_ppf(1 - alpha / 2, model.df_resid)
     fit = model.predict_expr()
     return grid.select(x, fit.alias("fit"), (fit - F.lit(q) * se).alias("lower"), (fit + F.lit(q) * se).alias("upper"))

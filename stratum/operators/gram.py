@@ -9,15 +9,13 @@ once, never once per model.
 Physical shape:
 
 * narrow, unweighted (k <= ``NARROW_K``): a single ``agg`` of ``avg`` and
-  ``covar_pop`` expressions.  ``covar_pop`` merges partial buffers with the
-  numerically stable pairwise update, so one scan suffices and partial
-  aggregation runs map-side (one row per task is shuffled).
-* weighted or wide: a pilot read of a few thousand rows gives a shift close
-  to the means, then ONE full pass sums shifted first and second moments.
-  Shifting keeps the cancellation in ``S2 - s1 s1'/W`` harmless.  For wide k the second pass runs
-  numpy ``X'X`` per Arrow batch (``mapInArrow``) and emits one long row per
-  matrix slot, reduced by ``groupBy(group, slot).sum`` - a normal distributed
-  aggregation, so no partition's partial ever passes through the driver.
+  ``covar_pop`` expressions, which merge partial buffers with the stable
+  pairwise update; partial aggregation runs map-side (one row per task is
+  shuffled).
+* weighted or wide: every Arrow batch gives its own weight, means and centred
+  products by numpy; batches, tasks and groups of tasks are merged by the same
+  pairwise update (:func:`merge_states`).  No statistic is ever taken about a
+  value other than the mean of its own rows, so large means cost no digits.
 
 Grouping (``by=``) gives one Gram per group (folds, bootstrap replicates,
 feature groups of a panel) from the same single pass.
@@ -33,16 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Up to NARROW_K columns the single-pass ``covar_pop`` aggregate wins; above it
 # the k(k+1)/2 declarative aggregates outgrow whole-stage codegen (measured:
 # 600k rows, k=9: 6.7 s vs 1.4 s; k=14: 16.7 s vs 1.5 s), so the numpy X'X
 # per Arrow batch takes over.
 NARROW_K = 6
-WIDE_K = NARROW_K
-# Pairwise-complete correlation needs three aggregates per pair, so the
-# expression route stops earlier (measured at 600k rows, k=6: 5.2 s vs 1.2 s).
-PAIRWISE_NARROW_K = 4
 
 
 @dataclass(frozen=True)
@@ -94,17 +89,28 @@ class Gram:
         top = np.concatenate([[self.n], self.n * m])
         return np.block([[top[None, :]], [np.column_stack([self.n * m, inner])]])
 
+    def __add__(self, other: Gram) -> Gram:
+        """Statistics of the rows of both."""
+        if self.columns != other.columns:
+            raise ValueError("Gram columns differ")
+        if not self.n or not other.n:
+            return other if not self.n else self
+        n = self.n + other.n
+        d = other.means - self.means
+        return Gram(self.columns, n, self.means + d * (other.n / n),
+                    self.cross + other.cross + np.outer(d, d) * (self.n * other.n / n), self.rows + other.rows)
+
     def __sub__(self, other: Gram) -> Gram:
-        """Statistics of the rows in ``self`` but not in ``other`` (train = total - fold)."""
+        """Statistics of the rows in ``self`` but not in ``other``: the inverse of the sum."""
         if self.columns != other.columns:
             raise ValueError("Gram columns differ")
         n = self.n - other.n
-        sx = self.n * self.means - other.n * other.means
-        raw = (self.cross + self.n * np.outer(self.means, self.means)) - (
-            other.cross + other.n * np.outer(other.means, other.means)
-        )
-        m = sx / n
-        return Gram(self.columns, n, m, raw - n * np.outer(m, m), self.rows - other.rows)
+        if n <= 0:
+            raise ValueError("no rows are left")
+        means = self.means + (self.means - other.means) * (other.n / n)
+        d = other.means - means
+        return Gram(self.columns, n, means, self.cross - other.cross - np.outer(d, d) * (n * other.n / self.n),
+                    self.rows - other.rows)
 
 
 def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -133,9 +139,9 @@ def gram(
                        [F.col(weight).cast("double").alias("_w")] if weight else []))
     if complete:
         base = complete_cases(base, cols)
-    if weight is None and len(cols) <= WIDE_K:
+    if weight is None and len(cols) <= NARROW_K:
         return _gram_covar(base, cols, by)
-    return _gram_shifted(base, cols, by, weighted=weight is not None)
+    return _gram_states(base, cols, by, weighted=weight is not None)
 
 
 def _gram_covar(base: DataFrame, cols: list[str], by: str | None) -> Gram | dict[object, Gram]:
@@ -162,178 +168,133 @@ def _gram_covar(base: DataFrame, cols: list[str], by: str | None) -> Gram | dict
     return out.get(None) or Gram(tuple(cols), 0.0, np.full(k, np.nan), np.full((k, k), np.nan), 0)
 
 
-PILOT_ROWS = 4096
+def merge_states(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+    """Pairwise update of two states ``[W, rows, means (k), centred products (k x k)]``."""
+    if a[0] == 0 or b[0] == 0:
+        return np.concatenate([[a[0] + b[0], a[1] + b[1]], (b if a[0] == 0 else a)[2:]])
+    w = a[0] + b[0]
+    d = b[2:2 + k] - a[2:2 + k]
+    return np.concatenate([[w, a[1] + b[1]], a[2:2 + k] + d * (b[0] / w),
+                           a[2 + k:] + b[2 + k:] + np.outer(d, d).ravel() * (a[0] * b[0] / w)])
 
 
-def _pilot_means(base: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """Shift for the shifted-sums passes: means of a few thousand leading rows.
+def _batch_state(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    total = w.sum()
+    mean = (w @ x) / total if total else np.zeros(x.shape[1])
+    c = x - mean
+    drift = (w @ c) / total if total else 0.0  # what rounding left of the mean
+    c = c - drift
+    return np.concatenate([[total, len(w)], mean + drift, ((c * w[:, None]).T @ c).ravel()])
 
-    Only closeness to the true mean matters (it keeps ``S2 - s1 s1'/W`` from
-    cancelling), so a bounded pilot read replaces a second full scan.
-    """
-    row = base.limit(PILOT_ROWS).agg(*[F.avg(c).alias(c) for c in cols]).first()
-    return np.array([row[c] if row is not None and row[c] is not None else 0.0 for c in cols], float)
 
+def _reduce_states(states: DataFrame, merge, group_type: T.DataType) -> DataFrame:
+    """Merge ``(g, state)`` rows to one per group, in two steps: a group's rows of many tasks never meet in one."""
+    schema = T.StructType([T.StructField("g", group_type), T.StructField("state", T.ArrayType(T.DoubleType()))])
 
-def _gram_shifted(base: DataFrame, cols: list[str], by: str | None, weighted: bool) -> Gram | dict[object, Gram]:
-    k = len(cols)
-    w = F.col("_w") if weighted else F.lit(1.0)
-    shift = _pilot_means(base, cols)
-    if k <= WIDE_K:
-        d = [F.col(c) - F.lit(float(s)) for c, s in zip(cols, shift)]
-        aggs = [F.sum(w).alias("_W"), F.count(F.lit(1)).alias("_n")]
-        aggs += [F.sum(w * d[i]).alias(f"_s{i}") for i in range(k)]
-        aggs += [F.sum(w * d[i] * d[j]).alias(f"_q{i}_{j}") for i in range(k) for j in range(i, k)]
-        grouped = base.groupBy(by) if by else base
-        stats = {}
-        for r in grouped.agg(*aggs).collect():
-            s1 = np.array([r[f"_s{i}"] or 0.0 for i in range(k)])
-            s2 = np.zeros((k, k))
-            for i in range(k):
-                for j in range(i, k):
-                    s2[i, j] = s2[j, i] = r[f"_q{i}_{j}"] or 0.0
-            stats[r[by] if by else None] = (float(r["_W"] or 0.0), int(r["_n"]), s1, s2)
-    else:
-        stats = _shifted_sums_arrow(base, cols, by, weighted, shift)
-    out = {}
-    for key, (W, n, s1, s2) in stats.items():
-        if W <= 0:
-            continue
-        m = s1 / W
-        out[key] = Gram(tuple(cols), W, shift + m, s2 - W * np.outer(m, m), n)
-    if by:
-        return out
-    return out.get(None) or Gram(tuple(cols), 0.0, np.full(k, np.nan), np.full((k, k), np.nan), 0)
+    def fold(table: pa.Table) -> pa.Table:
+        rows = [np.array(v, float) for v in table["state"].to_pylist()]
+        while len(rows) > 1:  # a balanced tree, for the least rounding
+            rows = [merge(*rows[i:i + 2]) if i + 1 < len(rows) else rows[i] for i in range(0, len(rows), 2)]
+        return table.select(["g"]).slice(0, 1).append_column("state", pa.array([rows[0].tolist()], pa.list_(pa.float64())))
 
+    lanes = F.pmod(F.col("part"), F.lit(max(1, int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))))).alias("lane")
+    near = states.groupBy("g", lanes).applyInArrow(fold, schema)
+    return near.groupBy("g").applyInArrow(fold, schema)
 
-def _shifted_sums_arrow(base, cols, by, weighted, shift):
-    """Wide k: per-batch numpy X'X, reduced as long (group, slot, value) rows."""
-    k = len(cols)
-    iu = np.triu_indices(k)
-    n_slots = 2 + k + len(iu[0])
+
+def _task_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool, state, merge) -> DataFrame:
+    """One ``(g, part, state)`` row per task and group."""
     key_type = base.schema[by].dataType if by else T.StringType()
-    schema = T.StructType([T.StructField("g", key_type), T.StructField("slot", T.IntegerType()),
-                           T.StructField("v", T.DoubleType())])
+    schema = T.StructType([T.StructField("g", key_type), T.StructField("part", T.IntegerType()),
+                           T.StructField("state", T.ArrayType(T.DoubleType()))])
 
     def partial(batches):
+        from pyspark import TaskContext
+
         acc: dict = {}
         for b in batches:
             if b.num_rows == 0:
                 continue
-            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols]) - shift
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
             wv = b.column("_w").to_numpy(zero_copy_only=False).astype(float) if weighted else np.ones(b.num_rows)
             if by:
-                col = b.column(by)
-                keys = (col.to_numpy(zero_copy_only=False) if pa.types.is_integer(col.type)
-                        else np.asarray(col.to_pylist(), dtype=object))
-                uniq, inv = np.unique(keys, return_inverse=True)
+                codes = b.column(by).dictionary_encode(null_encoding="encode")
+                inv = codes.indices.to_numpy(zero_copy_only=False)
                 order = np.argsort(inv, kind="stable")
-                bounds = np.cumsum(np.bincount(inv, minlength=len(uniq)))[:-1]
-                groups = [(u.item() if hasattr(u, "item") else u, idx)
-                          for u, idx in zip(uniq, np.split(order, bounds))]
+                bounds = np.cumsum(np.bincount(inv, minlength=len(codes.dictionary)))[:-1]
+                groups = list(zip(codes.dictionary.to_pylist(), np.split(order, bounds)))
             else:
                 groups = [(None, slice(None))]
             for g, sel in groups:
-                xs, ws = x[sel], wv[sel]
-                vec = np.empty(n_slots)
-                vec[0], vec[1] = ws.sum(), len(ws)
-                vec[2 : 2 + k] = ws @ xs
-                vec[2 + k :] = (xs.T @ (xs * ws[:, None]))[iu]
-                acc[g] = acc[g] + vec if g in acc else vec
-        for g, vec in acc.items():
-            yield pa.RecordBatch.from_pydict(
-                {"g": [g] * n_slots, "slot": list(range(n_slots)), "v": vec.tolist()},
-                schema=pa.schema([("g", pa.from_numpy_dtype(np.int64) if isinstance(key_type, T.LongType)
-                                   else pa.int32() if isinstance(key_type, T.IntegerType) else pa.string()),
-                                  ("slot", pa.int32()), ("v", pa.float64())]),
-            )
-
-    long = base.mapInArrow(partial, schema).groupBy("g", "slot").agg(F.sum("v").alias("v"))
-    stats: dict = {}
-    for r in long.collect():  # groups x slots numbers, independent of the row count
-        stats.setdefault(r["g"], np.zeros(n_slots))[r["slot"]] = r["v"]
-    out = {}
-    for g, vec in stats.items():
-        s2 = np.zeros((k, k))
-        s2[iu] = vec[2 + k :]
-        s2 = s2 + np.triu(s2, 1).T
-        out[g] = (float(vec[0]), int(vec[1]), vec[2 : 2 + k].copy(), s2)
-    return out
+                part = state(x[sel], wv[sel])
+                acc[g] = merge(acc[g], part) if g in acc else part
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(acc), type=to_arrow_type(key_type)), pa.array([TaskContext.get().partitionId()] * len(acc), pa.int32()),
+             pa.array([v.tolist() for v in acc.values()], pa.list_(pa.float64()))], names=["g", "part", "state"])
 
+    return base.mapInArrow(partial, schema)
 
-def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """Pearson matrix with pairwise-complete rows (pandas ``DataFrame.corr`` semantics).
 
-    k <= ``PAIRWISE_NARROW_K``: one ``agg`` with, per pair, ``covar_pop`` plus
-    both variances restricted to rows where the partner is present.  Wider:
-    masked moment matrices per Arrow batch (see :func:`_pairwise_moments`).
-    Zero variance gives NaN instead of an error.
-    """
-    cols = list(cols)
+def _gram_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool) -> Gram | dict[object, Gram]:
     k = len(cols)
-    if k > PAIRWISE_NARROW_K:
-        return _pairwise_moments(df, cols)
-    aggs = []
-    for i in range(k):
-        for j in range(i + 1, k):
-            a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
-            both = a.isNotNull() & b.isNotNull()
-            aggs += [
-                F.covar_pop(a, b).alias(f"c{i}_{j}"),
-                F.var_pop(F.when(both, a)).alias(f"va{i}_{j}"),
-                F.var_pop(F.when(both, b)).alias(f"vb{i}_{j}"),
-            ]
-    r = np.eye(k)
-    if not aggs:
-        return r
-    row = df.agg(*aggs).first()
-    for i in range(k):
-        for j in range(i + 1, k):
-            c, va, vb = row[f"c{i}_{j}"], row[f"va{i}_{j}"], row[f"vb{i}_{j}"]
-            val = c / np.sqrt(va * vb) if c is not None and va and vb else np.nan
-            r[i, j] = r[j, i] = val
-    return r
+
+    def merge(a, b):
+        return merge_states(a, b, k)
+
+    states = _task_states(base, cols, by, weighted, _batch_state, merge)
+    out = {}
+    for r in _reduce_states(states, merge, states.schema["g"].dataType).collect():  # a row a group
+        v = np.array(r["state"], float)
+        if v[0] > 0:
+            out[r["g"]] = Gram(tuple(cols), float(v[0]), v[2:2 + k], v[2 + k:].reshape(k, k), int(v[1]))
+    if by:
+        return out
+    return out.get(None) or Gram(tuple(cols), 0.0, np.full(k, np.nan), np.full((k, k), np.nan), 0)
 
 
-def _pairwise_moments(df: DataFrame, cols: list[str]) -> np.ndarray:
-    """Pairwise-complete correlations from four k x k masked moment matrices.
+def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """Pearson matrix with pairwise-complete rows (pandas ``DataFrame.corr`` semantics).
 
-    With M the presence mask and X0 the shifted values (0 where missing):
-    ``N = M'M``, ``S = X0'M``, ``Q = (X0^2)'M``, ``P = X0'X0`` give, for every
-    pair, the count, sums, sums of squares and cross products over the rows
-    where both are present.  A pilot read gives the shift; one full pass
-    builds the matrices per Arrow batch, reduced as (slot, value) rows.
+    NaN counts as missing and a constant column gives NaN, on the diagonal too,
+    for any number of columns.  For every pair the state holds, over the rows
+    where both are present, their number, means, centred squares and products:
+    with ``M`` the presence mask and ``X0`` the batch's centred values (0 where
+    missing) these are the matrices ``M'M``, ``X0'M``, ``(X0^2)'M`` and ``X0'X0``
+    of one Arrow batch, merged by the pairwise update.
     """
+    cols = list(cols)
     k = len(cols)
-    base = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
-    shift = _pilot_means(base, cols)
     kk = k * k
-    schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    base = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
 
-    def partial(batches):
-        acc = np.zeros(4 * kk)
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
-            m = ~np.isnan(x)
-            x0 = np.where(m, x - shift, 0.0)
-            mf = m.astype(float)
-            acc += np.concatenate([(mf.T @ mf).ravel(), (x0.T @ mf).ravel(), ((x0 * x0).T @ mf).ravel(),
-                                   (x0.T @ x0).ravel()])
-        yield pa.RecordBatch.from_pydict({"slot": list(range(4 * kk)), "v": acc.tolist()},
-                                         schema=pa.schema([("slot", pa.int32()), ("v", pa.float64())]))
-
-    long = base.mapInArrow(partial, schema).groupBy("slot").agg(F.sum("v").alias("v"))
-    vec = np.zeros(4 * kk)
-    for r in long.collect():  # 4 k^2 numbers
-        vec[r["slot"]] = r["v"]
-    n, s, q, p = (vec[i * kk:(i + 1) * kk].reshape(k, k) for i in range(4))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cov = p - s * s.T / n
-        va = q - s * s / n
-        vb = va.T
-        r = cov / np.sqrt(va * vb)
-    r[~np.isfinite(r)] = np.nan
-    np.fill_diagonal(r, 1.0)
+    def state(x, _):
+        m = ~np.isnan(x)
+        mf = m.astype(float)
+        seen = np.maximum(mf.sum(axis=0), 1.0)
+        centre = np.where(m, x, 0.0).sum(axis=0) / seen
+        x0 = np.where(m, x - centre, 0.0)
+        n = mf.T @ mf
+        at = np.maximum(n, 1.0)
+        s = x0.T @ mf
+        mean = np.where(n > 0, centre[:, None] + s / at, 0.0)
+        return np.concatenate([n.ravel(), mean.ravel(), ((x0 * x0).T @ mf - s * s / at).ravel(), (x0.T @ x0 - s * s.T / at).ravel()])
+
+    def merge(a, b):
+        na, ma, va, ca = (a[i * kk:(i + 1) * kk].reshape(k, k) for i in range(4))
+        nb, mb, vb, cb = (b[i * kk:(i + 1) * kk].reshape(k, k) for i in range(4))
+        n = na + nb
+        at = np.maximum(n, 1.0)
+        d = np.where((na > 0) & (nb > 0), mb - ma, 0.0)
+        mean = np.where(na > 0, ma, mb) + d * (nb / at)
+        f = na * nb / at
+        return np.concatenate([n.ravel(), mean.ravel(), (va + vb + d * d * f).ravel(), (ca + cb + d * d.T * f).ravel()])
+
+    states = _task_states(base, cols, None, False, state, merge)
+    rows = _reduce_states(states, merge, states.schema["g"].dataType).collect()  # one row
+    r = np.full((k, k), np.nan)
+    if rows:
+        n, _, v, c = (np.array(rows[0]["state"], float)[i * kk:(i + 1) * kk].reshape(k, k) for i in range(4))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = np.where((v > 0) & (v.T > 0), c / np.sqrt(v * v.T), np.nan)
+        np.fill_diagonal(r, np.where((np.diag(v) > 0) & (np.diag(n) > 1), 1.0, np.nan))
     return r

@@ -31,6 +31,16 @@ def _safe_inv(a: np.ndarray) -> np.ndarray:
     return np.linalg.inv(a)
 
 
+def quad_form(vec: Sequence[Column], m: np.ndarray) -> Column:
+    """``v' M v`` with literal coefficients."""
+    expr = F.lit(0.0)
+    for i in range(len(vec)):
+        expr = expr + vec[i] * vec[i] * F.lit(float(m[i, i]))
+        for j in range(i + 1, len(vec)):
+            expr = expr + vec[i] * vec[j] * F.lit(float(2.0 * m[i, j]))
+    return expr
+
+
 @dataclass(frozen=True)
 class OLSModel:
     target: str
@@ -139,9 +149,13 @@ class OLSModel:
         w = np.linalg.eigvalsh(xtx)
         return float(math.sqrt(w.max() / w.min())) if w.min() > 0 else float("inf")
 
-    def xtx_inverse(self) -> np.ndarray:
+    def leverage_expr(self) -> Column:
+        """``x' (X'X)^-1 x``; with an intercept from the centred form ``1/n + (x - m)' S^-1 (x - m)``."""
         g = self.gram.sub([f"_t{i}" for i in range(len(self.terms))])
-        return _safe_inv(g.raw_xtx(intercept=self.intercept))
+        if not self.intercept:
+            return quad_form([t.expr for t in self.terms], _safe_inv(g.raw_xtx(intercept=False)))
+        d = [t.expr - F.lit(float(m)) for t, m in zip(self.terms, g.means)]
+        return F.lit(1.0 / self.n) + (quad_form(d, _safe_inv(g.cross)) if d else F.lit(0.0))
 
 
 def solve_from_gram(g: Gram, x: Sequence[str], y: str, intercept: bool = True):

@@ -27,7 +27,7 @@ def test_wide_and_weighted_paths_agree(spark, monkeypatch):
 
     df = panels.lineitem(spark, SF_SMALL)
     narrow = gram(df, LI)
-    monkeypatch.setattr(G, "WIDE_K", 1)  # force the Arrow X'X route
+    monkeypatch.setattr(G, "NARROW_K", 1)  # force the Arrow X'X route
     wide = G.gram(df, LI)
     np.testing.assert_allclose(wide.cross, narrow.cross, rtol=1e-9)
     weighted = G.gram(df.withColumn("w", F.lit(1.0)), LI, weight="w")
@@ -106,7 +106,7 @@ def test_shifted_gram_is_stable_with_large_offset(spark, rng, monkeypatch):
 
     x = rng.normal(size=(2000, 3)) + np.array([1e9, -5e8, 3.0])
     df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
-    monkeypatch.setattr(G, "WIDE_K", 1)
+    monkeypatch.setattr(G, "NARROW_K", 1)
     g = G.gram(df, ["a", "b", "c"])
     np.testing.assert_allclose(g.cov(), np.cov(x - x.mean(0), rowvar=False), rtol=1e-6)
 
@@ -116,7 +116,7 @@ def test_grouped_wide_path_matches_narrow(spark, monkeypatch):
 
     df = panels.lineitem(spark, SF_SMALL).withColumn("g", (F.col("l_orderkey") % 4).cast("int"))
     narrow = G.gram(df, LI, by="g")
-    monkeypatch.setattr(G, "WIDE_K", 1)
+    monkeypatch.setattr(G, "NARROW_K", 1)
     wide = G.gram(df, LI, by="g")
     assert set(narrow) == set(wide)
     for key in narrow:

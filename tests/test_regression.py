@@ -157,16 +157,6 @@ def test_registry_and_evaluation(spark, panel):
     assert train.count() + test.count() == panel.count()
 
 
-def test_shapiro_wilk_calibration(rng):
-    from stratum.operators.diagnostics import shapiro_wilk
-
-    w, p = shapiro_wilk(np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236.0]))
-    assert w == pytest.approx(0.789, abs=1e-3) and p < 0.01
-    rejections = np.mean([shapiro_wilk(rng.normal(size=60))[1] < 0.05 for _ in range(300)])
-    assert 0.01 < rejections < 0.10  # about the nominal 5% under normality
-    assert shapiro_wilk(rng.exponential(size=200))[1] < 1e-6
-
-
 def test_within_transform_equals_dummy_regression(spark, rng):
     """OLS9: entity fixed effects by demeaning give the dummy-variable coefficients and standard errors."""
     ents = np.repeat(np.arange(8), 15)
