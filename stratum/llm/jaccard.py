@@ -317,7 +317,10 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     """``docs`` with one document of each class: that with the smallest id (rows without id come last; repeated rows count once)."""
     found = written(_classes(docs, key, text, **options), "jaccard-found")
     gone = found.where("class_id <> key").select(F.col("key").alias("gone_key")).distinct()
-    again = found.groupBy(F.col("key").alias("again_key")).count().where("count > 1").select("again_key")
-    kept = packed(docs, key=_key(key, text), t=F.col(text)).join(gone, F.col("key") == F.col("gone_key"), "left_anti")
+    again = written(found.groupBy(F.col("key").alias("again_key")).count().where("count > 1").select("again_key"), "jaccard-again")
+    # what goes grows with the table: the join is by key at every size
+    kept = packed(docs, key=_key(key, text), t=F.col(text)).join(gone.hint("merge"), F.col("key") == F.col("gone_key"), "left_anti")
+    if again.isEmpty():
+        return unpacked(kept)
     once = kept.join(again, F.col("key") == F.col("again_key"), "left_anti")
     return unpacked(once.unionAll(kept.join(again, F.col("key") == F.col("again_key"), "left_semi").dropDuplicates(["key", "t"])))

@@ -188,7 +188,9 @@ def repeat(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     many = mixed.groupBy("m_key").count().where("count > 1 or m_key is null").select(F.col("m_key").alias("r_key"))
     many = written(many, "mix-repeated")
     rows = packed(docs, k=F.col(key).cast("long"), t=F.col(text))
-    once = rows.join(mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_anti"), F.col("k") == F.col("m_key"))
+    # the outcomes grow with the table: the join is by key at every size
+    single = mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_anti").hint("merge")
+    once = rows.join(single, F.col("k") == F.col("m_key"))
     # rows that share an id: the n-th by size gets the n-th outcome by size
     size = F.coalesce(F.regexp_count("t", F.lit(_WORD)), F.lit(0))
     twin = rows.join(many, F.col("k").eqNullSafe(F.col("r_key")), "left_semi").withColumn(
