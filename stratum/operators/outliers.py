@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..frames import small_frame
-from .profile import quantile_expr
-from .quantiles import quantiles
+from .quantiles import grouped_quantiles, quantiles
 
 
 @dataclass(frozen=True)
@@ -55,9 +54,9 @@ class Fences:
                            "feature string, lower double, upper double")
 
 
-def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5, method: str = "auto") -> Fences:
+def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> Fences:
     """OUT1: ``[q1 - k iqr, q3 + k iqr]`` from exact quartiles (see ``quantiles.quantiles``)."""
-    qs = quantiles(df, columns, [0.25, 0.75], method)
+    qs = quantiles(df, columns, [0.25, 0.75])
     lo, hi = [], []
     for c in columns:
         q = qs[c]
@@ -101,31 +100,16 @@ def compare_detectors(flagged: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def anomaly_share_by_period(df: DataFrame, time: str, columns: Sequence[str], k: float = 1.5,
-                            method: str = "auto") -> DataFrame:
+def anomaly_share_by_period(df: DataFrame, time: str, columns: Sequence[str], k: float = 1.5) -> DataFrame:
     """OUT6 piece: per period, share of rows with any IQR flag, with fences fitted *per period*.
 
-    Quartiles per (period, column) come from :func:`quantiles.quantiles` with
-    ``by=time`` (grouped map or grouped distributed sort); the fence table
-    (periods x columns numbers) is joined back as a broadcast literal table,
-    then one ``groupBy(time)`` computes the shares.
+    The fences are a table of one row per period, joined back on the period.
     """
-    qs = quantiles(df, columns, [0.25, 0.75], method, by=time)
-    periods = sorted({g for g, _ in qs}, key=lambda v: (v is None, v))
-    rows = []
-    for g in periods:
-        r = [g]
-        for c in columns:
-            q = qs.get((g, c))
-            r += [q[0], q[1]] if q else [None, None]
-        rows.append(tuple(r))
-    tdt = df.schema[time].dataType.simpleString()
-    schema = f"`{time}` {tdt}, " + ", ".join(f"q1_{i} double, q3_{i} double" for i in range(len(columns)))
-    fences = df.sparkSession.createDataFrame(rows, schema)
-    joined = df.join(F.broadcast(fences), time)  # one row per period: bounded by the number of periods
+    fences = grouped_quantiles(df, columns, [0.25, 0.75], time)
+    joined = df.join(fences, time)
     any_flag = F.lit(False)
     for i, c in enumerate(columns):
-        q1, q3 = F.col(f"q1_{i}"), F.col(f"q3_{i}")
+        q1, q3 = F.col(f"q{i}_0"), F.col(f"q{i}_1")
         iqr = q3 - q1
         any_flag = any_flag | F.coalesce((F.col(c) < q1 - k * iqr) | (F.col(c) > q3 + k * iqr), F.lit(False))
     return joined.groupBy(time).agg(F.avg(any_flag.cast("double")).alias("outlier_share"),

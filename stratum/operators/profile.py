@@ -13,18 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..frames import numeric_columns, small_frame
-
-
-def quantile_expr(c: str | Column, probs: Sequence[float] | float, exact: bool = True,
-                  accuracy: int = 100000) -> Column:
-    """Exact (linear interpolation, = numpy / DuckDB ``quantile_cont``) or approximate quantiles.
-
-    ``exact`` keeps a value->count map per group; use ``exact=False`` for
-    high-cardinality columns at very large scale (relative rank error 1/accuracy).
-    """
-    col = F.col(c) if isinstance(c, str) else c
-    p = F.array(*[F.lit(float(x)) for x in probs]) if isinstance(probs, (list, tuple)) else F.lit(float(probs))
-    return F.percentile(col, p) if exact else F.percentile_approx(col, p, accuracy)
+from .quantiles import grouped_quantiles, quantiles
 
 
 def long_by_feature(df: DataFrame, columns: Sequence[str], stats: dict[str, Callable[[Column], Column]]) -> DataFrame:
@@ -39,24 +28,18 @@ def long_by_feature(df: DataFrame, columns: Sequence[str], stats: dict[str, Call
     return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """AGG6: count, mean, std (sample), min, 25%, 50%, 75%, max per column.
 
-    Moments and extremes come from one aggregate; quartiles from
-    :func:`quantiles.quantiles` (map-based or sort-based by distinct count).
+    Moments and extremes come from one aggregate, quartiles from :func:`quantiles.quantiles`.
     """
-    from .quantiles import MAP_LIMIT, quantiles
-
     cols = list(columns) if columns is not None else numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"),
-                 F.approx_count_distinct(c).alias(f"d{i}")]
-    r = df.agg(*aggs).first()  # moments and the cardinality check share one pass
-    if method == "auto":
-        method = "percentile" if max(r[f"d{i}"] for i in range(len(cols))) <= MAP_LIMIT else "sort"
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], method)
+                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
+    r = df.agg(*aggs).first()
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75])
     rows = [(c, r[f"n{i}"], r[f"m{i}"], r[f"s{i}"], r[f"lo{i}"], *qs[c], r[f"hi{i}"]) for i, c in enumerate(cols)]
     return small_frame(df.sparkSession, rows, "feature string, count long, mean double, std double, min double, "
                                               "q25 double, q50 double, q75 double, max double")
@@ -88,16 +71,12 @@ def group_summary(df: DataFrame, by: Sequence[str], value: str, z: float = 1.96)
     return out.withColumn("se", se).withColumn("ci_low", F.col("mean") - z * se).withColumn("ci_high", F.col("mean") + z * se)
 
 
-def group_stats(df: DataFrame, by: str, value: str, method: str = "auto") -> DataFrame:
-    """AGG4: n, mean, sd, median, max per group (medians by grouped map or grouped sort)."""
-    from .quantiles import quantiles
-
+def group_stats(df: DataFrame, by: str, value: str) -> DataFrame:
+    """AGG4: n, mean, sd, median, max per group."""
     moments = df.groupBy(by).agg(F.count(F.col(value)).alias("n"), F.avg(value).alias("mean"),
                                  F.stddev_samp(value).alias("sd"), F.max(value).cast("double").alias("max"))
-    med = quantiles(df, [value], [0.5], method, by=by)
-    tdt = df.schema[by].dataType.simpleString()
-    meds = df.sparkSession.createDataFrame([(g, q[0]) for (g, _), q in med.items()], f"`{by}` {tdt}, median double")
-    return moments.join(F.broadcast(meds), by, "left")  # one row per group on both sides
+    medians = grouped_quantiles(df, [value], [0.5], by).withColumnRenamed("q0_0", "median")
+    return moments.join(medians, by, "left")
 
 
 def yearly_trend(df: DataFrame, time: str, value: str) -> DataFrame:
@@ -109,25 +88,21 @@ def yearly_trend(df: DataFrame, time: str, value: str) -> DataFrame:
                      F.count(F.lit(1)).alias("n_periods"))
 
 
-def range_summary(df: DataFrame, columns: Sequence[str], label: str, exact: bool = True) -> DataFrame:
-    """AGG10 piece: min, median, p99, max per column with an edition label (one aggregate)."""
-    aggs = []
-    for i, c in enumerate(columns):
-        aggs += [F.min(c).cast("double").alias(f"lo{i}"), quantile_expr(c, [0.5, 0.99], exact).alias(f"q{i}"),
-                 F.max(c).cast("double").alias(f"hi{i}")]
-    row = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("feature"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("median"),
-                        F.col(f"q{i}")[1].alias("p99"), F.col(f"hi{i}").alias("max")) for i, c in enumerate(columns)]
-    return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*").withColumn("edition", F.lit(label))
+def range_summary(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """AGG10 piece: min, median, p99, max per column with an edition label."""
+    aggs = [f(F.col(c)).cast("double").alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))]
+    r = df.agg(*aggs).first()
+    qs = quantiles(df, columns, [0.5, 0.99])
+    rows = [(c, r[f"lo{i}"], *qs[c], r[f"hi{i}"], label) for i, c in enumerate(columns)]
+    return small_frame(df.sparkSession, rows, "feature string, min double, median double, p99 double, max double, edition string")
 
 
-def tail_shares(df: DataFrame, column: str, upper: float, lower: float, exact: bool = True) -> DataFrame:
+def tail_shares(df: DataFrame, column: str, upper: float, lower: float) -> DataFrame:
     """AGG11: share above/below bounds, p1, p99, max."""
     c = F.col(column)
-    out = df.agg(F.avg((c > upper).cast("double")).alias("share_above"),
-                 F.avg((c < lower).cast("double")).alias("share_below"),
-                 quantile_expr(column, [0.01, 0.99], exact).alias("_q"), F.max(c).cast("double").alias("max"))
-    return out.select("share_above", "share_below", F.col("_q")[0].alias("p01"), F.col("_q")[1].alias("p99"), "max")
+    p01, p99 = quantiles(df, [column], [0.01, 0.99])[column]
+    return df.agg(F.avg((c > upper).cast("double")).alias("share_above"), F.avg((c < lower).cast("double")).alias("share_below"),
+                  F.lit(p01).cast("double").alias("p01"), F.lit(p99).cast("double").alias("p99"), F.max(c).cast("double").alias("max"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], time: str | None = None, approx_rsd: float | None = None):
@@ -139,17 +114,16 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], time: str | None = No
     return df.agg(*aggs)
 
 
-def agreement(df: DataFrame, a: str, b: str, exact: bool = True) -> DataFrame:
+def agreement(df: DataFrame, a: str, b: str) -> DataFrame:
     """AGG15: n, Pearson, OLS slope/intercept (b on a), bias, MAE, median/p95/max abs error."""
     pair = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     err = F.col(b) - F.col(a)
+    median, p95 = quantiles(pair.select(F.abs(err).alias("err")), ["err"], [0.5, 0.95])["err"]
     return pair.agg(F.count(F.lit(1)).alias("n"), F.corr(a, b).alias("pearson"),
                     F.regr_slope(b, a).alias("slope"), F.regr_intercept(b, a).alias("intercept"),
                     F.avg(err).alias("bias"), F.avg(F.abs(err)).alias("mae"),
-                    quantile_expr(F.abs(err), [0.5, 0.95], exact).alias("_q"),
-                    F.max(F.abs(err)).alias("max_abs_err")).select(
-        "n", "pearson", "slope", "intercept", "bias", "mae", F.col("_q")[0].alias("median_abs_err"),
-        F.col("_q")[1].alias("p95_abs_err"), "max_abs_err")
+                    F.lit(median).cast("double").alias("median_abs_err"), F.lit(p95).cast("double").alias("p95_abs_err"),
+                    F.max(F.abs(err)).alias("max_abs_err"))
 
 
 def value_sets(df: DataFrame, by: Sequence[str], column: str, flag: str) -> DataFrame:
@@ -187,10 +161,8 @@ def equal_width_bins(df: DataFrame, x: str, bins: int, value: str | None = None)
     return df.filter(F.col(x).isNotNull()).groupBy(b.alias("bin")).agg(*aggs)
 
 
-def quantile_edges(df: DataFrame, x: str, q: int, method: str = "auto") -> list[float]:
-    from .quantiles import quantiles
-
-    edges = quantiles(df, [x], [i / q for i in range(q + 1)], method)[x]
+def quantile_edges(df: DataFrame, x: str, q: int) -> list[float]:
+    edges = quantiles(df, [x], [i / q for i in range(q + 1)])[x]
     return sorted(set(float(e) for e in edges if e is not None))
 
 
@@ -201,9 +173,9 @@ def quantile_bin_expr(x: str | Column, edges: Sequence[float]) -> Column:
     return F.greatest(F.size(F.filter(arr, lambda e: e < col)), F.lit(1)).cast("int")
 
 
-def quantile_bins(df: DataFrame, x: str, q: int, value: str | None = None, method: str = "auto") -> DataFrame:
+def quantile_bins(df: DataFrame, x: str, q: int, value: str | None = None) -> DataFrame:
     """AGG19: qcut-style bins from exact quantile edges; fewer than 3 edges -> no bins."""
-    edges = quantile_edges(df, x, q, method)
+    edges = quantile_edges(df, x, q)
     if len(edges) < 3:
         return df.sparkSession.createDataFrame([], "bin int, n long, mean_x double, mean_value double")
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean_x")]
@@ -233,14 +205,12 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     return long.groupBy("feature", "bin", "left").agg(F.count(F.lit(1)).alias("count"))
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], k: float = 1.5, method: str = "auto") -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
     """CHD2: quartiles, whiskers (extreme values inside the fences) and flier counts.
 
     Quartiles first, then one scan for whiskers/fliers against literal fences.
     """
-    from .quantiles import quantiles
-
-    qs = quantiles(df, columns, [0.25, 0.5, 0.75], method)
+    qs = quantiles(df, columns, [0.25, 0.5, 0.75])
     aggs, fences = [], {}
     for i, c in enumerate(columns):
         q1, med, q3 = qs[c]

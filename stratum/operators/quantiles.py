@@ -1,145 +1,131 @@
-"""Exact quantiles that scale (used by AGG6, AGG19, OUT1, CHD2, CLN3).
+"""Exact quantiles by digit refinement (AGG4, AGG6, AGG10, AGG11, AGG15, AGG19, OUT1, OUT6, CHD2, CHD8, CLN3, CLN4).
 
-Spark's exact ``percentile`` keeps a value -> count map and merges it for a
-whole column in ONE final task: fine for thousands of distinct values, fatal
-for billions.  ``method="sort"`` computes the same linear-interpolation
-quantiles with a range-partitioned sort instead:
+A double becomes a 64-bit integer in the same order.  Counting its leading
+digit per (group, column) tells in which digit each wanted rank lies; counting
+the next digit among the rows that share it, and the last, gives the exact
+value.  Three scans, each an ordinary distributed count with map-side partial
+aggregation: no value map of a column, no sort of the rows, and the same path
+for any number of rows, groups or distinct values.  A digit has at most 2^22
+values, which bounds every running total.
 
-1. unpivot to (feature, value), range-partition on (feature, value, row tie)
-   and sort within partitions; a row's id encodes (partition, position);
-2. count rows per (partition, feature) - one row per pair, collected;
-3. the driver turns target ranks ``(n - 1) p`` into (partition, position)
-   ids and one filter pulls those <= 2 x features x probs rows.
-
-``method="auto"`` measures distinct counts with HyperLogLog first and only
-uses the map-based ``percentile`` below ``MAP_LIMIT`` distinct values.
+The result is a table; per-group quantiles never pass through the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-MAP_LIMIT = 2_000_000
-# The sorted route returns per-group positions through the driver: meant for
-# low-cardinality groups (periods, segments).  Above this many groups the
-# grouped map-based percentile is used instead (each group's map is small).
-SORT_MAX_GROUPS = 10_000
-_POS_BITS = 33
-
-
-def _sorted_long(df: DataFrame, columns: Sequence[str], partitions: int | None, by: str | None) -> DataFrame:
-    g = F.col(by) if by else F.lit(0)
-    src = df.select(F.monotonically_increasing_id().alias("_row"), g.alias("_g"),
-                    *[F.col(c).cast("double").alias(c) for c in columns])
-    long = src.select("_row", "_g", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("f"), F.col(c).alias("v")) for i, c in enumerate(columns)])).alias("r")).select(
-        "_row", "_g", "r.f", "r.v").filter(F.col("v").isNotNull() & ~F.isnan("v") & F.col("_g").isNotNull())
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the row id breaks runs of equal values, so a hot value still spreads over partitions
-    return (long.repartitionByRange(n, "_g", "f", "v", "_row").sortWithinPartitions("_g", "f", "v", "_row")
-            .withColumn("_mid", F.monotonically_increasing_id()))
-
-
-def sorted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None,
-                     partitions: int | None = None) -> dict:
-    """Exact quantiles (numpy 'linear') through a distributed sort.
-
-    Returns ``{column: [q...]}``, or ``{(group, column): [q...]}`` with ``by``.
-    Driver traffic: one count per (partition, group, column) and at most
-    2 x groups x columns x probs values.
-    """
-    ranked = _sorted_long(df, columns, partitions, by).persist(StorageLevel.MEMORY_AND_DISK)
+from pyspark.sql import types as T
+
+from ..session import drop_path, scratch_path
+
+#: bits left below the digits counted so far, after each scan
+_REST = (42, 21, 0)
+_LOW = np.int64(0x7FFFFFFFFFFFFFFF)
+
+
+def ordered_bits(v: np.ndarray) -> np.ndarray:
+    """Integers in the order of the doubles (-0.0 counts as 0.0)."""
+    bits = (v + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ _LOW, bits)
+
+
+def from_ordered_bits(bits: np.ndarray) -> np.ndarray:
+    """Inverse of :func:`ordered_bits`."""
+    return np.where(bits < 0, bits ^ _LOW, bits).astype(np.int64).view(np.float64)
+
+
+def _keys(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
+    """``(g, f, key)``: every value present, as an ordered integer."""
+    source = df.select((F.col(by) if by else F.lit(0)).alias("g"), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    source = source.where(F.col("g").isNotNull())
+    schema = T.StructType([T.StructField("g", source.schema["g"].dataType), T.StructField("f", T.IntegerType()), T.StructField("key", T.LongType())])
+
+    def run(batches):
+        for b in batches:
+            for i in range(len(columns)):
+                v = b.column(1 + i).to_numpy(zero_copy_only=False).astype(float)
+                at = np.flatnonzero(~np.isnan(v))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(at)), pa.array(np.full(len(at), i, np.int32)), pa.array(ordered_bits(v[at]))], names=["g", "f", "key"])
+
+    return source.mapInArrow(run, schema)
+
+
+def _stage(df: DataFrame, paths: list[str]) -> DataFrame:
+    """A small table between two scans, written so that a lost executor costs nothing."""
+    spark = df.sparkSession
+    paths.append(scratch_path(spark, "quantiles"))
+    df.write.parquet(paths[-1])
+    return spark.read.schema(df.schema).parquet(paths[-1])
+
+
+def _located(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` with the digit that holds its rank, and the rank within it."""
+    order = Window.partitionBy("g", "f", "prefix").orderBy("digit")
+    running = counts.withColumn("upto", F.sum("n").over(order)).select(
+        F.col("g").alias("cg"), F.col("f").alias("cf"), F.col("prefix").alias("cp"), "digit", "n", "upto")
+    hit = ((F.col("g") == F.col("cg")) & (F.col("f") == F.col("cf")) & (F.col("prefix") == F.col("cp"))
+           & (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+    return wanted.join(running, hit).select("g", "f", "p", "side", "frac", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
+                                            F.col("digit").alias("prefix"))
+
+
+def _exact(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None, paths: list[str]) -> DataFrame:
+    """``(g, f, p, value)``: position of the column and of the probability, and the quantile."""
+    keys = _keys(df, columns, by)
+    first = _stage(keys.groupBy("g", "f", F.shiftright("key", _REST[0]).alias("digit")).agg(F.count("*").alias("n"))
+                   .withColumn("prefix", F.lit(0).cast("long")), paths)
+    h = (F.col("total") - 1) * F.col("prob")
+    asked = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(p)).alias("prob")) for i, p in enumerate(probs)])).alias("a")
+    total = first.groupBy("g", "f").agg(F.sum("n").alias("total")).select("g", "f", "total", asked).select("g", "f", "total", "a.*")
+    ranked = total.select("g", "f", "p", (h - F.floor(h)).alias("frac"), F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.floor(h).alias("rank")),
+        F.struct(F.lit(1).alias("side"), F.least(F.floor(h) + 1, F.col("total") - 1).alias("rank")))).alias("r"))
+    wanted = ranked.select("g", "f", "p", "r.side", "frac", "r.rank", F.lit(0).cast("long").alias("prefix"))
+    wanted = _stage(_located(first, wanted), paths)
+    for above, rest in zip(_REST, _REST[1:]):
+        open_ = wanted.select(F.col("g").alias("wg"), F.col("f").alias("wf"), F.col("prefix").alias("wp")).distinct()
+        inside = keys.withColumn("prefix", F.shiftright("key", above)).join(
+            open_, (F.col("g") == F.col("wg")) & (F.col("f") == F.col("wf")) & (F.col("prefix") == F.col("wp")))
+        counts = inside.groupBy("g", "f", "prefix", F.shiftright("key", rest).alias("digit")).agg(F.count("*").alias("n"))
+        wanted = _stage(_located(counts, wanted), paths)
+
+    def decode(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(from_ordered_bits(b.column(5).to_numpy()))],
+                                             names=["g", "f", "p", "side", "frac", "v"])
+
+    schema = T.StructType([*(wanted.schema[n] for n in ("g", "f", "p", "side", "frac")), T.StructField("v", T.DoubleType())])
+    values = wanted.select("g", "f", "p", "side", "frac", "prefix").mapInArrow(decode, schema)
+    side = lambda s: F.max(F.when(F.col("side") == s, F.col("v")))
+    return values.groupBy("g", "f", "p").agg(side(0).alias("lo"), side(1).alias("hi"), F.max("frac").alias("frac")).select(
+        "g", "f", "p", (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("value"))
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles (numpy 'linear') of whole columns; None where a column has no value."""
+    columns = list(columns)
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    if not columns:
+        return out
+    paths: list[str] = []
     try:
-        pid = F.shiftright(F.col("_mid"), _POS_BITS)
-        counts = ranked.groupBy(pid.alias("pid"), "_g", "f").count().collect()
-        by_pid: dict[int, list] = {}
-        for r in counts:
-            by_pid.setdefault(r["pid"], []).append((r["_g"], r["f"], r["count"]))
-        # per (group, feature): ordered spans (pid, start position inside pid, count);
-        # rows inside a partition are sorted by (group, feature), so spans are contiguous
-        spans: dict[tuple, list[tuple[int, int, int]]] = {}
-        for p in sorted(by_pid):
-            start = 0
-            for g, f, c in sorted(by_pid[p], key=lambda t: (_sort_key(t[0]), t[1])):
-                spans.setdefault((g, f), []).append((p, start, c))
-                start += c
-        wanted: set[int] = set()
-        plan: dict[tuple, list[tuple[int, int, float]]] = {}
-        for key, sp in spans.items():
-            total = sum(c for _, _, c in sp)
-            plan[key] = []
-            for p in probs:
-                h = (total - 1) * float(p)
-                lo, frac = int(math.floor(h)), h - math.floor(h)
-                ids = []
-                for rank in (lo, min(lo + 1, total - 1)):
-                    off = 0
-                    for q, start, c in sp:
-                        if rank < off + c:
-                            ids.append((q << _POS_BITS) + start + (rank - off))
-                            break
-                        off += c
-                wanted.update(ids)
-                plan[key].append((ids[0], ids[1], frac))
-        vals = {}
-        if wanted:
-            for r in ranked.filter(F.col("_mid").isin(sorted(wanted))).select("_mid", "v").collect():
-                vals[r["_mid"]] = r["v"]
+        for r in _exact(df, columns, probs, None, paths).collect():  # columns x probabilities numbers
+            out[columns[r["f"]]][r["p"]] = r["value"]
     finally:
-        ranked.unpersist()
-    out: dict = {}
-    for (g, f), steps in plan.items():
-        res = [vals[a] + frac * (vals[b] - vals[a]) for a, b, frac in steps]
-        out[(g, columns[f]) if by else columns[f]] = res
-    if not by:
-        for c in columns:
-            out.setdefault(c, [None] * len(probs))
+        for p in paths:
+            drop_path(df.sparkSession, p)
     return out
 
 
-def _sort_key(v):
-    return (v is None, v)
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], method: str = "auto",
-              accuracy: int = 100000, by: str | None = None) -> dict:
-    """Quantiles of several columns (optionally per group): ``auto`` | ``percentile`` | ``sort`` | ``approx``.
-
-    ``auto`` takes the map-based ``percentile`` only when every column has at
-    most ``MAP_LIMIT`` distinct values (HyperLogLog estimate), else the sort.
-    With ``by`` the result is keyed by (group, column).
-    """
-    columns = list(columns)
-    if not columns:
-        return {}
-    if method == "auto":
-        aggs = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
-        if by:
-            aggs.append(F.approx_count_distinct(by).alias("_groups"))
-        nd = df.agg(*aggs).first()
-        method = "percentile" if max(nd[f"d{i}"] for i in range(len(columns))) <= MAP_LIMIT else "sort"
-        if by and nd["_groups"] > SORT_MAX_GROUPS:
-            method = "percentile"
-    if method == "sort":
-        return sorted_quantiles(df, columns, probs, by)
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    if method == "percentile":
-        aggs = [F.percentile(F.col(c).cast("double"), arr).alias(f"q{i}") for i, c in enumerate(columns)]
-    elif method == "approx":
-        aggs = [F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
-    else:
-        raise ValueError(f"unknown quantile method {method!r}")
-    if by:
-        out = {}
-        for row in df.filter(F.col(by).isNotNull()).groupBy(by).agg(*aggs).collect():  # one row per group
-            for i, c in enumerate(columns):
-                if row[f"q{i}"] is not None:
-                    out[(row[by], c)] = list(row[f"q{i}"])
-        return out
-    row = df.agg(*aggs).first()
-    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)) for i, c in enumerate(columns)}
+def grouped_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str) -> DataFrame:
+    """``(by, q{column}_{prob})``: a row per group, quantile columns by position; NULL where a group has no value."""
+    found = _exact(df, list(columns), probs, by, [])
+    picks = [F.max(F.when((F.col("f") == i) & (F.col("p") == j), F.col("value"))).alias(f"q{i}_{j}")
+             for i in range(len(columns)) for j in range(len(probs))]
+    return found.groupBy(F.col("g").alias(by)).agg(*picks)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 YEAR_SUFFIX = r"^(.*)_(\d{4})$"
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], value_name: str = "value", series_name: str = "series",
@@ -43,18 +42,6 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], var: str = "f
     return df.unpivot(list(ids), list(values), var, val)
 
 
-def sized_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join that broadcasts ``right`` only after checking its row count.
-
-    Above ``max_rows`` the join is left to the planner (sort-merge with AQE
-    skew splitting), so a dimension that grows with the data never blows up
-    executor memory.
-    """
-    n = right.count()
-    return left.join(F.broadcast(right) if n <= max_rows else right, on, how)
-
-
 def enrich_codes(df: DataFrame, name_col: str, dim: DataFrame, dim_name: str, dim_code: str,
                  code_col: str = "code", overrides: Mapping[str, str] | None = None,
                  overwrite: bool = False) -> DataFrame:
@@ -66,7 +53,7 @@ def enrich_codes(df: DataFrame, name_col: str, dim: DataFrame, dim_name: str, di
         return df
     base = df.drop(code_col) if code_col in df.columns else df
     lookup = dim.select(F.col(dim_name).alias("_name"), F.col(dim_code).alias("_code")).dropDuplicates(["_name"])
-    joined = sized_join(base, lookup, base[name_col] == lookup["_name"], "left")
+    joined = base.join(lookup, base[name_col] == lookup["_name"], "left")
     fallback = F.lit(None).cast("string")
     if overrides:
         m = F.create_map(*[x for kv in sorted(overrides.items()) for x in (F.lit(kv[0]), F.lit(kv[1]))])
@@ -125,4 +112,4 @@ def attach_attributes(df: DataFrame, attributes: DataFrame, key: str, order_by:
     from .clean import dedup_first
 
     dim = dedup_first(attributes, [key], order_by)
-    return sized_join(df, dim, key, "left")
+    return df.join(dim, key, "left")

@@ -86,11 +86,11 @@ def apply_transforms(df: DataFrame, tf_map: Mapping[str, Callable | None],
     return df.select(*out)
 
 
-def medians(df: DataFrame, columns: Sequence[str], method: str = "auto") -> dict[str, float | None]:
-    """Exact column medians (linear interpolation), map- or sort-based by distinct count."""
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact column medians (linear interpolation)."""
     from .quantiles import quantiles
 
-    return {c: v[0] for c, v in quantiles(df, list(columns), [0.5], method).items()}
+    return {c: v[0] for c, v in quantiles(df, list(columns), [0.5]).items()}
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:

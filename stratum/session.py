@@ -46,16 +46,20 @@ def get_session(master: str | None = None, app: str = "stratum", shuffle_partiti
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a private folder is only created when
-    nothing is configured (local tests).
+    A folder already set on the context is kept.  Only a local session
+    (tests) gets a private folder when nothing is configured; on a cluster
+    that is an error, for executors could not see the driver's folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or context.getCheckpointDir()
     if not configured:
+        if not (context.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured
 
 
@@ -63,3 +67,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that is no longer read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -135,12 +135,19 @@ def test_sorted_quantiles_match_numpy_with_hot_value_and_nulls(spark, rng):
     rows = [(float(a), None if i % 7 == 0 else float(b)) for i, (a, b) in enumerate(zip(x, y))]
     df = spark.createDataFrame(rows, "x double, y double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = quantiles(df, ["x", "y"], probs, method="sort")
+    got = quantiles(df, ["x", "y"], probs)
     ys = np.array([r[1] for r in rows if r[1] is not None])
     np.testing.assert_allclose(got["x"], np.quantile(x, probs), rtol=1e-12)
     np.testing.assert_allclose(got["y"], np.quantile(ys, probs), rtol=1e-12)
-    pct = quantiles(df, ["x", "y"], probs, method="percentile")
-    np.testing.assert_allclose(got["x"], pct["x"], rtol=1e-12)
+    from stratum.operators.quantiles import grouped_quantiles
+
+    wild = np.concatenate([rng.normal(size=500) * 10.0 ** rng.integers(-300, 300, 500), [0.0, -0.0, np.inf, -np.inf, 5e-324]])
+    frame = spark.createDataFrame([(("a", "b", None)[i % 3], float(v), None) for i, v in enumerate(wild)], "g string, v double, none double").repartition(5)
+    rows = {r.g: r for r in grouped_quantiles(frame, ["v", "none"], [0.0, 0.5, 1.0], "g").collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].q1_1 is None
+    for k, g in enumerate("ab"):
+        np.testing.assert_allclose([rows[g].q0_0, rows[g].q0_1, rows[g].q0_2], np.quantile(wild[k::3], [0.0, 0.5, 1.0]), rtol=1e-12)
+    assert quantiles(frame.where("false"), ["v"], [0.5]) == {"v": [None]}
 
 
 def test_forest_vectorised_walk_matches_naive(spark, outlier_frame):
