@@ -1,11 +1,9 @@
 """Cleaning: carry-forward, imputation, dedup, filters, per-entity lags
 (CLN1-CLN10, FLT1-FLT8, WIN1, WIN2, WIN4).
 
-Per-entity sequential operators (LOCF, lag) are written as a *segmented
-scan*: rows are split into (entity, chunk) segments that are processed
-independently, and only the last value of each segment travels to the next
-one.  A single entity holding a third of all rows therefore spreads over as
-many tasks as it has chunks instead of landing in one window partition.
+Per-entity sequential operators (LOCF, lag) are ordered scans over range
+partitions (:mod:`scan`): an entity that holds a third of all rows is many
+partitions, not one window.
 """
 
 from __future__ import annotations
@@ -16,56 +14,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..frames import numeric_columns
+from .scan import filled_forward, previous_row
 
 
 def carry_forward(df: DataFrame, entity: str, time: str, columns: Sequence[str] | None = None,
-                  chunk: Column | None = None, drop_remaining: bool = False) -> DataFrame:
-    """CLN1/WIN1: last observation carried forward per entity in time order.
-
-    ``chunk`` (e.g. ``floor(year / 4)`` or a month bucket of a timestamp)
-    enables the two-level scan for hot entities; without it a single window
-    per entity is used.
-    """
+                  drop_remaining: bool = False) -> DataFrame:
+    """CLN1/WIN1: last observation carried forward per entity in time order."""
     cols = list(columns) if columns is not None else [c for c in df.columns if c not in (entity, time)]
-    if chunk is None:
-        w = Window.partitionBy(entity).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-        out = df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    else:
-        seg = df.withColumn("_chunk", chunk)
-        w_local = Window.partitionBy(entity, "_chunk").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-        local = seg.withColumns({c: F.last(c, ignorenulls=True).over(w_local) for c in cols})
-        # one row per (entity, chunk): the chunk's last non-null value of every column
-        tails = seg.groupBy(entity, "_chunk").agg(
-            *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(time))).alias(f"_t_{c}") for c in cols])
-        w_prev = Window.partitionBy(entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = tails.select(entity, "_chunk",
-                             *[F.last(f"_t_{c}", ignorenulls=True).over(w_prev).alias(f"_in_{c}") for c in cols])
-        out = (local.join(carry, [entity, "_chunk"], "left")
-               .withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols})
-               .drop("_chunk", *[f"_in_{c}" for c in cols]))
+    out = filled_forward(df, entity, time, cols)
     return out.dropna(subset=cols) if drop_remaining else out
 
 
 def lag_by_entity(df: DataFrame, entity: str, time: str, column: str, name: str | None = None,
-                  chunk: Column | None = None, drop_missing: bool = True) -> DataFrame:
-    """WIN2: previous *row's* value per entity (not previous calendar year).
-
-    With ``chunk`` the first row of each segment takes the last value of the
-    previous non-empty segment of the same entity (segmented scan).
-    """
+                  drop_missing: bool = True) -> DataFrame:
+    """WIN2: previous *row's* value per entity (not previous calendar year)."""
     name = name or f"{column}_lag1"
-    if chunk is None:
-        out = df.withColumn(name, F.lag(column).over(Window.partitionBy(entity).orderBy(time)))
-    else:
-        seg = df.withColumn("_chunk", chunk)
-        local = seg.withColumn(name, F.lag(column).over(Window.partitionBy(entity, "_chunk").orderBy(time)))
-        tails = seg.groupBy(entity, "_chunk").agg(F.max_by(F.col(column), F.col(time)).alias("_last"))
-        prev = tails.select(entity, "_chunk", F.lag("_last").over(Window.partitionBy(entity).orderBy("_chunk"))
-                            .alias("_prev"))
-        first_in_chunk = F.row_number().over(Window.partitionBy(entity, "_chunk").orderBy(time)) == 1
-        out = (local.join(prev, [entity, "_chunk"], "left")
-               .withColumn(name, F.when(first_in_chunk, F.col("_prev")).otherwise(F.col(name)))
-               .drop("_chunk", "_prev"))
+    out = previous_row(df, entity, time, column, name)
     return out.filter(F.col(name).isNotNull()) if drop_missing else out
 
 
@@ -79,7 +43,7 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float | Non
 
 
 def impute(df: DataFrame, columns: Sequence[str], strategy: str = "median", entity: str | None = None,
-           time: str | None = None, drop_remaining: bool = False, chunk: Column | None = None) -> DataFrame:
+           time: str | None = None, drop_remaining: bool = False) -> DataFrame:
     """CLN2: ``drop`` | ``median`` | ``mean`` | ``zero`` | ``carry_forward``."""
     from .scale import medians
 
@@ -95,7 +59,7 @@ def impute(df: DataFrame, columns: Sequence[str], strategy: str = "median", enti
     elif strategy == "carry_forward":
         if not entity or not time:
             raise ValueError("carry_forward needs entity and time columns")
-        out = carry_forward(df, entity, time, cols, chunk=chunk)
+        out = carry_forward(df, entity, time, cols)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.dropna(subset=cols) if drop_remaining else out

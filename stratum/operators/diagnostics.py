@@ -278,8 +278,9 @@ def refit_without(model: OLSModel, df: DataFrame, max_cooks: float | None = None
     bound = 4.0 / model.n if max_cooks is None else max_cooks
     if bound <= 0:
         raise ValueError("Cook's distance bound must be positive")
-    infl_cols = influence(model, df, keep=df.columns)
-    kept = infl_cols.filter(F.col("cooks_d") <= F.lit(bound)).select(*df.columns)
+    # the whole row travels as one column, so no name of the table can clash with the influence columns
+    rows = df.select("*", F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    kept = influence(model, rows, keep=["_row"]).filter(F.col("cooks_d") <= F.lit(bound)).select("_row.*")
     terms: list[Term] = list(model.terms)
     g = gram(kept.select(*[t.expr.cast("double").alias(f"_t{i}") for i, t in enumerate(terms)],
                          F.col(model.target).cast("double").alias("_y")),

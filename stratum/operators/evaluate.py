@@ -18,6 +18,7 @@ from ..functions.hashrand import poisson1_from, uniform
 from .gram import gram
 from .ols import OLSModel, model_from_gram
 from .profile import quantile_bin_expr, quantile_edges
+from .quantiles import quantiles
 
 
 def split(df: DataFrame, key: Sequence[str], test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -31,26 +32,33 @@ def evaluate(models: dict[str, OLSModel], df: DataFrame) -> DataFrame:
 
     All predictions are columns of ONE projection and all metrics ONE aggregate.
     """
-    cols = {}
-    for name, m in models.items():
+    cols, aggs, structs = [], [], []
+    for i, (name, m) in enumerate(models.items()):  # columns by position: a model may have any name
         ok = F.col(m.target).isNotNull()
         for t in m.terms:
             ok = ok & t.expr.isNotNull()
         yhat = m.predict_expr()
-        cols[name] = (F.when(ok, F.col(m.target).cast("double")), F.when(ok, yhat))
-    proj = df.select(*[c for name, (y, p) in cols.items() for c in (y.alias(f"y_{name}"), p.alias(f"p_{name}"))])
-    aggs = []
-    for name in cols:
-        y, p = F.col(f"y_{name}"), F.col(f"p_{name}")
-        aggs += [F.count(y).alias(f"n_{name}"), F.avg((y - p) * (y - p)).alias(f"mse_{name}"),
-                 F.avg(F.abs(y - p)).alias(f"mae_{name}"), F.var_pop(y).alias(f"var_{name}")]
-    row = proj.agg(*aggs)
-    structs = [F.struct(F.lit(name).alias("model"), F.col(f"n_{name}").alias("n"),
-                        F.sqrt(F.col(f"mse_{name}")).alias("rmse"), F.col(f"mae_{name}").alias("mae"),
-                        (F.lit(1.0) - F.col(f"mse_{name}") / F.col(f"var_{name}")).alias("r2")) for name in cols]
+        cols += [F.when(ok, F.col(m.target).cast("double")).alias(f"y{i}"), F.when(ok, yhat).alias(f"p{i}")]
+        y, p = F.col(f"y{i}"), F.col(f"p{i}")
+        aggs += [F.count(y).alias(f"n{i}"), F.avg((y - p) * (y - p)).alias(f"mse{i}"),
+                 F.avg(F.abs(y - p)).alias(f"mae{i}"), F.var_pop(y).alias(f"var{i}")]
+        structs.append(F.struct(F.lit(name).alias("model"), F.col(f"n{i}").alias("n"), F.sqrt(F.col(f"mse{i}")).alias("rmse"),
+                                F.col(f"mae{i}").alias("mae"), F.when(F.col(f"var{i}") > 0, F.lit(1.0) - F.col(f"mse{i}") / F.col(f"var{i}")).alias("r2")))
+    row = df.select(*cols).agg(*aggs)
     return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
+def cross_period(models: dict[object, OLSModel], df: DataFrame, by: str) -> DataFrame:
+    """EVA6: each period's model scored on every period: ``(trained_on, by, n, rmse, mae, r2)``, one pass."""
+    scored = evaluate_by({str(k): m for k, m in models.items()}, df, by)
+    return scored.withColumnRenamed("model", "trained_on")
+
+
+def mean_over_periods(scored: DataFrame, model: str = "model") -> DataFrame:
+    """EVA2: mean of the per-period metrics of each model."""
+    return scored.groupBy(model).agg(F.count(F.lit(1)).alias("n_periods"), *[F.avg(c).alias(f"mean_{c}") for c in ("rmse", "mae", "r2")])
+
+
 def evaluate_by(models: dict[str, OLSModel], df: DataFrame, by: str) -> DataFrame:
     """EVA2: the same models on every period: one ``groupBy(period)`` over a (model, y, yhat) stream."""
     structs = []
@@ -64,7 +72,7 @@ def evaluate_by(models: dict[str, OLSModel], df: DataFrame, by: str) -> DataFram
     e = F.col("y") - F.col("p")
     return long.groupBy(by, "model").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"),
                                          F.avg(F.abs(e)).alias("mae"),
-                                         (F.lit(1.0) - F.avg(e * e) / F.var_pop("y")).alias("r2"))
+                                         F.when(F.var_pop("y") > 0, F.lit(1.0) - F.avg(e * e) / F.var_pop("y")).alias("r2"))
 
 
 def split_metrics(model_train: OLSModel, test: DataFrame) -> dict[str, float]:
@@ -173,21 +181,22 @@ def confidence_band(model: OLSModel, spark, x: str, lo: float, hi: float, at: di
 
 
 def interaction_grid(model: OLSModel, df: DataFrame, x: str, by: str, n_points: int = 12,
-                     max_levels: int = 6) -> DataFrame:
-    """OLS7: predictions over a grid of ``x`` for each level of ``by``.
+                     levels: Sequence | None = None, probs: Sequence[float] | None = None, max_levels: int = 50) -> DataFrame:
+    """OLS7: predictions over a grid of ``x`` for chosen values of ``by``.
 
-    At most ``max_levels`` distinct values of ``by`` are used as they are,
-    otherwise its quartiles; the (x, level) grid has at most
-    ``n_points x max_levels`` rows and is built on the driver.
+    The caller says which: ``levels``, or quantiles at ``probs``, or neither for
+    every distinct value of a category (an error above ``max_levels``: a grid of
+    a continuous column is never silently thinned out).  NULL is no level.
     """
-    from .quantiles import quantiles
-
-    first = [r[0] for r in df.select(by).distinct().limit(max_levels + 1).collect()]  # bounded read
-    levels = sorted(float(v) for v in first if v is not None)
-    if len(first) > max_levels:
-        levels = [float(q) for q in quantiles(df, [by], [0.25, 0.5, 0.75])[by]]
-    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    if levels is None and probs is not None:
+        levels = sorted(set(quantiles(df, [by], list(probs))[by]) - {None})
+    elif levels is None:
+        found = df.select(by).where(F.col(by).isNotNull()).distinct().limit(max_levels + 1).collect()  # bounded read
+        if len(found) > max_levels:
+            raise ValueError(f"{by!r} has more than {max_levels} values: name levels or probs")
+        levels = sorted(r[0] for r in found)
+    lo, hi = df.agg(F.min(x).cast("double"), F.max(x).cast("double")).first()
     step = (hi - lo) / max(n_points - 1, 1)
-    rows = [(float(lo + i * step), lv) for lv in levels for i in range(n_points)]
-    grid = df.sparkSession.createDataFrame(rows, f"`{x}` double, `{by}` double")
-    return model.predict(grid, keep=[by, x])
+    kind = df.schema[by].dataType.simpleString() if probs is None else "double"
+    rows = [(lo + i * step, v) for v in levels for i in range(n_points)]
+    return model.predict(df.sparkSession.createDataFrame(rows, f"`{x}` double, `{by}` {kind}"), keep=[by, x])

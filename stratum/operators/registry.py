@@ -64,11 +64,11 @@ class ModelRegistry:
         return name
 
     def fit(self, df: DataFrame, target: str, rhs: Sequence[str], name: str | None = None, refit: bool = False,
-            cooks_threshold: float | None = None) -> Entry:
+            cooks_threshold: float | str | None = None) -> Entry:
         """Fit and register; a cached name returns the stored entry unless ``refit``.
 
-        REG2: with ``cooks_threshold`` (``"4/n"`` semantics when 0 < t) the
-        model is refit without rows whose Cook's distance exceeds t; the
+        REG2: with ``cooks_threshold`` (a bound, or ``"4/n"`` for four over the
+        rows of the fit) the model is refit without rows whose Cook's distance exceeds it; the
         untrimmed fit is kept as ``entry.initial`` and as ``{name}_initial``.
         """
         name = name or (_slug("_".join(rhs)) or "intercept")
@@ -76,10 +76,11 @@ class ModelRegistry:
             return self._entries[name]
         model = fit_ols(df, target, list(rhs))
         if cooks_threshold is not None:
-            if cooks_threshold <= 0:
+            bound = None if cooks_threshold == "4/n" else float(cooks_threshold)
+            if bound is not None and bound <= 0:
                 raise ValueError("cooks_threshold must be positive")
             initial = Entry(f"{name}_initial", list(rhs), model, {**model.metrics(), **residual_metrics(model, df)})
-            trimmed, kept = refit_without(model, df, cooks_threshold)
+            trimmed, kept = refit_without(model, df, bound)
             entry = Entry(name, list(rhs), trimmed, {**trimmed.metrics(), **residual_metrics(trimmed, kept)},
                           initial=initial)
             self._entries[initial.name] = initial
@@ -105,6 +106,13 @@ class ModelRegistry:
     def register_best_paths(self, paths: Sequence[SelectionPath], prefix: str = "sel") -> list[Entry]:
         return [self.add_from_path(p, self._auto_name([prefix, p.direction, p.criterion])) for p in paths]
 
+    def path_table(self, spark) -> DataFrame:
+        """REG3: which path and step each registered model came from, with its metrics."""
+        rows = [(e.name, e.path.direction, e.path.criterion, e.path.best.step, len(e.rhs), e.path.best.value(e.path.criterion),
+                 e.metrics["aic"], e.metrics["bic"], e.metrics["adj_r2"], e.metrics["rmse"]) for e in self if e.path is not None]
+        return small_frame(spark, rows, "model string, direction string, criterion string, step int, n_terms int, value double, "
+                                        "aic double, bic double, adj_r2 double, rmse double")
+
     # --- EVA1 by label / REG4 ---------------------------------------------------------------------
     def evaluate_all(self, df: DataFrame, label: str) -> DataFrame:
         """All models on new data in one projection + one aggregate; stored per label."""

@@ -2,7 +2,7 @@
 
 A term spec is one of ``a``, ``a:b``, ``a*b`` (expands to a, b, a:b),
 ``I(a^n)``, ``C(a)`` (treatment dummies, first level dropped) and
-``bs(a, df=k[, degree=d])`` (B-spline basis).  Data-dependent pieces (dummy
+``bs(a, df=k[, degree=d][, lower_bound=x][, upper_bound=y])`` (B-spline basis).  Data-dependent pieces (dummy
 levels, spline knots) are computed once from the training frame and stored
 in the term, so prediction on new rows or another period reuses them.
 """
@@ -29,13 +29,15 @@ class Term:
 
 _POW = re.compile(r"^I\(\s*(\w+)\s*\^\s*(\d+)\s*\)$")
 _CAT = re.compile(r"^C\(\s*(\w+)\s*\)$")
-_BS = re.compile(r"^bs\(\s*(\w+)\s*(?:,\s*df\s*=\s*(\d+))?\s*(?:,\s*degree\s*=\s*(\d+))?\s*\)$")
+_NUMBER = r"([-+]?[\d.]+(?:[eE][-+]?\d+)?)"
+_BS = re.compile(r"^bs\(\s*(\w+)\s*(?:,\s*df\s*=\s*(\d+))?\s*(?:,\s*degree\s*=\s*(\d+))?"
+                 rf"\s*(?:,\s*lower_bound\s*=\s*{_NUMBER})?\s*(?:,\s*upper_bound\s*=\s*{_NUMBER})?\s*\)$")
 
 
 def bspline_basis(x: Column, knots: Sequence[float], degree: int, lo: float, hi: float) -> list[Column]:
     """Cox-de Boor recursion as Column expressions; intercept column dropped.
 
-    Values outside [lo, hi] give NULL (bounds must cover hold-out data).
+    A value outside [lo, hi] is an error: give bounds that cover the data to be scored.
     """
     t = [lo] * (degree + 1) + list(knots) + [hi] * (degree + 1)
     n_basis = len(t) - degree - 1
@@ -59,7 +61,8 @@ def bspline_basis(x: Column, knots: Sequence[float], degree: int, lo: float, hi:
                 right = (F.lit(t[i + p + 1]) - x) / F.lit(t[i + p + 1] - t[i + 1]) * level[i + 1]
             nxt.append(left + right)
         level = nxt
-    return [F.when(inside, level[i]) for i in range(1, n_basis)]
+    beyond = F.raise_error(F.concat(F.lit(f"outside the spline bounds [{lo}, {hi}]: "), x.cast("string"))).cast("double")
+    return [F.when(inside, level[i]).when(x.isNotNull() & ~F.isnan(x), beyond) for i in range(1, n_basis)]
 
 
 def expand(specs: Sequence[str | Term], df: DataFrame | None = None) -> list[Term]:
@@ -78,7 +81,9 @@ def expand(specs: Sequence[str | Term], df: DataFrame | None = None) -> list[Ter
             if df is None:
                 raise ValueError("C() terms need the training frame for their levels")
             levels = [r[0] for r in df.select(a).distinct().dropna().orderBy(a).collect()]  # categorical levels
-            out += [Term(f"C({a})[T.{v}]", (F.col(a) == F.lit(v)).cast("double"), (a,)) for v in levels[1:]]
+            # a level that the training frame lacks has no coefficient: NULL, so the row is not scored as the first level
+            known = F.col(a).isin(levels)
+            out += [Term(f"C({a})[T.{v}]", F.when(known, (F.col(a) == F.lit(v)).cast("double")), (a,)) for v in levels[1:]]
         elif m := _BS.match(s):
             a, k, deg = m.group(1), int(m.group(2) or 4), int(m.group(3) or 3)
             if df is None:
@@ -88,7 +93,8 @@ def expand(specs: Sequence[str | Term], df: DataFrame | None = None) -> list[Ter
             from .quantiles import quantiles
 
             qs = quantiles(df, [a], [0.0, *probs, 1.0])[a]
-            lo, hi = float(qs[0]), float(qs[-1])
+            lo = float(m.group(4)) if m.group(4) else float(qs[0])
+            hi = float(m.group(5)) if m.group(5) else float(qs[-1])
             knots = list(qs[1:-1])
             basis = bspline_basis(F.col(a).cast("double"), knots, deg, lo, hi)
             out += [Term(f"{a}_bs{j + 1}", e, (a,)) for j, e in enumerate(basis)]

@@ -21,7 +21,7 @@ def _null_panel(spark, sf):
     return panels.with_planted_nulls(panels.customer_year_panel(spark, sf))
 
 
-# --- CLN1/WIN1: carry forward (segmented scan over 3-year chunks) ------------------------------
+# --- CLN1/WIN1: carry forward (ordered scan over range partitions) ------------------------------
 @query("carry_forward", oracle=f"""
 SELECT c_custkey, year, {", ".join(
     f"round(last_value({c} IGNORE NULLS) OVER (PARTITION BY c_custkey ORDER BY year "
@@ -30,7 +30,7 @@ FROM {NULL_PANEL_SQL}
 """)
 def carry_forward(spark, sf):
     df = _null_panel(spark, sf).select("c_custkey", "year", *_FILL)
-    return rounded(K.carry_forward(df, "c_custkey", "year", _FILL, chunk=F.floor(F.col("year") / 3)))
+    return rounded(K.carry_forward(df, "c_custkey", "year", _FILL))
 
 
 @query("carry_forward_complete", oracle=f"""
@@ -153,7 +153,7 @@ SELECT * FROM (SELECT c_custkey, year, round(total_value, 6) + 0.0 AS total_valu
 """)
 def lag_target(spark, sf):
     df = panels.customer_year_panel(spark, sf).select("c_custkey", "year", "total_value")
-    return rounded(K.lag_by_entity(df, "c_custkey", "year", "total_value", chunk=F.floor(F.col("year") / 3)))
+    return rounded(K.lag_by_entity(df, "c_custkey", "year", "total_value"))
 
 
 # --- WIN4: row of the minimum per group -------------------------------------------------------------

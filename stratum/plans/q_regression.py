@@ -337,7 +337,7 @@ def registry_compare(spark, sf):
     reg = ModelRegistry()
     reg.fit(train, Y, [X])
     reg.fit(train, Y, [X, X2], name="two")
-    reg.fit(train, Y, [X, X2], name="two_trimmed", cooks_threshold=4.0 / 6000)
+    reg.fit(train, Y, [X, X2], name="two_trimmed", cooks_threshold="4/n")
     reg.fit_stepwise(train, Y, [], CANDS, name="stepwise_bic", direction="stepwise", criterion="bic")
     reg.evaluate_all(test, "holdout")
     return rounded(reg.compare(spark, sort_by="aic").drop("rhs"))
@@ -470,17 +470,17 @@ def confidence_band(spark, sf):
 
 @query("interaction_effects")
 def interaction_effects(spark, sf):
-    """OLS7: predictions over x for the levels of ``by`` (<= 6 distinct -> all levels)."""
+    """OLS7: predictions over x at the quartiles of ``by``."""
     p = _panel(spark, sf)
     m = L.fit_ols(p, Y, [X, X2, f"{X}:{X2}"])
-    return rounded(E.interaction_grid(m, p, X2, X, n_points=12, max_levels=6))
+    return rounded(E.interaction_grid(m, p, X2, X, n_points=12, probs=(0.25, 0.5, 0.75)))
 
 
 # --- OLS9: panel regression with lagged target and entity fixed effects ------------------------------------------------
 @query("panel_fixed_effects")
 def panel_fixed_effects(spark, sf):
     p = _panel(spark, sf).select("c_custkey", "year", Y, X)
-    lagged = lag_by_entity(p, "c_custkey", "year", Y, chunk=F.floor(F.col("year") / 3))
+    lagged = lag_by_entity(p, "c_custkey", "year", Y)
     lagged = lagged.withColumn("trend", F.col("year") - F.lit(1995))
     within = L.within_transform(lagged, "c_custkey", [Y, f"{Y}_lag1", X, "trend"])
     n_entities = lagged.agg(F.countDistinct("c_custkey")).first()[0]

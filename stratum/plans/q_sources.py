@@ -119,22 +119,15 @@ FROM events, s
 def stream_scoring(spark, sf):
     """Fitted scaler and z-score fences (batch) applied to the events table read as a file stream.
 
-    The stream runs to completion (``availableNow``) into a memory table whose
-    checkpoint lives under the shared checkpoint folder.
+    The stream runs to completion (``availableNow``) into Parquet under the shared folder.
     """
-    import uuid
-
     from ..operators import outliers as O
     from ..operators import scale as S
     from ..sources.tables import table
-    from ..streaming.scoring import read_table_stream, score_stream
+    from ..streaming.scoring import read_table_stream, run_to_parquet, score_stream
 
     ev = table(spark, sf, "events")
     scaler = S.fit_scaler(ev, ["value"])
     fences = O.zscore_fences(ev, ["value"], 3.0)
-    name = f"scored_events_{uuid.uuid4().hex[:8]}"
     out = score_stream(read_table_stream(spark, sf, "events"), keep=["event_id"], scaler=scaler, fences=fences)
-    q = (out.writeStream.format("memory").queryName(name).trigger(availableNow=True)
-         .option("checkpointLocation", scratch_path(spark, "stream-ckpt")).start())
-    q.awaitTermination()
-    return rounded(spark.table(name))
+    return rounded(run_to_parquet(out, scratch_path(spark, "stream-rows"), scratch_path(spark, "stream-ckpt")))

@@ -21,10 +21,18 @@ from ..sources.tables import table
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """A driver table as a file stream (schema taken from the batch reader, never inferred)."""
+    """A table, one file or a folder of files, as a file stream (schema taken from the batch reader, never inferred)."""
     schema = table(spark, sf_dir, name).schema
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-            .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/")))
+            .parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]"))  # a pattern, since the source takes a plain path for a folder
+
+
+def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Process what the stream holds now into a Parquet folder, and read it."""
+    query = (stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
 def score_stream(stream: DataFrame, keep: Sequence[str] = (), scaler: ScalerModel | None = None,

@@ -24,24 +24,41 @@ def _locf_pandas(pdf, cols):
     return pdf
 
 
-def test_carry_forward_segmented_equals_single_window(spark, null_panel):
+def test_carry_forward_equals_pandas(spark, null_panel):
     cols = ["avg_value", "max_value", "share_finished"]
     base = null_panel.select("c_custkey", "year", *cols)
     a = K.carry_forward(base, "c_custkey", "year", cols).toPandas().sort_values(["c_custkey", "year"])
-    b = K.carry_forward(base, "c_custkey", "year", cols, chunk=F.floor(F.col("year") / 2)).toPandas().sort_values(
-        ["c_custkey", "year"])
     ref = _locf_pandas(base.toPandas(), cols)
     for c in cols:
         np.testing.assert_allclose(a[c].to_numpy(dtype=float), ref[c].to_numpy(dtype=float), equal_nan=True)
-        np.testing.assert_allclose(b[c].to_numpy(dtype=float), ref[c].to_numpy(dtype=float), equal_nan=True)
 
 
-def test_lag_segmented(spark):
-    p = panels.customer_year_panel(spark, SF_SMALL).select("c_custkey", "year", "total_value")
-    a = K.lag_by_entity(p, "c_custkey", "year", "total_value").toPandas().sort_values(["c_custkey", "year"])
-    b = K.lag_by_entity(p, "c_custkey", "year", "total_value", chunk=F.col("year")).toPandas().sort_values(
-        ["c_custkey", "year"])
-    np.testing.assert_allclose(a["total_value_lag1"], b["total_value_lag1"])
+def test_scans_with_a_hot_entity_and_awkward_rows(spark, rng):
+    """One entity over many partitions and batches, null entities, gaps longer than a partition, text values."""
+    import pandas as pd
+
+    n = 3000
+    pdf = pd.DataFrame({"e": ["hot"] * n + [f"e{i % 40}" for i in range(900)] + [None] * 60, "t": list(range(n)) + list(range(900)) + list(range(60))})
+    pdf["v"] = [f"v{i}" if i % 37 == 0 and not 800 < i < 2200 else None for i in range(len(pdf))]
+    pdf["x"] = [float(i) if i % 5 else None for i in range(len(pdf))]
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), "e string, t long, v string, x double").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        key = lambda r: (r.e or "", r.t)
+        got = sorted(K.carry_forward(df, "e", "t", ["v", "x"]).collect(), key=key)
+        lag = sorted(K.lag_by_entity(df, "e", "t", "v", drop_missing=False).collect(), key=key)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    held, before = {}, {}
+    for g, p, r in zip(got, lag, sorted(df.collect(), key=key)):
+        for c in ("v", "x"):
+            if r[c] is not None:
+                held[r.e, c] = r[c]
+            assert g[c] == held.get((r.e, c))
+        assert p.v == r.v and p.v_lag1 == before.get(r.e)
+        before[r.e] = r.v
+    assert len(got) == len(pdf)
+    assert K.carry_forward(df.where("false"), "e", "t", ["v"]).count() == 0
 
 
 def test_dedup_first_and_argmin(spark):

@@ -59,3 +59,62 @@ def test_domain_index_and_sentinel(spark):
     s = [r[0] for r in df.select(T.sentinel_to_null(F.col("g"), 0.0)).collect()]
     assert s[2] is None and s[0] == 100.0
     assert math.isclose(T.log1p_under_coverage(F.lit(99.0)) is not None, True)
+
+
+def test_unseen_levels_and_spline_bounds(spark):
+    from stratum.operators import evaluate as E
+    from stratum.operators import ols as L
+
+    rows = [(float(i), "abc"[i % 3], float(i % 3 + 0.1 * i + (i * 7 % 5))) for i in range(60)]
+    train = spark.createDataFrame(rows, "x double, g string, y double")
+    other = spark.createDataFrame([*rows[:10], (3.0, "new", 1.0)], "x double, g string, y double")
+    m = L.fit_ols(train, "y", ["x", "C(g)"])
+    got = E.evaluate({"a model.with dots": m}, other).first()
+    assert (got["model"], got["n"]) == ("a model.with dots", 10)  # the unseen level has no prediction
+    far = spark.createDataFrame([(90.0, "a", 1.0)], "x double, g string, y double")
+    with pytest.raises(Exception, match="outside the spline bounds"):
+        E.evaluate({"s": L.fit_ols(train, "y", ["bs(x, df=4)"])}, far).collect()
+    wide = L.fit_ols(train, "y", ["bs(x, df=4, lower_bound=-10, upper_bound=100.0)"])
+    assert E.evaluate({"s": wide}, far).first()["n"] == 1
+
+
+def test_grid_levels_are_the_callers_choice(spark):
+    from stratum.operators import evaluate as E
+    from stratum.operators import ols as L
+
+    rows = [(float(i), ("a", "b", None)[i % 3], float(i), float(i % 7)) for i in range(90)]
+    df = spark.createDataFrame(rows, "x double, g string, z double, y double")
+    m = L.fit_ols(df, "y", ["x", "C(g)"])
+    assert {r.g for r in E.interaction_grid(m, df, "x", "g", 3).collect()} == {"a", "b"}
+    n = L.fit_ols(df, "y", ["x", "z"])
+    with pytest.raises(ValueError):
+        E.interaction_grid(n, df, "x", "z", 3)
+    assert E.interaction_grid(n, df, "x", "z", 3, probs=(0.25, 0.75)).count() == 6
+    assert E.interaction_grid(n, df, "x", "z", 3, levels=[1.0]).count() == 3
+
+
+def test_trim_with_any_column_names(spark):
+    from stratum.operators import diagnostics as D
+    from stratum.operators import ols as L
+
+    rows = [(float(i), 2.0 * i + (50.0 if i == 7 else i % 3), 0.0, 0.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, y double, fitted double, cooks_d double")
+    trimmed, kept = D.refit_without(L.fit_ols(df, "y", ["x"]), df)
+    assert kept.columns == df.columns and kept.count() == trimmed.n < 40
+
+
+def test_stream_of_a_folder_table(spark, tmp_path):
+    from stratum.streaming.scoring import read_table_stream, run_to_parquet
+
+    spark.range(100).selectExpr("id AS event_id", "id * 2.0D AS value").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    out = run_to_parquet(read_table_stream(spark, str(tmp_path), "events"), f"{tmp_path}/out", f"{tmp_path}/ckpt")
+    assert out.count() == 100 and out.agg({"value": "sum"}).first()[0] == 9900.0
+
+
+def test_a_set_checkpoint_folder_is_kept(spark):
+    from stratum.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    before = spark.sparkContext.getCheckpointDir()
+    ensure_checkpoint_dir(spark)
+    assert spark.sparkContext.getCheckpointDir() == before
