@@ -25,10 +25,13 @@ Y = "_y"
 
 
 def _safe_inv(a: np.ndarray) -> np.ndarray:
-    w = np.linalg.eigvalsh(a) if a.size else np.array([1.0])
-    if w.size and w.min() <= 1e-10 * max(w.max(), 1e-300):
-        return np.linalg.pinv(a)  # rank deficient: pseudo-inverse
-    return np.linalg.inv(a)
+    """Inverse of a cross-product matrix; the pseudo-inverse if columns are collinear, whatever their units."""
+    if not a.size:
+        return a
+    d = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
+    r = a / np.outer(d, d)  # unit diagonal: the rank must not depend on scale
+    inv = np.linalg.pinv(r, rcond=1e-10, hermitian=True) if np.linalg.eigvalsh(r).min() <= 1e-10 else np.linalg.inv(r)
+    return inv / np.outer(d, d)
 
 
 def quad_form(vec: Sequence[Column], m: np.ndarray) -> Column:

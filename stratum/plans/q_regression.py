@@ -14,6 +14,7 @@ from ..sources.tables import table
 from ..frames import small_frame
 from . import panels
 from .catalog import query, rounded
+from .sql_ols import _cell, moments_sql, selection_sql, sweep_sql
 
 PANEL_SQL = panels.CUSTOMER_YEAR_PANEL_SQL
 Y, X, X2 = "total_value", "n_orders", "avg_value"
@@ -28,6 +29,21 @@ def _panel(spark, sf):
     return panels.customer_year_panel(spark, sf)
 
 
+def _chain_sql(xs, y, source=None):
+    """CTEs that sweep all of ``xs``: ``e0_m`` and ``fit``."""
+    k = len(xs)
+    steps = [f"f{j + 1} AS ({sweep_sql('e0' if not j else f'f{j}', k, j)})" for j in range(k)]
+    return f"{moments_sql(source or PANEL_SQL, xs, y)}, {', '.join(steps)}, fit AS (SELECT f{k}.*, e0_m.* FROM f{k}, e0_m)"
+
+
+def _beta(i, k):
+    return _cell(i, k)
+
+
+def _b0(k):
+    return f"(m_{k}" + "".join(f" - {_beta(i, k)} * m_{i}" for i in range(k)) + ")"
+
+
 # Closed-form simple regression (y ~ x) used by several oracles.
 _SIMPLE = f"""s AS (SELECT CAST(regr_count({Y}, {X}) AS DOUBLE) AS n, regr_slope({Y}, {X}) AS b1, regr_intercept({Y}, {X}) AS b0,
                   regr_sxx({Y}, {X}) AS sxx, regr_syy({Y}, {X}) AS syy, regr_sxy({Y}, {X}) AS sxy,
@@ -48,6 +64,34 @@ def ols_simple_coefficients(spark, sf):
     return rounded(m.coefficients(spark).select("term", "coef", "std_err", "t"))
 
 
+@query("ols_four_predictors", oracle="WITH " + _chain_sql(["n_orders", "avg_value", "share_finished", "acctbal"], Y) + " " + " UNION ALL ".join(
+    f"SELECT '{x}' AS term, round({_beta(i, 4)}, 4) + 0.0 AS coef, round(sqrt(-{_cell(i, i)} * {_cell(4, 4)} / (n - 5)), 4) + 0.0 AS std_err FROM fit"
+    for i, x in enumerate(["n_orders", "avg_value", "share_finished", "acctbal"])) + f" UNION ALL SELECT 'r2', round(1 - fit.{_cell(4, 4)} / e0.{_cell(4, 4)}, 4) + 0.0, "
+    f"round(sqrt(fit.{_cell(4, 4)} / n), 4) + 0.0 FROM fit, e0")
+def ols_four_predictors(spark, sf):
+    """OLS1/OLS3/MET1 with four predictors; the last row holds R2 and RMSE."""
+    m = L.fit_ols(_panel(spark, sf), Y, ["n_orders", "avg_value", "share_finished", "acctbal"])
+    metrics = m.metrics()
+    last = small_frame(spark, [("r2", metrics["r2"], metrics["rmse"])], "term string, coef double, std_err double")
+    return rounded(m.coefficients(spark).where("term <> 'Intercept'").select("term", "coef", "std_err").unionAll(last), 4)
+
+
+_LI_X = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "date_part('epoch', l_shipdate)", "CAST(l_linenumber AS DOUBLE)", "l_quantity * l_discount"]
+
+
+@query("ols_wide_large_offset", oracle="WITH " + _chain_sql(_LI_X, "date_part('epoch', l_shipdate) * 2.0 + l_extendedprice * 3.0 + l_tax * 1e8 + l_orderkey % 1000 * 1000.0", "lineitem") + " "
+    + " UNION ALL ".join(f"SELECT 'x{i}' AS term, round({_beta(i, 7)}, 3) + 0.0 AS coef FROM fit" for i in (0, 1, 4, 5)))
+def ols_wide_large_offset(spark, sf):
+    """Eight columns (the wide Gram) with a ship date in epoch seconds: no digits may be lost to its mean."""
+    at = F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).cast("double")
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").alias("x0"), F.col("l_extendedprice").alias("x1"), F.col("l_discount").alias("x2"), F.col("l_tax").alias("x3"), at.alias("x4"),
+        F.col("l_linenumber").cast("double").alias("x5"), (F.col("l_quantity") * F.col("l_discount")).alias("x6"),
+        (at * 2.0 + F.col("l_extendedprice") * 3.0 + F.col("l_tax") * 1e8 + F.col("l_orderkey") % 1000 * 1000.0).alias("y"))
+    m = L.fit_ols(li, "y", [f"x{i}" for i in range(7)])
+    return rounded(m.coefficients(spark).where("term in ('x0', 'x1', 'x4', 'x5')").select("term", "coef"), 3)
+
+
 @query("ols_coefficients_full")
 def ols_coefficients_full(spark, sf):
     """OLS3 with p-values and 95% intervals (t tails computed on the driver: rows-only)."""
@@ -295,10 +339,20 @@ def cv_rmse(spark, sf):
 
 
 # --- SEL1-SEL4, SEL7 ------------------------------------------------------------------------------------------------------
-@query("forward_selection")
+@query("forward_selection", oracle=selection_sql(PANEL_SQL, CANDS, Y, [("forward", "aic", 1.0)], False, 3))
 def forward_selection(spark, sf):
     sel = S.Selector(_panel(spark, sf), Y, [], CANDS)
-    return rounded(sel.path("forward", "aic", 1.0, label="forward_aic").to_frame(spark))
+    return rounded(sel.path("forward", "aic", 1.0, label="forward_aic").to_frame(spark), 3)
+
+
+_GRID = [(d, c, {"mdl": 0.5, "adj_r2": 0.001}.get(c, 1.0)) for d in S.DIRECTIONS for c in S.CRITERIA]
+
+
+@query("selection_paths", oracle=selection_sql(PANEL_SQL, CANDS, Y, _GRID, True, 3))
+def selection_paths(spark, sf):
+    """SEL1-SEL4: the best model of every direction and criterion."""
+    sel = S.Selector(_panel(spark, sf), Y, [], CANDS)
+    return rounded(S.collect_paths(sel.grid(), spark, best_only=True), 3)
 
 
 @query("selection_grid")
@@ -468,12 +522,19 @@ def confidence_band(spark, sf):
     return rounded(E.confidence_band(m, spark, X, 1.0, 10.0, {X2: mean_x2}, n_points=10))
 
 
-@query("interaction_effects")
+@query("interaction_effects", oracle=f"""
+WITH {_chain_sql([X, X2, f"({X} * {X2})"], Y)},
+lv AS (SELECT DISTINCT unnest([quantile_cont({X}, 0.25), quantile_cont({X}, 0.5), quantile_cont({X}, 0.75)]) AS b FROM {PANEL_SQL}),
+gr AS (SELECT min({X2}) + unnest(range(12)) * ((max({X2}) - min({X2})) / 11) AS g FROM {PANEL_SQL})
+SELECT CAST(b AS DOUBLE) AS {X}, round(g, 4) + 0.0 AS {X2},
+       round({_b0(3)} + {_beta(0, 3)} * b + {_beta(1, 3)} * g + {_beta(2, 3)} * b * g, 4) + 0.0 AS yhat
+FROM fit, lv, gr
+""")
 def interaction_effects(spark, sf):
     """OLS7: predictions over x at the quartiles of ``by``."""
     p = _panel(spark, sf)
     m = L.fit_ols(p, Y, [X, X2, f"{X}:{X2}"])
-    return rounded(E.interaction_grid(m, p, X2, X, n_points=12, probs=(0.25, 0.5, 0.75)))
+    return rounded(E.interaction_grid(m, p, X2, X, n_points=12, probs=(0.25, 0.5, 0.75)), 4)
 
 
 # --- OLS9: panel regression with lagged target and entity fixed effects ------------------------------------------------
