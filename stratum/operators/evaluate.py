@@ -2,23 +2,26 @@
 
 Evaluation of any number of models is one projection (one prediction column
 per model) and one aggregate.  Bootstrap replicates are Poisson(1) weights
-from ``md5(replicate|row key)``: rows are never copied per replicate into a
-driver loop; one ``explode`` of replicate ids feeds a grouped aggregate whose
-map-side partial step keeps the shuffle at (tasks x replicates) rows.
+from ``md5(replicate|row key)``; the statistics of all replicates are one
+matrix product per Arrow batch (:func:`gram.replicate_grams`).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import small_frame
 from ..functions.hashrand import poisson1_from, uniform
-from .gram import gram
-from .ols import OLSModel, model_from_gram
+from .gram import replicate_grams
+from .ols import Y, OLSModel, design_frame, model_from_gram
 from .profile import quantile_bin_expr, quantile_edges
 from .quantiles import quantiles
+from .terms import expand
 
 
 def split(df: DataFrame, key: Sequence[str], test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -84,21 +87,10 @@ def split_metrics(model_train: OLSModel, test: DataFrame) -> dict[str, float]:
 
 
 def replicate_weights(n_boot: int, seed: int, key: Sequence[str]) -> Column:
-    """Array of (``_rep``, ``_w``) structs: Poisson(1) weight of this row in every replicate.
-
-    The uniforms are built inside array functions, so each md5 is evaluated
-    exactly once per (row, replicate) and exploding the array materialises the
-    weights (the optimizer cannot inline a generator's output into the
-    aggregates that use it several times).
-    """
+    """Array of Poisson(1) weights of this row in every replicate, each from one md5."""
     reps = F.sequence(F.lit(0), F.lit(n_boot - 1))
     us = F.transform(reps, lambda r: uniform(F.concat(F.lit(f"{seed}:"), r.cast("string")), *key))
-    return F.transform(us, lambda u, i: F.struct(i.alias("_rep"), poisson1_from(u).alias("_w")))
-
-
-def _replicates(df: DataFrame, n_boot: int, seed: int, key: Sequence[str]) -> DataFrame:
-    out = df.select("*", F.explode(replicate_weights(n_boot, seed, key)).alias("_rw"))
-    return out.select(*df.columns, "_rw._rep", "_rw._w").filter(F.col("_w") > 0)
+    return F.transform(us, poisson1_from)
 
 
 def bootstrap_metrics(model: OLSModel, df: DataFrame, key: Sequence[str], n_boot: int = 200, seed: int = 0,
@@ -107,44 +99,35 @@ def bootstrap_metrics(model: OLSModel, df: DataFrame, key: Sequence[str], n_boot
     ok = F.col(model.target).isNotNull()
     for t in model.terms:
         ok = ok & t.expr.isNotNull()
-    pred = df.filter(ok).select(*key, F.col(model.target).cast("double").alias("y"), model.predict_expr().alias("p"))
-    rep = _replicates(pred, n_boot, seed, key)
-    w, e = F.col("_w"), F.col("y") - F.col("p")
-    per = rep.groupBy("_rep").agg(
-        F.sum(w).alias("W"), F.sum(w * e * e).alias("sse"), F.sum(w * F.abs(e)).alias("sae"),
-        F.sum(w * F.col("y")).alias("sy"), F.sum(w * F.col("y") * F.col("y")).alias("syy"))
-    per = per.select("_rep", F.sqrt(F.col("sse") / F.col("W")).alias("rmse"), (F.col("sae") / F.col("W")).alias("mae"),
-                     (F.lit(1.0) - F.col("sse") / (F.col("syy") - F.col("sy") * F.col("sy") / F.col("W"))).alias("r2"))
-    probs = F.array(F.lit(alpha / 2), F.lit(0.5), F.lit(1 - alpha / 2))
-    long = per.unpivot("_rep", ["rmse", "mae", "r2"], "metric", "value")
-    q = long.groupBy("metric").agg(F.percentile("value", probs).alias("q"))
-    return q.select("metric", F.col("q")[0].alias("ci_low"), F.col("q")[1].alias("median"),
-                    F.col("q")[2].alias("ci_high"))
-
-
-def bootstrap_refit_rmse(df: DataFrame, target: str, terms: Sequence, key: Sequence[str], n_boot: int = 50,
+    y = F.col(model.target).cast("double")
+    e = y - model.predict_expr()
+    pred = df.filter(ok).select(*key, y.alias("_y"), e.alias("_e"), F.abs(e).alias("_a"))
+    values: dict[str, list[float]] = {"rmse": [], "mae": [], "r2": []}
+    for g, _ in replicate_grams(pred, ["_y", "_e", "_a"], replicate_weights(n_boot, seed, key), n_boot):
+        if not g.n:
+            continue
+        mse = g.cross[1, 1] / g.n + g.means[1] ** 2
+        values["rmse"].append(math.sqrt(mse))
+        values["mae"].append(g.means[2])
+        values["r2"].append(1.0 - mse * g.n / g.cross[0, 0] if g.cross[0, 0] > 0 else math.nan)
+    rows = [(m, *map(float, np.quantile(v, [alpha / 2, 0.5, 1 - alpha / 2]))) for m, v in values.items() if v]
+    return small_frame(df.sparkSession, rows, "metric string, ci_low double, median double, ci_high double")
+
+
+def bootstrap_refit_rmse(df: DataFrame, target: str, terms: Sequence, key: Sequence[str], n_boot: int = 200,
                          seed: int = 0) -> list[dict]:
-    """EVA4: refit on each weighted replicate (one weighted Gram grouped by replicate), score out-of-bag rows."""
-    from .ols import Y, design_frame
-    from .terms import expand
+    """EVA4: refit on every replicate, scored on the rows it leaves out; one scan for all of them."""
+    from .selection import fold_sse
 
     ts = expand(terms, df)
-    names = [*[f"_t{i}" for i in range(len(ts))], Y]
-    design = design_frame(df, target, ts, extra=list(key)).dropna(subset=names)
-    wdf = design.select("*", F.explode(replicate_weights(n_boot, seed, key)).alias("_rw")).select(
-        *design.columns, "_rw._rep", "_rw._w")
-    grams = gram(wdf.filter(F.col("_w") > 0), names, by="_rep", weight="_w")
-    models = {r: model_from_gram(g, target, ts) for r, g in grams.items()}
-    # out-of-bag: rows with weight 0, scored against their replicate's coefficients in one pass
-    coef_rows = [(int(r), [float(c) for c in m.coef]) for r, m in models.items()]
-    coefs = df.sparkSession.createDataFrame(coef_rows, "_rep int, coef array<double>")
-    oob = wdf.filter(F.col("_w") == 0).join(F.broadcast(coefs), "_rep")  # n_boot rows: bounded by the caller
-    pred = F.col("coef")[0]
-    for i in range(len(ts)):
-        pred = pred + F.col("coef")[i + 1] * F.col(f"_t{i}")
-    res = oob.groupBy("_rep").agg(F.sqrt(F.avg((F.col(Y) - pred) ** 2)).alias("oob_rmse"),
-                                  F.count(F.lit(1)).alias("n_oob")).collect()
-    return [r.asDict() for r in sorted(res, key=lambda r: r["_rep"])]
+    x = [f"_t{i}" for i in range(len(ts))]
+    design = design_frame(df, target, ts, extra=list(key))
+    out = []
+    for r, (inside, outside) in enumerate(replicate_grams(design, [*x, Y], replicate_weights(n_boot, seed, key), n_boot)):
+        if inside.n > len(x) + 1 and outside.n:
+            coef = model_from_gram(inside, target, ts).coef
+            out.append({"_rep": r, "oob_rmse": math.sqrt(fold_sse(outside, coef, x, True) / outside.n), "n_oob": outside.rows})
+    return out
 
 
 def calibration(pred: DataFrame, y: str, p: str, q: int = 10, n_boot: int = 100, seed: int = 0,
@@ -154,17 +137,16 @@ def calibration(pred: DataFrame, y: str, p: str, q: int = 10, n_boot: int = 100,
     if len(edges) < 3:
         return pred.sparkSession.createDataFrame([], "bin int, n long, mean_pred double, mean_obs double, "
                                                      "ci_low double, ci_high double")
-    binned = pred.select(*key, F.col(y).alias("_y"), F.col(p).alias("_p"), quantile_bin_expr(p, edges).alias("bin"))
+    binned = pred.select(*key, F.col(y).cast("double").alias("_y"), F.col(p).alias("_p"), quantile_bin_expr(p, edges).alias("bin"))
     base = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("_p").alias("mean_pred"),
-                                     F.avg("_y").alias("mean_obs"))
-    rep = _replicates(binned, n_boot, seed, key)
-    per = rep.groupBy("bin", "_rep").agg((F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("m"))
-    ci = per.groupBy("bin").agg(F.percentile("m", F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2))).alias("q"))
-    out = base.join(ci, "bin", "left")
-    single = F.col("n") == 1  # one observation: the CI collapses to the value
-    return out.select("bin", "n", "mean_pred", "mean_obs",
-                      F.when(single, F.col("mean_obs")).otherwise(F.col("q")[0]).alias("ci_low"),
-                      F.when(single, F.col("mean_obs")).otherwise(F.col("q")[1]).alias("ci_high"))
+                                     F.avg("_y").alias("mean_obs")).collect()  # a row a bin
+    found = replicate_grams(binned, ["_y"], replicate_weights(n_boot, seed, key), n_boot, by="bin")
+    rows = []
+    for r in base:
+        means = [g.means[0] for g, _ in found.get(r["bin"], []) if g.n]
+        low, high = np.quantile(means, [alpha / 2, 1 - alpha / 2]) if r["n"] > 1 and means else (r["mean_obs"], r["mean_obs"])
+        rows.append((r["bin"], r["n"], r["mean_pred"], r["mean_obs"], float(low), float(high)))
+    return small_frame(pred.sparkSession, rows, "bin int, n long, mean_pred double, mean_obs double, ci_low double, ci_high double")
 
 
 def confidence_band(model: OLSModel, spark, x: str, lo: float, hi: float, at: dict[str, Column | float],

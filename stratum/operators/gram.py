@@ -169,22 +169,29 @@ def _gram_covar(base: DataFrame, cols: list[str], by: str | None) -> Gram | dict
 
 
 def merge_states(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
-    """Pairwise update of two states ``[W, rows, means (k), centred products (k x k)]``."""
-    if a[0] == 0 or b[0] == 0:
-        return np.concatenate([[a[0] + b[0], a[1] + b[1]], (b if a[0] == 0 else a)[2:]])
-    w = a[0] + b[0]
-    d = b[2:2 + k] - a[2:2 + k]
-    return np.concatenate([[w, a[1] + b[1]], a[2:2 + k] + d * (b[0] / w),
-                           a[2 + k:] + b[2 + k:] + np.outer(d, d).ravel() * (a[0] * b[0] / w)])
-
-
-def _batch_state(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    total = w.sum()
-    mean = (w @ x) / total if total else np.zeros(x.shape[1])
-    c = x - mean
-    drift = (w @ c) / total if total else 0.0  # what rounding left of the mean
-    c = c - drift
-    return np.concatenate([[total, len(w)], mean + drift, ((c * w[:, None]).T @ c).ravel()])
+    """Pairwise update of states ``[W, rows, means (k), centred products (k x k)]``, one or many at once (last axis)."""
+    wa, wb = a[..., :1], b[..., :1]
+    w = wa + wb
+    share = np.divide(wb, w, out=np.zeros_like(w), where=w > 0)
+    ma = np.where(wa > 0, a[..., 2:2 + k], b[..., 2:2 + k])
+    d = np.where(wb > 0, b[..., 2:2 + k] - ma, 0.0)
+    outer = (d[..., :, None] * d[..., None, :]).reshape(*d.shape[:-1], k * k)
+    return np.concatenate([w, a[..., 1:2] + b[..., 1:2], ma + d * share, a[..., 2 + k:] + b[..., 2 + k:] + outer * (wa * share)], axis=-1)
+
+
+def _batch_states(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """One state a column of the weights ``w`` (rows x states)."""
+    k, total, centre = x.shape[1], w.sum(axis=0), x.mean(axis=0)
+    c = x - centre
+    mean = (w.T @ c) / np.where(total > 0, total, 1.0)[:, None]
+    products = w.T @ (c[:, :, None] * c[:, None, :]).reshape(len(x), k * k)
+    drift = (mean[:, :, None] * mean[:, None, :]).reshape(len(total), k * k)
+    return np.concatenate([total[:, None], (w > 0).sum(axis=0)[:, None], centre + mean, products - total[:, None] * drift], axis=1)
+
+
+def _as_gram(cols: Sequence[str], v: np.ndarray) -> Gram:
+    k = len(cols)
+    return Gram(tuple(cols), float(v[0]), v[2:2 + k], v[2 + k:].reshape(k, k), int(v[1]))
 
 
 def _reduce_states(states: DataFrame, merge, group_type: T.DataType) -> DataFrame:
@@ -216,7 +223,12 @@ def _task_states(base: DataFrame, cols: list[str], by: str | None, weighted: boo
             if b.num_rows == 0:
                 continue
             x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
-            wv = b.column("_w").to_numpy(zero_copy_only=False).astype(float) if weighted else np.ones(b.num_rows)
+            if not weighted:
+                wv = np.ones((b.num_rows, 1))
+            elif pa.types.is_list(b.column("_w").type):
+                wv = b.column("_w").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(b.num_rows, -1)
+            else:
+                wv = b.column("_w").to_numpy(zero_copy_only=False).astype(float)[:, None]
             if by:
                 codes = b.column(by).dictionary_encode(null_encoding="encode")
                 inv = codes.indices.to_numpy(zero_copy_only=False)
@@ -237,21 +249,44 @@ def _task_states(base: DataFrame, cols: list[str], by: str | None, weighted: boo
 
 def _gram_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool) -> Gram | dict[object, Gram]:
     k = len(cols)
-
-    def merge(a, b):
-        return merge_states(a, b, k)
-
-    states = _task_states(base, cols, by, weighted, _batch_state, merge)
-    out = {}
-    for r in _reduce_states(states, merge, states.schema["g"].dataType).collect():  # a row a group
-        v = np.array(r["state"], float)
-        if v[0] > 0:
-            out[r["g"]] = Gram(tuple(cols), float(v[0]), v[2:2 + k], v[2 + k:].reshape(k, k), int(v[1]))
+    found = _merged_states(base, cols, by, weighted, lambda x, w: _batch_states(x, w).ravel(), 1)
+    out = {g: _as_gram(cols, v[0]) for g, v in found.items() if v[0, 0] > 0}
     if by:
         return out
     return out.get(None) or Gram(tuple(cols), 0.0, np.full(k, np.nan), np.full((k, k), np.nan), 0)
 
 
+def _merged_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool, state, count: int) -> dict[object, np.ndarray]:
+    """``count`` states of each group, one after the other in a row."""
+    k = len(cols)
+
+    def merge(a, b):
+        return merge_states(a.reshape(count, -1), b.reshape(count, -1), k).ravel()
+
+    states = _task_states(base, cols, by, weighted, state, merge)
+    rows = _reduce_states(states, merge, states.schema["g"].dataType).collect()  # a row a group
+    return {r["g"]: np.array(r["state"], float).reshape(count, -1) for r in rows}
+
+
+def replicate_grams(df: DataFrame, cols: Sequence[str], weights: Column, n: int, by: str | None = None):
+    """Grams of ``n`` weighted replicates, and of the rows that each leaves out, from one scan.
+
+    ``weights`` is an array of ``n`` counts a row.  A batch's statistics for all
+    replicates are one product of its weight matrix with its products of
+    columns: no row is copied per replicate.  Returns ``[(in, out), ...]``, with
+    ``by`` a dict of such lists.
+    """
+    cols = list(cols)
+    base = complete_cases(df.select(*([by] if by else []), *[F.col(c).cast("double").alias(c) for c in cols], weights.alias("_w")), cols)
+
+    def state(x, w):
+        return _batch_states(x, np.concatenate([w, (w == 0).astype(float)], axis=1)).ravel()
+
+    found = {g: [(_as_gram(cols, v[i]), _as_gram(cols, v[n + i])) for i in range(n)]
+             for g, v in _merged_states(base, cols, by, True, state, 2 * n).items()}
+    return found if by else found.get(None, [])
+
+
 def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     """Pearson matrix with pairwise-complete rows (pandas ``DataFrame.corr`` semantics).
 

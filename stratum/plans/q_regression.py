@@ -454,7 +454,7 @@ _UB = "CAST(('0x' || substr(md5('3:' || r || '|' || c_custkey || '|' || year), 1
 @query("bootstrap_ci", oracle=f"""
 WITH {_SIMPLE},
 pr AS (SELECT c_custkey, year, {Y} AS y, b0 + b1 * {X} AS p FROM {PANEL_SQL}, e),
-rep AS (SELECT pr.*, {_poisson_sql(_UB)} AS w, r FROM pr, range(0, 40) t(r)),
+rep AS (SELECT pr.*, {_poisson_sql(_UB)} AS w, r FROM pr, range(0, 200) t(r)),
 per AS (SELECT r, sqrt(sum(w * (y - p) * (y - p)) / sum(w)) AS rmse, sum(w * abs(y - p)) / sum(w) AS mae,
                1 - sum(w * (y - p) * (y - p)) / (sum(w * y * y) - sum(w * y) * sum(w * y) / sum(w)) AS r2
         FROM rep WHERE w > 0 GROUP BY r)
@@ -468,15 +468,29 @@ UNION ALL SELECT 'r2', {_r("quantile_cont(r2, 0.025)")}, {_r("quantile_cont(r2,
 def bootstrap_ci(spark, sf):
     p = panels.materialize(_panel(spark, sf))
     m = L.fit_ols(p, Y, [X])
-    return rounded(E.bootstrap_metrics(m, p, ["c_custkey", "year"], n_boot=40, seed=3))
+    return rounded(E.bootstrap_metrics(m, p, ["c_custkey", "year"], n_boot=200, seed=3))
 
 
-@query("bootstrap_refit")
+_UR = "CAST(('0x' || substr(md5('1:' || r || '|' || c_custkey || '|' || year), 1, 8)) AS BIGINT) / 4294967296.0"
+
+
+@query("bootstrap_refit", oracle=f"""
+WITH rep AS (SELECT r, {X} AS x1, {X2} AS x2, {Y} AS y, {_poisson_sql(_UR)} AS w FROM {PANEL_SQL}, range(0, 200) t(r)
+             WHERE {X} IS NOT NULL AND {X2} IS NOT NULL AND {Y} IS NOT NULL),
+m AS (SELECT r, sum(w * x1) / sum(w) AS m1, sum(w * x2) / sum(w) AS m2, sum(w * y) / sum(w) AS my FROM rep GROUP BY r),
+c AS (SELECT r, any_value(m1) AS m1, any_value(m2) AS m2, any_value(my) AS my,
+             sum(w * (x1 - m1) * (x1 - m1)) AS s11, sum(w * (x1 - m1) * (x2 - m2)) AS s12, sum(w * (x2 - m2) * (x2 - m2)) AS s22,
+             sum(w * (x1 - m1) * (y - my)) AS s1y, sum(w * (x2 - m2) * (y - my)) AS s2y FROM rep JOIN m USING (r) GROUP BY r),
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c)
+SELECT CAST(r AS INTEGER) AS rep, round(sqrt(avg((y - my - b1 * (x1 - m1) - b2 * (x2 - m2)) * (y - my - b1 * (x1 - m1) - b2 * (x2 - m2)))), 3) + 0.0 AS oob_rmse,
+       count(*) AS n_oob
+FROM rep JOIN b USING (r) WHERE w = 0 GROUP BY r
+""")
 def bootstrap_refit(spark, sf):
     """EVA4: weighted Gram per replicate (one grouped pass) + out-of-bag RMSE."""
-    rows = E.bootstrap_refit_rmse(_panel(spark, sf), Y, [X, X2], ["c_custkey", "year"], n_boot=20, seed=1)
+    rows = E.bootstrap_refit_rmse(_panel(spark, sf), Y, [X, X2], ["c_custkey", "year"], n_boot=200, seed=1)
     return rounded(small_frame(spark, [(int(r["_rep"]), r["oob_rmse"], int(r["n_oob"])) for r in rows],
-                               "rep int, oob_rmse double, n_oob long"))
+                               "rep int, oob_rmse double, n_oob long"), 3)
 
 
 @query("calibration_bins")
@@ -485,7 +499,7 @@ def calibration_bins(spark, sf):
     p = panels.materialize(_panel(spark, sf))
     m = L.fit_ols(p, Y, [X, X2])
     pred = p.select("c_custkey", "year", F.col(Y).alias("y"), m.predict_expr().alias("p"))
-    return rounded(E.calibration(pred, "y", "p", q=10, n_boot=30, seed=2, key=["c_custkey", "year"]))
+    return rounded(E.calibration(pred, "y", "p", q=10, n_boot=100, seed=2, key=["c_custkey", "year"]))
 
 
 # --- OLS5/FN5: spline terms, OLS6 band, OLS7 interaction grid -----------------------------------------------------------
