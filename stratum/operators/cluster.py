@@ -5,9 +5,9 @@
   (one ``groupBy(cluster)`` per iteration, centroids k x d on the driver).
 * silhouette: squared-Euclidean closed form from per-cluster sufficient
   statistics (count, sum vector, sum of squared norms) - O(n k), no pairs.
-* hierarchical clustering of rows is re-aimed: k-means into m micro-clusters,
-  weighted linkage on the m centroids (m x m on the driver), labels mapped
-  back with a broadcast join of m rows.
+* hierarchical: bisecting k-means, a tree grown from the top over all rows.
+* spectral: power iteration on a sparse neighbour graph found along random
+  directions; edges are linear in the rows.
 * Rand index: contingency counts ``groupBy(a, b).count()`` + marginals.
 """
 
@@ -17,12 +17,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..frames import small_frame
+from ..session import ensure_checkpoint_dir
 
 
 def _vector_col(df: DataFrame, features: Sequence[str] | str) -> DataFrame:
@@ -197,64 +199,25 @@ def gaussian_mixture(df: DataFrame, features: Sequence[str] | str, k: int, seed:
     return model.transform(vec).select(*keep, F.col("prediction").alias("cluster"))
 
 
-def _linkage(centers: np.ndarray, weights: np.ndarray, k: int, method: str) -> np.ndarray:
-    """Agglomerate m weighted centroids into k groups (Lance-Williams updates)."""
-    m = len(centers)
-    groups = {i: [i] for i in range(m)}
-    size = {i: float(weights[i]) for i in range(m)}
-    cen = {i: centers[i].astype(float) for i in range(m)}
-    d = ((centers[:, None, :] - centers[None, :, :]) ** 2).sum(-1)
-    if method in ("single", "complete", "average"):
-        d = np.sqrt(d)
-    dist = {(i, j): d[i, j] for i in range(m) for j in range(i + 1, m)}
-    while len(groups) > k:
-        (a, b), _ = min(dist.items(), key=lambda kv: (kv[1], kv[0]))
-        na, nb = size[a], size[b]
-        for c in groups:
-            if c in (a, b):
-                continue
-            dac, dbc = dist[(min(a, c), max(a, c))], dist[(min(b, c), max(b, c))]
-            if method == "single":
-                new = min(dac, dbc)
-            elif method == "complete":
-                new = max(dac, dbc)
-            elif method == "average":
-                new = (na * dac + nb * dbc) / (na + nb)
-            elif method == "ward":
-                nc = size[c]
-                new = ((na + nc) * dac + (nb + nc) * dbc - nc * dist[(a, b)]) / (na + nb + nc)
-            elif method == "centroid":
-                new = float(((cen[a] * na + cen[b] * nb) / (na + nb) - cen[c]) @ (
-                    (cen[a] * na + cen[b] * nb) / (na + nb) - cen[c]))
-            else:
-                raise ValueError(f"unknown linkage {method!r}")
-            dist[(min(a, c), max(a, c))] = new
-        for c in list(groups):
-            if c != b:
-                dist.pop((min(b, c), max(b, c)), None)
-        dist.pop((a, b), None)
-        cen[a] = (cen[a] * na + cen[b] * nb) / (na + nb)
-        size[a] = na + nb
-        groups[a] = groups[a] + groups.pop(b)
-    label = np.empty(m, dtype=int)
-    for lab, (_, members) in enumerate(sorted(groups.items(), key=lambda kv: min(kv[1]))):
-        label[members] = lab
-    return label
-
-
-def hierarchical(df: DataFrame, features: Sequence[str], k: int, method: str = "ward", micro: int = 200,
-                 seed: int = 0, keep: Sequence[str] = ()) -> DataFrame:
-    """CLU5 (re-aimed): micro-clusters by k-means, linkage on their weighted centroids, labels mapped back."""
-    res = kmeans(df, features, micro, n_init=1, seed=seed)
-    vec = _vector_col(df, features)
-    micro_lab = res.model.transform(vec).select(*keep, F.col("prediction").alias("micro"))
-    sizes = {r["micro"]: r["count"] for r in micro_lab.groupBy("micro").count().collect()}  # <= micro rows
-    used = sorted(sizes)
-    centers = res.centers[used]
-    labels = _linkage(centers, np.array([sizes[u] for u in used], float), min(k, len(used)), method)
-    mapping = df.sparkSession.createDataFrame([(int(u), int(lab)) for u, lab in zip(used, labels)],
-                                              "micro int, cluster int")
-    return micro_lab.join(F.broadcast(mapping), "micro").drop("micro")  # mapping has <= micro rows
+def hierarchical(df: DataFrame, features: Sequence[str], k: int, min_share: float = 1.0, seed: int = 0,
+                 max_iter: int = 50, keep: Sequence[str] = ()) -> DataFrame:
+    """CLU5: hierarchical clusters of all rows by repeated bisection (MLlib bisecting k-means).
+
+    The tree is grown from the top, each split a distributed two-means over the
+    rows of its branch; an agglomerative tree of the rows would need all pairs.
+    """
+    from pyspark.ml.clustering import BisectingKMeans
+
+    # a split starts at a small multiple of the branch's centre: features are moved off zero, which changes no distance
+    row = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(features) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    moved = {f"_f{i}": F.col(c).cast("double") - F.lit((row[f"m{i}"] or 0.0) - (row[f"s{i}"] or 1.0)) for i, c in enumerate(features)}
+    vec = _vector_col(df.withColumns(moved), list(moved))
+    held = vec.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = BisectingKMeans(k=k, seed=seed, maxIter=max_iter, minDivisibleClusterSize=min_share, featuresCol="features").fit(held)
+    finally:
+        held.unpersist()
+    return model.transform(vec).select(*keep, F.col("prediction").alias("cluster"))
 
 
 def rand_index(df: DataFrame, a: str, b: str) -> float:
@@ -283,48 +246,60 @@ def cluster_profiles(df: DataFrame, cluster: str, features: Sequence[str], targe
     return long.join(order.drop("target_mean"), cluster)
 
 
-def _spectral_labels(points: np.ndarray, k: int, n_neighbors: int, seed: int) -> np.ndarray:
-    """Normalised spectral clustering of m points (m x m on the driver, m bounded)."""
-    m = len(points)
-    d2 = ((points[:, None, :] - points[None, :, :]) ** 2).sum(-1)
-    nn = np.argsort(d2, axis=1)[:, 1 : n_neighbors + 1]
-    a = np.zeros((m, m))
-    a[np.repeat(np.arange(m), nn.shape[1]), nn.ravel()] = 1.0
-    a = np.maximum(a, a.T)  # symmetric k-nearest-neighbour connectivity
-    deg = a.sum(1)
-    dinv = np.where(deg > 0, 1.0 / np.sqrt(deg), 0.0)
-    lap = np.eye(m) - dinv[:, None] * a * dinv[None, :]
-    _, vecs = np.linalg.eigh(lap)
-    emb = vecs[:, :k]
-    emb = emb / np.maximum(np.linalg.norm(emb, axis=1, keepdims=True), 1e-12)
-    rng = np.random.default_rng(seed)
-    best = None
-    for _ in range(10):  # k-means restarts on the m x k embedding
-        c = emb[rng.choice(m, k, replace=False)]
-        for _ in range(100):
-            lab = ((emb[:, None, :] - c[None, :, :]) ** 2).sum(-1).argmin(1)
-            new = np.array([emb[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(k)])
-            if np.allclose(new, c):
-                break
-            c = new
-        cost = ((emb - c[lab]) ** 2).sum()
-        if best is None or cost < best[0]:
-            best = (cost, lab)
-    return best[1]
-
-
-def spectral(df: DataFrame, features: Sequence[str], k: int, n_neighbors: int = 10, micro: int = 200, seed: int = 0,
-             keep: Sequence[str] = ()) -> DataFrame:
-    """CLU7 (re-aimed): spectral clustering of k-means micro-cluster centroids.
-
-    A row-level affinity graph needs neighbour pairs of rows; here the graph
-    is built over at most ``micro`` centroids on the driver (m x m), and rows
-    inherit their micro-cluster's label through a broadcast join of m rows.
+def neighbour_edges(points: DataFrame, d: int, n_neighbors: int, projections: int, reach: int, seed: int) -> DataFrame:
+    """``(src, dst, d2)``: each row of ``points(id, x)`` with its nearest found rows.
+
+    Rows are sorted along random directions by range partition, and each meets
+    the next ``reach`` rows of the order: ``projections * reach`` pairs a row,
+    whatever the number of rows, and no pair table of a bucket.
+    """
+    directions = np.random.default_rng(seed).normal(size=(projections, d))
+    along = [F.struct(F.lit(i).alias("p"), sum((F.col("x")[j] * float(v) for j, v in enumerate(row)), F.lit(0.0)).alias("at"))
+             for i, row in enumerate(directions)]
+    lines = points.select("id", "x", F.explode(F.array(*along)).alias("line")).select("line.p", "line.at", "id", "x")
+    ordered = lines.repartitionByRange("p", "at", "id").sortWithinPartitions("p", "at", "id")
+
+    def run(batches):
+        tail = None  # the last rows of the batch before
+        for b in batches:
+            p, i = b.column(0).to_numpy(), b.column(2).to_numpy()
+            x = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(i), d)
+            new = np.ones(len(i), dtype=bool)
+            if tail is not None:
+                p, i, x = (np.concatenate([t, v]) for t, v in zip(tail, (p, i, x)))
+                new = np.concatenate([np.zeros(len(p) - len(new), dtype=bool), new])
+            found = []
+            for step in range(1, reach + 1):
+                at = np.flatnonzero((p[step:] == p[:-step]) & new[step:]) if len(p) > step else np.zeros(0, int)
+                found.append((i[at], i[at + step], ((x[at] - x[at + step]) ** 2).sum(axis=1)))
+            src, dst, d2 = (np.concatenate(c) for c in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst), pa.array(d2)], names=["src", "dst", "d2"])
+            tail = p[-reach:], i[-reach:], x[-reach:]
+
+    met = ordered.mapInArrow(run, "src long, dst long, d2 double").where("src <> dst")
+    both = met.unionAll(met.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "d2")).distinct()
+    # each row has 2 * projections * reach candidates at most
+    nearest = F.slice(F.array_sort(F.collect_list(F.struct("d2", "dst"))), 1, n_neighbors)
+    return both.groupBy("src").agg(nearest.alias("es")).select("src", F.inline("es")).select("src", "dst", "d2")
+
+
+def spectral(df: DataFrame, features: Sequence[str], k: int, n_neighbors: int = 10, projections: int = 8, reach: int = 16,
+             seed: int = 0, max_iter: int = 40, keep: Sequence[str] = ()) -> DataFrame:
+    """CLU7: power iteration clustering of all rows on a sparse neighbour graph.
+
+    The graph is linear in the rows (:func:`neighbour_edges`); the iteration is
+    MLlib's distributed one on the degree-normalised similarities.
     """
-    res = kmeans(df, features, micro, n_init=1, seed=seed)
-    micro_lab = res.model.transform(_vector_col(df, features)).select(*keep, F.col("prediction").alias("micro"))
-    used = sorted(r["micro"] for r in micro_lab.select("micro").distinct().collect())  # <= micro rows
-    labels = _spectral_labels(res.centers[used], min(k, len(used)), min(n_neighbors, len(used) - 1), seed)
-    mapping = df.sparkSession.createDataFrame([(int(u), int(lab)) for u, lab in zip(used, labels)],
-                                              "micro int, cluster int")
-    return micro_lab.join(F.broadcast(mapping), "micro").drop("micro")  # mapping has <= micro rows
+    from pyspark.ml.clustering import PowerIterationClustering
+
+    ensure_checkpoint_dir(df.sparkSession)
+    x = F.array(*[F.col(c).cast("double") for c in features])
+    points = df.select(*keep, x.alias("_x")).where(" AND ".join(f"_x[{j}] IS NOT NULL" for j in range(len(features))))
+    points = points.withColumn("_point", F.monotonically_increasing_id()).checkpoint()  # ids must not change between passes
+    edges = neighbour_edges(points.select(F.col("_point").alias("id"), F.col("_x").alias("x")), len(features), n_neighbors, projections, reach, seed).checkpoint()
+    scale = edges.agg(F.avg("d2")).first()[0] or 1.0
+    graph = edges.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"),
+                         F.exp(-F.col("d2") / F.lit(2.0 * scale)).alias("weight")).distinct()
+    found = PowerIterationClustering(k=k, maxIter=max_iter, initMode="random", weightCol="weight").assignClusters(graph)
+    found = found.select(F.col("id").alias("_point"), F.col("cluster").alias("_found"))
+    return points.join(found, "_point").select(*keep, F.col("_found").alias("cluster"))

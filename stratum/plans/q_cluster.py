@@ -109,9 +109,9 @@ def gmm_clusters(spark, sf):
 
 @query("hierarchical_micro")
 def hierarchical_micro(spark, sf):
-    """CLU5 (re-aimed): ward linkage on k-means micro-cluster centroids."""
+    """CLU5: four clusters by repeated bisection of all rows."""
     z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
-    lab = CL.hierarchical(z, FEATS, k=4, method="ward", micro=50, seed=0, keep=["c_custkey", "year"])
+    lab = CL.hierarchical(z, FEATS, k=4, seed=0, keep=["c_custkey", "year"])
     return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -201,7 +201,7 @@ def residual_calibration(spark, sf):
 
 @query("spectral_micro")
 def spectral_micro(spark, sf):
-    """CLU7 (re-aimed): spectral clustering over k-means micro-cluster centroids."""
+    """CLU7: power iteration on the neighbour graph of all rows."""
     z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
-    lab = CL.spectral(z, FEATS, k=3, n_neighbors=10, micro=60, seed=0, keep=["c_custkey", "year"])
+    lab = CL.spectral(z, FEATS, k=3, n_neighbors=10, seed=0, keep=["c_custkey", "year"])
     return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
