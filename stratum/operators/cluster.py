@@ -67,16 +67,9 @@ def kmeans(df: DataFrame, features: Sequence[str] | str, k: int, n_init: int = 3
     return best
 
 
-def elbow(df: DataFrame, features: Sequence[str] | str, ks: Sequence[int], seed: int = 0) -> DataFrame:
-    """CLU2: inertia by k (one persisted vector frame shared by all fits)."""
-    from pyspark.ml.clustering import KMeans
-
-    vec = _vector_col(df, features).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = [(int(k), float(KMeans(k=k, seed=seed, featuresCol="features").fit(vec).summary.trainingCost))
-                for k in ks]
-    finally:
-        vec.unpersist()
+def elbow(df: DataFrame, features: Sequence[str] | str, ks: Sequence[int], n_init: int = 5, seed: int = 0) -> DataFrame:
+    """CLU2: inertia by k, the best of ``n_init`` starts each."""
+    rows = [(int(k), kmeans(df, features, k, n_init, seed).inertia) for k in ks]
     return small_frame(df.sparkSession, rows, "k int, inertia double")
 
 

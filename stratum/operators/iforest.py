@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashrand import uniform
+from .quantiles import quantiles
 
 EULER = 0.5772156649015329
 
@@ -181,7 +182,7 @@ def fit(df: DataFrame, features: Sequence[str], key: Sequence[str], n_trees: int
     return IsolationForest(tuple(cols), psi, forest)
 
 
-def flag(scored: DataFrame, contamination: float | str = "auto", accuracy: int = 100000) -> DataFrame:
+def flag(scored: DataFrame, contamination: float | str = "auto") -> DataFrame:
     """Boolean anomaly flag per row from scores."""
     if contamination == "auto":
         return scored.withColumn("anomaly", F.col("score") > 0.5)
@@ -191,5 +192,5 @@ def flag(scored: DataFrame, contamination: float | str = "auto", accuracy: int =
     # the cut needs one pass over the scores and the flags another: keep the scores
     # (spillable) so the forest walk in Python runs once per row
     kept = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    cut = kept.agg(F.percentile_approx("score", 1.0 - share, accuracy)).first()[0]
+    cut = quantiles(kept, ["score"], [1.0 - share])["score"][0]
     return kept.withColumn("anomaly", F.col("score") >= F.lit(cut))

@@ -9,6 +9,7 @@ from ..operators import cluster as CL
 from ..operators import groups as G
 from ..operators import iforest as IF
 from ..operators import ols as L
+from ..operators import outliers as O
 from ..operators import scale as SC
 from ..operators import smooth as SM
 from ..sources.tables import table
@@ -65,7 +66,7 @@ def kmeans_fixed_start(spark, sf):
 def kmeans_embeddings(spark, sf):
     """CLU1: MLlib k-means (k-means||) with restarts on the 64-d embeddings."""
     emb = table(spark, sf, "embeddings")
-    res = CL.kmeans(emb, "embedding", k=10, n_init=2, seed=1)
+    res = CL.kmeans(emb, "embedding", k=10, n_init=20, seed=1)
     return res.assign(emb, "embedding").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -161,11 +162,20 @@ def cluster_profiles(spark, sf):
 def isolation_forest(spark, sf):
     """OUT3: rows flagged in the top 1% of isolation-forest scores."""
     z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
-    forest = IF.fit(z, FEATS, key=["c_custkey", "year"], n_trees=50, psi=256, seed=0)
+    forest = IF.fit(z, FEATS, key=["c_custkey", "year"], n_trees=100, psi=256, seed=0)
     scored = IF.flag(forest.score(z, keep=["c_custkey", "year"]), contamination=0.01)
     return rounded(scored.filter("anomaly").select("c_custkey", "year", "score"))
 
 
+@query("detector_comparison_forest")
+def detector_comparison_forest(spark, sf):
+    """OUT5 with all three detectors: fences, z-scores and isolation forest (the forest's sample has no SQL form)."""
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
+    forest = IF.fit(z, FEATS, key=["c_custkey", "year"], n_trees=100, psi=256, seed=0)
+    flags = IF.flag(forest.score(z), contamination=0.01).select(F.col("anomaly").cast("int").alias("n_flags"))
+    return rounded(O.compare_detectors({"iqr": O.iqr_fences(z, FEATS).flag(z), "zscore": O.zscore_fences(z, FEATS).flag(z), "forest": flags}))
+
+
 # --- GRP8 -----------------------------------------------------------------------------------------------------------------
 @query("supervised_pca")
 def supervised_pca(spark, sf):
@@ -185,7 +195,7 @@ def lowess_curve(spark, sf):
 @query("random_forest")
 def random_forest(spark, sf):
     metrics, _ = SM.random_forest(panels.customer_year_panel(spark, sf), "total_value", FEATS[:1] + FEATS[2:] + [
-        "avg_value"], key=["c_custkey", "year"], n_trees=30, max_depth=6)
+        "avg_value"], key=["c_custkey", "year"], n_trees=300, max_depth=6)
     return rounded(metrics)
 
 

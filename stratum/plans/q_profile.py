@@ -295,6 +295,16 @@ def detector_comparison(spark, sf):
     return rounded(O.compare_detectors(flagged))
 
 
+@query("unmapped_entities", oracle="""
+SELECT c_custkey FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') o ON o_custkey = c_custkey WHERE o_custkey IS NULL
+""")
+def unmapped_entities(spark, sf):
+    """AGG14: customers that no urgent order maps to."""
+    seen = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey").distinct()
+    joined = table(spark, sf, "customer").select("c_custkey").join(seen, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return PR.unmapped(joined, "c_custkey", "o_custkey")
+
+
 # --- OUT6/WIN7/TOP3: representative period --------------------------------------------------------------------------------
 @query("period_scores", oracle=f"""
 WITH m AS (SELECT year, ({" + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in _FILL)}) / 3 * 100.0

@@ -9,7 +9,9 @@ from ..operators import evaluate as E
 from ..operators import ols as L
 from ..operators import selection as S
 from ..operators.clean import lag_by_entity
+from ..operators.gram import gram
 from ..operators.registry import ModelRegistry
+from ..operators.terms import expand
 from ..sources.tables import table
 from ..frames import small_frame
 from . import panels
@@ -338,6 +340,37 @@ def cv_rmse(spark, sf):
     return rounded(small_frame(spark, list(enumerate(scores)), "fold int, rmse double"))
 
 
+_PLACE = f"(SELECT *, row_number() OVER (ORDER BY c_custkey, year) - 1 AS place, count(*) OVER () AS total FROM {PANEL_SQL})"
+
+
+@query("cv_rmse_contiguous", oracle=f"""
+WITH d AS (SELECT {X} AS x, {Y} AS y, CASE WHEN place < (total % 5) * (total // 5 + 1) THEN place // (total // 5 + 1)
+                  ELSE total % 5 + (place - (total % 5) * (total // 5 + 1)) // (total // 5) END AS fold FROM {_PLACE}),
+k AS (SELECT unnest(range(5)) AS fold),
+t AS (SELECT k.fold, regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0 FROM k JOIN d ON d.fold <> k.fold GROUP BY k.fold)
+SELECT CAST(fold AS INTEGER) AS fold, {_r("sqrt(avg((y - b0 - b1 * x) * (y - b0 - b1 * x)))")} AS rmse FROM d JOIN t USING (fold) GROUP BY fold
+""")
+def cv_rmse_contiguous(spark, sf):
+    """MET2 without shuffling: five runs of rows in key order."""
+    sel = S.Selector(_panel(spark, sf), Y, [], [X], cv_folds=5, key=["c_custkey", "year"], shuffle=False)
+    return rounded(small_frame(spark, list(enumerate(sel.cv.rmse_scores([0]))), "fold int, rmse double"))
+
+
+@query("scale_location", oracle=f"""
+WITH {_SIMPLE},
+r AS (SELECT c_custkey, year, b0 + b1 * p.{X} AS fitted, p.{Y} - (b0 + b1 * p.{X}) AS resid,
+             1.0 / n + (p.{X} - mx) * (p.{X} - mx) / sxx AS h, s2 FROM {PANEL_SQL} p, e)
+SELECT c_custkey, year, round(fitted, 4) + 0.0 AS fitted, round(resid, 4) + 0.0 AS resid,
+       {_r("sqrt(abs(resid / sqrt(s2 * (1 - h))))")} AS scale FROM r
+""")
+def scale_location(spark, sf):
+    """CHD7: residual against fitted, and the scale-location ordinate."""
+    p = _panel(spark, sf)
+    infl = D.influence(L.fit_ols(p, Y, [X]), p, keep=["c_custkey", "year"])
+    return infl.select("c_custkey", "year", (F.round("fitted", 4) + 0.0).alias("fitted"), (F.round("resid", 4) + 0.0).alias("resid"),
+                       (F.round(F.sqrt(F.abs("studentized")), 6) + 0.0).alias("scale"))
+
+
 # --- SEL1-SEL4, SEL7 ------------------------------------------------------------------------------------------------------
 @query("forward_selection", oracle=selection_sql(PANEL_SQL, CANDS, Y, [("forward", "aic", 1.0)], False, 3))
 def forward_selection(spark, sf):
@@ -441,6 +474,34 @@ def eval_by_year(spark, sf):
     return rounded(E.evaluate_by({"simple": m}, p, "year"))
 
 
+_CROSS = f"""WITH tr AS (SELECT year AS trained, regr_slope({Y}, {X}) AS b1, regr_intercept({Y}, {X}) AS b0 FROM {PANEL_SQL} GROUP BY year),
+te AS (SELECT trained, year, {Y} AS y, {Y} - (b0 + b1 * {X}) AS e FROM {PANEL_SQL}, tr),
+m AS (SELECT trained, year, count(*) AS n, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, 1 - avg(e * e) / var_pop(y) AS r2 FROM te GROUP BY trained, year)"""
+
+
+def _models_by_year(p):
+    grams = gram(p.select("year", F.col(X).cast("double").alias("_t0"), F.col(Y).cast("double").alias("_y")), ["_t0", "_y"], by="year")
+    terms = expand([X], p)
+    return {year: L.model_from_gram(g, Y, terms) for year, g in sorted(grams.items())}  # a model a year from one pass
+
+
+@query("cross_period_matrix", oracle=f"""{_CROSS}
+SELECT CAST(trained AS VARCHAR) AS trained_on, year, n, {_r("rmse")} AS rmse, {_r("mae")} AS mae, {_r("r2")} AS r2 FROM m""")
+def cross_period_matrix(spark, sf):
+    """EVA6: the model of each year scored on every year."""
+    p = panels.materialize(_panel(spark, sf))
+    return rounded(E.cross_period(_models_by_year(p), p, "year"))
+
+
+@query("eval_mean_over_years", oracle=f"""{_CROSS}
+SELECT CAST(trained AS VARCHAR) AS trained_on, count(*) AS n_periods, {_r("avg(rmse)")} AS mean_rmse, {_r("avg(mae)")} AS mean_mae,
+       {_r("avg(r2)")} AS mean_r2 FROM m GROUP BY trained""")
+def eval_mean_over_years(spark, sf):
+    """EVA2: each year's model, mean of its metrics over all years."""
+    p = panels.materialize(_panel(spark, sf))
+    return rounded(E.mean_over_periods(E.cross_period(_models_by_year(p), p, "year"), "trained_on"))
+
+
 # --- EVA3: paired bootstrap of hold-out metrics ------------------------------------------------------------------------
 def _poisson_sql(u):
     from ..functions.hashrand import POISSON1_CDF
