@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from plain import DOC_SCHEMA  # noqa: E402
+from .plain import DOC_SCHEMA
 
 
 @pytest.fixture

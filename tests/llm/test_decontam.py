@@ -1,5 +1,5 @@
 import numpy as np
-from plain import prose
+from .plain import prose
 
 from stratum.llm import decontam as D
 

@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from plain import prose, words
+from .plain import prose, words
 
 from stratum.llm import jaccard as J
 from stratum.llm.components import components

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from plain import folded, prose
+from .plain import folded, prose
 
 from stratum.llm import licenses as L
 

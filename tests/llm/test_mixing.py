@@ -2,7 +2,7 @@ import collections
 
 import numpy as np
 import pytest
-from plain import prose, words
+from .plain import prose, words
 
 from stratum.llm import mixing as M
 

@@ -6,10 +6,10 @@ import shutil
 import subprocess
 import sys
 
-from plain import folded, words
-from test_jaccard import brute as near_classes
-from test_mixing import plain_targets
-from test_quality import brute as counts
+from .plain import folded, words
+from .test_jaccard import brute as near_classes
+from .test_mixing import plain_targets
+from .test_quality import brute as counts
 
 import corpus_pipeline as P
 from stratum.llm.store import written

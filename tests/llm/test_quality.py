@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from plain import WORD, prose, words
+from .plain import WORD, prose, words
 
 from stratum.llm import quality as Q
 

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from plain import prose
+from .plain import prose
 
 from stratum.llm import ring as R
 

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
-from plain import prose
+from .plain import prose
 from pyspark.sql import functions as F
 
 from stratum.llm import toxicity as X

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stratum.llm import words as W
-from plain import words
+from .plain import words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab c\n\té\x0b\x85 Z!", max_size=40)), max_size=8)
 
