@@ -100,12 +100,11 @@ def _range_sql(flag):
         f"FROM {LI_SQL} WHERE l_returnflag = '{flag}'" for c in LI)
 
 
-@query("range_compare", oracle=f"{_range_sql('R')} UNION ALL {_range_sql('N')}")
+@query("range_compare", oracle=" UNION ALL ".join(map(_range_sql, "ANR")))
 def range_compare(spark, sf):
     li = panels.lineitem(spark, sf)
-    a = PR.range_summary(li.filter(F.col("l_returnflag") == "R"), LI, "R")
-    b = PR.range_summary(li.filter(F.col("l_returnflag") == "N"), LI, "N")
-    return rounded(a.unionByName(b))
+    parts = [PR.range_summary(li.filter(F.col("l_returnflag") == flag), LI, flag) for flag in "ANR"]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 # --- AGG11 ---------------------------------------------------------------------------------------------------------
@@ -169,12 +168,12 @@ def value_sets(spark, sf):
 @query("modal_entity_set", oracle=f"""
 WITH per AS (SELECT year, count(*) AS set_size,
                sum(CAST(('0x' || substr(md5(CAST(c_nationkey AS VARCHAR)), 1, 15)) AS HUGEINT)) AS fp
-             FROM (SELECT DISTINCT year, c_nationkey FROM {PANEL_SQL} WHERE acctbal > 9.0) GROUP BY year)
+             FROM (SELECT DISTINCT year, c_nationkey FROM {PANEL_SQL}) GROUP BY year)
 SELECT set_size, count(*) AS n_periods, min(year) AS first_period FROM per GROUP BY set_size, fp
 ORDER BY n_periods DESC, first_period LIMIT 1
 """)
 def modal_entity_set(spark, sf):
-    p = panels.customer_year_panel(spark, sf).filter(F.col("acctbal") > 9.0)
+    p = panels.customer_year_panel(spark, sf)
     return PR.modal_entity_set(p, "year", "c_nationkey")
 
 
