@@ -1,14 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word pairs as seeds, then Smith-Waterman alignment.
 
 The benchmark is the stated query set.  It is taken in blocks of a bounded
 number of words; each block is broadcast and meets every document.  A first
-pass counts the block's n-grams in the whole corpus.  In each stretch of
-``spread`` neighbouring n-grams of an item the one rarest in the corpus is a
-seed, so that any copy with ``spread + n - 1`` unedited words in a row holds a
-seed, however common the item is.  A second pass finds the seeds in every
-document and aligns the item with the words around each hit by local alignment
-of words (match 2, mismatch -1, gap -1), so insertions, deletions and replaced
-words lower the score instead of hiding the copy.
+pass counts the block's close pairs (two words with at most one between them)
+in the whole corpus; a second pass finds the seeds in every document and aligns
+the item with the words around each hit by local alignment of words (match 2,
+mismatch -1, gap -1), so insertions, deletions and replaced words lower the
+score instead of hiding the copy.
+
+Seeds lose nothing.  Two matches of an alignment that follow each other are a
+close pair of both texts, or at least two words were edited between them: an
+alignment of score S has (S - 2) / 2 or more close pairs in a row.  An item's
+most common pairs are left out only as long as fewer than that many of them fit
+one after the other, so every alignment that is good enough holds a seed,
+however the copy was edited, and the window around a seed is as wide as such an
+alignment can be.
 
 A pair is reported when its score is at least ``ratio`` of that of a perfect
 copy, or of ``enough`` words for long items.  Words are folded: case and ASCII
@@ -32,8 +38,6 @@ from pyspark.sql import functions as F
 from . import words as W
 from .store import packed, unpacked, written
 
-GRAM = 3
-SPREAD = 4
 MIN_WORDS = 6
 RATIO = 0.5
 ENOUGH = 50
@@ -60,48 +64,83 @@ class _Lookup:
         return at[ok], place[ok]
 
 
-def _grams(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
-    hashes, valid = W.ngrams(w, GRAM)
-    at = np.flatnonzero(valid)
-    return hashes[at], at
+def _pairs(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first positions of the close pairs: words that are neighbours or have one word between them."""
+    row_end = np.repeat(w.first[1:], w.counts())
+    own, other = W.mix(w.hash), W.mix(w.hash ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    out, places = [], []
+    for gap in (1, 2):
+        at = np.flatnonzero(np.arange(len(row_end)) + gap < row_end)
+        with np.errstate(over="ignore"):
+            out.append(own[at] + other[at + gap])
+        places.append(at)
+    return np.concatenate(out), np.concatenate(places)
 
 
-def corpus_counts(docs: DataFrame, grams: np.ndarray, text: str = "text") -> np.ndarray:
-    """How often each of the sorted distinct ``grams`` occurs in all texts."""
+def corpus_counts(docs: DataFrame, pairs: np.ndarray, text: str = "text") -> np.ndarray:
+    """How often each of the sorted distinct ``pairs`` occurs in all texts."""
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(_Lookup(grams))
+    known = spark.sparkContext.broadcast(_Lookup(pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = known.value
         total = np.zeros(len(look.keys), dtype=np.int64)
         for batch in batches:
             for _, _, w in W.slices(batch.column(0), W.FOLDED, True):
-                total += np.bincount(look.find(_grams(w)[0])[1], minlength=len(total))
+                total += np.bincount(look.find(_pairs(w)[0])[1], minlength=len(total))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
-    rows = (docs.select(F.lower(text).alias("t")).mapInArrow(run, "gram long, n long")
-            .groupBy("gram").agg(F.sum("n").alias("n")).toArrow())  # at most a row a gram of the block
+    rows = (docs.select(F.lower(text).alias("t")).mapInArrow(run, "pair long, n long")
+            .groupBy("pair").agg(F.sum("n").alias("n")).toArrow())  # at most a row a pair of the block
     out = np.zeros(len(known.value.keys), dtype=np.int64)
-    out[rows["gram"].to_numpy()] = rows["n"].to_numpy()
+    out[rows["pair"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
-def rare_seeds(items: W.Words, docs: DataFrame, text: str = "text", spread: int = SPREAD) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and word positions (in ``items``) of the seeds: the rarest n-gram of every stretch."""
-    hashes, at = _grams(items)
+def _needed(length, ratio: float, enough: int):
+    """The score that makes an alignment with an item of ``length`` words a copy."""
+    return MATCH * np.minimum(ratio * length, enough)
+
+
+def _longest_chain(near: list[bool], far: list[bool]) -> int:
+    """How many pairs fit one after the other: ``near[i]`` is words i and i + 1, ``far[i]`` words i and i + 2."""
+    before, last = 0, 0
+    for i, adjacent in enumerate(near):
+        here = last + 1 if adjacent else last
+        if i and far[i - 1] and before + 1 > here:
+            here = before + 1
+        before, last = last, here
+    return last
+
+
+def rare_seeds(items: W.Words, docs: DataFrame, text: str = "text", ratio: float = RATIO, enough: int = ENOUGH) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and word positions (in ``items``) of the seeds: the rarest pairs, so many that every good alignment holds one."""
+    hashes, at = _pairs(items)
     known = np.unique(hashes)
     n = corpus_counts(docs, known, text)[np.searchsorted(known, hashes)]
     row = items.row_of()[at]
-    rank = np.lexsort((hashes, n))
-    order = np.empty(len(rank), dtype=np.int64)
-    order[rank] = np.arange(len(rank))
+    far = np.arange(len(at)) >= len(at) - int(np.maximum(items.counts() - 2, 0).sum())
     chosen = np.zeros(len(hashes), dtype=bool)
-    for r in np.unique(row).tolist():
-        lo, hi = np.searchsorted(row, [r, r + 1])
-        width = min(spread, hi - lo)
-        view = np.lib.stride_tricks.sliding_window_view(order[lo:hi], width)
-        chosen[lo + np.arange(len(view)) + view.argmin(axis=1)] = True
+    order = np.lexsort((hashes, n, row))
+    edges = np.searchsorted(row[order], np.arange(items.rows + 1))
+    for r, length in enumerate(items.counts().tolist()):
+        own = order[edges[r]:edges[r + 1]]  # rarest first
+        place = (at[own] - items.first[r]).tolist()
+        skips = far[own].tolist()
+        links = max(1, int(np.ceil((_needed(length, ratio, enough) - MATCH) / 2)))
+        lo, hi = 0, len(own)
+        while lo < hi:  # the fewest seeds that leave no chain of ``links`` other pairs
+            mid = (lo + hi) // 2
+            left = [False] * (length - 1), [False] * (length - 1)
+            for p, s in zip(place[mid:], skips[mid:]):
+                left[s][p] = True
+            if _longest_chain(*left) < links:
+                hi = mid
+            else:
+                lo = mid + 1
+        chosen[own[:lo]] = True
+    chosen &= n > 0  # a pair that no document holds finds nothing
     return hashes[chosen], at[chosen]
 
 
@@ -140,30 +179,37 @@ def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _matches(w: W.Words, look: _Lookup, seed_at: list[np.ndarray], item_of: np.ndarray, items: W.Words,
              ratio: float, enough: int) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Best alignment of each (row, item) of a slice that is good enough: rows, item, score, from, to."""
-    hashes, at = _grams(w)
+    hashes, at = _pairs(w)
     hit, seed = look.find(hashes)
     if not len(hit):
         return
-    times = np.array([len(seed_at[s]) for s in seed.tolist()])
+    times = np.array([len(x) for x in seed_at])[seed]
     p = np.repeat(at[hit], times)
     q = np.concatenate([seed_at[s] for s in seed.tolist()])
     item = item_of[q]
     doc = w.row_of()[p]
     length = items.counts()[item]
     pad = np.maximum(8, length // 4)
-    lane = (p - w.first[doc] - (q - items.first[item])) // pad  # hits of one copy are in neighbouring lanes at most
-    found = np.unique(np.stack([item, doc, lane]), axis=1)
-    for i in np.unique(found[0]).tolist():
+    lane = (p - w.first[doc] - (q - items.first[item])) // pad
+    order = np.lexsort((lane, doc, item))
+    item, doc, lane = item[order], doc[order], lane[order]
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (lane[1:] != lane[:-1])
+    item, part_all = item[fresh], np.stack([doc[fresh], lane[fresh]])
+    edges = np.concatenate([[0], np.flatnonzero(item[1:] != item[:-1]) + 1, [len(item)]])
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        i = int(item[a])
         own = items.hash[items.first[i]:items.first[i + 1]]
-        part = found[1:, found[0] == i]
+        part = part_all[:, a:b]
+        need = _needed(len(own), ratio, enough)
         pad_i = max(8, len(own) // 4)
-        width = len(own) + 3 * pad_i
+        more = int(MATCH * len(own) - need)  # words that a copy may add
+        width = len(own) + pad_i + 2 * more
         step = max(1, (1 << 20) // width)
-        need = MATCH * min(ratio * len(own), enough)
         rows, scores, starts, stops = [], [], [], []
         for lo in range(0, part.shape[1], step):
             d, lane_ = part[0, lo:lo + step], part[1, lo:lo + step]
-            begin = w.first[d] + (lane_ - 1) * pad_i
+            begin = w.first[d] + lane_ * pad_i - more
             place = begin[:, None] + np.arange(width)
             inside = (place >= w.first[d][:, None]) & (place < w.first[d + 1][:, None])
             window = np.where(inside, w.hash[np.clip(place, 0, len(w.hash) - 1)], np.uint64(0))
@@ -210,7 +256,7 @@ def _block(docs: DataFrame, block: pa.Table, key: str, text: str, ratio: float,
         return spark.createDataFrame([], schema)
     ids = block["i"].combine_chunks().take(pa.array(long_enough))
     _, _, items = next(W.slices(texts.take(pa.array(long_enough)), W.FOLDED, True, limit=1 << 40))
-    hashes, places = rare_seeds(items, docs, text)
+    hashes, places = rare_seeds(items, docs, text, ratio, enough)
     look = _Lookup(hashes)
     order = np.argsort(np.searchsorted(look.keys, hashes), kind="stable")
     edges = np.searchsorted(np.searchsorted(look.keys, hashes)[order], np.arange(len(look.keys) + 1))

@@ -1,5 +1,5 @@
 import numpy as np
-from .plain import prose
+from .plain import folded, prose
 
 from stratum.llm import decontam as D
 
@@ -85,3 +85,31 @@ def test_a_copy_in_every_document_is_still_seeded(spark, documents):
     rows = [(i, f"{prose(rng, 20)} {item if i % 3 == 0 else ''} {prose(rng, 20)}", "en", "s") for i in range(300)]
     got = D.contaminated(documents(rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert sorted(r.doc_id for r in got) == list(range(0, 300, 3))
+
+
+def plain_found(docs, items, need):
+    """Every document against every item, cell by cell."""
+    return sorted((d, i) for d, t, *_ in docs for i, x in items
+                  if plain_alignment(folded(x), folded(t)) >= need(len(folded(x))))
+
+
+def test_copies_without_long_unedited_runs_equal_brute_force(spark, documents):
+    """Words replaced at every 3rd to 6th place or at random, and words added: no copy at the threshold is lost."""
+    rng = np.random.default_rng(12)
+    items = [(i, prose(rng, n, 900)) for i, n in enumerate((15, 20, 25, 38, 59))]
+    docs = [(9000 + i, prose(rng, int(n), 900), "en", "s") for i, n in enumerate(rng.integers(1, 120, 20))]
+    for i, text in items:
+        plain = text.split()
+        copies = [[f"x{k}" if k % every == every - 1 else w for k, w in enumerate(plain)] for every in (3, 4, 5, 6)]
+        copies += [[f"x{k}" if rng.random() < 0.2 else w for k, w in enumerate(plain)] for _ in range(8)]
+        copies += [[x for k, w in enumerate(plain) for x in ([w, f"y{k}"] if k % every == 0 else [w])] for every in (1, 2, 3)]
+        copies += [[w for k, w in enumerate(plain) if k % 3]]
+        docs += [(100 * i + k, " ".join([prose(rng, 10), *c, prose(rng, 10)]), "en", "s") for k, c in enumerate(copies)]
+    want = plain_found(docs, items, lambda n: D.MATCH * min(D.RATIO * n, D.ENOUGH))
+    assert len(want) > 60
+    got = D.contaminated(documents(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == want
+    text = dict((d, t) for d, t, *_ in docs)
+    for r in got:
+        full = plain_alignment(folded(dict(items)[r.item_id]), folded(text[r.doc_id]))
+        assert r.score == min(1.0, full / (D.MATCH * min(len(folded(dict(items)[r.item_id])), D.ENOUGH / D.RATIO)))
