@@ -17,17 +17,21 @@ however the copy was edited, and the window around a seed is as wide as such an
 alignment can be.
 
 A pair is reported when its score is at least ``ratio`` of that of a perfect
-copy, or of ``enough`` words for long items.  Words are folded: case and ASCII
-punctuation do not matter.
+copy, or of ``enough`` words for long items, and never below that of ``floor``
+words: items of up to ``floor`` words are found as exact word sequences only.
+Words are folded: case and ASCII punctuation do not matter.  In scripts that
+are written without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every
+character is a word, and ``floor`` is twice as many for items of such words.
 
 Defined cases: null and blank texts match nothing; items under ``min_words``
-words are too short to tell and match nothing; repeated documents and items are
+words match nothing (1: every item with a word is looked for); repeated documents and items are
 reported each; a null id stays null; only id and text columns are read; empty
 tables give an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +42,19 @@ from pyspark.sql import functions as F
 from . import words as W
 from .store import packed, unpacked, written
 
-MIN_WORDS = 6
+MIN_WORDS = 1
 RATIO = 0.5
 ENOUGH = 50
+#: words that a copy must match whatever the ratio; twice as many characters
+FLOOR = 7
+#: characters of scripts without spaces between words, and the marks between them
+UNSPACED = "\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3031-\u3035\u3041-\u30FA\u30FC-\u30FF\u31F0-\u31FF" \
+           "\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9D\U00020000-\U0003FFFF"
+_MARKS = "\u3000-\u3004\u3008-\u3020\u3030\u30FB\uFF01-\uFF0F\uFF1A-\uFF20\uFF3B-\uFF40\uFF5B-\uFF65"
+_APART = re.compile(f"([{UNSPACED}])|[{_MARKS}]")
+#: first UTF-8 bytes of these characters
+_LEADS = np.zeros(256, dtype=bool)
+_LEADS[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0]] = True
 #: words of benchmark text in a broadcast block: about 8 bytes each, some MB with the seeds
 BLOCK_WORDS = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -64,11 +78,22 @@ class _Lookup:
         return at[ok], place[ok]
 
 
-def _pairs(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and first positions of the close pairs: words that are neighbours or have one word between them."""
+def _slices(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, W.Words]]:
+    """Folded words by runs of rows; every character of a script without spaces is a word."""
+    for lo, hi, w in W.slices(texts, W.FOLDED, True, limit):
+        if not _LEADS[w.data].any():
+            yield lo, hi, w
+            continue
+        apart = pa.array([_APART.sub(r" \1 ", t or "") for t in texts.slice(lo, hi - lo).to_pylist()], pa.string())
+        for a, b, v in W.slices(apart, W.FOLDED, True, limit):
+            yield lo + a, lo + b, v
+
+
+def _pairs(w: W.Words, single: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first positions of the close pairs (neighbours, or with one word between); before them, with ``single``, of the words."""
     row_end = np.repeat(w.first[1:], w.counts())
     own, other = W.mix(w.hash), W.mix(w.hash ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    out, places = [], []
+    out, places = ([own], [np.arange(len(own))]) if single else ([], [])
     for gap in (1, 2):
         at = np.flatnonzero(np.arange(len(row_end)) + gap < row_end)
         with np.errstate(over="ignore"):
@@ -77,7 +102,7 @@ def _pairs(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(places)
 
 
-def corpus_counts(docs: DataFrame, pairs: np.ndarray, text: str = "text") -> np.ndarray:
+def corpus_counts(docs: DataFrame, pairs: np.ndarray, text: str = "text", single: bool = False) -> np.ndarray:
     """How often each of the sorted distinct ``pairs`` occurs in all texts."""
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast(_Lookup(pairs))
@@ -86,8 +111,8 @@ def corpus_counts(docs: DataFrame, pairs: np.ndarray, text: str = "text") -> np.
         look = known.value
         total = np.zeros(len(look.keys), dtype=np.int64)
         for batch in batches:
-            for _, _, w in W.slices(batch.column(0), W.FOLDED, True):
-                total += np.bincount(look.find(_pairs(w)[0])[1], minlength=len(total))
+            for _, _, w in _slices(batch.column(0)):
+                total += np.bincount(look.find(_pairs(w, single)[0])[1], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
@@ -98,9 +123,10 @@ def corpus_counts(docs: DataFrame, pairs: np.ndarray, text: str = "text") -> np.
     return out
 
 
-def _needed(length, ratio: float, enough: int):
-    """The score that makes an alignment with an item of ``length`` words a copy."""
-    return MATCH * np.minimum(ratio * length, enough)
+def _needed(length: np.ndarray, unspaced: np.ndarray, ratio: float, enough: int, floor: int) -> np.ndarray:
+    """The score that makes an alignment a copy, by item; ``unspaced`` of its words are single characters."""
+    least = floor * (1 + unspaced / np.maximum(length, 1))
+    return MATCH * np.maximum(np.minimum(ratio * length, enough), np.minimum(least, length))
 
 
 def _longest_chain(near: list[bool], far: list[bool]) -> int:
@@ -114,21 +140,30 @@ def _longest_chain(near: list[bool], far: list[bool]) -> int:
     return last
 
 
-def rare_seeds(items: W.Words, docs: DataFrame, text: str = "text", ratio: float = RATIO, enough: int = ENOUGH) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and word positions (in ``items``) of the seeds: the rarest pairs, so many that every good alignment holds one."""
-    hashes, at = _pairs(items)
-    known = np.unique(hashes)
-    n = corpus_counts(docs, known, text)[np.searchsorted(known, hashes)]
-    row = items.row_of()[at]
+def rare_seeds(items: W.Words, need: np.ndarray, docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and word positions (in ``items``) of the seeds: the rarest pairs, so many that every alignment of score ``need`` holds one.
+
+    An item of one word is its own seed.
+    """
+    hashes, at = _pairs(items, True)
+    single = np.arange(len(at)) < len(items.hash)
     far = np.arange(len(at)) >= len(at) - int(np.maximum(items.counts() - 2, 0).sum())
+    row = items.row_of()[at]
+    used = ~single | (items.counts()[row] == 1)
+    hashes, at, far, row = hashes[used], at[used], far[used], row[used]
+    known = np.unique(hashes)
+    n = corpus_counts(docs, known, text, bool((items.counts() == 1).any()))[np.searchsorted(known, hashes)]
     chosen = np.zeros(len(hashes), dtype=bool)
     order = np.lexsort((hashes, n, row))
     edges = np.searchsorted(row[order], np.arange(items.rows + 1))
     for r, length in enumerate(items.counts().tolist()):
         own = order[edges[r]:edges[r + 1]]  # rarest first
+        if length == 1:
+            chosen[own] = True
+            continue
         place = (at[own] - items.first[r]).tolist()
         skips = far[own].tolist()
-        links = max(1, int(np.ceil((_needed(length, ratio, enough) - MATCH) / 2)))
+        links = max(1, int(np.ceil((need[r] - MATCH) / 2)))
         lo, hi = 0, len(own)
         while lo < hi:  # the fewest seeds that leave no chain of ``links`` other pairs
             mid = (lo + hi) // 2
@@ -177,9 +212,9 @@ def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _matches(w: W.Words, look: _Lookup, seed_at: list[np.ndarray], item_of: np.ndarray, items: W.Words,
-             ratio: float, enough: int) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
+             needed: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Best alignment of each (row, item) of a slice that is good enough: rows, item, score, from, to."""
-    hashes, at = _pairs(w)
+    hashes, at = _pairs(w, bool((items.counts() == 1).any()))
     hit, seed = look.find(hashes)
     if not len(hit):
         return
@@ -201,7 +236,7 @@ def _matches(w: W.Words, look: _Lookup, seed_at: list[np.ndarray], item_of: np.n
         i = int(item[a])
         own = items.hash[items.first[i]:items.first[i + 1]]
         part = part_all[:, a:b]
-        need = _needed(len(own), ratio, enough)
+        need = needed[i]
         pad_i = max(8, len(own) // 4)
         more = int(MATCH * len(own) - need)  # words that a copy may add
         width = len(own) + pad_i + 2 * more
@@ -228,7 +263,7 @@ def _matches(w: W.Words, look: _Lookup, seed_at: list[np.ndarray], item_of: np.n
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                  item_text: str = "text", ratio: float = RATIO, enough: int = ENOUGH, block_words: int = BLOCK_WORDS,
-                 min_words: int = MIN_WORDS) -> DataFrame:
+                 min_words: int = MIN_WORDS, floor: int = FLOOR) -> DataFrame:
     """``(key, item_key, score, from_word, to_word)``: documents with a copy of a benchmark item.
 
     ``score`` is the alignment score over that of a perfect copy; the words are
@@ -237,38 +272,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     kinds = docs.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
     schema = f"k {kinds[0]}, i {kinds[1]}, score double, from_word long, to_word long"
     items = written(benchmark.select(F.col(item_key).alias("i"), F.lower(item_text).alias("t")), "decontam-items")
-    total = items.agg(F.sum(F.regexp_count("t", F.lit(r"[\p{Alnum}]+")))).first()[0] or 0
+    total = items.agg(F.sum(F.regexp_count("t", F.lit(f"[{UNSPACED}]|[\\p{{Alnum}}[^\\x00-\\x7F]&&[^{UNSPACED}]]+")))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     out = None
     for b in range(blocks):
         block = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).toArrow()  # about block_words words
-        part = _block(docs, block, key, text, ratio, enough, min_words, schema)
+        part = _block(docs, block, key, text, ratio, enough, min_words, floor, schema)
         out = part if out is None else out.unionAll(part)
     return out.select(F.col("k").alias(key), F.col("i").alias(item_key), "score", "from_word", "to_word")
 
 
-def _block(docs: DataFrame, block: pa.Table, key: str, text: str, ratio: float, enough: int, min_words: int, schema: str) -> DataFrame:
+def _block(docs: DataFrame, block: pa.Table, key: str, text: str, ratio: float, enough: int, min_words: int, floor: int,
+           schema: str) -> DataFrame:
     spark = docs.sparkSession
     texts = block["t"].combine_chunks() if block.num_rows else pa.array([], pa.string())
-    parsed = [(lo, w) for lo, _, w in W.slices(texts, W.FOLDED, True, limit=1 << 40)]
+    parsed = [(lo, w) for lo, _, w in _slices(texts, limit=1 << 40)]
     long_enough = np.flatnonzero(parsed[0][1].counts() >= min_words) if parsed else np.zeros(0, np.int64)
     if not len(long_enough):
         return spark.createDataFrame([], schema)
     ids = block["i"].combine_chunks().take(pa.array(long_enough))
-    _, _, items = next(W.slices(texts.take(pa.array(long_enough)), W.FOLDED, True, limit=1 << 40))
-    hashes, places = rare_seeds(items, docs, text, ratio, enough)
+    texts = texts.take(pa.array(long_enough))
+    _, _, items = next(_slices(texts, limit=1 << 40))
+    unspaced = np.array([len(re.findall(f"[{UNSPACED}]", t)) for t in texts.to_pylist()])
+    needed = _needed(items.counts(), unspaced, ratio, enough, floor)
+    hashes, places = rare_seeds(items, needed, docs, text)
     look = _Lookup(hashes)
     order = np.argsort(np.searchsorted(look.keys, hashes), kind="stable")
     edges = np.searchsorted(np.searchsorted(look.keys, hashes)[order], np.arange(len(look.keys) + 1))
     seed_at = [places[order[lo:hi]] for lo, hi in zip(edges[:-1], edges[1:])]
     items.data = np.zeros(0, np.uint8)  # the text itself is not needed any more
-    sent = spark.sparkContext.broadcast((look, seed_at, items.row_of(), items, ids))
+    sent = spark.sparkContext.broadcast((look, seed_at, items.row_of(), items, ids, needed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, seed_at, item_of, items, ids = sent.value
+        look, seed_at, item_of, items, ids, needed = sent.value
         for batch in batches:
-            for lo, _, w in W.slices(batch.column(1), W.FOLDED, True):
-                for rows, i, score, start, stop in _matches(w, look, seed_at, item_of, items, ratio, enough):
+            for lo, _, w in _slices(batch.column(1)):
+                for rows, i, score, start, stop in _matches(w, look, seed_at, item_of, items, needed):
                     full = MATCH * min(len(items.hash[items.first[i]:items.first[i + 1]]), enough / ratio)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(rows + lo)), ids.take(pa.array(np.full(len(rows), i))),

@@ -113,3 +113,21 @@ def test_copies_without_long_unedited_runs_equal_brute_force(spark, documents):
     for r in got:
         full = plain_alignment(folded(dict(items)[r.item_id]), folded(text[r.doc_id]))
         assert r.score == min(1.0, full / (D.MATCH * min(len(folded(dict(items)[r.item_id])), D.ENOUGH / D.RATIO)))
+
+
+def test_short_items_and_texts_without_spaces(spark, documents):
+    rng = np.random.default_rng(3)
+    zh = "人工智能正在改變我們的生活方式和工作方法未來會怎樣"
+    th = "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"
+    items = [(1, "What is the capital of France?"), (2, "one two three"), (3, "Xylophone"), (4, zh), (5, th), (6, "機械学習とは何ですか"),
+             (7, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10")]
+    edited_zh = "".join("誰" if i % 6 == 5 else c for i, c in enumerate(zh))
+    docs = [(10, "Paris is the capital of France and more"), (11, "He said: what is the Capital of France, then left"),
+            (20, "one two and three"), (21, "so one, two, THREE it is"), (30, "a xylophone plays"), (31, "xylophones play"),
+            (40, f"他說{zh}。謝謝"), (41, f"他說,{edited_zh}謝謝"), (42, "我們的生活很好,工作方法也不錯"), (50, f"สวัสดี{th}ครับ"), (51, "ประเทศไทยสวยงาม"),
+            (60, "質問:「機械学習とは何ですか」。"), (61, "機械学習とは何でしょう"), (70, "a1 a2 a3 a4 a5 b"), (71, "x a2 a3 a4 a5 a6 a7 a8 y")]
+    rows = [(i, t, "en", "s") for i, t in docs] + [(1000 + i, prose(rng, 50), "en", "s") for i in range(20)]
+    got = D.contaminated(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(11, 1), (21, 2), (30, 3), (40, 4), (41, 4), (50, 5), (60, 6), (71, 7)]
+    assert all(r.score == 1.0 for r in got if r.doc_id not in (41, 71))
+    assert D.contaminated(documents(rows), spark.createDataFrame(items, "item_id long, text string"), min_words=8).count() == 5
