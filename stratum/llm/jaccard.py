@@ -9,8 +9,9 @@ threshold is below ``tolerance``.  The pairs left are verified by their exact
 shingle sets, and only links and their counts leave the task: no table of
 candidate pairs exists.
 
-Large groups are cut into blocks by a hash of the document and each pair of
-blocks is one unit of work, so that no task holds a whole group.  Candidate
+Large groups are cut into blocks, bounded in shingles and in rows, by a hash of
+the document and each pair of blocks is one unit of work, so that no task holds
+a whole group.  Candidate
 groups are the LSH buckets, or the connected components of the buckets where
 comparing a whole component costs no more than comparing its buckets one by
 one (near copies share most of their buckets).  Either way every pair that
@@ -44,6 +45,8 @@ STEP = 16
 TOLERANCE = 1e-7
 #: shingles in a block of a candidate group, about 8 bytes each in memory and shuffle
 BLOCK = 200_000
+#: rows in a block, for short texts: a unit's arrays of pairs have about the square of it
+BLOCK_ROWS = 2_000
 
 
 def least_matches(threshold: float, tolerance: float, n: int) -> int:
@@ -94,7 +97,7 @@ def _row_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
         return sums[at[1:]] - sums[at[:-1]]
 
 
-def candidate_groups(reps: DataFrame, block: int = BLOCK) -> DataFrame:
+def candidate_groups(reps: DataFrame, block: int = BLOCK, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(key, groups)``: the candidate groups, with their block counts, of every representative that has a partner.
 
     Buckets with the same members count once.  ``reps`` has (key, size, bands).
@@ -113,13 +116,13 @@ def candidate_groups(reps: DataFrame, block: int = BLOCK) -> DataFrame:
     sizes = (reps.select("key", "size").join(label, F.col("key") == F.col("node")).groupBy("label").agg(
         F.count("*").alias("c_n"), F.sum("size").alias("c_weight")))
     whole = written(cost.join(sizes, "label").where("cast(c_n as double) * c_n <= by_bucket")
-                    .select(F.col("label").alias("c_label"), "c_weight"), "jaccard-whole")
+                    .select(F.col("label").alias("c_label"), "c_n", "c_weight"), "jaccard-whole")
     of = label.join(whole, F.col("label") == F.col("c_label"), "left").select(
-        F.col("node"), F.col("c_label"), "c_weight")
-    blocks = lambda w: F.ceil(F.col(w) / F.lit(block))
+        F.col("node"), F.col("c_label"), "c_n", "c_weight")
+    blocks = lambda w, n: F.greatest(F.ceil(F.col(w) / F.lit(block)), F.ceil(F.col(n) / F.lit(block_rows)))
     joined = member.join(of, F.col("key") == F.col("node"))
-    group = F.when(F.col("c_label").isNull(), F.struct(F.col("bucket").alias("group"), blocks("weight").alias("blocks"))).otherwise(
-        F.struct(F.xxhash64("c_label").alias("group"), blocks("c_weight").alias("blocks")))
+    group = F.when(F.col("c_label").isNull(), F.struct(F.col("bucket").alias("group"), blocks("weight", "n").alias("blocks"))).otherwise(
+        F.struct(F.xxhash64("c_label").alias("group"), blocks("c_weight", "c_n").alias("blocks")))
     return joined.groupBy("key").agg(F.collect_set(group).alias("groups"))  # at most one entry a band
 
 
@@ -260,9 +263,9 @@ def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
-          tolerance: float = TOLERANCE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+          tolerance: float = TOLERANCE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(u, v, links)``: linked representatives with a smaller or equal one reached, and documents linked to, by unit."""
-    groups = candidate_groups(reps, block)
+    groups = candidate_groups(reps, block, block_rows)
     payload = (docs.select(_key(key, text).alias("k"), F.col(text).alias("t"))
                .join(groups.join(reps.select("key", "copies"), "key"), F.col("k") == F.col("key"))
                .select("key", "copies", "groups", "t"))

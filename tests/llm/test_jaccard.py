@@ -88,3 +88,18 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000, 1002: 1000}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
     assert collections.Counter(got.values())[0] == n
+
+
+def test_groups_of_short_texts_are_cut_by_rows(spark, documents, rows):
+    """50,000 different texts of 6 to 10 words that share most of their shingles are few shingles but many rows."""
+    from pyspark.sql import functions as F
+
+    texts = spark.range(50_000).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", F.slice(F.split(F.lit("a b c d e f g h i"), " "), F.lit(1), F.lit(5) + (F.col("id") % 5).cast("int")), F.col("id").cast("string")).alias("text"))
+    reps = J.fingerprints(texts).select("key", "size", "bands")
+    groups = J.candidate_groups(reps).select("key", F.explode("groups").alias("g")).groupBy("g.group", "g.blocks").count().collect()
+    assert max(g["count"] for g in groups) > 10 * J.BLOCK_ROWS
+    assert all(g["count"] <= g["blocks"] * J.BLOCK_ROWS for g in groups)
+    links, label = brute(rows)
+    got = {r.doc_id: r for r in J.near_duplicates(documents(rows), block_rows=20).collect()}
+    assert [got[r[0]].n_links for r in rows] == links and [got[r[0]].class_id for r in rows] == label
