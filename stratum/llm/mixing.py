@@ -13,8 +13,9 @@ size, the longest first; the words by which a tier missed its share are spread
 over the fractions of the next.  What a source finally misses is about one of
 its shortest documents.
 
-Randomness is a hash of ids and a seed: reruns agree.  Cells are dealt by a hash
-of the id, so a source that holds a third of all rows is many cells.
+Randomness is a hash of a seed and of each row's id, size and number among the
+rows that share both: reruns agree.  Cells are dealt by such a hash, so a source
+that holds a third of all rows is many cells, whether or not its ids differ.
 
 Defined cases: null text has size 0; documents of size 0 are taken 0 times; a
 null source is a source of its own, last in order; a source without words has
@@ -39,7 +40,9 @@ TIERS = (2048, 512, 128, 32, 1)
 SEED = 20
 
 _WORD = r"[^\x20\x09-\x0D]+"
-_ELEMENT = "struct<id: bigint, size: bigint, p: double>"
+_ELEMENT = "struct<id: bigint, size: bigint, twin: bigint, p: double>"
+#: rows that one row of a table is unfolded to at once
+_STEP = 1 << 14
 
 
 def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -84,13 +87,26 @@ def _clip(x: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
 
 
+def _name(e: Column) -> tuple[Column, ...]:
+    """What tells an element from the others; a null id has a value of its own."""
+    return F.coalesce(e["id"], F.lit(0).cast("long")), e["id"].isNull(), e["size"], e["twin"]
+
+
+def numbered(held: DataFrame) -> DataFrame:
+    """``held`` with ``twin``: rows that are equal in all columns are numbered from 0, by counting them and unfolding the counts."""
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(_STEP).cast("long")))
+    steps = held.groupBy(*held.columns).agg(F.count("*").alias("rows")).select(*held.columns, "rows", start.alias("start"))
+    last = F.least(F.col("rows"), F.col("start") + _STEP) - 1
+    return steps.select(*held.columns, F.explode(F.sequence("start", last)).alias("twin"))
+
+
 def _pair(state: Column, new: Column, level: int) -> Column:
     """Move words between the current fraction and the next one until one of them is 0 or 1."""
     c = state["cur"]
     moves = F.struct(
         F.least(c["size"] * (1 - c["p"]), new["size"] * new["p"]).alias("up"),
         F.least(c["size"] * c["p"], new["size"] * (1 - new["p"])).alias("down"),
-        _uniform(F.lit(level), c["id"], new["id"]).alias("u"))
+        _uniform(F.lit(level), *_name(c), *_name(new)).alias("u"))
 
     def moved(m: Column) -> Column:
         up = m["u"] * (m["up"] + m["down"]) < m["down"]
@@ -99,8 +115,8 @@ def _pair(state: Column, new: Column, level: int) -> Column:
             F.when(empty, F.lit(0.0)).otherwise(_clip(c["p"] - m["down"] / c["size"])))
         np_ = F.when(up, F.when(full, _clip(new["p"] - m["up"] / new["size"])).otherwise(F.lit(0.0))).otherwise(
             F.when(empty, _clip(new["p"] + m["down"] / new["size"])).otherwise(F.lit(1.0)))
-        return F.struct(F.struct(c["id"].alias("id"), c["size"].alias("size"), cp.alias("p")).alias("a"),
-                        F.struct(new["id"].alias("id"), new["size"].alias("size"), np_.alias("p")).alias("b"))
+        return F.struct(F.struct(c["id"].alias("id"), c["size"].alias("size"), c["twin"].alias("twin"), cp.alias("p")).alias("a"),
+                        F.struct(new["id"].alias("id"), new["size"].alias("size"), new["twin"].alias("twin"), np_.alias("p")).alias("b"))
 
     def settled(x: Column) -> Column:
         done = x["a"]["p"].isin(0.0, 1.0)
@@ -112,7 +128,7 @@ def _pair(state: Column, new: Column, level: int) -> Column:
 
 def _reduce(elements: DataFrame, level: int) -> DataFrame:
     """One level of the tree: ``(number, cell, cur, out)`` from ``(number, cell, e)``."""
-    groups = elements.groupBy("number", "cell").agg(F.collect_list(F.struct(F.xxhash64("e.id").alias("h"), "e")).alias("es"))
+    groups = elements.groupBy("number", "cell").agg(F.collect_list(F.struct(F.xxhash64(*_name(F.col("e"))).alias("h"), "e")).alias("es"))
     es = F.transform(F.array_sort("es"), lambda x: x["e"])
     first = F.struct(F.element_at("sorted", 1).alias("cur"), F.array().cast(f"array<{_ELEMENT}>").alias("out"))
     state = F.aggregate(F.slice("sorted", F.lit(2), F.size("sorted")), first, lambda s, e: _pair(s, e, level))
@@ -125,12 +141,12 @@ def _round_tier(elements: DataFrame, most: int, tier: int, cell: int) -> DataFra
     cells = -(-most // cell)
     while True:
         done = written(_reduce(now, tier * 100 + level), f"mix-{tier}-{level}")
-        parts.append(done.select("number", F.inline("out")))
+        parts.append(done.select("number", F.inline("out")).drop("twin"))
         if cells <= 1:
             break
         now = done.select("number", F.floor(F.col("cell") / cell).alias("cell"), F.col("cur").alias("e"))
         cells, level = -(-cells // cell), level + 1
-    coin = F.when(F.col("cur.p") > _uniform(F.lit(tier), F.col("number"), F.col("cur.id")), F.lit(1.0)).otherwise(F.lit(0.0))
+    coin = F.when(F.col("cur.p") > _uniform(F.lit(tier), F.col("number"), *_name(F.col("cur"))), F.lit(1.0)).otherwise(F.lit(0.0))
     parts.append(done.select("number", "cur.id", "cur.size", coin.alias("p")))
     out = parts[0]
     for p in parts[1:]:
@@ -148,7 +164,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     for k in reversed(range(len(tiers) - 1)):
         tier = F.when(F.col("size") >= tiers[k], F.lit(k)).otherwise(tier)
     held = sized.join(goal.select("of", "number"), F.col("source").eqNullSafe(F.col("of"))).withColumn("tier", tier)
-    held = written(held.select("id", "size", "number", "tier"), "mix-elements")
+    held = written(numbered(held.select("id", "size", "number", "tier")), "mix-elements")
     shape = held.where("size > 0").groupBy("number", "tier").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     shape = written(shape, "mix-shape")
     most_of = {r["tier"]: r["n"] for r in shape.groupBy("tier").agg(F.max("n").alias("n")).collect()}  # a row a tier
@@ -170,8 +186,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
                            F.when(F.col("p") > 0, _clip(need / F.col("m"))).otherwise(F.lit(0.0)).alias("q"))
         plan = written(plan, f"mix-plan-{k}")  # a row a source: its size is known before the join
         elements = held.where((F.col("tier") == k) & (F.col("size") > 0)).join(plan, "number").select(
-            "number", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.col("cells")).alias("cell"),
-            F.struct("id", "size", F.col("q").alias("p")).alias("e"))
+            "number", "cells", F.struct("id", "size", "twin", F.col("q").alias("p")).alias("e"))
+        elements = elements.select("number", F.pmod(F.xxhash64(F.lit(SEED), *_name(F.col("e"))), F.col("cells")).alias("cell"), "e")
         settled.append(_round_tier(elements, most_of[k], k, cell))
     out = held.where("size = 0").select("number", "id", "size", F.lit(0.0).alias("p"))
     for x in settled:
@@ -184,19 +200,20 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 def repeat(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say."""
-    mixed = written(mix(docs, key, text, source, **options).select(F.col(key).alias("m_key"), F.col("size").alias("m_size"), "copies"), "mix-copies")
+    mixed = written(mix(docs, key, text, source, **options).select(F.col(key).alias("m_key"), F.col("size").alias("m_size"), F.col(source).alias("m_source"), "copies"), "mix-copies")
     many = mixed.groupBy("m_key").count().where("count > 1 or m_key is null").select(F.col("m_key").alias("r_key"))
     many = written(many, "mix-repeated")
-    rows = packed(docs, k=F.col(key).cast("long"), t=F.col(text))
+    rows = packed(docs, k=F.col(key).cast("long"), t=F.col(text), s=F.col(source))
     # the outcomes grow with the table: the join is by key at every size
     single = mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_anti").hint("merge")
     once = rows.join(single, F.col("k") == F.col("m_key"))
-    # rows that share an id: the n-th by size gets the n-th outcome by size
-    size = F.coalesce(F.regexp_count("t", F.lit(_WORD)), F.lit(0))
-    twin = rows.join(many, F.col("k").eqNullSafe(F.col("r_key")), "left_semi").withColumn(
-        "place", F.row_number().over(Window.partitionBy("k").orderBy(size)))
+    # rows that share id, source and size: the n-th of them gets the n-th outcome
+    size = F.coalesce(F.regexp_count("t", F.lit(_WORD)), F.lit(0)).cast("long")
+    twin = rows.join(many, F.col("k").eqNullSafe(F.col("r_key")), "left_semi").withColumn("size", size).withColumn(
+        "place", F.row_number().over(Window.partitionBy("k", "s", "size").orderBy(F.xxhash64("t"))))
     outcome = mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_semi").withColumn(
-        "o_place", F.row_number().over(Window.partitionBy("m_key").orderBy("m_size")))
-    twins = twin.join(outcome, F.col("k").eqNullSafe(F.col("m_key")) & (F.col("place") == F.col("o_place")))
+        "o_place", F.row_number().over(Window.partitionBy("m_key", "m_source", "m_size").orderBy("copies")))
+    twins = twin.join(outcome, F.col("k").eqNullSafe(F.col("m_key")) & F.col("s").eqNullSafe(F.col("m_source"))
+                      & (F.col("size") == F.col("m_size")) & (F.col("place") == F.col("o_place")))
     taken = once.select("row", "copies").unionAll(twins.select("row", "copies")).where("copies > 0")
     return unpacked(taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))

@@ -86,3 +86,24 @@ def test_repeat_gives_the_rows_that_the_mix_takes(documents):
     got = collections.Counter((r.doc_id, len(words(r.text))) for r in back.collect())
     assert got == +mixed
     assert M.mix(docs.where("false")).count() == 0 and M.repeat(docs.where("false")).count() == 0
+
+
+def test_rows_without_id_are_many_cells(spark):
+    """100,000 rows under a null id and 20,000 under one repeated id: no cell holds them together."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(130_000).select(
+        F.when(F.col("id") >= 120_000, F.col("id")).when(F.col("id") >= 100_000, F.lit(7)).alias("doc_id"),
+        F.repeat(F.lit("w "), 1 + (F.col("id") % 3).cast("int")).alias("text"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"))
+    got = M.mix(rows)
+    sums = {r.source: r for r in got.groupBy("source").agg(
+        F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target"),
+        F.count_distinct("copies").alias("kinds")).collect()}
+    assert sum(r.n for r in sums.values()) == 130_000
+    assert all(abs(r.taken - r.target) <= 3 and r.kinds <= 2 for r in sums.values())
+    null = {r.source: r for r in got.where("doc_id is null").groupBy("source").agg(
+        (F.sum("taken") / F.sum("size")).alias("rate"), F.first(F.col("target") / F.col("source_size")).alias("want")).collect()}
+    assert all(abs(r.rate - r.want) < 0.02 for r in null.values())
+    taken = M.repeat(rows).groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("w"))).alias("words")).collect()
+    assert {r.source: r.words for r in taken} == {s: r.taken for s, r in sums.items()}
