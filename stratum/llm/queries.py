@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, licenses, mixing, quality, ring, toxicity, urlrules, warc
+from . import chat, decontam, jaccard, licenses, mixing, periodic, quality, ring, toxicity, urlrules, warc
 from .registry import query, table
 from .store import written
 
@@ -163,3 +169,43 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place where a document holds a license notice, with the share of the notice that it holds."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _periodic_words(doc_id: int, text: bytes) -> bytes:
+    """Fixed by the contract of ``op13_periodic_runs``: the text with its words from some place on made periodic."""
+    words = text.split()
+    n, g = len(words), zlib.crc32(str(doc_id).encode()) // 10
+    if not n:
+        return text
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return b" ".join(words[:a] + (words[a:a + p] * (1 + (n - a) // p))[:n - a])
+
+
+def _planted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, texts = batch.columns
+        chosen = np.array([i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i in ids.to_pylist()], dtype=bool)
+        chosen &= texts.is_valid().to_numpy(zero_copy_only=False)
+        which = pa.array(chosen)
+        made = [_periodic_words(i, t) for i, t in zip(ids.filter(which).to_pylist(), texts.filter(which).cast(pa.binary()).to_pylist())]
+        yield pa.RecordBatch.from_arrays([ids, pc.replace_with_mask(texts, which, pa.array(made, pa.binary()).cast(pa.string()))],
+                                         names=["doc_id", "text"])
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, and the digest of its text with each run cut to one period.
+
+    A tenth of the ids (none without an id) have a text made periodic first.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(_planted_runs, "doc_id long, text string")
+    best = F.expr("""get(array_sort(runs, (l, r) -> CASE
+        WHEN l.length * r.period > r.length * l.period THEN -1 WHEN l.length * r.period < r.length * l.period THEN 1
+        WHEN (l.start, l.period) < (r.start, r.period) THEN -1 ELSE 1 END), 0)""")
+    out = periodic.detect(docs).withColumn("best", best)
+    lines = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                      F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                      F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
