@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, licenses, mixing, periodic, quality, ring, toxicity, urlrules, warc
+from . import chat, decontam, jaccard, lexical, licenses, mixing, periodic, quality, ring, toxicity, urlrules, warc
 from .registry import query, table
 from .store import written
 
@@ -209,3 +209,33 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                       F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
                       F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+_LEXICAL_SQL = """
+WITH term AS (
+  SELECT doc_id, pos, unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS raw
+  FROM (SELECT doc_id, text, row_number() OVER () AS pos FROM documents)),
+words AS (SELECT doc_id, pos, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM term),
+counts AS (SELECT doc_id, pos, t, count(*) AS tf FROM words GROUP BY doc_id, pos, t),
+sizes AS (SELECT doc_id, pos, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id, pos),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sizes),
+norms AS (SELECT doc_id, pos, 75 + (25 * n * docs) // length AS m FROM sizes, whole),
+freq AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+         FROM (SELECT t, count(*) AS df FROM counts GROUP BY t), whole),
+asked AS (
+  SELECT item_id, t, count(*) AS times
+  FROM (SELECT item_id, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark)
+  GROUP BY item_id, t),
+scored AS (
+  SELECT item_id, doc_id, pos, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN freq USING (t) JOIN counts USING (t) JOIN norms USING (doc_id, pos)
+  GROUP BY item_id, doc_id, pos),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+
+@query("op12_ranked_search", _LEXICAL_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of the whole table for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
