@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, lexical, licenses, mixing, periodic, quality, ring, toxicity, urlrules, warc
+from . import chat, credentials, decontam, jaccard, lexical, licenses, mixing, periodic, quality, ring, toxicity, urlrules, warc
 from .registry import query, table
 from .store import written
 
@@ -239,3 +239,14 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of the whole table for every benchmark item."""
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_secret_scan")
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the fixed patterns and dear values in credential contexts."""
+    found = credentials.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.kind != "guess")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, credentials.KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
