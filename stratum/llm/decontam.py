@@ -33,11 +33,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import words as W
 from .store import packed, unpacked, written
@@ -261,35 +264,38 @@ def _matches(w: W.Words, look: _Lookup, seed_at: list[np.ndarray], item_of: np.n
             yield rows[first], i, scores[first], starts[first], stops[first]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-                 item_text: str = "text", ratio: float = RATIO, enough: int = ENOUGH, block_words: int = BLOCK_WORDS,
-                 min_words: int = MIN_WORDS, floor: int = FLOOR) -> DataFrame:
-    """``(key, item_key, score, from_word, to_word)``: documents with a copy of a benchmark item.
-
-    ``score`` is the alignment score over that of a perfect copy; the words are
-    counted in the folded text, ``to_word`` exclusive.
-    """
-    kinds = docs.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
-    schema = f"k {kinds[0]}, i {kinds[1]}, score double, from_word long, to_word long"
-    items = written(benchmark.select(F.col(item_key).alias("i"), F.lower(item_text).alias("t")), "decontam-items")
+def _blocks(benchmark: DataFrame, item_key: str, item_text: str, block_words: int) -> Iterator[pa.Table]:
+    """The items by blocks of about ``block_words`` words; rows are dealt by their number, so repeated ones spread."""
+    items = written(benchmark.select(F.col(item_key).alias("i"), F.lower(item_text).alias("t"), F.monotonically_increasing_id().alias("u")),
+                    "decontam-items")
     total = items.agg(F.sum(F.regexp_count("t", F.lit(f"[{UNSPACED}]|[\\p{{Alnum}}[^\\x00-\\x7F]&&[^{UNSPACED}]]+")))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
-    out = None
     for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).toArrow()  # about block_words words
-        part = _block(docs, block, key, text, ratio, enough, min_words, floor, schema)
-        out = part if out is None else out.unionAll(part)
-    return out.select(F.col("k").alias(key), F.col("i").alias(item_key), "score", "from_word", "to_word")
+        yield items.where(F.pmod(F.xxhash64("u"), F.lit(blocks)) == b).select("i", "t").toArrow()
+
+
+@dataclass
+class _Sent:
+    """What a task needs to find a block's items."""
 
+    look: _Lookup
+    seed_at: list[np.ndarray]
+    items: W.Words
+    ids: pa.Array
+    needed: np.ndarray
 
-def _block(docs: DataFrame, block: pa.Table, key: str, text: str, ratio: float, enough: int, min_words: int, floor: int,
-           schema: str) -> DataFrame:
+    def matches(self, w: W.Words) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
+        return _matches(w, self.look, self.seed_at, self.items.row_of(), self.items, self.needed)
+
+
+def _prepared(docs: DataFrame, block: pa.Table, text: str, ratio: float, enough: int, min_words: int, floor: int) -> Broadcast | None:
+    """The block's seeds, counted over all of ``docs``; None if no item is long enough."""
     spark = docs.sparkSession
     texts = block["t"].combine_chunks() if block.num_rows else pa.array([], pa.string())
     parsed = [(lo, w) for lo, _, w in _slices(texts, limit=1 << 40)]
     long_enough = np.flatnonzero(parsed[0][1].counts() >= min_words) if parsed else np.zeros(0, np.int64)
     if not len(long_enough):
-        return spark.createDataFrame([], schema)
+        return None
     ids = block["i"].combine_chunks().take(pa.array(long_enough))
     texts = texts.take(pa.array(long_enough))
     _, _, items = next(_slices(texts, limit=1 << 40))
@@ -301,25 +307,64 @@ def _block(docs: DataFrame, block: pa.Table, key: str, text: str, ratio: float,
     edges = np.searchsorted(np.searchsorted(look.keys, hashes)[order], np.arange(len(look.keys) + 1))
     seed_at = [places[order[lo:hi]] for lo, hi in zip(edges[:-1], edges[1:])]
     items.data = np.zeros(0, np.uint8)  # the text itself is not needed any more
-    sent = spark.sparkContext.broadcast((look, seed_at, items.row_of(), items, ids, needed))
+    return spark.sparkContext.broadcast(_Sent(look, seed_at, items, ids, needed))
 
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+                 item_text: str = "text", ratio: float = RATIO, enough: int = ENOUGH, block_words: int = BLOCK_WORDS,
+                 min_words: int = MIN_WORDS, floor: int = FLOOR) -> DataFrame:
+    """``(key, item_key, score, from_word, to_word)``: documents with a copy of a benchmark item.
+
+    ``score`` is the alignment score over that of a perfect copy; the words are
+    counted in the folded text, ``to_word`` exclusive.
+    """
+    kinds = docs.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
+    schema = f"k {kinds[0]}, i {kinds[1]}, score double, from_word long, to_word long"
+    out = docs.sparkSession.createDataFrame([], schema)
+    for n, block in enumerate(_blocks(benchmark, item_key, item_text, block_words)):
+        sent = _prepared(docs, block, text, ratio, enough, min_words, floor)
+        if sent is not None:
+            part = docs.select(F.col(key).alias("k"), F.lower(text).alias("t")).mapInArrow(_found(sent, enough / ratio), schema)
+            out = part if n == 0 else out.unionAll(part)
+    return out.select(F.col("k").alias(key), F.col("i").alias(item_key), "score", "from_word", "to_word")
+
+
+def _found(sent: Broadcast, longest: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, seed_at, item_of, items, ids, needed = sent.value
+        known = sent.value
         for batch in batches:
             for lo, _, w in _slices(batch.column(1)):
-                for rows, i, score, start, stop in _matches(w, look, seed_at, item_of, items, needed):
-                    full = MATCH * min(len(items.hash[items.first[i]:items.first[i + 1]]), enough / ratio)
+                for rows, i, score, start, stop in known.matches(w):
+                    full = MATCH * min(known.items.first[i + 1] - known.items.first[i], longest)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(rows + lo)), ids.take(pa.array(np.full(len(rows), i))),
+                        [batch.column(0).take(pa.array(rows + lo)), known.ids.take(pa.array(np.full(len(rows), i))),
                          pa.array(np.minimum(1.0, score / full)), pa.array(start), pa.array(stop)],
                         names=["k", "i", "score", "from_word", "to_word"])
 
-    return docs.select(F.col(key).alias("k"), F.lower(text).alias("t")).mapInArrow(run, schema)
+    return run
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without those that hold a copy of a benchmark item (a document without id stays only if its text is clean)."""
-    name = F.coalesce(F.col(key), -F.abs(F.xxhash64(F.col(text))) - 1)
-    marked = docs.select(name.alias("k"), F.col(text).alias("t"))
-    found = contaminated(marked, benchmark, "k", "t", **options).select(F.col("k").alias("found")).distinct()
-    return unpacked(packed(docs, k=name).join(written(found, "decontam-found"), F.col("k") == F.col("found"), "left_anti"))
+def _kept(sent: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for lo, _, w in _slices(batch.column(1)):
+                for rows, *_ in known.matches(w):
+                    keep[rows + lo] = False
+            yield pa.RecordBatch.from_arrays(batch.columns[:1], names=["row"]).filter(pa.array(keep))
+
+    return run
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+          item_text: str = "text", ratio: float = RATIO, enough: int = ENOUGH, block_words: int = BLOCK_WORDS,
+          min_words: int = MIN_WORDS, floor: int = FLOOR) -> DataFrame:
+    """The rows of ``docs`` whose text holds no copy of a benchmark item; each row is judged by its own text, whatever its id."""
+    out = docs
+    for block in _blocks(benchmark, item_key, item_text, block_words):
+        sent = _prepared(docs, block, text, ratio, enough, min_words, floor)
+        if sent is not None:
+            rows = packed(out, t=F.lower(text))
+            out = unpacked(rows.mapInArrow(_kept(sent), StructType([rows.schema["row"]])))
+    return out

@@ -78,6 +78,20 @@ def test_clean_drops_whole_documents(spark, documents):
     assert D.contaminated(frame, empty).count() == 0 and D.contaminated(frame.where("false"), bench).count() == 0
 
 
+def test_clean_judges_rows_not_ids(spark, documents):
+    """A clean row stays, whatever other rows share its id; in one block and in several."""
+    rng = np.random.default_rng(14)
+    items = [(i, prose(rng, 20, 900)) for i in range(6)]
+    rows = [(1, items[0][1], "en", "s"), (1, prose(rng, 40, 900), "en", "s"), (2, prose(rng, 40, 900), "en", "s"), (None, items[3][1], "en", "s"),
+            (None, prose(rng, 30, 900), "en", "s"), (None, None, None, None), (3, "x " + items[5][1], "en", "s"), (3, "", "en", "s"), (3, "", "en", "s")]
+    frame = documents(rows)
+    for block_words in (D.BLOCK_WORDS, 40):
+        kept = D.clean(frame, spark.createDataFrame(items, "item_id long, text string"), block_words=block_words)
+        assert kept.columns == frame.columns
+        key = lambda r: (str(r[0]), str(r[1]))
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(((r[0], r[1]) for i, r in enumerate(rows) if i not in (0, 3, 6)), key=key)
+
+
 def test_a_copy_in_every_document_is_still_seeded(spark, documents):
     """Seeds are rare by comparison, not by a limit: an item that a third of all rows copy is found in each."""
     rng = np.random.default_rng(8)
