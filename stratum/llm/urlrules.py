@@ -2,8 +2,9 @@
 
 A rule names a host and the beginning of a path; it fits the host and all its
 subdomains.  Its key is the host's labels in reverse and its path
-(``example.org/en/`` -> ``org,example)/en/``), and the keys that begin with it
-are an interval in sorted order.  Every distinct host and path of the table
+(``example.org/en/`` -> ``org/example?/en/``), and the keys that begin with it
+are an interval in sorted order.  A host holds neither ``/`` nor ``?``, so no
+label or path can be taken for another.  Every distinct host and path of the table
 gives one key per host suffix (``www.example.org`` -> org, example.org,
 www.example.org).  Rules and keys are sorted together by range partition; a
 sweep keeps the stack of rules whose interval is open, and the top of the stack
@@ -16,7 +17,8 @@ rules is sent around.  A host with a third of all rows spreads over partitions,
 for keys are sorted by path as well.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
-and fits no rule; rules without a host fit nothing; rules given twice count
+and fits no rule (such rows take no part in the join); rules without a host, or with one that no
+url can have, fit nothing; rules given twice count
 once (a rule given both verdicts blocks); repeated rows are judged each; other
 columns are not read; without rules every row has the default verdict.
 """
@@ -47,7 +49,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def _reversed(host: Column) -> Column:
-    return F.array_join(F.reverse(F.split(host, r"\.")), ",")
+    return F.array_join(F.reverse(F.split(host, r"\.")), "/")
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -59,9 +61,9 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFr
 def _keys(points: DataFrame) -> DataFrame:
     """One row per host suffix of ``(host, path)``."""
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(F.reverse(labels), F.lit(1), n), ","))
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(F.reverse(labels), F.lit(1), n), "/"))
     return points.where("host <> ''").withColumn("suffix", F.explode(suffixes)).select(
-        F.concat("suffix", F.lit(")"), "path").alias("key"), F.lit(1).alias("kind"), "host", "path",
+        F.concat("suffix", F.lit("?"), "path").alias("key"), F.lit(1).alias("kind"), "host", "path",
         F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
 
 
@@ -86,10 +88,10 @@ def _sweep(opened: dict[int, list[tuple[str, str, str]]]):
 def match(points: DataFrame, rules: DataFrame) -> DataFrame:
     """``(host, path, rule, verdict)`` of every distinct ``(host, path)`` that a rule fits: the longest rule."""
     known = written(
-        rules.where("host is not null and host <> ''").select(F.translate("host", _UPPER, _LOWER).alias("host"),
+        rules.where("host is not null and host <> '' and not host rlike '[/?#]'").select(F.translate("host", _UPPER, _LOWER).alias("host"),
                                                               F.coalesce("path", F.lit("")).alias("path"), "verdict")
         .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block wins over allow
-        .select(F.concat(_reversed(F.col("host")), F.lit(")"), "path").alias("key"), F.concat("host", "path").alias("rule"), "verdict"), "url-rules")
+        .select(F.concat(_reversed(F.col("host")), F.lit("?"), "path").alias("key"), F.concat("host", "path").alias("rule"), "verdict"), "url-rules")
     opening = known.select("key", F.lit(0).alias("kind"), F.lit("").alias("host"), F.lit("").alias("path"), "rule", "verdict")
     order = ["key", "kind", "host", "path"]
     swept = checkpointed(_keys(points).unionAll(opening).repartitionByRange(*order).sortWithinPartitions(*order))
@@ -112,5 +114,8 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     rows = pages.select(F.col(key).alias("id"), host.alias("host"), path.alias("path"))
     found = written(match(rows.select("host", "path").distinct(), rules), "url-matches")
     found = found.select(F.col("host").alias("m_host"), F.col("path").alias("m_path"), "rule", "verdict")
-    joined = rows.join(found, (F.col("host") == F.col("m_host")) & (F.col("path") == F.col("m_path")), "left")
-    return joined.select(F.col("id").alias(key), "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    same = (F.col("host") == F.col("m_host")) & (F.col("path") == F.col("m_path"))
+    joined = rows.where("host <> ''").join(found, same, "left").select("id", "host", "path", "rule", "verdict")
+    none = F.lit(None).cast("string")
+    without = rows.where("host = ''").select("id", "host", "path", none.alias("rule"), none.alias("verdict"))
+    return joined.unionAll(without).select(F.col("id").alias(key), "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))

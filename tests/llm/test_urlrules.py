@@ -30,7 +30,7 @@ def judge(url, rules):
 
 URLS = [None, "", "no scheme", "http://", "http://ORG/", "https://a.org", "https://a.org?x=/es/", "http://example.org/es/1", "http://EXAMPLE.org/en/12#y",
         "http://x.example.org/en/2", "http://badexample.org/es/", "ftp://fr.com/fr/a?b", "http://fr.com/de/", "http://u:p@fr.com:80/fr/", "http://é.org/ü",
-        "http://a..org/x", "http://.org/", "x://y://z.org/", "http://org.com/", "http://a.org/\nfr/", "http://" + "a." * 60 + "org/" + "p/" * 2000]
+        "http://a..org/x", "http://.org/", "x://y://z.org/", "http://org.com/", "http://a.org/\nfr/", "http://org,example/es/x", "http://a.org,example/en/1", "http://org)/es/", "http://example.org)/es/1", "http://a,b.org/e", "http://a)b.org/e", "http://" + "a." * 60 + "org/" + "p/" * 2000]
 
 
 def pages(spark, urls):
@@ -39,7 +39,8 @@ def pages(spark, urls):
 
 
 @pytest.mark.parametrize("rules", [URL_RULES, [], [("org", "", "block"), ("org", "/e", "allow"), ("a.org", "/", "block"), ("com", None, "block"), ("", "/", "block"),
-                                               (None, "/", "block"), ("fr.com", "/fr", "allow"), ("fr.com", "/fr", "block"), ("COM", "/fr/", "allow")]])
+                                               (None, "/", "block"), ("fr.com", "/fr", "allow"), ("fr.com", "/fr", "block"), ("COM", "/fr/", "allow"), ("a/b", "/", "block"),
+                                               ("org)", "", "allow"), ("a,b.org", "/", "block"), ("b.org", "", "block")]])
 def test_verdicts_equal_brute_force(spark, rules):
     urls = URLS * 2 + ["http://hot.example.org/en/1"] * 60 + [f"http://hot.example.org/e{'ns'[i % 2]}/{i}" for i in range(60)]
     table = spark.createDataFrame(rules, "host string, path string, verdict string")
@@ -60,7 +61,7 @@ def test_partitions_that_begin_inside_intervals(spark):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="aA.:/?#\n é", max_size=25))
+@given(st.text(alphabet="aA.:/?#\n é,)", max_size=25))
 def test_plain_split_is_the_contract(url):
     host, path = split(url)
     assert not set("/?#") & set(host) and not set("?#") & set(path)
