@@ -11,13 +11,16 @@ With ``slack`` 0 capacities differ by one at most and add up to the number of
 rows, so counts are at most one apart (law ``rows``); with more slack a change
 of the number of shards moves fewer rows.
 
-Ranks are taken inside ring cells, 1/65536 of the rows each, and cells are
-added up in two steps, so no task orders an arc, a shard or the table.
+A row's key is its id with the size and CRC of its text and its number among
+the rows equal in all three, so that rows without id, under one repeated id, or
+equal altogether spread over the ring like any others.  Ranks are taken inside
+ring cells, 1/65536 of the rows each whatever their ids, and cells are added up
+in two steps, so no task orders an arc, a shard or the table.
 
 Defined cases: a null id hashes like any value; null text has size 1 and CRC 0;
-repeated rows share a cell and get ranks of their own; ties in hash are ordered
-by id, size and CRC; only id and text are read; an empty table gives an empty
-result.
+repeated rows are numbered from 0 and have keys of their own; ties in hash are
+ordered by id, size, CRC and number; only id and text are read; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .mixing import numbered
 from .store import written
 
 VNODES = 64
@@ -90,7 +94,8 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     places = ring(shards, vnodes)
     bare = F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b""))
     rows = docs.select(F.col(key).alias("id"), (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("long").alias("size"),
-                       F.crc32(bare).alias("crc"), F.xxhash64(F.lit("ring"), F.col(key)).alias("h"))
+                       F.crc32(bare).alias("crc"))
+    rows = numbered(rows).withColumn("h", F.xxhash64(F.lit("ring"), "id", "size", "crc", "twin"))
     rows = written(rows.withColumn("cell", F.shiftrightunsigned("h", 48).cast("int")), "ring-rows")
     starts = [0, *(c + 1 for c, _ in places)]  # a cell belongs to the first place at or after it, around the ring
     stops = [*(c for c, _ in places), CELLS - 1]
@@ -112,7 +117,7 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
         by_arc.setdefault(arc, {"s_arc": arc, "spans": []})["spans"].append({"shard": shard, "lo": lo, "hi": hi, "shift": shift})
     span_of = _table(spark, list(by_arc.values()), "s_arc int, spans array<struct<shard: int, lo: long, hi: long, shift: long>>")
     cell_info = cells.join(F.broadcast(span_of), F.col("arc") == F.col("s_arc")).select("c_cell", "before", "spans")
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("h", "id", "size", "crc")) - 1
+    rank = F.row_number().over(Window.partitionBy("cell").orderBy("h", "id", "size", "crc", "twin")) - 1
     ranked = rows.withColumn("rank", rank).join(F.broadcast(cell_info), F.col("cell") == F.col("c_cell"))  # 65536 rows at most
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
     span = F.element_at(F.filter("spans", lambda s: (F.col("rank") >= s["lo"]) & (F.col("rank") < s["hi"])), 1)

@@ -6,6 +6,7 @@ import pytest
 from .plain import prose
 
 from stratum.llm import ring as R
+from stratum.llm.store import written
 
 
 def plain_flows(counts, owners, room):
@@ -62,3 +63,14 @@ def test_bounded_loads_move_few_rows(documents):
     moved = sum(a[i] != b[i] for i in a) / len(a)
     assert moved < 0.12  # 1/17 go to the new shard; dealing anew would move 94 %
     assert R.assign(docs.where("false"), 4).count() == 0
+
+
+def test_rows_without_id_or_of_one_id_spread_over_the_ring(spark, monkeypatch):
+    """A third of the rows without id, a third equal in all columns: cells stay near the mean."""
+    held = []
+    monkeypatch.setattr(R, "written", lambda df, name: held.append((name, df)) or written(df, name))
+    docs = spark.range(150_000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 7L, id)) as doc_id", "if(id % 3 = 1, 'same', cast(id as string)) as text")
+    got = R.assign(docs, 16).groupBy("shard").count().collect()
+    assert sum(r["count"] for r in got) == 150_000 and max(r["count"] for r in got) - min(r["count"] for r in got) <= 1
+    rows = next(df for name, df in held if name == "ring-rows")
+    assert rows.groupBy("cell").count().agg({"count": "max"}).first()[0] < 25  # 2.3 on average
