@@ -54,6 +54,58 @@ def test_held_out_labels_change_nothing(spark, documents):
     assert a == pytest.approx(b, abs=1e-6)
 
 
+def plain_step(weight, bias, rows, is_p, prior, decay):
+    """The non-negative risk's gradient, text by text."""
+    import math
+
+    sig, soft = lambda z: 1 / (1 + math.exp(-z)), lambda z: math.log1p(math.exp(z))
+    z = [bias + sum(weight[j] for j in r) for r in rows]
+    p, u = [k for k, v in enumerate(is_p) if v], [k for k, v in enumerate(is_p) if not v]
+    negative = sum(soft(z[k]) for k in u) / len(u) - prior * sum(soft(z[k]) for k in p) / len(p)
+    g = [0.0] * len(rows)
+    for k in p:
+        g[k] = prior * (-sig(-z[k]) - sig(z[k])) / len(p) if negative >= 0 else prior * sig(z[k]) / len(p)
+    for k in u:
+        g[k] = (1 if negative >= 0 else -1) * sig(z[k]) / len(u)
+    return [sum(g[k] for k, r in enumerate(rows) if j in r) + decay * weight[j] for j in range(len(weight))], sum(g)
+
+
+def test_fit_equals_plain_steps():
+    """Few rows, so that every step sees all of them: Adam on the risk, weight by weight."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    rows = [sorted(rng.choice(6, size=int(rng.integers(1, 5)), replace=False).tolist()) for _ in range(240)]
+    is_p = [k < 80 for k in range(240)]
+    rows = [sorted(set(r) | ({0} if v else set())) for r, v in zip(rows, is_p)]
+    table = pa.table({"positive": pa.array(is_p), "codes": pa.array(rows, pa.list_(pa.int32()))})
+    prior, decay = 0.3, 1e-3
+    got, bias = X.fit(table, prior, steps=25, decay=decay)
+    known = np.flatnonzero(got[:6])
+    assert len(known) >= 1
+    own = [[int(np.flatnonzero(known == c)[0]) for c in r if c in known] for r in rows]
+    w, b = [0.0] * len(known), float(np.log(prior / (1 - prior)))
+    m, v = [0.0] * (len(known) + 1), [0.0] * (len(known) + 1)
+    for step in range(1, 26):
+        grad, gb = plain_step(w, b, own, is_p, prior, decay)
+        new = []
+        for j, g in enumerate([*grad, gb]):
+            m[j], v[j] = 0.9 * m[j] + 0.1 * g, 0.999 * v[j] + 0.001 * g * g
+            new.append(X.RATE * (m[j] / (1 - 0.9 ** step)) / ((v[j] / (1 - 0.999 ** step)) ** 0.5 + 1e-6))
+        w, b = [x - d for x, d in zip(w, new)], b - new[-1]
+    assert got[known] == pytest.approx(w, abs=1e-5) and bias == pytest.approx(b, abs=1e-5)
+
+
+def test_sample_takes_one_text_an_id(spark, documents):
+    rows, truth = cases()
+    long = ("nastyword " * 9000, "en", "s")
+    docs = documents([*rows[:300], *[rows[8]] * 50, (8, *long), (11, *long)])
+    labels = spark.createDataFrame([(i, 1, truth[i]) for i in range(300)], "doc_id long, quality int, toxic int")
+    got, _ = X.sample(docs, labels, "doc_id", "text", "toxic", 1000, 1000)
+    learnt = [i for i in range(300) if not held(i)]
+    assert got.num_rows == len(learnt) + sum(truth[i] for i in learnt)
+
+
 def test_without_positives_or_rows(spark, documents):
     rows, _ = cases()
     docs = documents(rows[:50])
