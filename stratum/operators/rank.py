@@ -1,8 +1,8 @@
 """Ordered statistics without an unpartitioned window (R6, WIN3, WIN6).
 
 ``global_index`` gives every row its 0-based position in a total order:
-range-partition on the order keys (plus a row-id tie-breaker so a run of
-equal keys can still split), sort within partitions, count rows per partition
+range-partition on the order keys (plus a hash of the row, and a row id so a
+run of equal rows can still split), sort within partitions, count rows per partition
 (one small aggregate: one row per partition), and add the partition's offset.
 The range-sorted frame is checkpointed to the shared checkpoint folder first
 so both passes see identical partitions even if an executor is lost.
@@ -42,8 +42,8 @@ def average_rank(df: DataFrame, score: str, partition_by: Sequence[str] = (), de
 
 def _range_sorted(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> DataFrame:
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    # row id as tie-breaker: even a run of identical rows can split across partitions
-    tie = F.monotonically_increasing_id()
+    # ties go by a hash of the row, the same in every run; the row id only splits runs of rows equal in all columns
+    tie = F.struct(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("hash"), F.monotonically_increasing_id().alias("id"))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.withColumn("_tie", tie).repartitionByRange(n, *keys, F.col("_tie")).sortWithinPartitions(*keys, "_tie")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import cluster as CL
 from ..operators import groups as G
 from ..operators import iforest as IF
+from ..operators import lowess as LW
 from ..operators import ols as L
 from ..operators import outliers as O
 from ..operators import scale as SC
@@ -189,7 +190,28 @@ def supervised_pca(spark, sf):
 @query("lowess_curve")
 def lowess_curve(spark, sf):
     p = panels.customer_year_panel(spark, sf)
-    return rounded(SM.binned_lowess(p, "avg_value", "total_value", frac=0.3, bins=40))
+    return rounded(SM.binned_lowess(p, "avg_value", "total_value", frac=0.3))
+
+
+_LOWESS_FRAC = 0.3
+
+
+@query("lowess_fit", oracle=f"""
+WITH s AS (SELECT c_custkey, year, avg_value AS x, total_value AS y, row_number() OVER (ORDER BY avg_value) - 1 AS i FROM {PANEL_SQL}),
+k AS (SELECT CAST(greatest(2, floor({_LOWESS_FRAC} * count(*) + 1e-10)) AS BIGINT) AS k FROM s),
+z AS (SELECT a.x + b.x AS v FROM s a, k JOIN s b ON b.i = a.i + k.k),
+w AS (SELECT v, row_number() OVER (ORDER BY v) AS place FROM z),
+l AS (SELECT s.i, coalesce(max(w.place), 0) AS l FROM s LEFT JOIN w ON w.v < 2 * s.x GROUP BY s.i),
+h AS (SELECT s.*, l.l, k.k, greatest(s.x - a.x, b.x - s.x) AS h FROM s JOIN l ON s.i = l.i, k, s a, s b WHERE a.i = l.l AND b.i = l.l + k.k - 1),
+d AS (SELECT h.c_custkey, h.year, (n.x - h.x) / h.h AS e, n.y, pow(1 - pow(least(abs(n.x - h.x) / h.h, 1), 3), 3) AS w
+      FROM h JOIN s n ON n.i >= h.l AND n.i < h.l + h.k),
+f AS (SELECT c_custkey, year, sum(w) AS w, sum(w * e) AS we, sum(w * e * e) AS wee, sum(w * y) AS wy, sum(w * e * y) AS wey FROM d GROUP BY 1, 2)
+SELECT c_custkey, year, round((wee * wy - we * wey) / (w * wee - we * we), 4) + 0.0 AS fitted FROM f
+""")
+def lowess_fit(spark, sf):
+    """OLS11: the exact local linear fit of every panel row."""
+    p = panels.customer_year_panel(spark, sf)
+    return rounded(LW.lowess(p, "avg_value", "total_value", _LOWESS_FRAC, keep=("c_custkey", "year")).select("c_custkey", "year", "fitted"), 4)
 
 
 @query("random_forest")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, app: str = "stratum", shuffle_partitions: int | None = None) -> SparkSession:
@@ -63,6 +63,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder: several passes read the same rows and lineage ends here."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
