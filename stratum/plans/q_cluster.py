@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import cluster as CL
 from ..operators import groups as G
 from ..operators import iforest as IF
+from ..operators import lloyd as KM
 from ..operators import lowess as LW
 from ..operators import ols as L
 from ..operators import outliers as O
@@ -20,47 +21,52 @@ from .catalog import query, rounded
 PANEL_SQL = panels.CUSTOMER_YEAR_PANEL_SQL
 FEATS = ["n_orders", "avg_value", "max_value", "share_finished", "acctbal"]
 _KX, _KY = "avg_value", "max_value"
-_K, _ITERS = 3, 3
+_K = 3
 
 
 def _r(x):
     return f"round({x}, 6) + 0.0"
 
 
-def _lloyd_sql() -> str:
-    """Unrolled Lloyd iterations from the 3 rows with the smallest md5 key."""
-    cte = [f"p AS (SELECT {_KX} AS x, {_KY} AS y, md5('km|' || c_custkey || '|' || year) AS h FROM {PANEL_SQL})",
-           "c0 AS (SELECT " + ", ".join(
-               f"max(CASE WHEN rn = {j} THEN x END) AS x{j}, max(CASE WHEN rn = {j} THEN y END) AS y{j}"
-               for j in range(_K)) + " FROM (SELECT x, y, row_number() OVER (ORDER BY h) - 1 AS rn FROM p) WHERE rn < 3)"]
-
-    def assign(i):
-        d = [f"((x - x{j}) * (x - x{j}) + (y - y{j}) * (y - y{j}))" for j in range(_K)]
-        return (f"CASE WHEN {d[0]} <= {d[1]} AND {d[0]} <= {d[2]} THEN 0 "
-                f"WHEN {d[1]} <= {d[2]} THEN 1 ELSE 2 END")
-
-    for i in range(1, _ITERS + 1):
-        cte.append(f"a{i} AS (SELECT x, y, {assign(i)} AS cl FROM p, c{i - 1})")
-        cte.append(f"m{i} AS (SELECT cl, avg(x) AS mx, avg(y) AS my FROM a{i} GROUP BY cl)")
-        cols = ", ".join(f"coalesce((SELECT mx FROM m{i} WHERE cl = {j}), (SELECT x{j} FROM c{i - 1})) AS x{j}, "
-                         f"coalesce((SELECT my FROM m{i} WHERE cl = {j}), (SELECT y{j} FROM c{i - 1})) AS y{j}"
-                         for j in range(_K))
-        cte.append(f"c{i} AS (SELECT {cols})")
-    cte.append(f"fin AS (SELECT x, y, {assign(_ITERS + 1)} AS cluster FROM p, c{_ITERS})")
-    return ("WITH " + ",\n".join(cte) +
-            f"\nSELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, {_r('avg(x)')} AS mean_x, "
-            f"{_r('avg(y)')} AS mean_y FROM fin GROUP BY cluster")
-
-
-@query("kmeans_fixed_start", oracle=_lloyd_sql())
+def _lloyd_sql(source: str, start: str, columns: list[str], ks: list[int], starts: int) -> str:
+    """CTEs ``p`` (rows), ``it`` (centres by fit and step: fit = 100 k + start) and ``last`` (the converged centres).
+
+    ``start`` is the text, with ``st``, whose md5 orders the rows that a start takes.
+    """
+    f = [f"f{i}" for i in range(len(columns))]
+    d = " + ".join(f"(p.{c} - it.{c}) * (p.{c} - it.{c})" for c in f)
+    moved = ", ".join(f"abs(coalesce(m.{c}, it.{c}) - it.{c})" for c in f)
+    return f"""WITH RECURSIVE p AS MATERIALIZED (SELECT c_custkey, year, row_number() OVER () AS r, {", ".join(f"{c} AS {n}" for c, n in zip(columns, f))} FROM {source}),
+s AS (SELECT p.*, st, row_number() OVER (PARTITION BY st ORDER BY md5({start})) - 1 AS j FROM p, (SELECT unnest(range({starts})) AS st)),
+it AS (
+  SELECT k * 100 + st AS fit, j, 0 AS step, 1.0::DOUBLE AS moved, 0.0::DOUBLE AS q, {", ".join(f)} FROM s, (SELECT unnest({ks}) AS k) WHERE j < k
+  UNION ALL
+  (WITH a AS (SELECT it.fit, p.r, arg_min(it.j, {d}) AS j, min({d}) AS q, {", ".join(f"any_value(p.{c}) AS {c}" for c in f)}
+              FROM it, p WHERE it.moved > 1e-9 AND it.step < 500 GROUP BY it.fit, p.r),
+        m AS (SELECT fit, j, sum(q) AS q, {", ".join(f"avg({c}) AS {c}" for c in f)} FROM a GROUP BY fit, j)
+   SELECT it.fit, it.j, it.step + 1, max(greatest({moved})) OVER (PARTITION BY it.fit), coalesce(m.q, 0), {", ".join(f"coalesce(m.{c}, it.{c})" for c in f)}
+   FROM it LEFT JOIN m ON m.fit = it.fit AND m.j = it.j WHERE it.moved > 1e-9 AND it.step < 500)),
+last AS (SELECT it.* FROM it JOIN (SELECT fit, max(step) AS step FROM it GROUP BY fit) e ON it.fit = e.fit AND it.step = e.step),
+best AS (SELECT fit // 100 AS k, arg_min(fit, q) AS fit, min(q) AS inertia FROM (SELECT fit, sum(q) AS q FROM last GROUP BY fit) GROUP BY 1)"""
+
+
+_KM_SQL = _lloyd_sql(PANEL_SQL, "'km|' || c_custkey || '|' || year", [_KX, _KY], [_K], 1) + f"""
+SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, {_r("avg(f0)")} AS mean_x, {_r("avg(f1)")} AS mean_y
+FROM (SELECT p.r, any_value(p.f0) AS f0, any_value(p.f1) AS f1, arg_min(c.j, (p.f0 - c.f0) * (p.f0 - c.f0) + (p.f1 - c.f1) * (p.f1 - c.f1)) AS cluster
+      FROM p, last c GROUP BY p.r) GROUP BY cluster"""
+
+
+@query("kmeans_fixed_start", oracle=_KM_SQL)
 def kmeans_fixed_start(spark, sf):
-    """CLU1 (checkable form): Lloyd steps from deterministic start rows, DataFrame aggregates only."""
+    """CLU1: Lloyd to convergence from the rows of the smallest md5 keys."""
     p = panels.customer_year_panel(spark, sf).select("c_custkey", "year", _KX, _KY)
+    points = panels.materialize(KM.as_points(p, [_KX, _KY], keep=["c_custkey", "year"]))
     h = F.md5(F.concat(F.lit("km|"), F.col("c_custkey").cast("string"), F.lit("|"), F.col("year").cast("string")))
-    init = np.array([[r[_KX], r[_KY]] for r in p.orderBy(h).limit(_K).collect()])  # k start rows
-    _, lab = CL.lloyd(p, [_KX, _KY], init, _ITERS)
-    return rounded(lab.groupBy(F.col("cluster").cast("int").alias("cluster")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(_KX).alias("mean_x"), F.avg(_KY).alias("mean_y")))
+    init = np.array([r["x"] for r in points.orderBy(h).limit(_K).collect()])  # k start rows
+    fit = KM.fit_many(points, [init])[0]
+    lab = KM.assign(points.withColumn("y", F.col("x")), fit.centers, keep=["y"])
+    return rounded(lab.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("y")[0]).alias("mean_x"), F.avg(F.col("y")[1]).alias("mean_y")))
 
 
 @query("kmeans_embeddings")
@@ -71,16 +77,35 @@ def kmeans_embeddings(spark, sf):
     return res.assign(emb, "embedding").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("elbow_inertia")
+_Z_SQL = f"(SELECT c_custkey, year, {', '.join(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}' for c in FEATS)} FROM {PANEL_SQL})"
+_START = "'0|' || st || '|' || c_custkey || '|' || year"
+
+
+@query("elbow_inertia", oracle=_lloyd_sql(_Z_SQL, _START, FEATS, [2, 3, 4, 5, 6], KM.STARTS) + """
+SELECT CAST(k AS INTEGER) AS k, round(inertia, 4) AS inertia FROM best""")
 def elbow_inertia(spark, sf):
+    """CLU2: least inertia of ten starts a k, all fits in the same scans."""
     z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
-    return rounded(CL.elbow(z, FEATS, [2, 3, 4, 5, 6], seed=0))
+    return rounded(KM.elbow(z, FEATS, ["c_custkey", "year"], [2, 3, 4, 5, 6]), 4)
+
+
+_SIL_D = " + ".join(f"(p.f{i} - c.f{i}) * (p.f{i} - c.f{i})" for i in range(len(FEATS)))
+_SIL_SUMS = ", ".join(f"sum(f{i}) AS s{i}" for i in range(len(FEATS)))
+_SIL_TO = " + ".join(f"n * l.f{i} * l.f{i} - 2 * l.f{i} * s{i}" for i in range(len(FEATS)))
 
 
-@query("silhouette_by_k")
+@query("silhouette_by_k", oracle=_lloyd_sql(_Z_SQL, _START, FEATS, [2, 3, 4], KM.STARTS) + f""",
+l AS (SELECT b.k, p.r, arg_min(c.j, {_SIL_D}) AS j, {", ".join(f"any_value(p.f{i}) AS f{i}" for i in range(len(FEATS)))}
+      FROM best b JOIN last c ON c.fit = b.fit, p GROUP BY b.k, p.r),
+g AS (SELECT k, j, count(*)::DOUBLE AS n, {_SIL_SUMS}, sum({" + ".join(f"f{i} * f{i}" for i in range(len(FEATS)))}) AS q FROM l GROUP BY k, j),
+t AS (SELECT l.k, l.r, l.j, g.j AS other, n, {_SIL_TO} + q AS total FROM l JOIN g ON l.k = g.k),
+ab AS (SELECT k, r, max(CASE WHEN j = other THEN total / greatest(n - 1, 1) END) AS a, min(CASE WHEN j <> other THEN total / n END) AS b,
+              max(CASE WHEN j = other THEN n END) AS own FROM t GROUP BY k, r)
+SELECT CAST(k AS INTEGER) AS k, {_r("avg(CASE WHEN own <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END)")} AS silhouette_sq FROM ab GROUP BY k""")
 def silhouette_by_k(spark, sf):
+    """CLU3: mean silhouette of the best of ten starts a k."""
     z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
-    return rounded(CL.mean_silhouette_by_k(z, FEATS, [2, 3, 4], seed=0))
+    return rounded(KM.silhouette_by_k(z, FEATS, ["c_custkey", "year"], [2, 3, 4]))
 
 
 @query("silhouette_rows", oracle=f"""
