@@ -213,20 +213,30 @@ def hierarchical(df: DataFrame, features: Sequence[str], k: int, min_share: floa
     return model.transform(vec).select(*keep, F.col("prediction").alias("cluster"))
 
 
-def rand_index(df: DataFrame, a: str, b: str) -> float:
-    """CLU8: Rand index from the contingency table (pair counts, no pairs materialised)."""
-    cont = df.groupBy(a, b).count()
-    s = cont.agg(F.sum("count").alias("n"), F.sum(F.col("count") * (F.col("count") - 1) / 2).alias("nij")).first()
-    sa = cont.groupBy(a).agg(F.sum("count").alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0]
-    sb = cont.groupBy(b).agg(F.sum("count").alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0]
-    n = float(s["n"])
-    pairs = n * (n - 1) / 2
-    return (pairs + 2 * float(s["nij"]) - float(sa) - float(sb)) / pairs if pairs else float("nan")
-
-
 def rand_matrix(df: DataFrame, labelings: Sequence[str]) -> DataFrame:
-    rows = [(a, b, rand_index(df, a, b)) for i, a in enumerate(labelings) for b in labelings[i + 1:]]
-    return small_frame(df.sparkSession, rows, "labeling_a string, labeling_b string, rand_index double")
+    """CLU8: Rand index of every pair of labelings (a NULL is a label of its own): one scan.
+
+    The joint counts of all labelings are one aggregate; grouping sets over them
+    give the counts of each labeling and of each pair.  No pairs of rows.
+    """
+    names = [f"_l{i}" for i in range(len(labelings))]
+    joint = df.select(*[F.col(c).alias(n) for c, n in zip(labelings, names)]).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    sets = [[F.col(names[i])] for i in range(len(names))] + [[F.col(names[i]), F.col(names[j])] for i, j in pairs]
+    counts = joint.groupingSets(sets, *[F.col(n) for n in names]).agg(F.grouping_id().alias("_g"), F.sum("_n").cast("double").alias("_c"))
+    rows = counts.groupBy("_g").agg(F.sum(F.col("_c") * (F.col("_c") - 1) / 2).alias("same"), F.sum("_c").alias("n")).collect()  # a row a set
+    every = (1 << len(names)) - 1
+    same = {every ^ r["_g"]: r["same"] for r in rows}  # by the labelings that take part, the first in the highest bit
+    n = rows[0]["n"] if rows else 0.0
+    bit = lambda i: 1 << (len(names) - 1 - i)
+    total = n * (n - 1) / 2
+    found = [(labelings[i], labelings[j], (total + 2 * same[bit(i) | bit(j)] - same[bit(i)] - same[bit(j)]) / total if total else None) for i, j in pairs]
+    return small_frame(df.sparkSession, found, "labeling_a string, labeling_b string, rand_index double")
+
+
+def rand_index(df: DataFrame, a: str, b: str) -> float | None:
+    """CLU8 for two labelings; None for fewer than two rows."""
+    return rand_matrix(df, [a, b]).first()["rand_index"]
 
 
 def cluster_profiles(df: DataFrame, cluster: str, features: Sequence[str], target: str) -> DataFrame:

@@ -5,15 +5,19 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from ..frames import small_frame
 from ..operators import cluster as CL
 from ..operators import groups as G
 from ..operators import iforest as IF
 from ..operators import lloyd as KM
 from ..operators import lowess as LW
+from ..operators import mixture as MX
 from ..operators import ols as L
 from ..operators import outliers as O
 from ..operators import scale as SC
 from ..operators import smooth as SM
+from ..operators import ward as WD
+from ..operators.rank import global_index
 from ..sources.tables import table
 from . import panels
 from .catalog import query, rounded
@@ -130,16 +134,93 @@ def silhouette_rows(spark, sf):
 
 @query("gmm_clusters")
 def gmm_clusters(spark, sf):
-    z, _ = SC.standardize(panels.customer_year_panel(spark, sf), FEATS)
-    return CL.gaussian_mixture(z, FEATS, k=3, seed=0).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    """CLU6: three Gaussian components, the likeliest of five starts."""
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
+    points = panels.materialize(KM.as_points(z, FEATS, keep=["c_custkey", "year"]))
+    starts = KM.hashed_starts(z, FEATS, ["c_custkey", "year"], 3, 5)
+    mixture = MX.best_mixture(points, [KM.Fit(s) for s in starts], tol=1e-5)
+    return MX.assign(points, mixture).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+_GMM_TOL = 1e-5
+
+
+def _gmm_sql() -> str:
+    """EM of two components in one dimension: ``it`` holds the parameters of each step and the likelihood before it."""
+    ld = [f"ln(w{c}) - 0.5 * (x - m{c}) * (x - m{c}) / v{c} - 0.5 * ln(2 * pi() * v{c})" for c in (0, 1)]
+    new = ", ".join(f"avg(r{c}) AS w{c}, any_value(m{c}) + sum(r{c} * (x - m{c})) / sum(r{c}) AS m{c}, "
+                    f"sum(r{c} * (x - m{c}) * (x - m{c})) / sum(r{c}) - pow(sum(r{c} * (x - m{c})) / sum(r{c}), 2) + {MX.REG} AS v{c}" for c in (0, 1))
+    return f"""WITH RECURSIVE p AS MATERIALIZED (SELECT c_custkey, year, (avg_value - avg(avg_value) OVER ()) / stddev_pop(avg_value) OVER () AS x FROM {PANEL_SQL}),
+s AS (SELECT x, row_number() OVER (ORDER BY md5('0|0|' || c_custkey || '|' || year)) AS j FROM p),
+it AS (
+  SELECT 0 AS step, false AS done, NULL::DOUBLE AS ll, 0.5::DOUBLE AS w0, (SELECT x FROM s WHERE j = 1) AS m0, (SELECT var_pop(x) + {MX.REG} FROM p) AS v0,
+         0.5::DOUBLE AS w1, (SELECT x FROM s WHERE j = 2) AS m1, (SELECT var_pop(x) + {MX.REG} FROM p) AS v1
+  UNION ALL
+  (WITH d AS (SELECT it.*, p.x, {ld[0]} AS d0, {ld[1]} AS d1 FROM it, p WHERE NOT it.done AND it.step < 1000),
+        t AS (SELECT *, greatest(d0, d1) + ln(exp(d0 - greatest(d0, d1)) + exp(d1 - greatest(d0, d1))) AS l FROM d),
+        r AS (SELECT *, exp(d0 - l) AS r0, exp(d1 - l) AS r1 FROM t),
+        n AS (SELECT any_value(step) + 1 AS step, coalesce(avg(l) - any_value(ll) <= {_GMM_TOL}, false) AS done, avg(l) AS ll, {new} FROM r HAVING count(*) > 0)
+   SELECT n.step, n.done, n.ll, {", ".join(f"CASE WHEN n.done THEN it.{v}{c} ELSE n.{v}{c} END" for c in (0, 1) for v in "wmv")} FROM n, it)),
+f AS (SELECT * FROM it ORDER BY step DESC LIMIT 1),
+a AS (SELECT CASE WHEN {ld[0]} >= {ld[1]} THEN 0 ELSE 1 END AS c FROM p, f)
+SELECT CAST(c AS INTEGER) AS component, {_r("CASE WHEN c = 0 THEN w0 ELSE w1 END")} AS weight, {_r("CASE WHEN c = 0 THEN m0 ELSE m1 END")} AS mean,
+       {_r("CASE WHEN c = 0 THEN v0 ELSE v1 END")} AS variance, (SELECT count(*) FROM a WHERE a.c = f2.c) AS n
+FROM (SELECT *, unnest([0, 1]) AS c FROM f) f2"""
+
+
+@query("gmm_one_feature", oracle=_gmm_sql())
+def gmm_one_feature(spark, sf):
+    """CLU6: two components of the standardised average order value, parameters and rows."""
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), ["avg_value"])
+    points = panels.materialize(KM.as_points(z, ["avg_value"], keep=["c_custkey", "year"]))
+    start = KM.hashed_starts(z, ["avg_value"], ["c_custkey", "year"], 2, 1)[0]
+    mixture = MX.best_mixture(points, [KM.Fit(start)], tol=_GMM_TOL)
+    rows = {r["cluster"]: r["n"] for r in MX.assign(points, mixture).groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = [(c, float(mixture.weights[c]), float(mixture.means[c, 0]), float(mixture.covs[c, 0, 0]), rows.get(c, 0)) for c in range(2)]
+    return rounded(small_frame(spark, out, "component int, weight double, mean double, variance double, n long"))
 
 
 @query("hierarchical_micro")
 def hierarchical_micro(spark, sf):
-    """CLU5: four clusters by repeated bisection of all rows."""
+    """CLU5: four clusters of all rows in Ward's tree over their clustering features."""
     z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
-    lab = CL.hierarchical(z, FEATS, k=4, seed=0, keep=["c_custkey", "year"])
-    return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    points, tree = WD.ward(z, FEATS, keep=["c_custkey", "year"])
+    return tree.assign(points, 4).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ward_merges")
+def ward_merges(spark, sf):
+    """CLU5: the merge table of the panel's clustering features."""
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
+    return rounded(WD.ward(z, FEATS)[1].merge_table(spark))
+
+
+_NY = ["n_orders", "total_value", "avg_value", "share_finished"]
+_WARD_K = 6
+_WARD_D = " + ".join(f"(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})" for i in range(len(_NY)))
+_WARD_MEANS = ", ".join(f"avg(f{i}) AS f{i}" for i in range(len(_NY)))
+
+
+@query("ward_nation_years", oracle=f"""
+WITH RECURSIVE p AS (SELECT n_nationkey, year, row_number() OVER (ORDER BY n_nationkey, year) AS r,
+         {", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS f{i}" for i, c in enumerate(_NY))} FROM {panels.NATION_YEAR_PANEL_SQL}),
+it AS (
+  SELECT (SELECT count(*) FROM p) AS k, r, r AS c, {", ".join(f"f{i}" for i in range(len(_NY)))} FROM p
+  UNION ALL
+  (WITH g AS (SELECT c, count(*) AS n, {_WARD_MEANS} FROM it GROUP BY c),
+        m AS (SELECT arg_min(a.c, a.n * b.n / (a.n + b.n) * ({_WARD_D})) AS x, arg_min(b.c, a.n * b.n / (a.n + b.n) * ({_WARD_D})) AS y FROM g a JOIN g b ON a.c < b.c)
+   SELECT it.k - 1, it.r, CASE WHEN it.c = m.y THEN m.x ELSE it.c END, {", ".join(f"it.f{i}" for i in range(len(_NY)))}
+   FROM it, m WHERE it.k > {_WARD_K}))
+SELECT p.n_nationkey, p.year, min(p.r) OVER (PARTITION BY it.c) AS first_row FROM it JOIN p ON p.r = it.r WHERE it.k = {_WARD_K}
+""")
+def ward_nation_years(spark, sf):
+    """CLU5: six clusters of all nation-years; a cluster is named by its first row in order of nation and year."""
+    p = panels.materialize(panels.nation_year_panel(spark, sf))
+    z, _ = SC.standardize(p, _NY)
+    points, tree = WD.ward(z, _NY, keep=["n_nationkey", "year"])
+    placed = global_index(tree.assign(points, _WARD_K, keep=["n_nationkey", "year"]), ["n_nationkey", "year"], name="r")
+    first = placed.groupBy("cluster").agg((F.min("r") + 1).alias("first_row"))
+    return placed.join(first, "cluster").select("n_nationkey", "year", "first_row")
 
 
 # --- CLU8 -------------------------------------------------------------------------------------------------------
