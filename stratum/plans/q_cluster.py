@@ -16,6 +16,7 @@ from ..operators import ols as L
 from ..operators import outliers as O
 from ..operators import scale as SC
 from ..operators import smooth as SM
+from ..operators import spectral as SP
 from ..operators import ward as WD
 from ..operators.rank import global_index
 from ..sources.tables import table
@@ -336,10 +337,32 @@ def residual_calibration(spark, sf):
     return rounded(SM.residual_calibration(r, ["c_mktsegment", "nation"], ["year_offset"], ["c_custkey", "year"]))
 
 
-
 @query("spectral_micro")
 def spectral_micro(spark, sf):
-    """CLU7: power iteration on the neighbour graph of all rows."""
+    """CLU7: three clusters of all rows from the eigenvectors of their neighbour graph."""
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
+    return SP.spectral(z, FEATS, 3, keep=["c_custkey", "year"]).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("neighbour_recall")
+def neighbour_recall(spark, sf):
+    """CLU7: share of the ten nearest rows that the graph holds, for the customers divisible by 20 against all rows."""
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
+    rows = panels.materialize(global_index(KM.as_points(z, FEATS, keep=["c_custkey", "year"]), ["c_custkey", "year"], name="id"))
+    points = rows.select("id", "x")
+    asked = rows.where("c_custkey % 20 = 0").select("id", "x")
+    return small_frame(spark, [(asked.count(), SP.recall(points, SP.neighbors(points), asked))], "n_queries long, recall double")
+
+
+@query("cluster_agreement")
+def cluster_agreement(spark, sf):
+    """CLU8: Rand indices of k-means, Ward, mixture and spectral clusters of the same rows."""
+    key = ["c_custkey", "year"]
     z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
-    lab = CL.spectral(z, FEATS, k=3, n_neighbors=10, seed=0, keep=["c_custkey", "year"])
-    return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    points, best = KM.best_by_k(z, FEATS, key, [3])
+    mixture = MX.best_mixture(points, [best[3]], tol=1e-5)
+    tree = WD.tree_of(*WD.features_of(points))
+    labels = KM.assign(points, best[3].centers, keep=key, name="kmeans")
+    for part in (tree.assign(points, 3, keep=key, name="ward"), MX.assign(points, mixture, keep=key, name="mixture"), SP.spectral(z, FEATS, 3, keep=key, name="spectral")):
+        labels = labels.join(part, key)
+    return rounded(CL.rand_matrix(labels, ["kmeans", "ward", "mixture", "spectral"]))
