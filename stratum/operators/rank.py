@@ -32,7 +32,7 @@ def average_rank(df: DataFrame, score: str, partition_by: Sequence[str] = (), de
     """WIN3: rank with ties averaged = ``rank() + (ties - 1) / 2``.
 
     With ``partition_by`` each group is ranked independently; without it the
-    frame must be small (k-sized tables) - use :func:`global_index` for rows.
+    frame must be small (k-sized tables) - use :func:`average_rank_of_all` for rows.
     """
     order = F.desc(score) if descending else F.asc(score)
     w = Window.partitionBy(*partition_by).orderBy(order)
@@ -102,3 +102,96 @@ def ordered_partition_stats(df: DataFrame, order: Sequence[str | Column], value:
     schema = ", ".join([f"`{k}` double" for k in keys] + ["_pid int", "_n double", "_first double", "_last double"])
     rows = sorted_df.mapInPandas(run, schema).collect()  # one row per partition
     return [r.asDict() for r in sorted(rows, key=lambda r: r["_pid"])]
+
+
+def average_rank_of_all(df: DataFrame, score: str, descending: bool = True, name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """WIN3 over a whole table: rank from 1 with ties averaged, without a window; a NULL or NaN score has no rank.
+
+    Rows are sorted over range partitions, where a value with a third of the rows
+    is many partitions.  One row a partition (its rows, and how many share its
+    first and its last value) passes through the driver and says where the runs
+    of equal values that cross partitions begin and end.  A forward scan then
+    gives every row the place where its run begins, a backward one where it ends.
+    """
+    import pyarrow as pa
+
+    ensure_checkpoint_dir(df.sparkSession)
+    value = F.col(score).cast("double")
+    source = df.withColumn("_v", F.when(~F.isnan(value), -value if descending else value))
+    rows = source.where("_v IS NOT NULL")
+    ordered = _range_sorted(rows, ["_v"], partitions).checkpoint()
+
+    def runs(values: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+
+    def summary(batches):
+        from pyspark import TaskContext
+
+        n = n_first = n_last = 0
+        first = last = None
+        for b in batches:
+            v = b.column(0).to_numpy()
+            if not len(v):
+                continue
+            first = v[0] if first is None else first
+            if v[0] == first:
+                n_first += int((v == first).sum())
+            tail = int((v == v[-1]).sum())
+            n_last = n_last + tail if v[-1] == last else tail
+            last, n = v[-1], n + len(v)
+        if n:
+            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "first": [float(first)], "n_first": [n_first],
+                                              "last": [float(last)], "n_last": [n_last]})
+
+    parts = sorted(ordered.select("_v").mapInArrow(summary, "part long, n long, first double, n_first long, last double, n_last long").collect(), key=lambda r: r["part"])
+    begin, end, at = {}, {}, 0  # where the first run of a partition begins, and where its last run ends
+    run, start = None, 0
+    for r in parts:
+        begin[r["part"]] = start if r["first"] == run else at
+        if r["last"] != run:
+            run, start = r["last"], at + r["n"] - r["n_last"]
+        at += r["n"]
+    run, stop = None, at
+    for r in reversed(parts):
+        end[r["part"]] = stop if r["last"] == run else at
+        if r["first"] != run:
+            run, stop = r["first"], at - r["n"] + r["n_first"]
+        at -= r["n"]
+    offset, total = {}, 0
+    for r in parts:
+        offset[r["part"]] = total
+        total += r["n"]
+    sizes = {r["part"]: r["n"] for r in parts}
+
+    def scan(forward: bool):
+        place = "_from" if forward else "_to"
+
+        def run_batches(batches):
+            from pyspark import TaskContext
+
+            part = TaskContext.get().partitionId()
+            held, mark, seen = None, None, 0
+            for b in batches:
+                v = b.column(b.schema.get_field_index("_v")).to_numpy()
+                if not len(v):
+                    continue
+                if held is None:
+                    held, mark = v[0], begin[part] if forward else end[part]
+                heads = runs(v)
+                base = offset[part] + seen if forward else offset[part] + sizes[part] - seen
+                marks = base + heads if forward else base - heads
+                if v[0] == held:
+                    marks[0] = mark
+                out = np.repeat(marks, np.diff(np.append(heads, len(v))))
+                held, mark, seen = v[-1], int(marks[-1]), seen + len(v)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=[*b.schema.names, place])
+
+        return run_batches
+
+    from pyspark.sql import types as T
+
+    grown = T.StructType([*ordered.schema.fields, T.StructField("_from", T.LongType())])
+    started = ordered.mapInArrow(scan(True), grown)
+    ended = started.sortWithinPartitions(F.desc("_v")).mapInArrow(scan(False), T.StructType([*grown.fields, T.StructField("_to", T.LongType())]))
+    ranked = ended.select(*df.columns, ((F.col("_from") + F.col("_to") + 1) / 2.0).alias(name))
+    return ranked.unionAll(source.where("_v IS NULL").select(*df.columns, F.lit(None).cast("double").alias(name)))

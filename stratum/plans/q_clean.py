@@ -179,6 +179,16 @@ def rank_average_ties(spark, sf):
     return RK.average_rank(df, "n_orders", partition_by=["year"], descending=True, name="rank_avg")
 
 
+@query("rank_all_orders", oracle="""
+SELECT o_orderkey, CAST(rank() OVER (ORDER BY v DESC) AS DOUBLE) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rank_avg
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 100.0 ELSE floor(o_totalprice / 1024) END AS v FROM orders)
+""")
+def rank_all_orders(spark, sf):
+    """WIN3 over a whole table: many ties, and one value that a third of the rows share."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, 100.0).otherwise(F.floor(F.col("o_totalprice") / 1024)).cast("double").alias("v"))
+    return RK.average_rank_of_all(o, "v", name="rank_avg").select("o_orderkey", "rank_avg")
+
+
 # --- JOI1: code enrichment through a dimension join ----------------------------------------------------
 @query("code_enrichment", oracle="""
 SELECT n.n_nationkey, n.n_name, r.r_name AS region_code
