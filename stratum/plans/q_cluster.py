@@ -13,6 +13,7 @@ from ..operators import lloyd as KM
 from ..operators import lowess as LW
 from ..operators import mixture as MX
 from ..operators import ols as L
+from ..operators import penalized as EN
 from ..operators import outliers as O
 from ..operators import scale as SC
 from ..operators import smooth as SM
@@ -334,7 +335,30 @@ def residual_calibration(spark, sf):
     m = L.fit_ols(p, "total_value", ["n_orders"])
     r = m.residuals(p, keep=["c_custkey", "year", "c_mktsegment", "c_nationkey"]).withColumn(
         "year_offset", (F.col("year") - 1995).cast("double")).withColumn("nation", F.col("c_nationkey").cast("string"))
-    return rounded(SM.residual_calibration(r, ["c_mktsegment", "nation"], ["year_offset"], ["c_custkey", "year"]))
+    return rounded(EN.calibrated(r, ["c_mktsegment", "nation"], ["year_offset"], ["c_custkey", "year"]))
+
+
+_EN_PENALTY, _EN_MIX = 0.1, 0.5
+
+
+@query("elastic_two_predictors", oracle=f"""
+WITH RECURSIVE c AS (SELECT corr(avg_value, max_value) AS r, covar_pop(avg_value, total_value) / stddev_pop(avg_value) / stddev_pop(total_value) AS u,
+       covar_pop(max_value, total_value) / stddev_pop(max_value) / stddev_pop(total_value) AS v, stddev_pop(avg_value) AS s1, stddev_pop(max_value) AS s2,
+       stddev_pop(total_value) AS sy, avg(avg_value) AS m1, avg(max_value) AS m2, avg(total_value) AS my FROM {PANEL_SQL}),
+it AS (SELECT 0 AS step, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2
+  UNION ALL
+  SELECT step + 1, n1, sign(v - r * n1) * greatest(abs(v - r * n1) - {_EN_PENALTY * _EN_MIX}, 0) / {1 + _EN_PENALTY * (1 - _EN_MIX)}
+  FROM (SELECT it.*, c.*, sign(u - r * b2) * greatest(abs(u - r * b2) - {_EN_PENALTY * _EN_MIX}, 0) / {1 + _EN_PENALTY * (1 - _EN_MIX)} AS n1 FROM it, c WHERE step < 2000)),
+f AS (SELECT b1 * sy / s1 AS b1, b2 * sy / s2 AS b2, m1, m2, my FROM it, c WHERE step = 2000)
+SELECT unnest(['(intercept)', 'avg_value', 'max_value']) AS term, unnest([{_r("my - b1 * m1 - b2 * m2")}, {_r("b1")}, {_r("b2")}]) AS coef FROM f
+""")
+def elastic_two_predictors(spark, sf):
+    """OLS12: an elastic net at a fixed penalty (in units of the target's deviation)."""
+    p = panels.customer_year_panel(spark, sf)
+    sd = p.agg(F.stddev_pop("total_value")).first()[0]
+    net = EN.elastic_net(p.withColumn("y", F.col("total_value") / sd), "y", ["avg_value", "max_value"], penalty=_EN_PENALTY, mix=_EN_MIX)
+    rows = [("(intercept)", net.intercept * sd), *((c, b * sd) for c, b in net.numeric.items())]
+    return rounded(small_frame(spark, rows, "term string, coef double"))
 
 
 @query("spectral_micro")

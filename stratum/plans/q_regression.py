@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import absorb as AB
 from ..operators import diagnostics as D
 from ..operators import evaluate as E
 from ..operators import ols as L
@@ -624,6 +625,37 @@ def panel_fixed_effects(spark, sf):
     return rounded(m.coefficients(spark))
 
 
+_ABSORBED = f"""s AS (SELECT sum(x * x) AS a, sum(x * z) AS b, sum(z * z) AS d, sum(x * y) AS u, sum(z * y) AS v, sum(y * y) AS w, CAST(count(*) AS DOUBLE) AS n FROM dev),
+k AS (SELECT *, a * d - b * b AS det FROM s), f AS (SELECT *, (d * u - b * v) / det AS b1, (a * v - b * u) / det AS b2 FROM k),
+e AS (SELECT *, (w - b1 * u - b2 * v) / (n - 2 - taken) AS s2 FROM f, g)
+SELECT unnest(['{X}', '{X2}']) AS term, unnest([{_r("b1")}, {_r("b2")}]) AS coef, unnest([{_r("sqrt(s2 * d / det)")}, {_r("sqrt(s2 * a / det)")}]) AS std_err FROM e"""
+
+
+@query("absorbed_customers", oracle=f"""
+WITH dev AS (SELECT {X} - avg({X}) OVER c AS x, {X2} - avg({X2}) OVER c AS z, {Y} - avg({Y}) OVER c AS y FROM {PANEL_SQL} WINDOW c AS (PARTITION BY c_custkey)),
+g AS (SELECT count(DISTINCT c_custkey) AS taken FROM {PANEL_SQL}),
+{_ABSORBED}""")
+def absorbed_customers(spark, sf):
+    """FN4, OLS9: a level for every customer."""
+    m = AB.fit_absorbed(_panel(spark, sf), Y, [X, X2], "c_custkey")
+    return rounded(m.coefficients(spark).select("term", "coef", "std_err"))
+
+
+@query("absorbed_two_way", oracle=f"""
+WITH RECURSIVE it AS (
+  SELECT 0 AS step, c_custkey, year, {X}::DOUBLE AS x, {X2}::DOUBLE AS z, {Y}::DOUBLE AS y FROM {PANEL_SQL}
+  UNION ALL
+  (WITH c AS (SELECT step, c_custkey, year, x - avg(x) OVER w AS x, z - avg(z) OVER w AS z, y - avg(y) OVER w AS y FROM it WHERE step < 60 WINDOW w AS (PARTITION BY c_custkey))
+   SELECT step + 1, c_custkey, year, x - avg(x) OVER w, z - avg(z) OVER w, y - avg(y) OVER w FROM c WINDOW w AS (PARTITION BY year))),
+dev AS (SELECT * FROM it WHERE step = 60),
+g AS (SELECT count(DISTINCT c_custkey) + count(DISTINCT year) - 1 AS taken FROM {PANEL_SQL}),
+{_ABSORBED}""")
+def absorbed_two_way(spark, sf):
+    """FN4, OLS9: a level for every customer and every year."""
+    m = AB.fit_absorbed(_panel(spark, sf), Y, [X, X2], ["c_custkey", "year"])
+    return rounded(m.coefficients(spark).select("term", "coef", "std_err"))
+
+
 # --- OUT4 / CHD8 ------------------------------------------------------------------------------------------------------------
 @query("residual_outliers", oracle=f"""
 WITH {_SIMPLE},
