@@ -118,7 +118,11 @@ def lloyd(df: DataFrame, features: Sequence[str], init: np.ndarray, iterations:
 def cluster_stats(df: DataFrame, features: Sequence[str] | str, cluster: str) -> dict[int, tuple[float, np.ndarray, float]]:
     """Per cluster: count, sum vector, sum of squared norms (one aggregate, k rows)."""
     if isinstance(features, str):
-        d = df.select(F.size(features)).first()[0]
+        df = df.where(F.col(features).isNotNull())
+        size = df.agg(F.min(F.size(features)).alias("lo"), F.max(F.size(features)).alias("hi")).first()
+        if size["lo"] != size["hi"]:
+            raise ValueError(f"vectors of {features!r} differ in length")
+        d = size["lo"] or 0
         cols = [F.col(features)[i].cast("double") for i in range(d)]
     else:
         cols = [F.col(c).cast("double") for c in features]
@@ -132,7 +136,7 @@ def cluster_stats(df: DataFrame, features: Sequence[str] | str, cluster: str) ->
 
 
 def silhouette_sq(df: DataFrame, features: Sequence[str] | str, cluster: str, keep: Sequence[str] = ()) -> DataFrame:
-    """CLU4: per-row silhouette with *squared* Euclidean distances, exact, O(n k).
+    """CLU4: per-row silhouette with *squared* Euclidean distances, exact, O(n k); rows without a vector are left out.
 
     ``sum_j |x_i - x_j|^2 = n_C |x_i|^2 - 2 x_i . S_C + Q_C`` per cluster C;
     singletons get 0 (the usual convention).  The k x d cluster statistics
@@ -146,6 +150,7 @@ def silhouette_sq(df: DataFrame, features: Sequence[str] | str, cluster: str, ke
     q = np.array([stats[c][2] for c in labels])
     bc = df.sparkSession.sparkContext.broadcast((n, s, q, np.array(labels)))  # k x d numbers
     if isinstance(features, str):
+        df = df.where(F.col(features).isNotNull())
         src = df.select(*keep, F.col(cluster), F.col(features).cast("array<double>").alias("_x"))
     else:
         src = df.select(*keep, F.col(cluster), F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))

@@ -89,9 +89,7 @@ def anderson_darling(df: DataFrame, column: str, moments: tuple[int, float, floa
 
     def per_batch(v, start, prev):
         z = (v - mu) / sd
-        cdf = 0.5 * _erfc(-z / math.sqrt(2.0))
-        a = np.log(np.clip(cdf, 1e-300, None))
-        b = np.log(np.clip(1.0 - cdf, 1e-300, None))
+        a, b = (np.log(np.clip(0.5 * _erfc(t / math.sqrt(2.0)), 1e-300, None)) for t in (-z, z))  # both tails, neither as a difference from 1
         ll = start + 1.0 + np.arange(v.size)
         return {"a1": float(((2 * ll - 1) * a).sum()), "a0": float(a.sum()),
                 "b1": float(((1 - 2 * ll) * b).sum()), "b0": float(b.sum())}

@@ -72,7 +72,7 @@ def group_summary(df: DataFrame, by: Sequence[str], value: str, z: float = 1.96)
 
 
 def group_stats(df: DataFrame, by: str, value: str) -> DataFrame:
-    """AGG4: n, mean, sd, median, max per group."""
+    """AGG4: n, mean, sd, median, max per group; rows without a group are a group of their own, with no median."""
     moments = df.groupBy(by).agg(F.count(F.col(value)).alias("n"), F.avg(value).alias("mean"),
                                  F.stddev_samp(value).alias("sd"), F.max(value).cast("double").alias("max"))
     medians = grouped_quantiles(df, [value], [0.5], by).withColumnRenamed("q0_0", "median")

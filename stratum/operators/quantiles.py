@@ -3,7 +3,7 @@
 A double becomes a 64-bit integer in the same order.  Counting its leading
 digit per (group, column) tells in which digit each wanted rank lies; counting
 the next digit among the rows that share it, and the last, gives the exact
-value.  Three scans, each an ordinary distributed count with map-side partial
+value.  The keys are written once as narrow rows; then three scans of them, each an ordinary distributed count with map-side partial
 aggregation: no value map of a column, no sort of the rows, and the same path
 for any number of rows, groups or distinct values.  A digit has at most 2^22
 values, which bounds every running total.
@@ -57,7 +57,7 @@ def _keys(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
 
 
 def _stage(df: DataFrame, paths: list[str]) -> DataFrame:
-    """A small table between two scans, written so that a lost executor costs nothing."""
+    """A table between two scans, written so that a lost executor costs nothing."""
     spark = df.sparkSession
     paths.append(scratch_path(spark, "quantiles"))
     df.write.parquet(paths[-1])
@@ -77,7 +77,7 @@ def _located(counts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _exact(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None, paths: list[str]) -> DataFrame:
     """``(g, f, p, value)``: position of the column and of the probability, and the quantile."""
-    keys = _keys(df, columns, by)
+    keys = _stage(_keys(df, columns, by), paths)  # the source is read and derived once
     first = _stage(keys.groupBy("g", "f", F.shiftright("key", _REST[0]).alias("digit")).agg(F.count("*").alias("n"))
                    .withColumn("prefix", F.lit(0).cast("long")), paths)
     h = (F.col("total") - 1) * F.col("prob")
@@ -125,7 +125,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
 
 def grouped_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str) -> DataFrame:
     """``(by, q{column}_{prob})``: a row per group, quantile columns by position; NULL where a group has no value."""
-    found = _exact(df, list(columns), probs, by, [])
+    paths: list[str] = []
+    found = _exact(df, list(columns), probs, by, paths)
+    for p in paths[:-1]:  # the last table is what the result reads
+        drop_path(df.sparkSession, p)
     picks = [F.max(F.when((F.col("f") == i) & (F.col("p") == j), F.col("value"))).alias(f"q{i}_{j}")
              for i in range(len(columns)) for j in range(len(probs))]
     return found.groupBy(F.col("g").alias(by)).agg(*picks)

@@ -47,12 +47,13 @@ def enrich_codes(df: DataFrame, name_col: str, dim: DataFrame, dim_name: str, di
                  overwrite: bool = False) -> DataFrame:
     """JOI1: name -> code via a dimension join, misses filled from an override map.
 
-    Skipped when ``code_col`` exists and ``overwrite`` is False.
+    Skipped when ``code_col`` exists and ``overwrite`` is False.  A name that the
+    dimension gives several codes gets the least of them.
     """
     if code_col in df.columns and not overwrite:
         return df
     base = df.drop(code_col) if code_col in df.columns else df
-    lookup = dim.select(F.col(dim_name).alias("_name"), F.col(dim_code).alias("_code")).dropDuplicates(["_name"])
+    lookup = dim.select(F.col(dim_name).alias("_name"), F.col(dim_code).alias("_code")).groupBy("_name").agg(F.min("_code").alias("_code"))
     joined = base.join(lookup, base[name_col] == lookup["_name"], "left")
     fallback = F.lit(None).cast("string")
     if overrides:

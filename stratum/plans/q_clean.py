@@ -261,18 +261,18 @@ def entities_kept(spark, sf):
 
 
 # --- RSH3/JOI4 and RSH1: long <-> wide yearly series ----------------------------------------------------
-_YEARS = list(range(1995, 2002))
+def _series(df):
+    """The series names of a long frame, in order: one a year of the data."""
+    return [r[0] for r in df.select("s").distinct().orderBy("s").collect()]
 
 
 @query("series_long_to_wide", oracle=f"""
-SELECT n_nationkey, {", ".join(f"round(max(CASE WHEN year = {y} THEN avg_value END), 6) + 0.0 AS val_{y}"
-                               for y in _YEARS)}
-FROM {NATION_SQL} GROUP BY n_nationkey
+PIVOT (SELECT n_nationkey, 'val_' || year AS s, round(avg_value, 6) + 0.0 AS v FROM {NATION_SQL}) ON s USING max(v) GROUP BY n_nationkey
 """)
 def series_long_to_wide(spark, sf):
     n = panels.nation_year_panel(spark, sf).select("n_nationkey", F.concat(F.lit("val_"), F.col("year")).alias("s"),
                                                    "avg_value")
-    return rounded(R.long_to_wide(n, ["n_nationkey"], "s", "avg_value", [f"val_{y}" for y in _YEARS]))
+    return rounded(R.long_to_wide(n, ["n_nationkey"], "s", "avg_value", _series(n)))
 
 
 @query("series_wide_to_long", oracle=f"""
@@ -281,7 +281,7 @@ SELECT n_nationkey, 'val' AS series, year, round(avg_value, 6) + 0.0 AS value FR
 def series_wide_to_long(spark, sf):
     n = panels.nation_year_panel(spark, sf).select("n_nationkey", F.concat(F.lit("val_"), F.col("year")).alias("s"),
                                                    "avg_value")
-    wide = R.long_to_wide(n, ["n_nationkey"], "s", "avg_value", [f"val_{y}" for y in _YEARS])
+    wide = R.long_to_wide(n, ["n_nationkey"], "s", "avg_value", _series(n))
     long = R.wide_to_long(wide, ["n_nationkey"], positive_only=True)
     return rounded(long.filter(F.col("value").isNotNull()))
 

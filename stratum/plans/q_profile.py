@@ -305,7 +305,7 @@ def unmapped_entities(spark, sf):
 
 
 # --- OUT6/WIN7/TOP3: representative period --------------------------------------------------------------------------------
-@query("period_scores", oracle=f"""
+_PERIOD_SQL = f"""
 WITH m AS (SELECT year, ({" + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in _FILL)}) / 3 * 100.0
                   AS avg_missing_pct FROM {NULL_PANEL_SQL} GROUP BY year),
 q AS (SELECT year, {", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}"
@@ -317,7 +317,10 @@ o AS (SELECT p.year, avg(CASE WHEN {" OR ".join(_iqr_flag(f"p.{c}").replace(f"q1
 SELECT m.year, {_r("m.avg_missing_pct")} AS avg_missing_pct, {_r("o.outlier_share")} AS outlier_share, o.n_rows,
        {_r("0.8 * (100.0 - m.avg_missing_pct) + 0.2 * (100.0 - 100.0 * o.outlier_share)")} AS score
 FROM m JOIN o ON m.year = o.year
-""")
+"""
+
+
+@query("period_scores", oracle=_PERIOD_SQL)
 def period_scores(spark, sf):
     df = panels.with_planted_nulls(panels.customer_year_panel(spark, sf))
     miss = PR.average_missingness(df, _FILL, by=["year"])
@@ -325,19 +328,13 @@ def period_scores(spark, sf):
     return rounded(O.period_score(miss, outl, "year"))
 
 
-@query("best_period", oracle=f"""
-SELECT year FROM (SELECT m.year, 0.8 * (100.0 - m.p) + 0.2 * (100.0 - 100.0 * o.s) AS score FROM
- (SELECT year, ({" + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in _FILL)}) / 3 * 100.0 AS p
-  FROM {NULL_PANEL_SQL} GROUP BY year) m
- JOIN (SELECT year, avg(CASE WHEN share_finished IS NULL THEN 1.0 ELSE 0.0 END) AS s FROM {NULL_PANEL_SQL} GROUP BY year) o
- ON m.year = o.year) ORDER BY score DESC, year DESC LIMIT 1
-""")
+@query("best_period", oracle=f"SELECT year FROM ({_PERIOD_SQL}) ORDER BY score DESC, year DESC LIMIT 1")
 def best_period(spark, sf):
-    """TOP3: argmax of a combined score, ties -> latest period."""
+    """TOP3: the period of the best score of missing values and outliers, ties -> latest."""
     df = panels.with_planted_nulls(panels.customer_year_panel(spark, sf))
     miss = PR.average_missingness(df, _FILL, by=["year"])
-    share = df.groupBy("year").agg(F.avg(F.col("share_finished").isNull().cast("double")).alias("outlier_share"))
-    return O.period_score(miss, share, "year").select("year").limit(1)
+    outl = O.anomaly_share_by_period(df, "year", _OUT_COLS)
+    return O.period_score(miss, outl, "year").select("year").limit(1)
 
 
 @query("minmax_scores", oracle=f"""

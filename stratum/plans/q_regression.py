@@ -290,8 +290,8 @@ WITH {_SIMPLE},
 r AS (SELECT p.{Y} - (b0 + b1 * p.{X}) AS e FROM {PANEL_SQL} p, e),
 m AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(e) AS mu, stddev_samp(e) AS sd FROM r),
 z AS (SELECT row_number() OVER (ORDER BY r.e) AS i, m.n,
-             0.5 * {_erfc_sql("(-(r.e - m.mu) / m.sd / sqrt(2.0))")} AS cdf FROM r, m),
-t AS (SELECT max(n) AS n, sum((2 * i - 1) * ln(greatest(cdf, 1e-300)) + (2 * n + 1 - 2 * i) * ln(greatest(1 - cdf, 1e-300)))
+             0.5 * {_erfc_sql("(-(r.e - m.mu) / m.sd / sqrt(2.0))")} AS cdf, 0.5 * {_erfc_sql("((r.e - m.mu) / m.sd / sqrt(2.0))")} AS above FROM r, m),
+t AS (SELECT max(n) AS n, sum((2 * i - 1) * ln(greatest(cdf, 1e-300)) + (2 * n + 1 - 2 * i) * ln(greatest(above, 1e-300)))
              AS s FROM z)
 SELECT {_r(_AD_A2)} AS statistic,
        {_r(f"CASE WHEN {_AD_A2A} < 0.2 THEN 1 - exp(-13.436 + 101.14 * {_AD_A2A} - 223.73 * {_AD_A2A} * {_AD_A2A}) "
@@ -687,10 +687,10 @@ SELECT {_r("prob")} AS prob, {_r("theoretical")} AS theoretical, {_r("sample")}
 """
 
 
-@query("qq_points", oracle=_qq_sql(25))
+@query("qq_points", oracle=_qq_sql(99))
 def qq_points(spark, sf):
     p = _panel(spark, sf)
-    return rounded(D.qq_points(D.influence(L.fit_ols(p, Y, [X]), p), m=25))
+    return rounded(D.qq_points(D.influence(L.fit_ols(p, Y, [X]), p), m=99))
 
 
 _TRAIN_TWO = f"""c AS (SELECT CAST(count(*) AS DOUBLE) AS n, var_pop({X}) AS a, covar_pop({X}, {X2}) AS b,
