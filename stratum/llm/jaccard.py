@@ -163,11 +163,17 @@ def _links(g: dict, left: np.ndarray, right: np.ndarray, same: bool, threshold:
     if same:
         ok &= np.triu(np.ones_like(ok), 1)
     # a pair is compared in the first group that both are in
-    mine, offsets, group = g["groups"], g["groups_at"], g["group"]
-    earlier = [mine[offsets[x]:offsets[x + 1]] for x in range(len(size))]
-    for x in {int(y) for e in earlier for y in e[e < group].tolist()}:
-        has = np.array([x in e for e in earlier])
-        ok &= ~np.logical_and.outer(has[left], has[right])
+    mine, rows = g["groups"], np.repeat(np.arange(len(size)), np.diff(g["groups_at"]))
+    rows, mine = rows[mine < g["group"]], mine[mine < g["group"]]
+    order = np.argsort(mine, kind="stable")
+    rows, mine = rows[order], mine[order]
+    edges = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1], [True]])) if len(mine) else np.zeros(1, np.int64)
+    place = np.full((2, len(size)), -1)
+    place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
+    many = np.flatnonzero(np.diff(edges) > 1)
+    for a, b in zip(edges[many].tolist(), edges[many + 1].tolist()):
+        own = rows[a:b]
+        ok[np.ix_(place[0, own[place[0, own] >= 0]], place[1, own[place[1, own] >= 0]])] = False
     pi, pj = np.nonzero(ok)
     pi, pj = left[pi], right[pj]
     hits = np.zeros(len(pi), dtype=np.int64)

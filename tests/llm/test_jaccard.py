@@ -103,3 +103,21 @@ def test_groups_of_short_texts_are_cut_by_rows(spark, documents, rows):
     links, label = brute(rows)
     got = {r.doc_id: r for r in J.near_duplicates(documents(rows), block_rows=20).collect()}
     assert [got[r[0]].n_links for r in rows] == links and [got[r[0]].class_id for r in rows] == label
+
+
+def test_blocks_of_many_shared_groups_are_compared_fast():
+    """2,000 rows in eight shared groups each: pairs that met before are left out group by group, not row by row."""
+    import time
+
+    rng = np.random.default_rng(0)
+    rows, k = 2000, 128
+    groups = np.sort(rng.integers(0, 4000, (rows, 8)), axis=1)
+    shingles = np.sort(rng.integers(0, 1 << 62, (rows, 50)).astype(np.uint64), axis=1)
+    sig = rng.integers(0, 1 << 32, (rows, k)).astype(np.uint32)
+    sig[1::2], shingles[1::2] = sig[::2], shingles[::2]
+    groups[1::4] = groups[::4]  # these pairs have met
+    g = {"sig": sig, "at": np.arange(rows + 1) * 50, "shingles": shingles.ravel(), "groups": groups.ravel(), "groups_at": np.arange(rows + 1) * 8, "group": 5000}
+    began = time.time()
+    i, j = J._links(g, np.arange(rows), np.arange(rows), True, 0.8, 1e-9)
+    assert time.time() - began < 10
+    assert sorted(zip(i.tolist(), j.tolist())) == [(x, x + 1) for x in range(0, rows, 2) if not set(groups[x]) & set(groups[x + 1])]
