@@ -43,6 +43,8 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _ELEMENT = "struct<id: bigint, size: bigint, twin: bigint, p: double>"
 #: rows that one row of a table is unfolded to at once
 _STEP = 1 << 14
+#: lanes in which rows that share id, source and size are numbered
+_LANES = 4096
 
 
 def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -198,6 +200,19 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
                     (copies * F.col("size")).alias("taken")))
 
 
+def _placed(df: DataFrame, by: Sequence[str], name: str, place: str) -> DataFrame:
+    """``df`` with ``place``, the number from 1 of a row among those that share ``by``; a group is numbered in ``_LANES`` lanes."""
+    held = written(df.withColumn("lane", F.pmod(F.monotonically_increasing_id(), F.lit(_LANES))), name)
+    in_lane = Window.partitionBy(*by, "lane").orderBy(F.lit(0))
+    lanes = held.groupBy(*by, "lane").agg(F.count("*").alias("n")).select(
+        *[F.col(c).alias(f"g_{c}") for c in by], F.col("lane").alias("g_lane"),
+        (F.sum("n").over(Window.partitionBy(*by).orderBy("lane")) - F.col("n")).alias("before"))  # a row a lane
+    same = F.col("lane") == F.col("g_lane")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"g_{c}"))
+    return held.withColumn("in_lane", F.row_number().over(in_lane)).join(lanes, same).withColumn(place, F.col("before") + F.col("in_lane")).select(*df.columns, place)
+
+
 def repeat(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say."""
     mixed = written(mix(docs, key, text, source, **options).select(F.col(key).alias("m_key"), F.col("size").alias("m_size"), F.col(source).alias("m_source"), "copies"), "mix-copies")
@@ -209,10 +224,8 @@ def repeat(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     once = rows.join(single, F.col("k") == F.col("m_key"))
     # rows that share id, source and size: the n-th of them gets the n-th outcome
     size = F.coalesce(F.regexp_count("t", F.lit(_WORD)), F.lit(0)).cast("long")
-    twin = rows.join(many, F.col("k").eqNullSafe(F.col("r_key")), "left_semi").withColumn("size", size).withColumn(
-        "place", F.row_number().over(Window.partitionBy("k", "s", "size").orderBy(F.xxhash64("t"))))
-    outcome = mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_semi").withColumn(
-        "o_place", F.row_number().over(Window.partitionBy("m_key", "m_source", "m_size").orderBy("copies")))
+    twin = _placed(rows.join(many, F.col("k").eqNullSafe(F.col("r_key")), "left_semi").withColumn("size", size), ["k", "s", "size"], "mix-twins", "place")
+    outcome = _placed(mixed.join(many, F.col("m_key").eqNullSafe(F.col("r_key")), "left_semi"), ["m_key", "m_source", "m_size"], "mix-outcomes", "o_place")
     twins = twin.join(outcome, F.col("k").eqNullSafe(F.col("m_key")) & F.col("s").eqNullSafe(F.col("m_source"))
                       & (F.col("size") == F.col("m_size")) & (F.col("place") == F.col("o_place")))
     taken = once.select("row", "copies").unionAll(twins.select("row", "copies")).where("copies > 0")

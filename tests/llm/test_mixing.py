@@ -107,3 +107,13 @@ def test_rows_without_id_are_many_cells(spark):
     assert all(abs(r.rate - r.want) < 0.02 for r in null.values())
     taken = M.repeat(rows).groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("w"))).alias("words")).collect()
     assert {r.source: r.words for r in taken} == {s: r.taken for s, r in sums.items()}
+
+
+def test_repeat_gives_rows_that_share_id_source_and_size_each_an_outcome(spark, monkeypatch):
+    """Many rows without id, of one source and size, with different texts, numbered in few lanes."""
+    monkeypatch.setattr(M, "_LANES", 3)
+    docs = spark.range(3000).selectExpr("if(id % 3 = 0, id, null) as doc_id", "concat('w', id, ' x') as text", "if(id % 2 = 0, 'a', 'b') as source")
+    mixed = M.mix(docs).where("doc_id is null").groupBy("source", "copies").count().collect()
+    got = M.repeat(docs).where("doc_id is null").groupBy("source", "text").count().groupBy("source", "count").agg({"text": "count"}).collect()
+    want = {(r["source"], r["copies"]): r["count"] for r in mixed if r["copies"]}
+    assert {(r["source"], r["count"]): r["count(text)"] for r in got} == want and want
