@@ -51,6 +51,8 @@ BLOCK_WORDS = 1_000_000
 CHUNK = 2_000_000
 #: documents that a node of the last level holds, if their paths differ
 LEAF = 128
+#: bytes of a path (four a term) by which documents are dealt to tasks
+DEALT_BYTES = 64
 #: lanes of the first merge
 LANES = 64
 
@@ -299,7 +301,8 @@ def _block(docs: DataFrame, block: pa.Table, key: str, text: str, k: int, chunk:
     paths = (vectors.where(F.size("term") > 0).mapInArrow(_paths(spark.sparkContext.broadcast(rank), n_docs, length),
                                                           f"k {kind}, u long, m long, path binary, tf array<int>"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pairs // chunk))
-    dealt = paths.repartitionByRange(parts, "path", "u").sortWithinPartitions("path", "u")
+    # the first terms of a path deal it out: what the planner samples for the bounds is as short
+    dealt = paths.repartitionByRange(parts, F.substring("path", 1, DEALT_BYTES), "u").sortWithinPartitions("path", "u")
     found = written(dealt.mapInArrow(_search(spark.sparkContext.broadcast(sent), k, chunk), f"item long, k {kind}, u long, score long"), "lexical-found")
     lanes = _best(found, ["item", F.pmod(F.xxhash64("u"), F.lit(LANES))], k)
     return _best(lanes.drop("rank"), ["item"], k)
