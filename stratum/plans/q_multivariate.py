@@ -13,6 +13,7 @@ from ..operators import pca as P
 from ..operators import scale as S
 from . import panels
 from .catalog import query, rounded
+from .sql_eigen import axes_sql, score_sql, tables_sql
 
 LI = panels.LINEITEM_FEATURES
 LI_SQL = panels.LINEITEM_SQL
@@ -20,6 +21,12 @@ PANEL_SQL = panels.CUSTOMER_YEAR_PANEL_SQL
 NULL_PANEL_SQL = panels.PLANTED_NULLS_SQL
 
 
+def _z_sql(cols, src, keys=(), fit=None):
+    """Columns z-scored (population) by the rows where ``fit`` holds; all rows by default."""
+    over = f"FILTER (WHERE {fit}) OVER ()" if fit else "OVER ()"
+    return "(SELECT " + ", ".join([*keys, *[f"({c} - avg({c}) {over}) / stddev_pop({c}) {over} AS {c}" for c in cols]]) + f" FROM {src})"
+
+
 def _pairs_sql(cols, src, expr=lambda c: c):
     parts = [f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({expr(a)}, {expr(b)}) AS r FROM {src}"
              for a, b in combinations(cols, 2)]
@@ -209,9 +216,12 @@ def pca_scores(spark, sf):
     return rounded(m.transform(panel, keep=["c_custkey", "year"]))
 
 
-@query("pca_feature_ranking")
+@query("pca_feature_ranking", oracle=f"""
+WITH RECURSIVE {axes_sql("x", _z_sql(LI, LI_SQL), LI, 2)}
+""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(sqrt(x_v1.v{i} * x_v1.v{i} + x_v2.v{i} * x_v2.v{i}), 6) + 0.0 AS score FROM x_v1, x_v2"
+                          for i, c in enumerate(LI)))
 def pca_feature_ranking(spark, sf):
-    """PCA5 on z-scored lineitem features (k = 4, no closed form: rows-only)."""
+    """PCA5 on z-scored lineitem features (k = 4)."""
     df = panels.lineitem(spark, sf)
     z, _ = S.standardize(df, LI)
     m = P.fit_pca(z, LI)
@@ -223,14 +233,44 @@ _GROUPS = (G.FeatureGroup("volume", ("n_orders", "total_value")),
            G.FeatureGroup("price", ("avg_value", "max_value", "share_finished")))
 
 
-@query("grouped_pca_variance")
+_KEYS = ["c_custkey", "year"]
+_Z_ALL = _z_sql(panels.PANEL_FEATURES, PANEL_SQL, _KEYS)
+
+
+def _variance_sql(g, threshold):
+    k = len(g.features)
+    at = lambda c: " + ".join(f"{g.name}_v{i}.l" for i in range(1, c + 1))
+    total = "(" + " + ".join(f"{g.name}_s.a{i}_{i}" for i in range(k)) + ")"
+    return " UNION ALL ".join(
+        f"""SELECT '{g.name}' AS "group", 'PC{c}' AS PC, round({g.name}_v{c}.l, 6) + 0.0 AS variance, round({g.name}_v{c}.l / {total}, 6) + 0.0 AS explained_ratio,
+        round(({at(c)}) / {total}, 6) + 0.0 AS cumulative_ratio, {f"({at(c - 1)}) / {total} < {threshold} - 1e-12" if c > 1 else "true"} AS retained
+        FROM {tables_sql(g.name, k)}""" for c in range(1, k + 1))
+
+
+@query("grouped_pca_variance", oracle=f"""
+WITH RECURSIVE {", ".join(axes_sql(g.name, _Z_ALL, g.features, len(g.features)) for g in _GROUPS)}
+{" UNION ALL ".join(_variance_sql(g, 0.8) for g in _GROUPS)}
+""")
 def grouped_pca_variance(spark, sf):
     panel = panels.customer_year_panel(spark, sf)
     z, _ = S.standardize(panel, panels.PANEL_FEATURES)
     return rounded(G.fit_grouped_pca(z, _GROUPS, threshold=0.8).variance_table(spark))
 
 
-@query("grouped_pca_scores")
+#: axes that reach the threshold in each group of the z-scored panel
+_KEPT = {"volume": 1, "price": 2}
+
+
+def _group_scores_sql(fit, rows):
+    return f"""
+WITH RECURSIVE {", ".join(axes_sql(g.name, fit, g.features, _KEPT[g.name]) for g in _GROUPS)}
+SELECT p.c_custkey, p.year, {", ".join(f"round({score_sql(g.name, g.features, c, 'p')}, 6) + 0.0 AS {g.name}_PC{c}"
+                                       for g in _GROUPS for c in range(1, _KEPT[g.name] + 1))}
+FROM {rows} p, {", ".join(tables_sql(g.name, _KEPT[g.name]) for g in _GROUPS)}
+"""
+
+
+@query("grouped_pca_scores", oracle=_group_scores_sql(_Z_ALL, _Z_ALL))
 def grouped_pca_scores(spark, sf):
     """GRP2/SET3: retained group scores projected in one select over every panel row."""
     panel = panels.materialize(panels.customer_year_panel(spark, sf))
@@ -297,7 +337,14 @@ def reference_scaling(spark, sf):
 
 
 # --- PCA6: projecting other rows with a fitted PCA ---------------------------------------------------------
-@query("pca_project_new")
+_Z_EARLY = _z_sql(panels.PANEL_FEATURES, PANEL_SQL, _KEYS, "year <= 1997")
+
+
+@query("pca_project_new", oracle=f"""
+WITH RECURSIVE {axes_sql("x", f"(SELECT * FROM {_Z_EARLY} WHERE year <= 1997)", panels.PANEL_FEATURES, 2)}
+SELECT p.c_custkey, p.year, {", ".join(f"round({score_sql('x', panels.PANEL_FEATURES, c, 'p')}, 6) + 0.0 AS PC{c}" for c in (1, 2))}
+FROM {_Z_EARLY} p, {tables_sql("x", 2)} WHERE p.year > 1997
+""")
 def pca_project_new(spark, sf):
     p = panels.customer_year_panel(spark, sf)
     z, scaler = S.standardize(p.filter(F.col("year") <= 1997), panels.PANEL_FEATURES)
@@ -307,7 +354,10 @@ def pca_project_new(spark, sf):
 
 
 # --- GRP3/GRP6: grouped PCA transferred to another period; standardized combination ---------------------------
-@query("grouped_pca_transfer")
+_Z_1996 = _z_sql(panels.PANEL_FEATURES, PANEL_SQL, _KEYS, "year = 1996")
+
+
+@query("grouped_pca_transfer", oracle=_group_scores_sql(f"(SELECT * FROM {_Z_1996} WHERE year = 1996)", f"(SELECT * FROM {_Z_1996} WHERE year = 1997)"))
 def grouped_pca_transfer(spark, sf):
     p = panels.customer_year_panel(spark, sf)
     z, scaler = S.standardize(p.filter(F.col("year") == 1996), panels.PANEL_FEATURES)
@@ -316,7 +366,15 @@ def grouped_pca_transfer(spark, sf):
         "c_custkey", "year", *[c for g in _GROUPS for c in g.features])))
 
 
-@query("combine_standardized")
+_LEVELS = ["avg_value", "max_value", "share_finished"]
+_FILLED = f"(SELECT c_custkey, year, {', '.join(f'coalesce({c}, 0.0) AS {c}' for c in _LEVELS)} FROM {NULL_PANEL_SQL})"
+
+
+@query("combine_standardized", oracle=f"""
+WITH RECURSIVE {axes_sql("x", _FILLED, _LEVELS, 1, correlation=True)}
+SELECT p.c_custkey, p.year, round({" + ".join(f"p.{c} * v{i} * v{i}" for i, c in enumerate(_LEVELS))}, 6) + 0.0 AS price_index
+FROM {_FILLED} p, x_v1
+""")
 def combine_standardized(spark, sf):
     p = panels.with_planted_nulls(panels.customer_year_panel(spark, sf))
     model = G.fit_combine(p, ["avg_value", "max_value", "share_finished"], "price_index", standardize=True)
@@ -345,7 +403,17 @@ def heatmap_labels(spark, sf):
 
 
 # --- PCA7: biplot data -----------------------------------------------------------------------------------------------
-@query("biplot_data")
+_Z_LI = _z_sql(LI, LI_SQL)
+
+
+@query("biplot_data", oracle=f"""
+WITH RECURSIVE {axes_sql("x", _Z_LI, LI, 2)},
+arrow AS (SELECT greatest(max(abs({score_sql("x", LI, 1, "p")})), max(abs({score_sql("x", LI, 2, "p")}))) AS far FROM {_Z_LI} p, {tables_sql("x", 2)}),
+load AS ({" UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, x_v1.v{i} AS a, x_v2.v{i} AS b FROM x_v1, x_v2" for i, c in enumerate(LI))})
+SELECT feature, CAST(row_number() OVER (ORDER BY a * a + b * b DESC, i) AS INTEGER) AS rank,
+       round(far / (SELECT max(greatest(abs(a), abs(b))) FROM load), 6) + 0.0 AS arrow_scale
+FROM load, arrow QUALIFY rank <= 3
+""")
 def biplot_data(spark, sf):
     z, _ = S.standardize(panels.lineitem(spark, sf), LI)
     m = P.fit_pca(z, LI)
