@@ -48,4 +48,4 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def load_all() -> None:
     """Import every area module so its queries register."""
-    from . import q_clean, q_cluster, q_multivariate, q_profile, q_regression, q_sources  # noqa: F401
+    from . import q_clean, q_cluster, q_columns, q_multivariate, q_profile, q_regression, q_sources  # noqa: F401

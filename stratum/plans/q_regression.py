@@ -17,7 +17,7 @@ from ..sources.tables import table
 from ..frames import small_frame
 from . import panels
 from .catalog import query, rounded
-from .sql_ols import _cell, moments_sql, selection_sql, sweep_sql
+from .sql_ols import _cell, moments_sql, selection_sql, subsets_sql, sweep_sql
 
 PANEL_SQL = panels.CUSTOMER_YEAR_PANEL_SQL
 Y, X, X2 = "total_value", "n_orders", "avg_value"
@@ -47,6 +47,47 @@ def _b0(k):
     return f"(m_{k}" + "".join(f" - {_beta(i, k)} * m_{i}" for i in range(k)) + ")"
 
 
+def _erfc_sql(x: str) -> str:
+    """The same Chebyshev erfc approximation as the Spark side, written in SQL."""
+    z = f"abs({x})"
+    t = f"(1.0 / (1.0 + 0.5 * {z}))"
+    from ..functions.tails import ERFC_COEFFS as coeffs
+
+    poly = f"{coeffs[-1]}"
+    for c in reversed(coeffs[1:-1]):
+        poly = f"({c} + {t} * {poly})"
+    poly = f"(-{z} * {z} + {coeffs[0]} + {t} * {poly})"
+    ans = f"({t} * exp({poly}))"
+    return f"(CASE WHEN {x} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+
+
+def _t975_sql(nu: str) -> str:
+    """t quantile 0.975 by the Cornish-Fisher series in 1/df (Abramowitz-Stegun 26.7.5), for large df."""
+    z = 1.959963984540054
+    g = [(z ** 3 + z) / 4, (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96,
+         (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384,
+         (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160]
+    return f"({z!r} + " + " + ".join(f"{c!r} / power({nu}, {i + 1})" for i, c in enumerate(g)) + ")"
+
+
+def _t_sf2_sql(t: str, nu: str) -> str:
+    """Two-sided t tail by Wallace's normal deviate, for large df (relative error of order 1 / nu^2)."""
+    z = f"((8.0 * {nu} + 1) / (8.0 * {nu} + 3) * sqrt({nu} * ln(1 + {t} * {t} / {nu})))"
+    return _erfc_sql(f"({z} / sqrt(2.0))")
+
+
+def _inference_sql(xs, names=None, fit="fit"):
+    """Rows term, coef, std_err, t, p_value, ci_low, ci_high of the model that ``_chain_sql(xs, ...)`` fits."""
+    k = len(xs)
+    s2 = f"({_cell(k, k)} / (n - {k + 1}))"
+    spread = " + ".join(f"{1 if i == j else 2} * m_{i} * m_{j} * (-{_cell(i, j)})" for i in range(k) for j in range(i, k))
+    rows = [f"SELECT 'Intercept' AS term, {_b0(k)} AS b, sqrt({s2} * (1.0 / n + {spread})) AS se, n - {k + 1} AS nu FROM {fit}"]
+    rows += [f"SELECT '{(names or xs)[i]}', {_beta(i, k)}, sqrt({s2} * (-{_cell(i, i)})), n - {k + 1} FROM {fit}" for i in range(k)]
+    return f"""SELECT term, {_r("b")} AS coef, {_r("se")} AS std_err, {_r("b / se")} AS t, {_r(_t_sf2_sql("(b / se)", "nu"))} AS p_value,
+       {_r(f"b - {_t975_sql('nu')} * se")} AS ci_low, {_r(f"b + {_t975_sql('nu')} * se")} AS ci_high
+FROM ({" UNION ALL ".join(rows)})"""
+
+
 # Closed-form simple regression (y ~ x) used by several oracles.
 _SIMPLE = f"""s AS (SELECT CAST(regr_count({Y}, {X}) AS DOUBLE) AS n, regr_slope({Y}, {X}) AS b1, regr_intercept({Y}, {X}) AS b0,
                   regr_sxx({Y}, {X}) AS sxx, regr_syy({Y}, {X}) AS syy, regr_sxy({Y}, {X}) AS sxy,
@@ -95,13 +136,24 @@ def ols_wide_large_offset(spark, sf):
     return rounded(m.coefficients(spark).where("term in ('x0', 'x1', 'x4', 'x5')").select("term", "coef"), 3)
 
 
-@query("ols_coefficients_full")
+_FULL_X = ["n_orders", "avg_value", "share_finished", "acctbal"]
+
+
+@query("ols_coefficients_full", oracle=f"WITH {_chain_sql(_FULL_X, Y)} {_inference_sql(_FULL_X)}")
 def ols_coefficients_full(spark, sf):
-    """OLS3 with p-values and 95% intervals (t tails computed on the driver: rows-only)."""
+    """OLS3 with p-values and 95% intervals."""
     m = L.fit_ols(_panel(spark, sf), Y, ["n_orders", "avg_value", "share_finished", "acctbal"])
     return rounded(m.coefficients(spark))
 
 
+# --- OLS2: a design matrix with its own column of ones ----------------------------------------------------------
+@query("ols_design", oracle=f"WITH {_chain_sql([X, X2], Y)} {_inference_sql([X, X2])}")
+def ols_design(spark, sf):
+    """OLS2: columns as they are; the column of ones is taken as the intercept."""
+    p = _panel(spark, sf).select(F.lit(1).alias("ones"), X, X2, Y)
+    return rounded(L.fit_design(p, Y, ["ones", X, X2]).coefficients(spark))
+
+
 # --- OLS4 -------------------------------------------------------------------------------------------------
 @query("ols_residuals", oracle=f"""
 WITH {_SIMPLE}
@@ -257,6 +309,33 @@ def breusch_pagan(spark, sf):
     return rounded(small_frame(spark, [(bp,)], "breusch_pagan double"))
 
 
+_LM = """r AS (SELECT CAST(p.{x} AS DOUBLE) AS x, CAST(p.{x} AS DOUBLE) * p.{x} AS q, p.{y} - (b0 + b1 * p.{x}) AS e, p.c_custkey, p.year FROM {src} p, e),
+c AS (SELECT CAST(count(*) AS DOUBLE) AS n, corr(e * e, x) AS rx, corr(e * e, q) AS rq, corr(x, q) AS xq, avg(e) AS mu FROM r),
+lm AS (SELECT n * rx * rx AS bp, n * (rx * rx + rq * rq - 2 * rx * rq * xq) / (1 - xq * xq) AS white FROM c),
+m AS (SELECT n, avg(power(e - mu, 2)) AS m2, avg(power(e - mu, 3)) AS m3, avg(power(e - mu, 4)) AS m4 FROM r, c GROUP BY n),
+jb AS (SELECT n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0) AS jb FROM m),
+d AS (SELECT e, e - lag(e) OVER (ORDER BY c_custkey, year) AS de FROM r),
+dw AS (SELECT sum(de * de) / sum(e * e) AS dw FROM d)""".format(x=X, y=Y, src=PANEL_SQL)
+_FAIL = "CASE WHEN {0} < 0.05 THEN 'FAIL' ELSE 'OK' END"
+
+
+@query("assumption_verdicts", oracle=f"""
+WITH {_SIMPLE}, {_LM},
+v AS (SELECT 'jarque_bera' AS test, jb AS stat, exp(-jb / 2) AS p FROM jb
+      UNION ALL SELECT 'breusch_pagan', bp, {_erfc_sql("sqrt(bp / 2)")} FROM lm
+      UNION ALL SELECT 'white', white, exp(-white / 2) FROM lm)
+SELECT 'simple' AS model, test AS "check", {_r("stat")} AS value, NULL AS verdict FROM v
+UNION ALL SELECT 'simple', test || '_pvalue', {_r("p")}, {_FAIL.format("p")} FROM v
+UNION ALL SELECT 'simple', 'durbin_watson', {_r("dw")}, CASE WHEN dw BETWEEN 1.5 AND 2.5 THEN 'OK' ELSE 'FAIL' END FROM dw
+""")
+def assumption_verdicts(spark, sf):
+    """DIA5/DIA9/DIA10: tests of one predictor's model, whose tails have closed forms, with verdicts."""
+    p = panels.materialize(_panel(spark, sf))
+    checks = D.assumption_checks(L.fit_ols(p, Y, [X]), p, order=["c_custkey", "year"])
+    shown = ["jarque_bera", "breusch_pagan", "white", "jarque_bera_pvalue", "breusch_pagan_pvalue", "white_pvalue", "durbin_watson"]
+    return rounded(D.assumption_table(spark, {"simple": checks}).where(F.col("check").isin(shown)))
+
+
 @query("assumption_table")
 def assumption_table(spark, sf):
     """DIA9/DIA10: every check for two models, with verdicts (normal tails on the driver: rows-only)."""
@@ -267,20 +346,6 @@ def assumption_table(spark, sf):
     return rounded(D.assumption_table(spark, checks))
 
 
-def _erfc_sql(x: str) -> str:
-    """The same Chebyshev erfc approximation as the Spark side, written in SQL."""
-    z = f"abs({x})"
-    t = f"(1.0 / (1.0 + 0.5 * {z}))"
-    from ..functions.tails import ERFC_COEFFS as coeffs
-
-    poly = f"{coeffs[-1]}"
-    for c in reversed(coeffs[1:-1]):
-        poly = f"({c} + {t} * {poly})"
-    poly = f"(-{z} * {z} + {coeffs[0]} + {t} * {poly})"
-    ans = f"({t} * exp({poly}))"
-    return f"(CASE WHEN {x} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
-
-
 _AD_A2 = "(-n - s / n)"
 _AD_A2A = f"({_AD_A2} * (1 + 0.75 / n + 2.25 / (n * n)))"
 
@@ -395,7 +460,32 @@ def selection_grid(spark, sf):
     return rounded(S.collect_paths(sel.grid(), spark, best_only=True))
 
 
-@query("coefficient_compare")
+_N = len(CANDS)
+
+
+def _subset_coefs_sql():
+    """CTEs of all subsets of the candidates, then ``coefs(mask, term, b)``."""
+    parts = []
+    for mask in range(1, 1 << _N):
+        on = [i for i in range(_N) if mask >> i & 1]
+        b0 = f"m_{_N}" + "".join(f" - {_cell(i, _N)} * m_{i}" for i in on)
+        parts.append(f"SELECT {mask} AS mask, 'Intercept' AS term, {b0} AS b FROM e{mask}, e0_m")
+        parts += [f"SELECT {mask}, '{CANDS[i]}', {_cell(i, _N)} FROM e{mask}" for i in on]
+    return f"{moments_sql(PANEL_SQL, CANDS, Y)}, {subsets_sql(_N)}, coefs AS ({' UNION ALL '.join(parts)})"
+
+
+def _mask_sql(rhs):
+    return "(" + " + ".join(f"CASE WHEN list_contains(string_split({rhs}, ' + '), '{c}') THEN {1 << i} ELSE 0 END" for i, c in enumerate(CANDS)) + ")"
+
+
+_TWO_PATHS = [("forward", "aic", 1.0), ("forward", "bic", 1.0)]
+
+
+@query("coefficient_compare", oracle=f"""
+WITH {_subset_coefs_sql()},
+best AS (SELECT label, {_mask_sql("rhs")} AS mask FROM ({selection_sql(PANEL_SQL, CANDS, Y, _TWO_PATHS, True, 3)}))
+SELECT label, term, {_r("b")} AS coef, {_r("abs(b)")} AS abs_coef FROM best JOIN coefs USING (mask)
+""")
 def coefficient_compare(spark, sf):
     sel = S.Selector(_panel(spark, sf), Y, [], CANDS)
     paths = [sel.path("forward", c, 1.0 if c != "adj_r2" else 0.001, label=f"forward_{c}") for c in ("aic", "bic")]
@@ -407,7 +497,20 @@ def selection_in_cv(spark, sf):
     return rounded(S.selection_in_cv(_panel(spark, sf), Y, CANDS, k=5, seed=0, key=["c_custkey", "year"]))
 
 
-@query("interaction_screen")
+_PRODUCTS = [(X, X2), (X, "share_finished"), (X2, "acctbal")]
+
+
+def _screen_sql(a, b):
+    xs = [X, X2, f"({a} * {b})"]
+    aic = lambda k, rss: f"(n * ln({rss} / n) + 2 * ({k} + 1))"
+    plain = f"(SELECT {aic(2, _cell(3, 3))} AS v FROM f2, e0_m)"
+    exact = f"{_cell(3, 3)} < 1e-12 * (SELECT {_cell(3, 3)} FROM e0)"  # no residual: neither a tail nor a likelihood
+    return f"""SELECT '{a}:{b}' AS term, coef, CASE WHEN NOT exact THEN p_value END AS p_value, CASE WHEN NOT exact THEN {_r("aic - plain")} END AS delta_aic FROM (
+WITH {_chain_sql(xs, Y)}, plain AS {plain}, found AS ({_inference_sql(xs, [X, X2, "product"])})
+SELECT coef, p_value, {aic(3, f"greatest({_cell(3, 3)}, 0)")} AS aic, plain.v AS plain, {exact} AS exact FROM found, fit, plain WHERE term = 'product')"""
+
+
+@query("interaction_screen", oracle=" UNION ALL ".join(_screen_sql(a, b) for a, b in _PRODUCTS))
 def interaction_screen(spark, sf):
     p = _panel(spark, sf)
     sel = S.Selector(p, Y, [X, X2], [])
@@ -416,6 +519,52 @@ def interaction_screen(spark, sf):
                                "term string, coef double, p_value double, delta_aic double"))
 
 
+# --- REG1/REG3: best models of several paths, registered under their own names -------------------------------------------
+_REG_PATHS = [("forward", "aic", 1.0), ("backward", "bic", 1.0), ("stepwise", "mdl", 1.0)]
+
+
+@query("registry_paths", oracle=f"""
+SELECT 'sel_' || label AS model, direction, criterion, step, n_terms, CASE criterion WHEN 'aic' THEN aic WHEN 'bic' THEN bic ELSE mdl END AS value,
+       aic, bic, adj_r2, rmse
+FROM ({selection_sql(PANEL_SQL, CANDS, Y, _REG_PATHS, True, 3)})
+""")
+def registry_paths(spark, sf):
+    p = _panel(spark, sf)
+    reg = ModelRegistry()
+    reg.fit(p, Y, [X], name="plain")
+    reg.register_best_paths([S.Selector(p, Y, [], CANDS).path(d, c, t) for d, c, t in _REG_PATHS])
+    reg.remove("plain")
+    return rounded(reg.path_table(spark), 3)
+
+
+_TRAIN = f"(SELECT * FROM {PANEL_SQL} WHERE year < 2000)"
+
+
+def _entry_sql(name, xs):
+    k = len(xs)
+    fit = f"{_b0(k)}" + "".join(f" + {_beta(i, k)} * {x}" for i, x in enumerate(xs))
+    rss = f"max({_cell(k, k)})"
+    llf = f"(-max(n) / 2 * (ln(2 * pi()) + ln({rss} / max(n)) + 1))"
+    early, late = "FILTER (WHERE year < 2000)", "FILTER (WHERE year >= 2000)"
+    err = f"({Y} - ({fit}))"
+    return f"""SELECT '{name}' AS model, max(n) AS n_obs, {_r(f"1 - {rss} / max(tss)")} AS r2,
+       {_r(f"1 - (max(n) - 1) / (max(n) - {k + 1}) * {rss} / max(tss)")} AS adj_r2, {_r(f"sqrt({rss} / max(n))")} AS rmse,
+       {_r(f"avg(abs({err})) {early}")} AS mae, {_r(f"2 * {k + 1} - 2 * {llf}")} AS aic, {_r(f"{k + 1} * ln(max(n)) - 2 * {llf}")} AS bic,
+       {_r(f"sqrt(avg({err} * {err}) {late})")} AS holdout_rmse, {_r(f"1 - avg({err} * {err}) {late} / var_pop({Y}) {late}")} AS holdout_r2
+FROM (WITH {_chain_sql(xs, Y, _TRAIN)} SELECT fit.*, e0.{_cell(k, k)} AS tss FROM fit, e0), {PANEL_SQL}"""
+
+
+@query("registry_holdout", oracle=" UNION ALL ".join(_entry_sql(n, xs) for n, xs in (("one", [X]), ("two", [X, X2]), ("all", CANDS))))
+def registry_holdout(spark, sf):
+    """REG1/REG4: three models fitted before 2000, scored from 2000 on, in one table."""
+    p = panels.materialize(_panel(spark, sf))
+    reg = ModelRegistry()
+    for name, rhs in (("one", [X]), ("two", [X, X2]), ("all", CANDS)):
+        reg.fit(p.filter(F.col("year") < 2000), Y, rhs, name=name)
+    reg.evaluate_all(p.filter(F.col("year") >= 2000), "holdout")
+    return rounded(reg.compare(spark, sort_by="holdout_rmse").drop("rhs"))
+
+
 # --- REG1-REG4 -------------------------------------------------------------------------------------------------------------
 @query("registry_compare")
 def registry_compare(spark, sf):
@@ -572,15 +721,6 @@ def spline_fit(spark, sf):
     return rounded(m.coefficients(spark).select("term", "coef", "std_err"))
 
 
-def _t975_sql(nu: str) -> str:
-    """t quantile 0.975 by the Cornish-Fisher series in 1/df (Abramowitz-Stegun 26.7.5), for large df."""
-    z = 1.959963984540054
-    g = [(z ** 3 + z) / 4, (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96,
-         (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384,
-         (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160]
-    return f"({z!r} + " + " + ".join(f"{c!r} / power({nu}, {i + 1})" for i, c in enumerate(g)) + ")"
-
-
 _BAND = f"""(SELECT 1.0 + CAST(i AS DOUBLE) AS x FROM range(0, 10) t(i))"""
 
 
