@@ -14,6 +14,11 @@ half in each of two (similarity 1/4 or more); a longer one has a run of two
 shingles present, which gives one window 2 of them or two windows 1 each
 (similarity 2/6, or 1/7 twice).
 
+With ``best``, templates compete for a place: a find goes if a find of another
+template overlaps it that holds more of its own shingles (then the larger share,
+then the earlier name), so a version or variant does not come out under its
+sibling's name, nor a short line inside the header that holds it.
+
 Templates are the stated query set: they are sent around in blocks of a bounded
 number of words, and every block meets every document.  Words are folded, so
 case and punctuation do not matter.
@@ -37,6 +42,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .license_texts import LICENSES
+from .store import written
 
 WINDOW, STRIDE = 8, 4
 CONTAINMENT = 0.8
@@ -153,6 +159,25 @@ def _verified(w: W.Words, known: Templates, containment: float) -> Iterator[tupl
         yield last
 
 
+def compete(found: list[tuple], names: list[str], size: list[int]) -> list[tuple]:
+    """The finds of a slice that no better find of another template overlaps."""
+    def worth(m: tuple) -> tuple:
+        return round(m[2] * size[m[1]]), m[2]
+
+    def beats(a: tuple, b: tuple) -> bool:
+        return worth(a) > worth(b) or (worth(a) == worth(b) and names[a[1]] < names[b[1]])
+
+    order = sorted(found, key=lambda m: (m[0], m[3]))
+    lost, live = set(), []  # finds that reach the place of the sweep
+    for i, m in enumerate(order):
+        live = [j for j in live if order[j][0] == m[0] and order[j][4] > m[3]]
+        for j in live:
+            if order[j][1] != m[1]:
+                lost.add(i if beats(order[j], m) else j)
+        live.append(i)
+    return [m for i, m in enumerate(order) if i not in lost]
+
+
 def blocks(templates: Mapping[str, str], words: int = BLOCK_WORDS) -> list[dict[str, str]]:
     """The templates in blocks of about ``words`` words."""
     out: list[dict[str, str]] = [{}]
@@ -170,15 +195,47 @@ def blocks(templates: Mapping[str, str], words: int = BLOCK_WORDS) -> list[dict[
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = LICENSES, key: str = "doc_id", text: str = "text",
-         containment: float = CONTAINMENT, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``(key, license, containment, from_word, to_word)``: a row for every place where a document holds a template."""
-    schema = f"k {docs.schema[key].dataType.simpleString()}, license string, containment double, from_word long, to_word long"
-    parts = [_scan_block(docs, Templates(b), key, text, containment, schema) for b in blocks(templates, block_words)]
-    out = reduce(DataFrame.unionAll, parts) if parts else docs.sparkSession.createDataFrame([], schema)
-    return out.withColumnRenamed("k", key)
-
+         containment: float = CONTAINMENT, block_words: int = BLOCK_WORDS, best: bool = False) -> DataFrame:
+    """``(key, license, containment, from_word, to_word)``: a row for every place where a document holds a template.
 
-def _scan_block(docs: DataFrame, known: Templates, key: str, text: str, containment: float, schema: str) -> DataFrame:
+    With ``best`` only the best template of a place.  Templates of one block compete
+    where they are found; with several blocks the finds are written once and compared
+    by key, text and stretch of the text, so equal rows of a document keep the same finds.
+    """
+    schema = (f"k {docs.schema[key].dataType.simpleString()}, license string, containment double, from_word long, to_word long, "
+              "held long, mark long")
+    parts = blocks(templates, block_words)
+    alone = best and len(parts) == 1
+    found = [_scan_block(docs, Templates(b), key, text, containment, schema, alone) for b in parts]
+    out = reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)
+    if best and len(parts) > 1:
+        out = _best(out)
+    return out.drop("held", "mark").withColumnRenamed("k", key)
+
+
+#: words of a stretch that finds are compared by
+_STRETCH = 256
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """Finds that no better find of another template in the same text overlaps."""
+    found = written(found, "licenses")
+    mine = ["k", "mark", "license", "from_word", "to_word"]
+    cells = F.explode(F.sequence(F.floor(F.col("from_word") / _STRETCH), F.floor((F.col("to_word") - 1) / _STRETCH))).alias("cell")
+    a = found.dropDuplicates(mine).select(*mine, "held", "containment", cells)
+    b = a.toDF(*[f"b_{c}" for c in a.columns])
+    better = ((F.col("b_held") > F.col("held"))
+              | ((F.col("b_held") == F.col("held")) & ((F.col("b_containment") > F.col("containment"))
+                 | ((F.col("b_containment") == F.col("containment")) & (F.col("b_license") < F.col("license"))))))
+    lost = a.join(b, F.col("k").eqNullSafe(F.col("b_k")) & (F.col("mark") == F.col("b_mark")) & (F.col("cell") == F.col("b_cell"))
+                  & (F.col("license") != F.col("b_license")) & (F.col("b_from_word") < F.col("to_word"))
+                  & (F.col("from_word") < F.col("b_to_word")) & better, "left_semi").select(*mine).distinct()
+    lost = lost.toDF(*[f"l_{c}" for c in mine])
+    same = [F.col(c).eqNullSafe(F.col(f"l_{c}")) for c in mine]
+    return found.join(lost, reduce(lambda x, y: x & y, same), "left_anti")
+
+
+def _scan_block(docs: DataFrame, known: Templates, key: str, text: str, containment: float, schema: str, alone: bool) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,11 +243,15 @@ def _scan_block(docs: DataFrame, known: Templates, key: str, text: str, containm
         for batch in batches:
             for lo, _, w in W.slices(batch.column(1), W.FOLDED, True):
                 found = list(_verified(w, known, containment))
+                size = [len(x) for x in known.shingles]
+                if alone:
+                    found = compete(found, known.names, size)
                 if found:
                     row, t, share, start, stop = zip(*found)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array([lo + r for r in row])), pa.array([known.names[x] for x in t]),
-                         pa.array(share, pa.float64()), pa.array(start, pa.int64()), pa.array(stop, pa.int64())],
-                        names=["k", "license", "containment", "from_word", "to_word"])
+                         pa.array(share, pa.float64()), pa.array(start, pa.int64()), pa.array(stop, pa.int64()),
+                         pa.array([round(p * size[x]) for p, x in zip(share, t)], pa.int64()), batch.column(2).take(pa.array([lo + r for r in row]))],
+                        names=["k", "license", "containment", "from_word", "to_word", "held", "mark"])
 
-    return docs.select(F.col(key).alias("k"), F.lower(text).alias("t")).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("k"), F.lower(text).alias("t"), F.xxhash64(text).alias("mark")).mapInArrow(run, schema)

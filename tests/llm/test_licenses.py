@@ -65,3 +65,44 @@ def test_empty_tables(documents):
 def test_bands_meet_the_bound():
     n = L.bands_for(0.25, 1e-5)
     assert 0.75 ** n <= 1e-5 < 0.75 ** (n - 1)
+
+
+def plain_best(found):
+    """Finds of one text that no better find of another template overlaps, pair by pair."""
+    size = {n: len(shingles(t)) for n, t in L.LICENSES.items()}
+
+    def worth(m):
+        return round(m.containment * size[m.license]), m.containment
+
+    def beaten(m):
+        return any(o.license != m.license and o.from_word < m.to_word and m.from_word < o.to_word
+                   and (worth(o) > worth(m) or (worth(o) == worth(m) and o.license < m.license)) for o in found)
+
+    return [m for m in found if not beaten(m)]
+
+
+@pytest.mark.parametrize("block_words", [L.BLOCK_WORDS, 600])
+def test_templates_compete_for_a_place(documents, block_words):
+    rows, clean, awkward = cases()
+    rows = [r for r in rows if r[0] % 1000 in (0, 3, 100, 200, 300)]
+    several = [(2 * 10**7, " and also ".join(L.LICENSES[n] for n in ("GPL-2.0-line", "CC-BY-NC-4.0", "BSD-3-Clause", "Apache-2.0-header")), "en", "s")]
+    docs = documents([*rows, *clean[:5], *awkward, *several])
+    every = L.scan(docs, block_words=block_words).collect()
+    got = L.scan(docs, block_words=block_words, best=True).collect()
+    groups = {}
+    for m in every:
+        groups.setdefault(m.doc_id, []).append(m)
+    want = [m for found in groups.values() for m in plain_best(found)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {m.license for m in got if m.doc_id == 2 * 10**7} == {"GPL-2.0-line", "CC-BY-NC-4.0", "BSD-3-Clause", "Apache-2.0-header"}
+
+
+def test_each_template_finds_itself_and_no_sibling(documents):
+    names = sorted(L.LICENSES)
+    rng = np.random.default_rng(5)
+    rows = [(i, f"{prose(rng, 12)} {L.LICENSES[n]} {prose(rng, 9)}", "en", "s") for i, n in enumerate(names)]
+    got = L.scan(documents(rows), best=True).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == list(enumerate(names))
+    assert all(r.containment == 1.0 for r in got)
+    assert L.scan(documents(rows).where("false"), best=True).count() == 0
+    assert L.scan(documents(rows).where("false"), best=True, block_words=600).count() == 0
