@@ -704,7 +704,19 @@ def bootstrap_refit(spark, sf):
                                "rep int, oob_rmse double, n_oob long"), 3)
 
 
-@query("calibration_bins")
+@query("calibration_bins", oracle=f"""
+WITH {_chain_sql([X, X2], Y)},
+pr AS (SELECT c_custkey, year, {Y} AS y, {_b0(2)} + {_beta(0, 2)} * {X} + {_beta(1, 2)} * {X2} AS p FROM {PANEL_SQL}, fit),
+ed AS (SELECT DISTINCT unnest(quantile_cont(p, [{", ".join(f"{i / 10!r}" for i in range(11))}])) AS edge FROM pr),
+el AS (SELECT list(edge) AS edges FROM ed),
+bn AS (SELECT pr.*, CAST(greatest(len(list_filter(edges, lambda e: e < p)), 1) AS INTEGER) AS bin FROM pr, el),
+rep AS (SELECT bin, y, r, {_poisson_sql(_UB.replace("'3:'", "'2:'"))} AS w FROM bn, range(0, 100) t(r)),
+per AS (SELECT bin, r, sum(w * y) / sum(w) AS m FROM rep WHERE w > 0 GROUP BY bin, r),
+ci AS (SELECT bin, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM per GROUP BY bin)
+SELECT bin, count(*) AS n, {_r("avg(p)")} AS mean_pred, {_r("avg(y)")} AS mean_obs,
+       {_r("CASE WHEN count(*) > 1 THEN max(low) ELSE avg(y) END")} AS ci_low, {_r("CASE WHEN count(*) > 1 THEN max(high) ELSE avg(y) END")} AS ci_high
+FROM bn JOIN ci USING (bin) GROUP BY bin
+""")
 def calibration_bins(spark, sf):
     """EVA5: quantile bins of predictions with bootstrap CI of the observed bin mean."""
     p = panels.materialize(_panel(spark, sf))
