@@ -1,9 +1,9 @@
 """License notices to scan for.
 
-Fixed values: public license notices and headers, plainly, as their publishers
-word them, versions and variants side by side so that each has its nearest
-sibling to compete with; and short lines in which a work names its license,
-built from the names by one rule a family.
+Fixed values: public license notices and headers, plainly, versions and variants
+side by side so that each has its nearest sibling to compete with; and short
+lines in which a work names its license, and the GNU headers, built from the
+names by one rule a family.
 """
 
 _CC = {"": "Attribution", "-SA": "Attribution-ShareAlike", "-ND": "Attribution-NoDerivatives", "-NC": "Attribution-NonCommercial",
