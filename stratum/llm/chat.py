@@ -13,14 +13,21 @@ string inside a role or a text is broken by a backslash after its first
 character, one more than it has there already; taking one away restores it, so
 the escape is reversible for any text.
 
-Conversations stream through a task in order of turn: memory is one window,
-however long the conversation is.
+A conversation may hold any share of the rows.  Turns are range partitioned by
+conversation and number and written with the prefix sums of their partition.
+How a partition continues the conversation that is open at its beginning is a
+step function of the tokens already in the open window; windows soon fall into
+step, so it has few steps.  The driver reads these functions, one row a
+partition, and hands every partition its open window and context.  Then each
+partition formats the windows that begin in it: the turns with which the next
+partition fills the last one, and the context from earlier partitions, are sent
+to it.  Memory is one window and the token counts of one partition.
 
 Defined cases: null text is empty; a null role is empty; a null turn number
-comes first; turns with the same number are ordered by role and text, repeated
-rows are turns of their own; rows with a null conversation id are one
-conversation with that id; an empty table gives an empty result; only the four
-columns are read.
+comes first; turns with the same number are ordered by the first 64 characters
+of role and text, then by a hash; repeated rows are turns of their own; rows
+with a null conversation id are one conversation with that id; an empty table
+gives an empty result; only the four columns are read.
 """
 
 from __future__ import annotations
@@ -30,10 +37,15 @@ import re
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import written
+
 BUDGET = 1024
 HISTORY_TURNS = 4
 HISTORY_TOKENS = 256
@@ -109,24 +121,42 @@ def _window(conv, number: int, context: list[_Turn], new: list[_Turn]) -> dict:
 
 def windows(turns: Iterator[tuple], budget: int = BUDGET, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS,
             count=count_tokens) -> Iterator[dict]:
-    """Windows of ``(conv_id, role, text)`` rows that come conversation by conversation, in order of turn.
+    """Windows of ``(conv_id, role, text)`` rows that come conversation by conversation, in order of turn."""
+    return _windows(((0, "turn", None, *t) for t in turns), budget, history_turns, history_tokens, count)
+
+
+def _windows(rows: Iterator[tuple], budget: int, history_turns: int, history_tokens: int, count) -> Iterator[dict]:
+    """Windows of ``(home, kind, number, conv_id, role, text)`` rows, home by home.
 
-    ``total`` is the prefix sum of the new turns' tokens from the window's beginning.
+    Kind ``system`` or ``recent`` is a turn of an earlier window.  ``number`` is
+    the window that begins at a home's first turn where that turn is not the
+    conversation's first.  ``total`` is the prefix sum of the new turns' tokens
+    from the window's beginning.
     """
-    conv, started = None, False
+    home, conv, started = None, None, False
     system, recent, context, new, number, total, fixed = None, deque(maxlen=history_turns), [], [], 0, 0, 0
-    for conv_id, role, text in turns:
+    for at, kind, first, conv_id, role, text in rows:
         turn = _Turn(role or "", text or "", count)
-        if not started or conv_id != conv:
+        if at != home or (kind == "turn" and started and conv_id != conv):
             if new:
                 yield _window(conv, number, context, new)
+            home, started = at, False
+            system, recent, context, new, number, total, fixed = None, deque(maxlen=history_turns), [], [], 0, 0, 0
+        if kind == "system":
+            system = turn
+            continue
+        if kind == "recent":
+            recent.append(turn)
+            continue
+        if not started and first is None:
             conv, started = conv_id, True
             system = turn if turn.role == SYSTEM else None
-            recent, context, new, number, total, fixed = deque(maxlen=history_turns), [], [], 0, 0, 0
-        elif new and fixed + total + turn.tokens > budget:
-            yield _window(conv, number, context, new)
+        elif not started or fixed + total + turn.tokens > budget:
+            if new:
+                yield _window(conv, number, context, new)
             context = _context(system, recent, turn, budget, history_turns, history_tokens)
-            new, number, total, fixed = [], number + 1, 0, sum(t.tokens for t in context)
+            new, number, total, fixed = [], number + 1 if started else first, 0, sum(t.tokens for t in context)
+            conv, started = conv_id, True
         new.append(turn)
         recent.append(turn)
         total += turn.tokens
@@ -150,19 +180,167 @@ def _batches(rows: Iterator[dict], schema: pa.Schema, size) -> Iterator[pa.Recor
     yield pa.RecordBatch.from_pylist(held, schema)
 
 
+_TURNS = "part int, at int, sofar long, tokens int, conv_id long, role string, text string"
+_EDGES = ("part int, n int, lead int, opens int, first struct<null: boolean, conv: long>, last struct<null: boolean, conv: long>, "
+          "open_tokens long, open_system boolean, tail array<long>")
+_STEPS = "part int, upto array<long>, used array<long>, breaks array<long>"
+
+
+def _ordered(turns: DataFrame, count, partitions: int | None) -> DataFrame:
+    """The turns in order: partition, place and prefix sum of tokens there."""
+    key = ["conv_id", "turn", "_role", "_text", "_hash", "_row"]  # no text goes whole into the range bounds; equal rows spread
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text", F.substring("role", 1, 64).alias("_role"),
+                        F.substring("text", 1, 64).alias("_text"), F.xxhash64("role", "text").alias("_hash"),
+                        F.monotonically_increasing_id().alias("_row"))
+    ordered = rows.repartitionByRange(*([partitions] if partitions else []), *key).sortWithinPartitions(*key)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at, sofar = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            conv, role, text = batch.columns
+            tokens = np.array([count(t or "") + count(r or "") + 2 for r, t in zip(role.to_pylist(), text.to_pylist())], dtype=np.int64)
+            n = len(tokens)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n, dtype=np.int32)), pa.array(sofar + np.cumsum(tokens)),
+                 pa.array(tokens.astype(np.int32)), conv, role, text], names=["part", "at", "sofar", "tokens", "conv_id", "role", "text"])
+            at, sofar = at + n, sofar + int(tokens.sum())
+
+    return written(ordered.select("conv_id", "role", "text").mapInArrow(number, _TURNS), "chat-turns")
+
+
+def _stretches(rows: pd.DataFrame) -> tuple[pd.DataFrame, int, int]:
+    """The rows of a partition in order, the length of its first conversation, and the place where its last one begins."""
+    rows = rows.sort_values("at")
+    conv, null = rows.conv.to_numpy(), rows.null.to_numpy()
+    change = np.flatnonzero((conv[1:] != conv[:-1]) | (null[1:] != null[:-1])) + 1
+    return (rows, int(change[0]), int(change[-1])) if len(change) else (rows, len(rows), 0)
+
+
+def _edges(history_turns: int):
+    def edges(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, lead, opens = _stretches(rows)
+        first, last, open_ = rows.iloc[0], rows.iloc[-1], rows.iloc[opens]
+        tail = rows.tokens.to_numpy()[max(opens, len(rows) - history_turns):]
+        return pd.DataFrame({"part": [first.part], "n": [len(rows)], "lead": [lead], "opens": [opens],
+                             "first": [{"null": bool(first.null), "conv": int(first.conv)}],
+                             "last": [{"null": bool(last.null), "conv": int(last.conv)}],
+                             "open_tokens": [open_.tokens], "open_system": [open_.system], "tail": [[int(t) for t in tail]]})
+
+    return edges
+
+
+def _steps(carried: dict[int, tuple[int, list[int]]], budget: int, history_turns: int, history_tokens: int):
+    """``used`` and ``breaks`` at a partition's end, by the tokens of the open window at its beginning.
+
+    A window that begins at turn s ends before the first turn at which the prefix
+    sums pass the budget left by its context, so all ends are one binary search
+    over the prefix sums, and a backward pass follows them to the partition's end.
+    """
+    def chain(tokens: np.ndarray, recent: list[int], system: int, lower: int, fresh: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, o = len(tokens), len(recent)
+        all_, upto = np.concatenate([np.array(recent, np.int64), tokens]), np.cumsum(tokens)
+        before = upto - tokens
+        left = np.minimum(history_tokens, budget - tokens - system)
+        fixed, open_ = np.full(n, system, np.int64), np.ones(n, dtype=bool)
+        for j in range(1, history_turns + 1):
+            place = np.arange(n) + o - j
+            old = np.where(place >= 0, all_[np.maximum(place, 0)], 0)
+            left = left - old
+            open_ &= (place >= lower) & (left >= 0)
+            fixed += np.where(open_, old, 0)
+        if fresh:
+            fixed[0] = 0
+        following = np.maximum(np.searchsorted(upto, budget - fixed + before, "right"), np.arange(1, n + 1))
+        used, breaks = fixed + upto[-1] - before, np.zeros(n, np.int64)
+        for s in range(n - 1, -1, -1):
+            if following[s] < n:
+                used[s], breaks[s] = used[following[s]], breaks[following[s]] + 1
+        return upto, used, breaks
+
+    def steps(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, lead, opens = _stretches(rows)
+        part, tokens = int(rows.part.iloc[0]), rows.tokens.to_numpy().astype(np.int64)
+        if opens or part not in carried:  # a conversation begins here: its windows do not depend on what came before
+            system = bool(rows.system.iloc[opens])
+            _, used, breaks = chain(tokens[opens:], [], int(tokens[opens]) if system else 0, int(system), True)
+            out = [[], used[:1], breaks[:1]]
+        else:
+            system, recent = carried[part]
+            upto, used, breaks = chain(tokens, recent, system, 0, False)
+            k = min(int(np.searchsorted(upto, budget, "right")) + 1, len(upto))  # the window may end before any of the first k turns
+            last = np.append((np.diff(used[:k]) != 0) | (np.diff(breaks[:k]) != 0), True)
+            out = [upto[:k][last], used[:k][last], breaks[:k][last]]
+        return pd.DataFrame({"part": [part], **{c: [[int(x) for x in v]] for c, v in zip(("upto", "used", "breaks"), out)}})
+
+    return steps
+
+
+def _routes(ordered: DataFrame, budget: int, history_turns: int, history_tokens: int) -> tuple[DataFrame, DataFrame]:
+    """Where the first turns of a partition go, and which earlier turns it needs.
+
+    At most ``history_turns + 2`` small rows a partition, whatever the table: they can be broadcast.
+    """
+    spark = ordered.sparkSession
+    narrow = ordered.select("part", "at", "tokens", F.coalesce("conv_id", F.lit(0)).alias("conv"), F.isnull("conv_id").alias("null"),
+                            F.coalesce(F.col("role") == SYSTEM, F.lit(False)).alias("system"))
+    parts = sorted(narrow.groupBy("part").applyInPandas(_edges(history_turns), _EDGES).collect(), key=lambda p: p.part)  # one row each
+    carried, needs, conv, recent, system = {}, {}, None, [], None
+    for p in parts:
+        if p.first == conv:  # the conversation goes on: its system turn and its last turns
+            carried[p.part] = (system[2] if system else 0, [t for _, _, t in recent])
+            for kind, places in (("system", [system] if system else []), ("recent", recent)):
+                for part, at, _ in places:
+                    needs.setdefault((part, at), []).append((p.part, kind, None))
+        tail = [(p.part, p.n - len(p.tail) + i, t) for i, t in enumerate(p.tail)]
+        if p.opens or p.first != conv:
+            system = (p.part, p.opens, p.open_tokens) if p.open_system else None
+            recent = [r for r in tail if not system or r[1] != p.opens]
+        else:
+            recent = (recent + tail)[-history_turns:] if history_turns else []
+        conv = p.last
+    found = narrow.groupBy("part").applyInPandas(_steps(carried, budget, history_turns, history_tokens), _STEPS).collect()
+    steps, moves, used, number, home = {r.part: r for r in found}, [], 0, 0, None
+    for p in parts:
+        upto, after, breaks = steps[p.part][1:]
+        if p.part in carried:
+            moves.append((p.part, p.lead, max(budget - used, 0), home, number + 1))
+        if p.opens or p.part not in carried:
+            used, number, home = after[0], breaks[0], p.part
+        elif used + upto[-1] <= budget:
+            used += upto[-1]
+        else:
+            i = next(i for i, u in enumerate(upto) if used + u > budget)
+            used, number, home = after[i], number + 1 + breaks[i], p.part
+    return (spark.createDataFrame(moves, "part int, lead int, room long, home int, number int"),
+            spark.createDataFrame([(*place, to) for place, to in needs.items()], f"part int, at int, needs {_ROUTE}"))
+
+
+_ROUTE = "array<struct<home: int, kind: string, number: int>>"
+
+
 def format_conversations(turns: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
-                         history_tokens: int = HISTORY_TOKENS, count=count_tokens) -> DataFrame:
+                         history_tokens: int = HISTORY_TOKENS, count=count_tokens, partitions: int | None = None) -> DataFrame:
     """``(conv_id, window, formatted, loss, n_context, n_tokens)`` of ``turns(conv_id, turn, role, text)``.
 
     ``loss`` holds the code points of ``formatted`` that are targets; the first
-    ``n_context`` turns of a window repeat earlier ones.
+    ``n_context`` turns of a window repeat earlier ones.  ``partitions`` is the
+    number of range partitions (default: the session's).
     """
-    ordered = (turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text").repartition("conv_id")
-               .sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text"))
+    ordered = _ordered(turns, count, partitions)
+    moves, needs = _routes(ordered, budget, history_turns, history_tokens)
+    fills = F.expr("at < lead AND sofar <= room")  # the turn still fits the window that is open at the partition's beginning
+    own = F.expr(f"CAST(array(named_struct('home', part, 'kind', 'turn', 'number', IF(at < lead, number, NULL))) AS {_ROUTE})")
+    away = F.expr(f"CAST(array(named_struct('home', home, 'kind', 'turn', 'number', NULL), "
+                  f"named_struct('home', part, 'kind', 'recent', 'number', NULL)) AS {_ROUTE})")
+    rows = (ordered.join(F.broadcast(moves), "part", "left").join(F.broadcast(needs), ["part", "at"], "left")
+            .select("part", "at", "conv_id", "role", "text",
+                    F.explode(F.concat(F.when(fills, away).otherwise(own), F.coalesce("needs", F.array().cast(_ROUTE)))).alias("to"))
+            .repartition("to.home").sortWithinPartitions("to.home", "part", "at")
+            .select("to.home", "to.kind", "to.number", "conv_id", "role", "text"))
     schema = pa.schema([("conv_id", pa.int64()), ("window", pa.int32()), ("formatted", pa.string()),
                         ("loss", pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))), ("n_context", pa.int32()), ("n_tokens", pa.int32())])
-    return ordered.mapInArrow(lambda b: _batches(windows(_rows(b, 3), budget, history_turns, history_tokens, count), schema,
-                                                 lambda r: len(r["formatted"]) + 100), WINDOWS)
+    return rows.mapInArrow(lambda b: _batches(_windows(_rows(b, 6), budget, history_turns, history_tokens, count), schema,
+                                              lambda r: len(r["formatted"]) + 100), WINDOWS)
 
 
 def read_window(formatted: str) -> list[tuple[str, str]]:

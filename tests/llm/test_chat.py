@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -65,3 +66,25 @@ def test_digests_of_awkward_tables(spark):
     assert got[3].n_windows > 50 and got.keys() == {1, 2, 3, None}
     assert sum(len(r.formatted) for r in made.collect()) == sum(r.formatted_chars for r in got.values())
     assert C.digests(C.format_conversations(df.where("false"))).count() == 0
+
+
+@pytest.mark.parametrize("budget, history_turns, history_tokens, partitions", [(60, 3, 25, 9), (200, 4, 80, 23), (7, 0, 0, 5), (100_000, 2, 9, 6)])
+def test_a_conversation_over_many_partitions_has_the_windows_of_a_plain_pass(spark, budget, history_turns, history_tokens, partitions):
+    rng = np.random.default_rng(budget)
+    rows = [(7, k, ("user", "assistant")[k % 2] if k else "system", " ".join(["w"] * int(rng.integers(0, 30)))) for k in range(900)]
+    rows += [(None, k, ("user", "assistant")[k % 2], f"x {k} " * int(rng.integers(0, 9))) for k in range(300)]
+    rows += [(2**60 + c, k, "assistant", "é " * int(rng.integers(0, 200))) for c in range(60) for k in range(int(rng.integers(1, 7)))]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "conv_id long, turn long, role string, text string")
+    made = C.format_conversations(df, budget, history_turns, history_tokens, partitions=partitions)
+    got = sorted(map(tuple, made.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    plain = C.windows(((c, r, t) for c, _, r, t in rows), budget, history_turns, history_tokens)
+    assert got == [(w["conv_id"], w["window"], w["formatted"], [(s["lo"], s["hi"]) for s in w["loss"]], w["n_context"], w["n_tokens"]) for w in plain]
+
+
+def test_equal_rows_of_one_conversation_spread_over_partitions(spark):
+    df = spark.range(30_000).selectExpr("CAST(NULL AS long) AS conv_id", "CAST(NULL AS long) AS turn", "'assistant' AS role", "'a b c' AS text")
+    ordered = C._ordered(df, C.count_tokens, 8)
+    assert ordered.groupBy("part").count().agg({"count": "max"}).first()[0] < 8_000
+    r = C.digests(C.format_conversations(df, partitions=8)).first()
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (30_000, 150_000, hashlib.sha256(b"a b c" * 30_000).hexdigest())
