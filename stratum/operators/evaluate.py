@@ -14,6 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..frames import small_frame
 from ..functions.hashrand import poisson1_from, uniform
@@ -152,16 +153,66 @@ def calibration(pred: DataFrame, y: str, p: str, q: int = 10, n_boot: int = 100,
 def confidence_band(model: OLSModel, spark, x: str, lo: float, hi: float, at: dict[str, Column | float],
                     n_points: int = 50, alpha: float = 0.05) -> DataFrame:
     """OLS6: mean-response band over a grid of one predictor (others fixed), ``sqrt(x' C x)`` as an expression."""
-    from ..functions import tails
-
     grid = spark.range(n_points).select((F.lit(lo) + F.col("id") * F.lit((hi - lo) / max(n_points - 1, 1))).alias(x))
     grid = grid.select(x, *[(v if isinstance(v, Column) else F.lit(float(v))).alias(k) for k, v in at.items()])
+    return _band(model, grid, x, alpha)
+
+
+def _band(model: OLSModel, grid: DataFrame, x: str, alpha: float) -> DataFrame:
+    from ..functions import tails
+
     se = F.sqrt(F.lit(model.sigma2) * model.leverage_expr())
     q = tails.t_ppf(1 - alpha / 2, model.df_resid)
     fit = model.predict_expr()
     return grid.select(x, fit.alias("fit"), (fit - F.lit(q) * se).alias("lower"), (fit + F.lit(q) * se).alias("upper"))
 
 
+def _categories(model: OLSModel) -> set[str]:
+    return {t.source[0] for t in model.terms if t.name.startswith("C(")}
+
+
+def typical_values(model: OLSModel, df: DataFrame, but: Sequence[str] = ()) -> dict[str, object]:
+    """A value for each column that the model reads: mean of a number, first level of ``C()``, most frequent value of others.
+
+    NULL counts for none of them; the smaller of two equally frequent values is
+    taken; a column without any value is NULL.  Numbers and first levels take one
+    aggregate together, a most frequent value one count of its column.
+    """
+    columns = [c for c in dict.fromkeys(c for t in model.terms for c in t.source) if c not in but]
+    levels, numbers = _categories(model), {f.name for f in df.schema if isinstance(f.dataType, (T.NumericType, T.BooleanType))}
+    once = {c: F.min(F.col(c)) if c in levels else F.avg(F.col(c).cast("double")) for c in columns if c in levels or c in numbers}
+    found = df.agg(*[e.alias(c) for c, e in once.items()]).first().asDict() if once else {}
+    for c in columns:
+        if c not in found:
+            top = df.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).first()
+            found[c] = top[c] if top else None
+    return {c: found[c] for c in columns}
+
+
+def _levels(df: DataFrame, column: str, max_levels: int) -> list:
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_levels + 1).collect()  # bounded read
+    if len(found) > max_levels:
+        raise ValueError(f"{column!r} has more than {max_levels} values: name levels or probs")
+    return sorted(r[0] for r in found)
+
+
+def effect_band(model: OLSModel, df: DataFrame, x: str, n_points: int = 300, alpha: float = 0.05, max_levels: int = 50) -> DataFrame:
+    """OLS6: mean response and band along one predictor, every other one at its typical value in ``df``.
+
+    A number runs over ``n_points`` even steps of its range; a ``C()`` column
+    over its levels.  A column that the model does not read is a ``KeyError``.
+    """
+    if x not in {c for t in model.terms for c in t.source}:
+        raise KeyError(f"{x!r} is no predictor of the model")
+    spark, at = df.sparkSession, typical_values(model, df, but=[x])
+    if x in _categories(model):
+        grid = spark.createDataFrame([(v,) for v in _levels(df, x, max_levels)], T.StructType([T.StructField(x, df.schema[x].dataType)]))
+    else:
+        lo, hi = df.agg(F.min(x).cast("double"), F.max(x).cast("double")).first()
+        grid = spark.range(n_points).select((F.lit(lo) + F.col("id") * F.lit((hi - lo) / max(n_points - 1, 1))).alias(x))
+    return _band(model, grid.select(x, *[F.lit(v).alias(c) for c, v in at.items()]), x, alpha)
+
+
 def interaction_grid(model: OLSModel, df: DataFrame, x: str, by: str, n_points: int = 12,
                      levels: Sequence | None = None, probs: Sequence[float] | None = None, max_levels: int = 50) -> DataFrame:
     """OLS7: predictions over a grid of ``x`` for chosen values of ``by``.
@@ -169,16 +220,15 @@ def interaction_grid(model: OLSModel, df: DataFrame, x: str, by: str, n_points:
     The caller says which: ``levels``, or quantiles at ``probs``, or neither for
     every distinct value of a category (an error above ``max_levels``: a grid of
     a continuous column is never silently thinned out).  NULL is no level.
+    Other predictors of the model stay at their typical values in ``df``.
     """
     if levels is None and probs is not None:
         levels = sorted(set(quantiles(df, [by], list(probs))[by]) - {None})
     elif levels is None:
-        found = df.select(by).where(F.col(by).isNotNull()).distinct().limit(max_levels + 1).collect()  # bounded read
-        if len(found) > max_levels:
-            raise ValueError(f"{by!r} has more than {max_levels} values: name levels or probs")
-        levels = sorted(r[0] for r in found)
+        levels = _levels(df, by, max_levels)
     lo, hi = df.agg(F.min(x).cast("double"), F.max(x).cast("double")).first()
     step = (hi - lo) / max(n_points - 1, 1)
     kind = df.schema[by].dataType.simpleString() if probs is None else "double"
     rows = [(lo + i * step, v) for v in levels for i in range(n_points)]
-    return model.predict(df.sparkSession.createDataFrame(rows, f"`{x}` double, `{by}` {kind}"), keep=[by, x])
+    grid = df.sparkSession.createDataFrame(rows, f"`{x}` double, `{by}` {kind}")
+    return model.predict(grid.select("*", *[F.lit(v).alias(c) for c, v in typical_values(model, df, but=[x, by]).items()]), keep=[by, x])

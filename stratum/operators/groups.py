@@ -90,6 +90,22 @@ class GroupPCAModel:
                     rows.append((g.name, f"PC{j + 1}", c, float(m.components[i, j])))
         return small_frame(spark, rows, "group string, PC string, feature string, loading double")
 
+    def summary_table(self, spark) -> DataFrame:
+        """GRP2: a row a group and a last one named ``all``: features, axes kept, compression, share of variance kept and on the first axis.
+
+        Compression is features over kept axes; the shares of ``all`` are means
+        over the groups.  A group without variance has share 0.
+        """
+        rows = []
+        for g in self.groups:
+            v = self.models[g.name].variances
+            total = self.models[g.name].total_variance
+            kept, first = (float(np.sum(v[:self.n_keep[g.name]]) / total), float(v[0] / total)) if total > 0 else (0.0, 0.0)
+            rows.append((g.name, len(g.features), self.n_keep[g.name], len(g.features) / self.n_keep[g.name], kept, first))
+        before, after = sum(r[1] for r in rows), sum(r[2] for r in rows)
+        rows.append(("all", before, after, before / after, *[float(np.mean([r[i] for r in rows])) for i in (4, 5)]))
+        return small_frame(spark, rows, "group string, n_features int, n_axes int, compression double, explained double, first_axis double")
+
     def summary(self) -> dict[str, float]:
         """GRP2: counts before/after, compression ratio, mean explained variance."""
         before = sum(len(g.features) for g in self.groups)

@@ -7,6 +7,7 @@ lazy DataFrame.  ``save`` writes the registry as parquet tables.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -15,12 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..frames import small_frame
-from .diagnostics import refit_without, residual_metrics
+from .diagnostics import assumption_checks, refit_without, residual_metrics
 from .evaluate import evaluate
 from .ols import OLSModel, fit_ols
 from .selection import SelectionPath, Selector
 
 
+#: columns of the assumption table
+ASSUMPTIONS = ("durbin_watson", "jarque_bera_pvalue", "normality_pvalue", "breusch_pagan_pvalue", "white_pvalue", "condition_number",
+               "max_vif", "max_leverage", "max_cooks_d")
+
+
 def _slug(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", text.lower()).strip("_")
 
@@ -34,6 +40,7 @@ class Entry:
     eval_metrics: dict[str, dict] = field(default_factory=dict)
     path: SelectionPath | None = None
     initial: Entry | None = None  # R20: the untrimmed fit of a Cook-trimmed entry
+    frame: DataFrame | None = None  # the rows of the fit, lazy
 
 
 class ModelRegistry:
@@ -51,10 +58,19 @@ class ModelRegistry:
         return name in self._entries
 
     def get(self, name: str) -> Entry:
+        if name not in self._entries:
+            raise KeyError(f"no model named {name!r}")
         return self._entries[name]
 
     def remove(self, name: str) -> None:
-        self._entries.pop(name)
+        del self._entries[self.get(name).name]
+
+    def add(self, entry: Entry, overwrite: bool = False) -> Entry:
+        """Register an entry made elsewhere; a name that is taken is an error unless ``overwrite``."""
+        if entry.name in self._entries and not overwrite:
+            raise KeyError(f"a model named {entry.name!r} is registered")
+        self._entries[entry.name] = entry
+        return entry
 
     def _auto_name(self, rhs: Sequence[str]) -> str:
         base = _slug("_".join(rhs)) or "intercept"
@@ -79,29 +95,26 @@ class ModelRegistry:
             bound = None if cooks_threshold == "4/n" else float(cooks_threshold)
             if bound is not None and bound <= 0:
                 raise ValueError("cooks_threshold must be positive")
-            initial = Entry(f"{name}_initial", list(rhs), model, {**model.metrics(), **residual_metrics(model, df)})
+            initial = Entry(f"{name}_initial", list(rhs), model, {**model.metrics(), **residual_metrics(model, df)}, frame=df)
             trimmed, kept = refit_without(model, df, bound)
             entry = Entry(name, list(rhs), trimmed, {**trimmed.metrics(), **residual_metrics(trimmed, kept)},
-                          initial=initial)
-            self._entries[initial.name] = initial
+                          initial=initial, frame=kept)
+            self.add(initial, overwrite=True)
         else:
-            entry = Entry(name, list(rhs), model, {**model.metrics(), **residual_metrics(model, df)})
-        self._entries[name] = entry
-        return entry
+            entry = Entry(name, list(rhs), model, {**model.metrics(), **residual_metrics(model, df)}, frame=df)
+        return self.add(entry, overwrite=True)
 
     # --- REG3 -------------------------------------------------------------------------------------
-    def add_from_path(self, path: SelectionPath, name: str | None = None) -> Entry:
+    def add_from_path(self, path: SelectionPath, name: str | None = None, frame: DataFrame | None = None) -> Entry:
         step = path.best
         name = name or self._auto_name([path.direction, path.criterion])
-        e = Entry(name, list(step.terms), step.model, dict(step.metrics), path=path)
-        self._entries[name] = e
-        return e
+        return self.add(Entry(name, list(step.terms), step.model, dict(step.metrics), path=path, frame=frame), overwrite=True)
 
     def fit_stepwise(self, df: DataFrame, target: str, base: Sequence[str], candidates: Sequence[str],
                      direction: str = "forward", criterion: str = "aic", threshold: float = 1.0,
                      name: str | None = None) -> Entry:
         path = Selector(df, target, base, candidates).path(direction, criterion, threshold)
-        return self.add_from_path(path, name)
+        return self.add_from_path(path, name, df)
 
     def register_best_paths(self, paths: Sequence[SelectionPath], prefix: str = "sel") -> list[Entry]:
         return [self.add_from_path(p, self._auto_name([prefix, p.direction, p.criterion])) for p in paths]
@@ -145,6 +158,25 @@ class ModelRegistry:
         return frame.orderBy(F.col(sort_by).asc_nulls_last() if ascending else F.col(sort_by).desc_nulls_last(),
                              "model")
 
+    def assumptions_table(self, spark, names: Sequence[str] | None = None, order: Sequence[str] | None = None) -> DataFrame:
+        """DIA9 for the named entries (default: all), a row a model, each on the rows of its own fit.
+
+        ``order`` are the columns that order the rows for Durbin-Watson, which is
+        NULL without them; an entry that came without rows is an error.
+        """
+        rows = []
+        for e in [self.get(n) for n in names] if names is not None else list(self):
+            if e.frame is None:
+                raise ValueError(f"the rows of {e.name!r} are not known")
+            checks = assumption_checks(e.model, e.frame, order)
+            rows.append((e.name, *[None if checks.get(c) is None or math.isnan(checks[c]) else float(checks[c]) for c in ASSUMPTIONS]))
+        return small_frame(spark, rows, "model string, " + ", ".join(f"{c} double" for c in ASSUMPTIONS))
+
+    def freeze(self, name: str, df: DataFrame, key: Sequence[str], path: str) -> DataFrame:
+        """The predictions of an entry for ``df``, written once: a later refit under the name does not change them."""
+        self.get(name).model.predict(df, keep=list(key)).write.mode("errorifexists").parquet(path)
+        return df.sparkSession.read.parquet(path)
+
     def coefficients(self, spark) -> DataFrame:
         rows = [(e.name, n, float(b)) for e in self for n, b in zip(e.model.names, e.model.coef)]
         return small_frame(spark, rows, "model string, term string, coefficient double")

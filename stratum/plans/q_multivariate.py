@@ -257,6 +257,21 @@ def grouped_pca_variance(spark, sf):
     return rounded(G.fit_grouped_pca(z, _GROUPS, threshold=0.8).variance_table(spark))
 
 
+@query("grouped_pca_summary", oracle=f"""
+WITH RECURSIVE {", ".join(axes_sql(g.name, _Z_ALL, g.features, len(g.features)) for g in _GROUPS)},
+axes AS ({" UNION ALL ".join(_variance_sql(g, 0.8) for g in _GROUPS)}),
+per AS (SELECT "group", CAST(count(*) AS INTEGER) AS n_features, CAST(count(*) FILTER (WHERE retained) AS INTEGER) AS n_axes,
+               max(cumulative_ratio) FILTER (WHERE retained) AS explained, max(explained_ratio) AS first_axis FROM axes GROUP BY "group")
+SELECT "group", n_features, n_axes, round(n_features / n_axes, 5) + 0.0 AS compression, round(explained, 5) + 0.0 AS explained, round(first_axis, 5) + 0.0 AS first_axis FROM per
+UNION ALL SELECT 'all', CAST(sum(n_features) AS INTEGER), CAST(sum(n_axes) AS INTEGER), round(sum(n_features) / sum(n_axes), 5) + 0.0,
+                 round(avg(explained), 5) + 0.0, round(avg(first_axis), 5) + 0.0 FROM per
+""")
+def grouped_pca_summary(spark, sf):
+    """GRP2: what the grouped reduction keeps, by group and over all."""
+    z, _ = S.standardize(panels.customer_year_panel(spark, sf), panels.PANEL_FEATURES)
+    return rounded(G.fit_grouped_pca(z, _GROUPS, threshold=0.8).summary_table(spark), 5)
+
+
 #: axes that reach the threshold in each group of the z-scored panel
 _KEPT = {"volume": 1, "price": 2}
 

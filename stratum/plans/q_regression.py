@@ -348,6 +348,10 @@ def assumption_table(spark, sf):
 
 _AD_A2 = "(-n - s / n)"
 _AD_A2A = f"({_AD_A2} * (1 + 0.75 / n + 2.25 / (n * n)))"
+_AD_P = (f"CASE WHEN {_AD_A2A} < 0.2 THEN 1 - exp(-13.436 + 101.14 * {_AD_A2A} - 223.73 * {_AD_A2A} * {_AD_A2A}) "
+         f"WHEN {_AD_A2A} < 0.34 THEN 1 - exp(-8.318 + 42.796 * {_AD_A2A} - 59.938 * {_AD_A2A} * {_AD_A2A}) "
+         f"WHEN {_AD_A2A} < 0.6 THEN exp(0.9177 - 4.279 * {_AD_A2A} - 1.38 * {_AD_A2A} * {_AD_A2A}) "
+         f"WHEN {_AD_A2A} <= 13 THEN exp(1.2937 - 5.709 * {_AD_A2A} + 0.0186 * {_AD_A2A} * {_AD_A2A}) ELSE 0.0 END")
 
 
 @query("anderson_darling", oracle=f"""
@@ -359,11 +363,7 @@ z AS (SELECT row_number() OVER (ORDER BY r.e) AS i, m.n,
 t AS (SELECT max(n) AS n, sum((2 * i - 1) * ln(greatest(cdf, 1e-300)) + (2 * n + 1 - 2 * i) * ln(greatest(above, 1e-300)))
              AS s FROM z)
 SELECT {_r(_AD_A2)} AS statistic,
-       {_r(f"CASE WHEN {_AD_A2A} < 0.2 THEN 1 - exp(-13.436 + 101.14 * {_AD_A2A} - 223.73 * {_AD_A2A} * {_AD_A2A}) "
-           f"WHEN {_AD_A2A} < 0.34 THEN 1 - exp(-8.318 + 42.796 * {_AD_A2A} - 59.938 * {_AD_A2A} * {_AD_A2A}) "
-           f"WHEN {_AD_A2A} < 0.6 THEN exp(0.9177 - 4.279 * {_AD_A2A} - 1.38 * {_AD_A2A} * {_AD_A2A}) "
-           f"WHEN {_AD_A2A} <= 13 THEN exp(1.2937 - 5.709 * {_AD_A2A} + 0.0186 * {_AD_A2A} * {_AD_A2A}) ELSE 0.0 END")}
-       AS p_value
+       {_r(_AD_P)} AS p_value
 FROM t
 """)
 def anderson_darling(spark, sf):
@@ -580,6 +580,42 @@ def registry_compare(spark, sf):
     return rounded(reg.compare(spark, sort_by="aic").drop("rhs"))
 
 
+def _assumptions_sql(name, x):
+    """The assumption table's row of ``Y ~ x``, whose tails and eigenvalues have closed forms."""
+    return f"""SELECT * FROM (WITH s AS (SELECT CAST(regr_count({Y}, {x}) AS DOUBLE) AS n, regr_slope({Y}, {x}) AS b1, regr_intercept({Y}, {x}) AS b0,
+                  regr_sxx({Y}, {x}) AS sxx, regr_syy({Y}, {x}) AS syy, regr_sxy({Y}, {x}) AS sxy, regr_avgx({Y}, {x}) AS mx FROM {PANEL_SQL}),
+e AS (SELECT *, (syy - sxy * sxy / sxx) / (n - 2) AS s2, sxx + n * mx * mx AS sq FROM s),
+r AS (SELECT CAST(p.{x} AS DOUBLE) AS x, CAST(p.{x} AS DOUBLE) * p.{x} AS q, p.{Y} - (b0 + b1 * p.{x}) AS e,
+             1.0 / n + (p.{x} - mx) * (p.{x} - mx) / sxx AS h, s2, c_custkey, year FROM {PANEL_SQL} p, e),
+c AS (SELECT CAST(count(*) AS DOUBLE) AS n, corr(e * e, x) AS rx, corr(e * e, q) AS rq, corr(x, q) AS xq, avg(e) AS mu, stddev_samp(e) AS sd,
+             max(h) AS max_h, max(e * e / (s2 * (1 - h)) / 2.0 * h / (1 - h)) AS max_d FROM r),
+m AS (SELECT avg(power(e - mu, 2)) AS m2, avg(power(e - mu, 3)) AS m3, avg(power(e - mu, 4)) AS m4 FROM r, c),
+d AS (SELECT e, e - lag(e) OVER (ORDER BY c_custkey, year) AS de FROM r),
+dw AS (SELECT sum(de * de) / sum(e * e) AS dw FROM d),
+z AS (SELECT row_number() OVER (ORDER BY r.e) AS i, n, 0.5 * {_erfc_sql("(-(r.e - mu) / sd / sqrt(2.0))")} AS cdf,
+             0.5 * {_erfc_sql("((r.e - mu) / sd / sqrt(2.0))")} AS above FROM r, c),
+t AS (SELECT max(n) AS n, sum((2 * i - 1) * ln(greatest(cdf, 1e-300)) + (2 * n + 1 - 2 * i) * ln(greatest(above, 1e-300))) AS s FROM z),
+ad AS (SELECT {_AD_P} AS normal FROM t),
+l AS (SELECT n + sq AS tr, sqrt((n - sq) * (n - sq) + 4 * n * mx * n * mx) AS gap FROM e)
+SELECT '{name}' AS model, {_r("dw")} AS durbin_watson, {_r("exp(-n / 12.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0))")} AS jarque_bera_pvalue,
+       {_r("normal")} AS normality_pvalue, {_r(_erfc_sql("sqrt(n * rx * rx / 2)"))} AS breusch_pagan_pvalue,
+       {_r("exp(-n * (rx * rx + rq * rq - 2 * rx * rq * xq) / (1 - xq * xq) / 2)")} AS white_pvalue,
+       round(sqrt((tr + gap) / (tr - gap)), 3) + 0.0 AS condition_number, 1.0::DOUBLE AS max_vif, {_r("max_h")} AS max_leverage, {_r("max_d")} AS max_cooks_d
+FROM c, m, dw, ad, l)"""
+
+
+@query("registry_assumptions", oracle=f"{_assumptions_sql('orders', X)} UNION ALL {_assumptions_sql('standing', 'acctbal')}")
+def registry_assumptions(spark, sf):
+    """REG1/DIA9: the assumption table of two of three registered models."""
+    p = panels.materialize(_panel(spark, sf))
+    reg = ModelRegistry()
+    reg.fit(p, Y, [X], name="orders")
+    reg.fit(p, Y, ["acctbal"], name="standing")
+    reg.fit(p, Y, CANDS, name="all")
+    found = reg.assumptions_table(spark, ["orders", "standing"], order=["c_custkey", "year"])
+    return rounded(found.withColumn("condition_number", F.round("condition_number", 3)))
+
+
 @query("cooks_trimmed_refit", oracle=f"""
 WITH {_SIMPLE},
 r AS (SELECT p.{X} AS x, p.{Y} AS y, (p.{Y} - (b0 + b1 * p.{X})) AS resid,
@@ -750,6 +786,49 @@ def confidence_band(spark, sf):
     return rounded(E.confidence_band(m, spark, X, 1.0, 10.0, {X2: mean_x2}, n_points=10))
 
 
+#: the panel's segments after the first, as the dummies of ``C(c_mktsegment)``
+_SEGMENTS = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_DUMMIES = [f"CAST(c_mktsegment = '{s}' AS INTEGER)" for s in _SEGMENTS]
+
+
+def _at_sql(values):
+    """Fit and its standard error at a row of values, in the model that ``_chain_sql`` fits to as many predictors."""
+    k = len(values)
+    d = [f"({v} - m_{i})" for i, v in enumerate(values)]
+    fit = f"{_b0(k)}" + "".join(f" + {_beta(i, k)} * {v}" for i, v in enumerate(values))
+    spread = " + ".join(f"{1 if i == j else 2} * {d[i]} * {d[j]} * (-{_cell(i, j)})" for i in range(k) for j in range(i, k))
+    return fit, f"sqrt({_cell(k, k)} / (n - {k + 1}) * (1.0 / n + {spread}))"
+
+
+_EFFECT, _EFFECT_SE = _at_sql(["g", "mean", *["0"] * len(_SEGMENTS)])
+_LEVEL, _LEVEL_SE = _at_sql(["mx", "m2", *[f"CAST(level = '{s}' AS INTEGER)" for s in _SEGMENTS]])
+_NU = f"(n - {len(_SEGMENTS) + 3})"
+
+
+@query("effect_band", oracle=f"""
+WITH {_chain_sql([X, X2, *_DUMMIES], Y)},
+gr AS (SELECT min({X}) + unnest(range(300)) * ((max({X}) - min({X})) / 299.0) AS g, avg({X2}) AS mean FROM {PANEL_SQL}),
+b AS (SELECT g, {_EFFECT} AS fit, {_EFFECT_SE} AS se, {_t975_sql(_NU)} AS q FROM fit, gr)
+SELECT round(g, 4) + 0.0 AS {X}, round(fit, 4) + 0.0 AS fit, round(fit - q * se, 4) + 0.0 AS lower, round(fit + q * se, 4) + 0.0 AS upper FROM b
+""")
+def effect_band(spark, sf):
+    """OLS6: band along one predictor, the number at its mean and the category at its first level."""
+    p = _panel(spark, sf)
+    return rounded(E.effect_band(L.fit_ols(p, Y, [X, X2, "C(c_mktsegment)"]), p, X), 4)
+
+
+@query("effect_by_level", oracle=f"""
+WITH {_chain_sql([X, X2, *_DUMMIES], Y)},
+lv AS (SELECT c_mktsegment AS level, (SELECT avg({X}) FROM {PANEL_SQL}) AS mx, (SELECT avg({X2}) FROM {PANEL_SQL}) AS m2 FROM {PANEL_SQL} GROUP BY c_mktsegment),
+b AS (SELECT level, {_LEVEL} AS fit, {_LEVEL_SE} AS se, {_t975_sql(_NU)} AS q FROM fit, lv)
+SELECT level AS c_mktsegment, round(fit, 4) + 0.0 AS fit, round(fit - q * se, 4) + 0.0 AS lower, round(fit + q * se, 4) + 0.0 AS upper FROM b
+""")
+def effect_by_level(spark, sf):
+    """OLS6: mean response and band of every level of a category, the numbers at their means."""
+    p = _panel(spark, sf)
+    return rounded(E.effect_band(L.fit_ols(p, Y, [X, X2, "C(c_mktsegment)"]), p, "c_mktsegment"), 4)
+
+
 @query("interaction_effects", oracle=f"""
 WITH {_chain_sql([X, X2, f"({X} * {X2})"], Y)},
 lv AS (SELECT DISTINCT unnest([quantile_cont({X}, 0.25), quantile_cont({X}, 0.5), quantile_cont({X}, 0.75)]) AS b FROM {PANEL_SQL}),

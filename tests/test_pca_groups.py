@@ -107,3 +107,16 @@ def test_supervised_pca(spark, group_frame):
     kept, pca, model = G.supervised_pca(df, ["feat1a", "feat1b", "feat1c", "feat2a", "feat2b"], "y", threshold=0.95)
     assert "feat1a" in kept
     assert model.metrics()["r2"] > 0.8
+
+
+def test_grouped_summary_table(spark, group_frame):
+    m = G.fit_grouped_pca(group_frame, GROUPS, threshold=0.8)
+    rows = {r["group"]: r for r in m.summary_table(spark).collect()}
+    old = m.summary()
+    assert set(rows) == {g.name for g in GROUPS} | {"all"}
+    assert (rows["all"].n_features, rows["all"].n_axes) == (old["n_features_before"], old["n_features_after"])
+    assert rows["all"].explained == pytest.approx(old["mean_explained_variance"]) and rows["all"].first_axis == pytest.approx(old["mean_pc1_ratio"])
+    for g in GROUPS:
+        x = np.array(group_frame.select(*g.features).dropna().collect(), dtype=float)
+        v = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+        assert rows[g.name].explained == pytest.approx(v[:rows[g.name].n_axes].sum() / v.sum(), rel=1e-8)

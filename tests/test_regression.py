@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, to_np
+from stratum.functions import tails
 from stratum.operators import diagnostics as D
 from stratum.operators import evaluate as E
 from stratum.operators import ols as L
 from stratum.operators import selection as S
+from stratum.operators import terms as T
 from stratum.operators.registry import ModelRegistry
 from stratum.plans import panels
 
@@ -199,3 +201,66 @@ def test_registry_paths_and_save(spark, panel):
     reg.save(spark, path)
     assert spark.read.parquet(f"{path}/coefficients").count() == sum(len(e.model.coef) for e in reg)
     assert spark.read.parquet(f"{path}/metrics").count() == len(reg)
+
+
+def test_registry_add_rules_assumptions_and_frozen_predictions(spark, panel):
+    from stratum.session import scratch_path
+
+    reg = ModelRegistry()
+    e = reg.fit(panel, Y, ["n_orders"], name="one")
+    with pytest.raises(KeyError):
+        reg.add(e)
+    assert reg.add(e, overwrite=True) is reg.get("one") and len(reg) == 1
+    for missing in (reg.get, reg.remove, lambda n: reg.assumptions_table(spark, [n])):
+        with pytest.raises(KeyError):
+            missing("none")
+    reg.fit(panel, Y, ["n_orders", "avg_value"], name="two", cooks_threshold="4/n")
+    order = ["c_custkey", "year"]
+    tab = {r.model: r for r in reg.assumptions_table(spark, ["two", "one"], order).collect()}
+    assert list(tab) == ["two", "one"]
+    for name, r in tab.items():
+        entry = reg.get(name)
+        checks = D.assumption_checks(entry.model, entry.frame, order)
+        assert r.white_pvalue == pytest.approx(checks["white_pvalue"]) and r.durbin_watson == pytest.approx(checks["durbin_watson"])
+    assert tab["two"].max_cooks_d == pytest.approx(D.influence(reg.get("two").model, reg.get("two").frame).agg({"cooks_d": "max"}).first()[0])
+    assert reg.assumptions_table(spark, ["one"]).first().durbin_watson is None
+    reg.add(type(e)("loose", ["n_orders"], e.model, {}))
+    with pytest.raises(ValueError):
+        reg.assumptions_table(spark)
+    frozen = reg.freeze("one", panel, order, scratch_path(spark, "frozen"))
+    before = sorted(map(tuple, frozen.collect()))
+    reg.fit(panel, Y, ["avg_value"], name="one", refit=True)
+    assert sorted(map(tuple, frozen.collect())) == before and len(before) == panel.count()
+
+
+def test_typical_values_and_effect_bands(spark, rng):
+    rows = [(float(x), float(z), c, w, None) for x, z, c, w in zip(rng.normal(size=90), rng.normal(size=90), "bca" * 30, ["2", "1", "1"] * 30)]
+    rows = [(x, z, c, w, n, 2 * x - z + "abc".index(c) + rng.normal()) for x, z, c, w, n in rows] + [(None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "x double, z double, c string, w string, n double, y double")
+    model = L.fit_ols(df, "y", ["x", "z", "x:z", "C(c)"])
+    seen = E.typical_values(model, df, but=["x"])
+    assert seen["c"] == "a" and seen["z"] == pytest.approx(np.mean([r[1] for r in rows[:-1]]))
+    assert E.typical_values(L.OLSModel("y", (T.Term("w", F.col("w"), ("w",)), T.Term("n", F.col("n"), ("n",))), True, None, None, 0, 0, 0, None), df) == {"w": "1", "n": None}
+    band = E.effect_band(model, df, "x", n_points=5).toPandas()
+    xs = np.array([r[0] for r in rows[:-1]])
+    design = lambda x, z, c: np.column_stack([np.ones_like(x), x, z, x * z, c == "b", c == "c"]).astype(float)
+    m = design(xs, np.array([r[1] for r in rows[:-1]]), np.array([r[2] for r in rows[:-1]]))
+    y = np.array([r[5] for r in rows[:-1]])
+    b = np.linalg.lstsq(m, y, rcond=None)[0]
+    cov = np.linalg.inv(m.T @ m) * ((y - m @ b) @ (y - m @ b)) / (len(y) - 6)
+    grid = np.linspace(xs.min(), xs.max(), 5)
+    d = design(grid, np.full(5, seen["z"]), np.full(5, "a"))
+    q = tails.t_ppf(0.975, len(y) - 6)
+    se = np.sqrt(np.einsum("ij,jk,ik->i", d, cov, d))
+    np.testing.assert_allclose(band[["x", "fit", "lower", "upper"]], np.column_stack([grid, d @ b, d @ b - q * se, d @ b + q * se]), rtol=1e-7, atol=1e-9)
+    by = E.effect_band(model, df, "c").toPandas().sort_values("c")
+    d = design(np.full(3, xs.mean()), np.full(3, seen["z"]), np.array(list("abc")))
+    assert list(by.c) == ["a", "b", "c"]
+    np.testing.assert_allclose(by.fit, d @ b, rtol=1e-7)
+    grid = E.interaction_grid(model, df, "x", "c", n_points=4).toPandas()
+    at = design(grid.x.to_numpy(), np.full(len(grid), seen["z"]), grid.c.to_numpy())
+    np.testing.assert_allclose(grid.yhat, at @ b, rtol=1e-7)
+    with pytest.raises(KeyError):
+        E.effect_band(model, df, "w")
+    with pytest.raises(ValueError):
+        E.effect_band(model, df, "c", max_levels=2)
