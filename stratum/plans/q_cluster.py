@@ -16,6 +16,7 @@ from ..operators import ols as L
 from ..operators import penalized as EN
 from ..operators import outliers as O
 from ..operators import scale as SC
+from ..operators import silhouette as SI
 from ..operators import smooth as SM
 from ..operators import spectral as SP
 from ..operators import ward as WD
@@ -84,6 +85,7 @@ def kmeans_embeddings(spark, sf):
 
 
 _Z_SQL = f"(SELECT c_custkey, year, {', '.join(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}' for c in FEATS)} FROM {PANEL_SQL})"
+_Z_BUSY = _Z_SQL.replace("SELECT c_custkey, year,", "SELECT c_custkey, year, CAST(least(n_orders, 4) AS INTEGER) AS busy,", 1)
 _START = "'0|' || st || '|' || c_custkey || '|' || year"
 
 
@@ -134,6 +136,58 @@ def silhouette_rows(spark, sf):
     return rounded(CL.silhouette_sq(emb, "embedding", "label", keep=["vec_id"]))
 
 
+def _euclidean_sql(rows, key, sample, together="true"):
+    """CTEs after ``rows(key..., label, x)``: silhouettes ``sil`` with standard errors, from the first rows of each label by md5.
+
+    ``together`` says which labels ``zh.label`` and ``zs.label`` belong to one clustering.
+    """
+    names, own = ", ".join(key), ", ".join(f"zh.{c}" for c in key)
+    return f"""zr AS MATERIALIZED ({rows}),
+zh AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '0', {names}))) AS place, CAST(count(*) OVER (PARTITION BY label) AS DOUBLE) AS n FROM zr),
+zs AS (SELECT * FROM zh WHERE place <= {sample}),
+zt AS (SELECT {own}, zh.label, zs.label AS c, zh.n AS own, max(zs.n) - CAST(zs.label = zh.label AS INTEGER) AS others, avg(list_distance(zh.x, zs.x)) AS d,
+              stddev_samp(list_distance(zh.x, zs.x)) AS sd, count(*) AS seen FROM zh JOIN zs ON {together} AND (zs.label <> zh.label OR zs.place <> zh.place)
+       GROUP BY {own}, zh.label, zs.label, zh.n),
+ze AS (SELECT *, CASE WHEN seen >= others THEN 0 ELSE sd / sqrt(seen) * sqrt(1 - seen / others) END AS err FROM zt),
+ab2 AS (SELECT {names}, label, max(own) AS own, max(d) FILTER (WHERE c = label) AS a, max(err) FILTER (WHERE c = label) AS ea,
+               min(d) FILTER (WHERE c <> label) AS b, arg_min(err, d) FILTER (WHERE c <> label) AS eb FROM ze GROUP BY {names}, label),
+sil AS (SELECT {names}, label, CASE WHEN own <= 1 THEN 0 ELSE (b - a) / greatest(a, b) END AS silhouette,
+               CASE WHEN own <= 1 THEN 0 WHEN a < b THEN sqrt(ea * ea + power(a / b * eb, 2)) / b ELSE sqrt(eb * eb + power(b / a * ea, 2)) / a END AS std_err FROM ab2)"""
+
+
+@query("silhouette_euclidean", oracle=f"""
+WITH {_euclidean_sql("SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings", ["vec_id"], SI.SAMPLE)}
+SELECT vec_id, label, {_r("silhouette")} AS silhouette, {_r("std_err")} AS std_err FROM sil
+""")
+def silhouette_euclidean(spark, sf):
+    """CLU4: silhouette of every vector with Euclidean distances, exact where a label has at most 256 rows."""
+    return rounded(SI.silhouette(table(spark, sf, "embeddings"), "embedding", "label", ["vec_id"]))
+
+
+@query("silhouette_euclidean_panel", oracle=f"""
+WITH {_euclidean_sql(f"SELECT c_custkey, year, busy AS label, [{', '.join(FEATS)}]::DOUBLE[] AS x FROM {_Z_BUSY}", ["c_custkey", "year"], 64)}
+SELECT label AS busy, count(*) AS n, {_r("avg(silhouette)")} AS silhouette, {_r("avg(std_err)")} AS std_err FROM sil GROUP BY label
+""")
+def silhouette_euclidean_panel(spark, sf):
+    """CHD9: mean silhouette of the panel's rows by number of orders, estimated, with the standard error of a row."""
+    panel = panels.materialize(panels.customer_year_panel(spark, sf)).withColumn("busy", F.least("n_orders", F.lit(4)).cast("int"))
+    z, _ = SC.standardize(panel, FEATS)
+    rows = SI.silhouette(z, FEATS, "busy", ["c_custkey", "year"], sample=64)
+    return rounded(rows.groupBy("busy").agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"), F.avg("std_err").alias("std_err")))
+
+
+@query("silhouette_euclidean_by_k", oracle=_lloyd_sql(_Z_SQL, _START, FEATS, [2, 3, 4], KM.STARTS) + f""",
+l AS (SELECT b.k, p.r, arg_min(c.j, {_SIL_D}) AS j, any_value(p.c_custkey) AS c_custkey, any_value(p.year) AS year, {", ".join(f"any_value(p.f{i}) AS f{i}" for i in range(len(FEATS)))}
+      FROM best b JOIN last c ON c.fit = b.fit, p GROUP BY b.k, p.r),
+{_euclidean_sql(f"SELECT c_custkey, year, k * 100 + j AS label, [{', '.join(f'f{i}' for i in range(len(FEATS)))}] AS x FROM l", ["c_custkey", "year"], 64, "zh.label // 100 = zs.label // 100")}
+SELECT CAST(label // 100 AS INTEGER) AS k, {_r("avg(silhouette)")} AS silhouette, {_r("avg(std_err)")} AS std_err FROM sil GROUP BY label // 100
+""")
+def silhouette_euclidean_by_k(spark, sf):
+    """CLU3: mean silhouette of the best of ten starts a k, with Euclidean distances."""
+    z, _ = SC.standardize(panels.materialize(panels.customer_year_panel(spark, sf)), FEATS)
+    return rounded(SI.by_k(z, FEATS, ["c_custkey", "year"], [2, 3, 4], sample=64))
+
+
 @query("gmm_clusters")
 def gmm_clusters(spark, sf):
     """CLU6: three Gaussian components, the likeliest of five starts."""
