@@ -47,6 +47,8 @@ from .urlrules import _reversed, host_and_path
 
 BLOCK = 512
 MIN_REVISIT = 100
+#: lanes over which the pages of one payload are dealt when they look for its first page
+LANES = 16
 LEVEL = 4
 _NO_ID = -(1 << 63) - 1
 _DATE = "1970-01-01T00:00:00Z"  # the table has no capture times
@@ -97,8 +99,10 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
                         F.sha2(body, 256).alias("digest"), F.octet_length(body).cast("long").alias("size"))
     firsts = (rows.where(F.col("size") >= MIN_REVISIT).groupBy("digest", "size").agg(F.min("id").alias("first"), F.count("*").alias("n"))
               .where("n > 1 and first is not null").select(F.col("digest").alias("f_digest"), F.col("size").alias("f_size"), "first"))
-    firsts = written(firsts, "warc-firsts")
-    found = rows.join(firsts, (F.col("digest") == F.col("f_digest")) & (F.col("size") == F.col("f_size")), "left")
+    firsts = written(firsts, "warc-firsts").withColumn("f_lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
+    lane = F.pmod(F.xxhash64("id", "url"), F.lit(LANES))  # a payload that many pages share is no single join key
+    found = rows.withColumn("lane", lane.cast("int")).join(
+        firsts, (F.col("digest") == F.col("f_digest")) & (F.col("size") == F.col("f_size")) & (F.col("lane") == F.col("f_lane")), "left")
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
     records = found.select(capture_key(F.col("url")).alias("key"), "id", "url", F.when(~revisit, F.col("body")).alias("body"),
                            "digest", "size", F.when(revisit, F.col("first")).alias("refers"))
@@ -206,7 +210,8 @@ def lookup(captures: DataFrame, root: str, key: str = "page_id", url: str = "url
     shards = sorted(((r["first_key"], r["first_id"], r["name"]) for r in table.collect()), key=lambda r: _rank(*r[:2]))  # a row a partition
     sent = spark.sparkContext.broadcast(shards)
     asked = captures.select(capture_key(F.col(url)).alias("key"), F.col(key).cast("long").alias("id")).distinct()
-    ordered = asked.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    # keys are small and records are not: a partition reads about one archive, however few bytes its keys have
+    ordered = asked.repartitionByRange(max(1, len(shards)), "key", "id").sortWithinPartitions("key", "id")
     names = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest"] + ["payload"] * payload
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()] + [pa.binary()] * payload
 

@@ -54,3 +54,23 @@ def test_records_parse_back():
     assert (r["type"], r["page"], r["payload"], r["size"], r["refers"]) == ("response", 7, body, len(body), None)
     r = V.parse(V._record(None, None, None, 55, "d", 3))
     assert (r["type"], r["page"], r["payload"], r["size"], r["refers"]) == ("revisit", None, None, 55, 3)
+
+
+def test_one_payload_of_a_third_of_all_pages(spark):
+    hot = "<p>" + "x" * 200
+    rows = [(i, f"http://h{i % 40}.org/{i}", hot if i % 3 == 0 else ("" if i % 3 == 1 else f"{i} " * 60)) for i in range(1, 6001)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r for r in V.round_trip(pages).collect()}
+    assert len(out) == 6000
+    for i, _, html in rows:
+        revisit = html == hot and i != 3
+        assert (out[i].record_type, out[i].refers_to) == (("revisit", 3) if revisit else ("response", None))
+        assert (out[i].payload_bytes, out[i].payload_digest) == (len(html), hashlib.sha256(html.encode()).hexdigest())
+
+
+def test_lookup_has_a_partition_for_every_archive(spark):
+    pages = spark.range(2000).selectExpr("id AS page_id", "concat('http://a', id % 90, '.org/', id) AS url", "repeat(concat(id, ' '), 50) AS html")
+    root = V.write(pages)
+    archives = spark.read.parquet(f"{root}/table").count()
+    found = V.lookup(pages, root)
+    assert found.rdd.getNumPartitions() == archives and found.count() == 2000
