@@ -845,7 +845,23 @@ def interaction_effects(spark, sf):
 
 
 # --- OLS9: panel regression with lagged target and entity fixed effects ------------------------------------------------
-@query("panel_fixed_effects")
+_FE = ["lag", "x", "trend"]
+_FE_COLUMNS = [*_FE, "y"]
+
+
+@query("panel_fixed_effects", oracle=f"""
+WITH lagged AS (SELECT c_custkey, {Y}::DOUBLE AS y, lag({Y}) OVER (PARTITION BY c_custkey ORDER BY year)::DOUBLE AS lag, {X}::DOUBLE AS x, (year - 1995)::DOUBLE AS trend
+                FROM {PANEL_SQL} QUALIFY lag IS NOT NULL),
+taken AS (SELECT count(DISTINCT c_custkey) AS entities FROM lagged),
+dev AS (SELECT {", ".join(f"{c} - avg({c}) OVER (PARTITION BY c_custkey) AS {c}" for c in _FE_COLUMNS)} FROM lagged),
+e0 AS (SELECT {", ".join(f"fsum({_FE_COLUMNS[i]} * {_FE_COLUMNS[j]}) AS {_cell(i, j)}" for i in range(4) for j in range(i, 4))} FROM dev),
+f1 AS ({sweep_sql("e0", 3, 0)}), f2 AS ({sweep_sql("f1", 3, 1)}), f3 AS ({sweep_sql("f2", 3, 2)}),
+nu AS (SELECT count(*) - 3 - max(entities) AS nu FROM dev, taken),
+rows AS ({" UNION ALL ".join(f"SELECT '{t}' AS term, {_beta(i, 3)} AS b, sqrt(-{_cell(i, i)} * {_cell(3, 3)} / nu) AS se, nu FROM f3, nu"
+                             for i, t in enumerate([f"{Y}_lag1", X, "trend"]))})
+SELECT term, {_r("b")} AS coef, {_r("se")} AS std_err, {_r("b / se")} AS t, {_r(_t_sf2_sql("(b / se)", "nu"))} AS p_value,
+       {_r(f"b - {_t975_sql('nu')} * se")} AS ci_low, {_r(f"b + {_t975_sql('nu')} * se")} AS ci_high FROM rows
+""")
 def panel_fixed_effects(spark, sf):
     p = _panel(spark, sf).select("c_custkey", "year", Y, X)
     lagged = lag_by_entity(p, "c_custkey", "year", Y)
