@@ -30,28 +30,44 @@ from .lloyd import as_points, nearest, vectors
 
 ENTRIES = 1024
 FAN_IN = 8
-
-
-def _costs(n: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Growth of the squares when two features become one, for all pairs."""
-    d = np.zeros((len(n), len(n)))
-    for j in range(c.shape[1]):
-        d += (c[:, j:j + 1] - c[:, j]) ** 2
-    d *= n[:, None] * n / (n[:, None] + n)
-    np.fill_diagonal(d, np.inf)
-    return d
+#: numbers that a strip of features against all others holds at once
+_STRIP = 1 << 16
+
+
+def _nearest_parts(n: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each feature the other one whose union with it makes the squares grow least (ties: the first), and the growth.
+
+    A strip of the features meets all others at a time: what a pass holds stays in the processor's cache.
+    """
+    near, cost = np.empty(len(n), dtype=np.int64), np.empty(len(n))
+    columns = np.ascontiguousarray(c.T)
+    strip = max(1, _STRIP // max(1, len(n)))
+    d, e = np.empty((strip, len(n))), np.empty((strip, len(n)))
+    for lo in range(0, len(n), strip):
+        rows = np.arange(lo, min(lo + strip, len(n)))
+        here, part = d[:len(rows)], e[:len(rows)]
+        here[:] = 0.0
+        for v in columns:
+            np.subtract(v[rows, None], v, out=part)
+            part *= part
+            here += part
+        np.multiply(n[rows, None], n, out=part)
+        part /= n[rows, None] + n
+        here *= part
+        here[rows - lo, rows] = np.inf
+        near[rows] = here.argmin(axis=1)
+        cost[rows] = here[rows - lo, near[rows]]
+    return near, cost
 
 
 def _rounds(n: np.ndarray, c: np.ndarray, target: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Rounds of merges down to ``target`` features: places of both parts among the held ones, costs, counts."""
     while len(n) > target:
-        d = _costs(n, c)
-        near = d.argmin(axis=1)
+        near, cost = _nearest_parts(n, c)
         a = np.flatnonzero((near[near] == np.arange(len(n))) & (np.arange(len(n)) < near))
-        cost = d[a, near[a]]
-        a = a[np.argsort(cost, kind="stable")][:len(n) - target]
+        a = a[np.argsort(cost[a], kind="stable")][:len(n) - target]
         b = near[a]
-        yield a, b, d[a, b], n[a] + n[b]
+        yield a, b, cost[a], n[a] + n[b]
         whole = n[a] + n[b]
         c = c.copy()
         c[a] += (c[b] - c[a]) * (n[b] / whole)[:, None]

@@ -103,3 +103,19 @@ def test_mixtures_equal_plain_em_and_likelihood_never_falls(spark, rng):
     best = MX.best_mixture(points, KM.fit_many(points, [x[[3, 400]], x[[1, 2]]]), tol=1e-4)
     assert best.path[-1] >= held[0].path[-1] - 1e-2
     assert MX.fit_mixtures(points.where("false"), starts[:1])[0].path == []
+
+
+def test_compression_holds_strips_and_no_matrix_of_all_pairs(rng):
+    import tracemalloc
+
+    n, c = rng.integers(1, 4, 1500).astype(float), np.round(rng.normal(size=(1500, 3)), 1)  # with ties
+    d = ((c[:, None] - c) ** 2).sum(axis=2) * (n[:, None] * n / (n[:, None] + n))
+    np.fill_diagonal(d, np.inf)
+    near, cost = WD._nearest_parts(n, c)
+    assert cost == pytest.approx(d.min(axis=1), abs=1e-12)
+    assert d[np.arange(1500), near] == pytest.approx(d.min(axis=1), abs=1e-12)
+    tracemalloc.start()
+    WD.compressed(n, c, np.zeros(1500), 750)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4e6  # a matrix of all pairs holds 18 MB
