@@ -31,8 +31,8 @@ from ..session import checkpointed
 TOL = 1e-10
 MAX_ROUNDS = 500
 STARTS = 10
-#: numbers that a pass over rows and centres holds at once
-_CELLS = 1 << 21
+#: rows that a pass takes at once
+_ROWS = 1 << 12
 
 
 @dataclass
@@ -67,18 +67,67 @@ def vectors(column: pa.Array) -> np.ndarray:
 
 def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of the nearest centre of each row (ties: the first) and the squared distance."""
-    best, dist = np.empty(len(x), dtype=np.int64), np.empty(len(x))
-    step = max(1, _CELLS // max(1, len(centers)))
-    for a in range(0, len(x), step):
-        part = x[a:a + step]
-        d = np.zeros((len(part), len(centers)))
-        for j in range(x.shape[1]):
-            d += (part[:, j:j + 1] - centers[:, j]) ** 2
-        best[a:a + step] = d.argmin(axis=1)
-        dist[a:a + step] = d[np.arange(len(part)), best[a:a + step]]
+    best, dist = np.zeros(len(x), dtype=np.int64), np.empty(len(x))
+    for a in range(0, len(x), _ROWS):
+        columns = np.ascontiguousarray(x[a:a + _ROWS].T)
+        own, least = best[a:a + _ROWS], dist[a:a + _ROWS]
+        least[:] = np.inf
+        d, e = np.empty(len(own)), np.empty(len(own))
+        for c, center in enumerate(centers):  # a few rows' numbers, all in the processor's cache
+            d[:] = 0.0
+            for v, at in zip(columns, center):
+                np.subtract(v, at, out=e)
+                e *= e
+                d += e
+            np.copyto(own, c, where=d < least)
+            np.minimum(least, d, out=least)
     return best, dist
 
 
+def _sums(x: np.ndarray, fits: Sequence[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each fit and centre: rows nearest to it (ties: the first), their squared distances, and their differences from it."""
+    columns, middle = np.ascontiguousarray(x.T), x.mean(axis=0)
+    parts = np.column_stack([np.ones(len(x)), np.zeros(len(x)), x - middle])  # about the middle: no digits are lost far from zero
+    d, e = np.empty((max(len(c) for c in fits), len(x))), np.empty(len(x))
+    for centers in fits:
+        for to, center in zip(d, centers):
+            to[:] = 0.0
+            for v, at in zip(columns, center):
+                np.subtract(v, at, out=e)
+                e *= e
+                to += e
+        least = np.minimum.reduce(d[:len(centers)], axis=0)
+        own = d[:len(centers)] == least
+        if np.count_nonzero(own) > len(x):
+            own &= np.cumsum(own, axis=0) == 1
+        parts[:, 1] = least
+        found = own.astype(float) @ parts
+        found[:, 2:] -= found[:, :1] * (centers - middle)
+        yield found
+
+
+def _packed(points: DataFrame, d: int) -> DataFrame:
+    """The vectors of ``points`` written as blocks of up to ``_ROWS`` rows: a round reads a few long values and no arrays row by row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = vectors(batch.column(0)) if batch.num_rows else np.zeros((0, d))
+            blocks = [np.ascontiguousarray(x[a:a + _ROWS], dtype="<f8").tobytes() for a in range(0, len(x), _ROWS)]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], names=["block"])
+
+    return checkpointed(points.select("x").mapInArrow(run, "block binary"))
+
+
+def _blocks(batch: pa.RecordBatch, d: int) -> Iterator[np.ndarray]:
+    """Rows of vectors, from packed blocks or from a list column."""
+    if pa.types.is_list(batch.column(0).type):
+        if batch.num_rows:
+            yield vectors(batch.column(0))
+        return
+    for block in batch.column(0):
+        yield np.frombuffer(block.as_buffer(), dtype="<f8").reshape(-1, d)
+
+
 def _round(points: DataFrame, fits: Sequence[np.ndarray], d: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each fit: rows, sums of differences and of squared distances by centre."""
     sent = points.sparkSession.sparkContext.broadcast(list(fits))
@@ -88,13 +137,10 @@ def _round(points: DataFrame, fits: Sequence[np.ndarray], d: int) -> list[tuple[
         centers = sent.value
         total = [np.zeros((len(c), d + 2)) for c in centers]
         for batch in batches:
-            x = vectors(batch.column(0)) if batch.num_rows else np.zeros((0, d))
-            for c, t in zip(centers, total):
-                own, dist = nearest(x, c)
-                t[:, 0] += np.bincount(own, minlength=len(c))
-                t[:, 1] += np.bincount(own, dist, minlength=len(c))
-                for j in range(d):
-                    t[:, 2 + j] += np.bincount(own, x[:, j] - c[own, j], minlength=len(c))
+            for whole in _blocks(batch, d):
+                for a in range(0, len(whole), _ROWS):
+                    for t, s in zip(total, _sums(whole[a:a + _ROWS], centers)):
+                        t += s
         flat = np.concatenate(total)
         fit = np.repeat(np.arange(len(centers)), [len(c) for c in centers])
         center = np.concatenate([np.arange(len(c)) for c in centers])
@@ -102,7 +148,7 @@ def _round(points: DataFrame, fits: Sequence[np.ndarray], d: int) -> list[tuple[
                                          names=["fit", "center", "n", "q", *columns])
 
     schema = "fit long, center long, n double, q double" + "".join(f", {c} double" for c in columns)
-    rows = (points.select("x").mapInArrow(run, schema).groupBy("fit", "center")
+    rows = (points.mapInArrow(run, schema).groupBy("fit", "center")
             .agg(*[F.sum(c).alias(c) for c in ("n", "q", *columns)]).collect())  # a row a centre
     out = [(np.zeros(len(c)), np.zeros((len(c), d)), np.zeros(len(c))) for c in fits]
     for r in rows:
@@ -118,11 +164,12 @@ def fit_many(points: DataFrame, starts: Sequence[np.ndarray], tol: float = TOL,
         return fits
     d = fits[0].centers.shape[1]
     spread = max((np.ptp(np.concatenate([f.centers for f in fits]), axis=0)).max(), 1e-300)
+    blocks = _packed(points, d)
     for _ in range(max_rounds + 1):
         moving = [f for f in fits if not f.converged]
         if not moving:
             break
-        for f, (n, s, q) in zip(moving, _round(points, [f.centers for f in moving], d)):
+        for f, (n, s, q) in zip(moving, _round(blocks, [f.centers for f in moving], d)):
             f.sizes, f.inertia = n.astype(np.int64), float(q.sum())
             shift = s / np.maximum(n, 1)[:, None]
             f.converged = bool(np.abs(shift).max() <= tol * spread) or f.rounds == max_rounds
@@ -167,7 +214,7 @@ def elbow(df: DataFrame, features: Sequence[str], key: Sequence[str], ks: Sequen
 def silhouettes(points: DataFrame, fits: Sequence[Fit]) -> list[float | None]:
     """Mean silhouette (squared distances; clusters of one row count 0) of each fit over all rows: one scan."""
     d = fits[0].centers.shape[1]
-    sums = _round(points, [f.centers for f in fits], d)
+    sums = _round(points.select("x"), [f.centers for f in fits], d)
     sent = points.sparkSession.sparkContext.broadcast([(f.centers, *s) for f, s in zip(fits, sums)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

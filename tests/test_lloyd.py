@@ -67,3 +67,25 @@ def test_empty_clusters_nulls_and_vectors(spark):
     assert KM.fit_many(points.where("false"), [np.zeros((2, 2))])[0].sizes.tolist() == [0, 0]
     with pytest.raises(ValueError):
         KM.as_points(spark.createDataFrame([([1.0],), ([1.0, 2.0],)], "v array<double>"), "v")
+
+
+def test_sums_of_a_round_hold_for_ties_and_far_from_zero():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(500, 3)), 1) + 1e6
+    fits = [np.concatenate([x[:k], x[:1]]) for k in (1, 4, 6)]  # the last centre ties with the first
+    for centers, got in zip(fits, KM._sums(x, fits)):
+        d = ((x[:, None] - centers) ** 2).sum(axis=2)
+        own = d.argmin(axis=1)
+        for i, c in enumerate(centers):
+            rows = own == i
+            want = [rows.sum(), d[rows, i].sum(), *(x[rows] - c).sum(axis=0)]
+            assert got[i] == pytest.approx(want, abs=1e-6)
+
+
+def test_rounds_read_blocks_of_rows(spark, rng):
+    x = rng.normal(size=(KM._ROWS + 100, 2))
+    points = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").coalesce(1)
+    blocks = KM._packed(points, 2)
+    assert blocks.count() <= 4
+    got = np.concatenate([np.frombuffer(r.block).reshape(-1, 2) for r in blocks.collect()])
+    assert sorted(map(tuple, got)) == sorted(map(tuple, x))
