@@ -9,15 +9,16 @@ matrix product per Arrow batch (:func:`gram.replicate_grams`).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..frames import small_frame
-from ..functions.hashrand import poisson1_from, uniform
+from ..functions.hashrand import poisson1_table, row_key, uniform
 from .gram import replicate_grams
 from .ols import Y, OLSModel, design_frame, model_from_gram
 from .profile import quantile_bin_expr, quantile_edges
@@ -87,11 +88,10 @@ def split_metrics(model_train: OLSModel, test: DataFrame) -> dict[str, float]:
             "test_r2": t["r2"], "test_rmse": t["rmse"], "test_n": float(t["n"])}
 
 
-def replicate_weights(n_boot: int, seed: int, key: Sequence[str]) -> Column:
-    """Array of Poisson(1) weights of this row in every replicate, each from one md5."""
-    reps = F.sequence(F.lit(0), F.lit(n_boot - 1))
-    us = F.transform(reps, lambda r: uniform(F.concat(F.lit(f"{seed}:"), r.cast("string")), *key))
-    return F.transform(us, poisson1_from)
+def replicate_weights(n_boot: int, seed: int, key: Sequence[str]) -> tuple[Column, Callable[[pa.Array], np.ndarray]]:
+    """A row's key as text, and what makes Poisson(1) weights of every replicate of such texts, each from one md5."""
+    seeds = [f"{seed}:{r}" for r in range(n_boot)]
+    return row_key(*key), lambda keys: poisson1_table(keys, seeds)
 
 
 def bootstrap_metrics(model: OLSModel, df: DataFrame, key: Sequence[str], n_boot: int = 200, seed: int = 0,
@@ -104,7 +104,7 @@ def bootstrap_metrics(model: OLSModel, df: DataFrame, key: Sequence[str], n_boot
     e = y - model.predict_expr()
     pred = df.filter(ok).select(*key, y.alias("_y"), e.alias("_e"), F.abs(e).alias("_a"))
     values: dict[str, list[float]] = {"rmse": [], "mae": [], "r2": []}
-    for g, _ in replicate_grams(pred, ["_y", "_e", "_a"], replicate_weights(n_boot, seed, key), n_boot):
+    for g, _ in replicate_grams(pred, ["_y", "_e", "_a"], *replicate_weights(n_boot, seed, key), n_boot):
         if not g.n:
             continue
         mse = g.cross[1, 1] / g.n + g.means[1] ** 2
@@ -124,7 +124,7 @@ def bootstrap_refit_rmse(df: DataFrame, target: str, terms: Sequence, key: Seque
     x = [f"_t{i}" for i in range(len(ts))]
     design = design_frame(df, target, ts, extra=list(key))
     out = []
-    for r, (inside, outside) in enumerate(replicate_grams(design, [*x, Y], replicate_weights(n_boot, seed, key), n_boot)):
+    for r, (inside, outside) in enumerate(replicate_grams(design, [*x, Y], *replicate_weights(n_boot, seed, key), n_boot)):
         if inside.n > len(x) + 1 and outside.n:
             coef = model_from_gram(inside, target, ts).coef
             out.append({"_rep": r, "oob_rmse": math.sqrt(fold_sse(outside, coef, x, True) / outside.n), "n_oob": outside.rows})
@@ -141,7 +141,7 @@ def calibration(pred: DataFrame, y: str, p: str, q: int = 10, n_boot: int = 100,
     binned = pred.select(*key, F.col(y).cast("double").alias("_y"), F.col(p).alias("_p"), quantile_bin_expr(p, edges).alias("bin"))
     base = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("_p").alias("mean_pred"),
                                      F.avg("_y").alias("mean_obs")).collect()  # a row a bin
-    found = replicate_grams(binned, ["_y"], replicate_weights(n_boot, seed, key), n_boot, by="bin")
+    found = replicate_grams(binned, ["_y"], *replicate_weights(n_boot, seed, key), n_boot, by="bin")
     rows = []
     for r in base:
         means = [g.means[0] for g, _ in found.get(r["bin"], []) if g.n]

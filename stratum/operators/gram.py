@@ -23,7 +23,7 @@ feature groups of a panel) from the same single pass.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -209,7 +209,7 @@ def _reduce_states(states: DataFrame, merge, group_type: T.DataType) -> DataFram
     return near.groupBy("g").applyInArrow(fold, schema)
 
 
-def _task_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool, state, merge) -> DataFrame:
+def _task_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool, state, merge, counts=None) -> DataFrame:
     """One ``(g, part, state)`` row per task and group."""
     key_type = base.schema[by].dataType if by else T.StringType()
     schema = T.StructType([T.StructField("g", key_type), T.StructField("part", T.IntegerType()),
@@ -225,8 +225,8 @@ def _task_states(base: DataFrame, cols: list[str], by: str | None, weighted: boo
             x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
             if not weighted:
                 wv = np.ones((b.num_rows, 1))
-            elif pa.types.is_list(b.column("_w").type):
-                wv = b.column("_w").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(b.num_rows, -1)
+            elif counts:
+                wv = counts(b.column("_w")).astype(float)
             else:
                 wv = b.column("_w").to_numpy(zero_copy_only=False).astype(float)[:, None]
             if by:
@@ -256,34 +256,35 @@ def _gram_states(base: DataFrame, cols: list[str], by: str | None, weighted: boo
     return out.get(None) or Gram(tuple(cols), 0.0, np.full(k, np.nan), np.full((k, k), np.nan), 0)
 
 
-def _merged_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool, state, count: int) -> dict[object, np.ndarray]:
+def _merged_states(base: DataFrame, cols: list[str], by: str | None, weighted: bool, state, count: int, counts=None) -> dict[object, np.ndarray]:
     """``count`` states of each group, one after the other in a row."""
     k = len(cols)
 
     def merge(a, b):
         return merge_states(a.reshape(count, -1), b.reshape(count, -1), k).ravel()
 
-    states = _task_states(base, cols, by, weighted, state, merge)
+    states = _task_states(base, cols, by, weighted, state, merge, counts)
     rows = _reduce_states(states, merge, states.schema["g"].dataType).collect()  # a row a group
     return {r["g"]: np.array(r["state"], float).reshape(count, -1) for r in rows}
 
 
-def replicate_grams(df: DataFrame, cols: Sequence[str], weights: Column, n: int, by: str | None = None):
+def replicate_grams(df: DataFrame, cols: Sequence[str], key: Column, counts: Callable[[pa.Array], np.ndarray], n: int, by: str | None = None):
     """Grams of ``n`` weighted replicates, and of the rows that each leaves out, from one scan.
 
-    ``weights`` is an array of ``n`` counts a row.  A batch's statistics for all
-    replicates are one product of its weight matrix with its products of
+    ``counts`` gives a batch's weights (rows x ``n``) from its ``key`` strings,
+    where the batch is: no array of weights goes with a row.  A batch's statistics
+    for all replicates are one product of its weight matrix with its products of
     columns: no row is copied per replicate.  Returns ``[(in, out), ...]``, with
     ``by`` a dict of such lists.
     """
     cols = list(cols)
-    base = complete_cases(df.select(*([by] if by else []), *[F.col(c).cast("double").alias(c) for c in cols], weights.alias("_w")), cols)
+    base = complete_cases(df.select(*([by] if by else []), *[F.col(c).cast("double").alias(c) for c in cols], key.alias("_w")), cols)
 
     def state(x, w):
         return _batch_states(x, np.concatenate([w, (w == 0).astype(float)], axis=1)).ravel()
 
     found = {g: [(_as_gram(cols, v[i]), _as_gram(cols, v[n + i])) for i in range(n)]
-             for g, v in _merged_states(base, cols, by, True, state, 2 * n).items()}
+             for g, v in _merged_states(base, cols, by, True, state, 2 * n, counts).items()}
     return found if by else found.get(None, [])
 
 

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,13 @@ def test_a_set_checkpoint_folder_is_kept(spark):
     before = spark.sparkContext.getCheckpointDir()
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() == before
+
+
+def test_poisson_table_equals_the_column(spark):
+    keys = ["", "1|1995", "12345678|1998", "å€|7", "x" * 50, "y" * 51, "z" * 300, None, *[f"{i}|{i % 7}" for i in range(200)]]
+    seeds = [f"3:{r}" for r in (0, 7, 10, 99, 100, 199)]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
+    want = rows.select("i", *[H.poisson1(s, F.col("k")).alias(f"s{j}") for j, s in enumerate(seeds)]).collect()
+    got = H.poisson1_table(pa.array(keys), seeds)
+    assert got.tolist() == [list(r[1:]) for r in sorted(want)]
+    assert H.poisson1_table(pa.array([], pa.string()), seeds).shape == (0, 6)
