@@ -25,7 +25,6 @@ A fit costs some ``log n`` blocks; the memory of a unit is five blocks of rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +37,20 @@ from .rank import global_index
 _X, _Y = 12, 11  #: powers of x, and of x times y
 #: most blocks while rows are few, and bounds of a block's rows
 BLOCKS, LEAST, MOST = 2048, 1024, 65536
+#: fits that a pass takes at once
+_ROWS = 1 << 12
 
 
 def _shifted(moments: np.ndarray, by: np.ndarray) -> np.ndarray:
     """Moments about ``centre - by`` from moments about the centre, row by row."""
-    powers = np.ones((len(by), moments.shape[1]))
-    for j in range(1, moments.shape[1]):
-        powers[:, j] = powers[:, j - 1] * by
-    out = np.zeros_like(moments)
-    for q in range(moments.shape[1]):
-        for j in range(q + 1):
-            out[:, q] += comb(q, j) * powers[:, q - j] * moments[:, j]
-    return out
+    return _shift(moments.T.copy(), by).T
+
+
+def _shift(moments: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """:func:`_shifted` in place for moments a line: Pascal's triangle, a line of it a step."""
+    for j in range(1, len(moments)):
+        moments[j:] += moments[j - 1:-1] * by
+    return moments
 
 
 @dataclass
@@ -59,6 +60,11 @@ class _Level:
     c: np.ndarray
     m: np.ndarray
     n: np.ndarray
+    #: whether a block has more than its centre
+    spread: bool = True
+
+    def __post_init__(self) -> None:
+        self.mt, self.nt = np.ascontiguousarray(self.m.T), np.ascontiguousarray(self.n.T)
 
     def paired(self) -> _Level:
         """The level above: neighbours two by two (a last single one stays)."""
@@ -82,18 +88,32 @@ def _tree(leaves: _Level) -> list[_Level]:
 def _rows_as_blocks(x: np.ndarray, y: np.ndarray) -> _Level:
     m, n = np.zeros((len(x), _X)), np.zeros((len(x), _Y))
     m[:, 0], n[:, 0] = 1.0, y
-    return _Level(np.asarray(x, dtype=float), m, n)
+    return _Level(np.asarray(x, dtype=float), m, n, False)
+
+
+def _powers(v: np.ndarray, n: int) -> np.ndarray:
+    """``v`` to the power of 0 to ``n - 1``, a power a line."""
+    out = np.empty((n, len(v)))
+    out[0], out[1:] = 1.0, v
+    return np.multiply.accumulate(out, axis=0, out=out)
 
 
 def _add(sums: np.ndarray, level: _Level, block: np.ndarray, row: np.ndarray, x0: np.ndarray, h: np.ndarray, side: int) -> None:
     """Add a block's weighted sums of 1, d, d^2, y, d y (d in units of h) to each row's."""
-    inverse = 1.0 / h[row]
-    scale = inverse[:, None] ** np.arange(_X)
-    by = (level.c[block] - x0[row]) * inverse
-    m = _shifted(level.m[block] * scale, by)
-    n = _shifted(level.n[block] * scale[:, :_Y], by)
-    for k, (d, p) in enumerate(((m, 0), (m, 1), (m, 2), (n, 0), (n, 1))):
-        sums[row, k] += d[:, p] - side * 3 * d[:, p + 3] + 3 * d[:, p + 6] - side * d[:, p + 9]  # a row occurs once
+    for lo in range(0, len(row), _ROWS):
+        b, r = block[lo:lo + _ROWS], row[lo:lo + _ROWS]
+        inverse = 1.0 / h[r]
+        by = (level.c[b] - x0[r]) * inverse
+        if level.spread:
+            unit = _powers(inverse, _X)
+            m = _shift(level.mt.take(b, axis=1) * unit, by)
+            n = _shift(level.nt.take(b, axis=1) * unit[:_Y], by)
+        else:
+            m = _powers(by, _X)
+            n = m[:_Y] * level.nt[0].take(b)
+            m *= level.mt[0].take(b)
+        for k, (d, p) in enumerate(((m, 0), (m, 1), (m, 2), (n, 0), (n, 1))):
+            sums[r, k] += d[p] - side * 3 * d[p + 3] + 3 * d[p + 6] - side * d[p + 9]  # a row occurs once
 
 
 def _add_range(sums: np.ndarray, tree: list[_Level], lo: np.ndarray, hi: np.ndarray, x0: np.ndarray, h: np.ndarray, side: int) -> None:

@@ -61,3 +61,17 @@ def test_nulls_and_few_rows(spark):
     assert [tuple(r) for r in LW.lowess(spark.createDataFrame([(1.0, 4.0), (None, 1.0)], schema), "a", "b").collect()] == [(1.0, 4.0, 4.0)]
     two = LW.lowess(spark.createDataFrame([(1.0, 4.0), (2.0, 6.0)], schema), "a", "b").collect()
     assert sorted(tuple(r) for r in two) == [(1.0, 4.0, 4.0), (2.0, 6.0, 6.0)]
+
+
+def test_a_fit_adds_blocks_in_few_passes():
+    rng = np.random.default_rng(9)
+    x, y = rng.normal(size=64), rng.normal(size=64)
+    top = LW._tree(LW._rows_as_blocks(np.sort(x), y))[-1]
+    x0, h = np.array([1.5, -2.0, 3.0]), np.array([6.0, 7.0, 8.0])
+    sums = np.zeros((3, 5))
+    LW._add(sums, top, np.zeros(3, dtype=int), np.arange(3), x0, h, 1)
+    e = (np.sort(x) - x0[:, None]) / h[:, None]
+    w = (1 - e**3) ** 3
+    want = np.stack([w.sum(1), (w * e).sum(1), (w * e * e).sum(1), (w * y).sum(1), (w * e * y).sum(1)], axis=1)
+    assert sums == pytest.approx(want, rel=1e-10)
+    assert LW._powers(h, 4).tolist() == [[1.0] * 3, h.tolist(), (h * h).tolist(), (h * h * h).tolist()]
