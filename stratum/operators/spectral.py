@@ -1,13 +1,13 @@
 """Spectral clusters of all rows on a nearest-neighbour graph (CLU7).
 
-Neighbours.  Rows are dealt to cells of several random trees, whose splits come
-from a bounded sample (64 rows a cell); cells that come out large are split
-again by a hash.  In its task a cell is cut on by medians along random
-directions down to ``LEAF`` rows, which are compared in full.  Rounds of
-neighbours of neighbours follow: the ``k`` nearest found so far of a row and the
-``k`` nearest of those that found it meet each other in one list, and a pair
-counts if it is nearer than what one of them has.  Every list is bounded, and
-every round is a keyed join.  Nothing depends on the number of partitions.
+Neighbours.  Rows are dealt to the cells of a balanced tree, whose splits come
+from a bounded sample (64 rows a cell); cells that come out large are dealt out
+further by a hash.  A row's ``k`` nearest in its own cell bound the distance of
+its true neighbours; the cells whose box is nearer than that, and no others, are
+searched for it too.  So the neighbours are exact, though few pairs are compared:
+in its task a cell is halved on down to ``LEAF`` rows, which are compared in full
+unless their box is too far.  Rows that have ``k`` equal ones go nowhere else.
+Nothing depends on the number of partitions.
 
 Embedding.  ``W`` joins each row to its neighbours (1 if both found each other,
 else 1/2).  The top eigenvectors of ``(I + D^-1/2 W D^-1/2) / 2`` come from
@@ -21,7 +21,8 @@ once, so that few rounds are left.  The rows of the embedding, scaled by
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,61 +35,194 @@ from . import ward as WD
 from .rank import global_index
 
 NEIGHBORS = 10
-TREES = 6
-ROUNDS = 2
 CELL = 8192
 MOST_CELLS = 1 << 14
-LEAF = 256
+LEAF = 128
 SAMPLE = 64
 EXTRA = 4
 TOL = 1e-6
 MAX_ROUNDS = 200
 
 
-def _cells_of(x: np.ndarray, tree: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Leaf of each row: node ``i`` splits along a direction at a threshold into ``2 i + 1`` and ``2 i + 2``."""
-    directions, at = tree
-    node = np.zeros(len(x), dtype=np.int64)
-    while len(at) and (node < len(at)).any():
-        inner = np.flatnonzero(node < len(at))
-        here = node[inner]
-        node[inner] = 2 * here + 1 + ((x[inner] * directions[here]).sum(axis=1) > at[here])
-    return node
-
-
-def _tree(sample: np.ndarray, levels: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    directions = rng.normal(size=((1 << levels) - 1, sample.shape[1]))
-    at = np.zeros(len(directions))
-    node = np.zeros(len(sample), dtype=np.int64)
-    for level in range(levels):
-        for i in range((1 << level) - 1, (1 << level + 1) - 1):
-            rows = np.flatnonzero(node == i)
-            along = sample[rows] @ directions[i]
-            at[i] = np.median(along) if len(rows) else 0.0
-            node[rows] = 2 * i + 1 + (along > at[i])
-    return directions, at
-
-
-def _in_cell(ids: np.ndarray, x: np.ndarray, k: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` nearest rows of each within its leaf of a cell."""
-    rng = np.random.default_rng(seed)
-    todo, src, dst, d2 = [np.argsort(ids)], [], [], []
+@dataclass
+class _Cells:
+    """A balanced tree of halvings along axes; node ``i`` has ``2 i + 1`` (up to ``at``) and ``2 i + 2``, its box is ``lo`` to ``hi``."""
+
+    axis: np.ndarray
+    at: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    #: by cell, into how many parts a hash of the row deals its rows
+    parts: np.ndarray
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(x), dtype=np.int64)
+        for _ in range(len(self.at).bit_length()):
+            node = 2 * node + 1 + (x[np.arange(len(x)), self.axis[node]] > self.at[node])
+        return node - len(self.at)
+
+    def part_of(self, ids: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(33)) % self.parts[cell].astype(np.uint64)).astype(np.int64)
+
+    def within(self, x: np.ndarray, r2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows with each part of each cell whose box is nearer than the root of ``r2``."""
+        row, node = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
+        for _ in range(len(self.at).bit_length()):
+            row, node = np.concatenate([row, row]), np.concatenate([2 * node + 1, 2 * node + 2])
+            near = _box_d2(x[row], self.lo[node], self.hi[node]) < r2[row]
+            row, node = row[near], node[near]
+        cell = node - len(self.at)
+        times = self.parts[cell]
+        first = np.repeat(np.cumsum(times) - times, times)
+        return np.repeat(row, times), np.repeat(cell, times), np.arange(int(times.sum())) - first
+
+
+def _box_d2(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Squared distances from rows to boxes, summed as those of rows are: never above that of a row in the box."""
+    out = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        out += np.maximum(np.maximum(lo[..., j] - x[:, j], x[:, j] - hi[..., j]), 0.0) ** 2
+    return out
+
+
+def _halving(x: np.ndarray) -> tuple[int, float, float]:
+    """Axis and value that part rows (up to the value, above it), and the share of the smaller side: the widest axis that leaves 3 of 10 on it, or the best."""
+    best = 0, 0.0, -1.0
+    for j in np.argsort(-x.std(axis=0), kind="stable").tolist():
+        v = np.sort(x[:, j])
+        middle = v[(len(v) - 1) // 2]
+        below = int(np.searchsorted(v, middle, "left"))  # equal values stay together: part before or after those in the middle
+        for at in (middle, v[below - 1]) if below else (middle,):
+            left = int(np.searchsorted(v, at, "right"))
+            share = min(left, len(v) - left) / len(v)
+            if share > best[2]:
+                best = j, float(at), share
+        if best[2] >= 0.3:
+            break
+    return best
+
+
+def _cells(points: DataFrame, n: int, d: int, seed: int) -> _Cells:
+    """Cells of about ``CELL`` rows, from 64 sampled rows a cell at most."""
+    levels = max(0, int(np.ceil(np.log2(min(MOST_CELLS, max(1, n // CELL))))))
+    sample = points.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SAMPLE << levels).toArrow()
+    x = KM.vectors(sample["x"].combine_chunks())
+    inner = (1 << levels) - 1
+    axis, at = np.zeros(inner, dtype=np.int64), np.zeros(inner)
+    lo, hi = np.full((2 * inner + 1, d), -np.inf), np.full((2 * inner + 1, d), np.inf)
+    held = {0: np.arange(len(x))}
+    for i in range(inner):
+        rows = held.pop(i)
+        if len(rows):
+            axis[i], at[i], _ = _halving(x[rows])
+        right = x[rows, axis[i]] > at[i]
+        held[2 * i + 1], held[2 * i + 2] = rows[~right], rows[right]
+        lo[2 * i + 1:2 * i + 3], hi[2 * i + 1:2 * i + 3] = lo[i], hi[i]
+        hi[2 * i + 1, axis[i]] = lo[2 * i + 2, axis[i]] = at[i]
+    cells = _Cells(axis, at, lo, hi, np.ones(inner + 1, dtype=np.int64))
+    if levels:
+        most = 4 * max(CELL, n // MOST_CELLS)
+        for r in _dealt(points, cells, d).groupBy("cell").count().collect():  # a row a cell
+            cells.parts[r["cell"]] = -(-r["count"] // most)
+    else:
+        cells.parts[0] = -(-n // (4 * CELL))
+    return cells
+
+
+def _dealt(points: DataFrame, cells: _Cells, d: int) -> DataFrame:
+    sent = points.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = KM.vectors(batch.column(1)) if batch.num_rows else np.zeros((0, d))
+            cell = sent.value.of(x)
+            part = sent.value.part_of(batch.column(0).to_numpy(), cell)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(part)], names=["id", "x", "cell", "part"])
+
+    return points.select("id", "x").mapInArrow(run, "id long, x array<double>, cell long, part long")
+
+
+def _d2(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    d = np.zeros((len(x), len(y)))
+    for j in range(x.shape[1]):
+        d += (x[:, j:j + 1] - y[:, j]) ** 2
+    return d
+
+
+_Found = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _by_leaves(q: np.ndarray, qx: np.ndarray, r2: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> _Found:
+    """For each query its ``k`` nearest of the rows (itself excepted) that are nearer than the root of ``r2``: place of the query, row, distance.
+
+    The rows are halved down to ``LEAF``; the nearest leaf bounds the distance, and others are compared if their box is nearer than that.
+    """
+    todo, leaves = [np.argsort(ids)], []
     while todo:
         rows = todo.pop()
         if len(rows) > LEAF:
-            along = x[rows] @ rng.normal(size=x.shape[1])
-            order = np.argsort(along, kind="stable")  # equal rows split too
-            todo += [rows[order[:len(rows) // 2]], rows[order[len(rows) // 2:]]]
-            continue
-        d = np.zeros((len(rows), len(rows)))
-        for j in range(x.shape[1]):
-            d += (x[rows, j:j + 1] - x[rows, j]) ** 2
-        np.fill_diagonal(d, np.inf)
-        near = np.argsort(d, axis=1, kind="stable")[:, :min(k, len(rows) - 1)]
-        src.append(np.repeat(ids[rows], near.shape[1]))
-        dst.append(ids[rows][near].ravel())
-        d2.append(np.take_along_axis(d, near, axis=1).ravel())
-    return tuple(np.concatenate(v) if v else np.zeros(0) for v in (src, dst, d2))
+            axis, at, share = _halving(x[rows])
+            right = x[rows, axis] > at if share > 0 else np.arange(len(rows)) >= len(rows) // 2  # equal rows split too
+            todo += [rows[~right], rows[right]]
+        elif len(rows):
+            leaves.append(rows)
+    boxes = [(x[rows].min(axis=0), x[rows].max(axis=0)) for rows in leaves]
+    home, least = np.zeros(len(q), dtype=np.int64), np.full(len(q), np.inf)
+    for i, box in enumerate(boxes):
+        d = _box_d2(qx, *box)
+        nearer = d < least
+        home[nearer], least[nearer] = i, d[nearer]
+    bound = r2.copy()
+    out: list[_Found] = []
+
+    def compare(here: np.ndarray, rows: np.ndarray, first: bool) -> None:
+        for lo in range(0, len(here), LEAF * 4):
+            some = here[lo:lo + LEAF * 4]
+            d = _d2(qx[some], x[rows])
+            d[q[some, None] == ids[rows]] = np.inf
+            if first and len(rows) > k:
+                at = np.argsort(d, axis=1, kind="stable")[:, :k]
+                near = np.take_along_axis(d, at, axis=1)
+                ok = near < bound[some, None]
+                out.append((np.repeat(some, ok.sum(axis=1)), ids[rows][at[ok]], near[ok]))
+                bound[some] = np.minimum(bound[some], near[:, -1])
+            else:
+                a, b = np.nonzero(d < bound[some, None])
+                out.append((some[a], ids[rows][b], d[a, b]))
+
+    for i, rows in enumerate(leaves):
+        compare(np.flatnonzero(home == i), rows, True)
+    for i, (rows, box) in enumerate(zip(leaves, boxes)):
+        compare(np.flatnonzero((home != i) & (_box_d2(qx, *box) < bound)), rows, False)
+    return _first(out, k)
+
+
+def _by_all(q: np.ndarray, qx: np.ndarray, r2: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, block: int) -> _Found:
+    """As :func:`_by_leaves`, by comparing every query with every row."""
+    out: list[_Found] = []
+    for lo in range(0, len(q), 512):
+        some = np.arange(lo, min(lo + 512, len(q)))
+        for at in range(0, len(x), block):
+            d = _d2(qx[some], x[at:at + block])
+            d[q[some, None] == ids[at:at + block]] = np.inf
+            near = np.argpartition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k]
+            value = np.take_along_axis(d, near, axis=1)
+            ok = value < r2[some, None]
+            out.append((np.repeat(some, ok.sum(axis=1)), ids[at + near[ok]], value[ok]))
+    return _first(out, k)
+
+
+def _first(found: list[_Found], k: int) -> _Found:
+    """The ``k`` nearest of each query, in order of query, distance and row."""
+    if not found:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    q, to, d2 = (np.concatenate(v) for v in zip(*found))
+    order = np.lexsort((to, d2, q))
+    q, to, d2 = q[order], to[order], d2[order]
+    start = np.flatnonzero(np.diff(q, prepend=-1))
+    place = np.arange(len(q)) - np.repeat(start, np.diff(start, append=len(q)))
+    return q[place < k], to[place < k], d2[place < k]
 
 
 def _nearest(edges: DataFrame, k: int, by: str = "src", other: str = "dst") -> DataFrame:
@@ -99,106 +233,62 @@ def _nearest(edges: DataFrame, k: int, by: str = "src", other: str = "dst") -> D
 _EDGE = "src long, dst long, d2 double"
 
 
-def _from_trees(points: DataFrame, n: int, d: int, k: int, trees: int, seed: int) -> DataFrame:
-    cells = min(MOST_CELLS, max(1, n // CELL))
-    levels = max(0, int(np.ceil(np.log2(cells))))
-    sample = points.orderBy(F.xxhash64("id"), "id").limit(SAMPLE << levels).toArrow()  # at most 64 rows a cell
-    x = KM.vectors(sample["x"].combine_chunks()) if sample.num_rows else np.zeros((0, d))
-    rng = np.random.default_rng(seed)
-    sent = points.sparkSession.sparkContext.broadcast([_tree(x, levels, rng) for _ in range(trees)])
+def _search(points: DataFrame, asked: DataFrame, k: int, seed: int, near: Callable[..., _Found]) -> DataFrame:
+    """``(src, dst, d2)``: the ``k`` nearest of ``points`` for each row of ``asked`` (id, x), exactly.
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = KM.vectors(batch.column(1)) if batch.num_rows else np.zeros((0, d))
-            for t, tree in enumerate(sent.value):
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(rows), t)), pa.array(_cells_of(rows, tree))],
-                                                 names=["id", "x", "tree", "cell"])
-
-    dealt = points.mapInArrow(deal, "id long, x array<double>, tree long, cell long")
-    most = 4 * max(CELL, n // MOST_CELLS)
-    large = dealt.groupBy(F.col("tree").alias("l_tree"), F.col("cell").alias("l_cell")).agg(F.ceil(F.count("*") / most).alias("parts"))
-    dealt = dealt.join(large, (F.col("tree") == F.col("l_tree")) & (F.col("cell") == F.col("l_cell"))).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
-
-    def compare(rows: pa.Table) -> pa.Table:
-        ids = rows["id"].to_numpy()
-        t, c = rows["tree"][0].as_py(), rows["cell"][0].as_py()
-        return pa.table(dict(zip(("src", "dst", "d2"), _in_cell(ids, KM.vectors(rows["x"].combine_chunks()), k, seed + 1000003 * t + c))))
-
-    return _nearest(dealt.groupBy("tree", "cell", "part").applyInArrow(compare, _EDGE).distinct(), k)
-
-
-def _met(points: DataFrame, edges: DataFrame, k: int, d: int) -> DataFrame:
-    """Pairs nearer than the farthest that one of them holds, among rows that share a neighbour."""
-    worst = edges.groupBy(F.col("src").alias("w_id")).agg(F.max("d2").alias("worst"), F.count("*").alias("held"))
-    known = points.join(worst, F.col("id") == F.col("w_id"), "left").select(
-        F.col("id").alias("member"), "x", F.when(F.col("held") >= k, F.col("worst")).otherwise(F.lit(float("inf"))).alias("worst"))
-    back = _nearest(edges, k, by="dst", other="src").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    lists = edges.select("src", "dst").unionAll(back).unionAll(points.select(F.col("id").alias("src"), F.col("id").alias("dst"))).distinct()
-    full = lists.join(known, F.col("dst") == F.col("member")).groupBy("src").agg(F.collect_list(F.struct("member", "worst", "x")).alias("l"))  # 2 k + 1 at most
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = batch.column(0).value_lengths().to_numpy()
-            flat = batch.column(0).flatten()
-            member, worst = flat.field("member").to_numpy(), flat.field("worst").to_numpy()
-            x = KM.vectors(flat.field("x")) if len(flat) else np.zeros((0, d))
-            first = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
-            out = [np.zeros((0,), dtype=np.int64)], [np.zeros((0,), dtype=np.int64)], [np.zeros(0)]
-            for m in np.unique(size).tolist():  # lists of one length at once
-                rows = first[size == m][:, None] + np.arange(m)
-                a, b = np.triu_indices(m, 1)
-                p, q = rows[:, a].ravel(), rows[:, b].ravel()
-                d2 = ((x[p] - x[q]) ** 2).sum(axis=1)
-                for s, t in ((p, q), (q, p)):
-                    ok = d2 < worst[s]
-                    out[0].append(member[s[ok]])
-                    out[1].append(member[t[ok]])
-                    out[2].append(d2[ok])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out], names=["src", "dst", "d2"])
-
-    return full.select("l").mapInArrow(run, _EDGE)
-
-
-def neighbors(points: DataFrame, k: int = NEIGHBORS, trees: int = TREES, rounds: int = ROUNDS, seed: int = 0) -> DataFrame:
-    """``(src, dst, d2)``: the ``k`` nearest found rows of every row of ``points`` (id, x)."""
+    A query meets the rows of its own cell first.  The distance it then has tells
+    which other cells may hold a nearer row: it meets the rows of these too.
+    """
     first = points.first()
     if first is None:
         return points.sparkSession.createDataFrame([], _EDGE)
     n, d = points.count(), len(first["x"])
-    edges = checkpointed(_from_trees(points, n, d, k, trees, seed))
-    for _ in range(rounds):
-        edges = checkpointed(_nearest(edges.unionAll(_met(points, edges, k, d)).distinct(), k))
-    return edges
+    cells = _cells(points, n, d, seed)
+    sent = points.sparkSession.sparkContext.broadcast(cells)
+    # few bytes, but much work: their partitions must not be put together
+    spread = lambda df: df.repartition(max(1, min(len(cells.at) + 1, most)), "cell", "part")
+    most = 4 * int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = spread(_dealt(points, cells, d))
+    own = spread(_dealt(asked, cells, d).withColumn("r2", F.lit(float("inf"))))
+
+    def met(queries: pa.Table, rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, _Found]:
+        q, r2 = queries["id"].to_numpy(), queries["r2"].to_numpy()
+        qx = KM.vectors(queries["x"].combine_chunks()) if len(q) else np.zeros((0, d))
+        x = KM.vectors(rows["x"].combine_chunks()) if rows.num_rows else np.zeros((0, d))
+        return q, qx, r2, near(q, qx, r2, rows["id"].to_numpy(), x, k) if len(q) and len(x) else _first([], k)
+
+    def edges(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        q, _, _, (at, to, d2) = met(queries, rows)
+        return pa.table({"src": q[at], "dst": to.astype(np.int64), "d2": d2})
+
+    def visits(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        q, x, r2, (at, _, d2) = met(queries, rows)
+        full = np.bincount(at, minlength=len(q)) >= k
+        far = np.zeros(len(q))
+        np.maximum.at(far, at, d2)
+        r2 = np.where(full, far, r2)
+        row, cell, part = sent.value.within(x, r2)
+        if len(q):
+            other = (cell != queries["cell"][0].as_py()) | (part != queries["part"][0].as_py())
+            row, cell, part = row[other], cell[other], part[other]
+        return pa.table({"id": q[row], "x": pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * d), pa.array(x[row].ravel())), "cell": cell, "part": part, "r2": r2[row]})
+
+    pair = lambda queries: queries.groupBy("cell", "part").cogroup(held.groupBy("cell", "part"))
+    away = pair(own).applyInArrow(visits, "id long, x array<double>, cell long, part long, r2 double")
+    return _nearest(pair(own).applyInArrow(edges, _EDGE).unionAll(pair(spread(away)).applyInArrow(edges, _EDGE)), k)
+
+
+def neighbors(points: DataFrame, k: int = NEIGHBORS, seed: int = 0) -> DataFrame:
+    """``(src, dst, d2)``: the ``k`` nearest rows of every row of ``points`` (id, x)."""
+    return _search(points, points, k, seed, _by_leaves)
 
 
 def exact_neighbors(points: DataFrame, asked: DataFrame, k: int = NEIGHBORS, block: int = 4096) -> DataFrame:
-    """``(src, dst, d2)``: the ``k`` nearest rows by comparing the query rows ``asked`` (id, x), block by block, with every row."""
-    held = checkpointed(asked)
-    blocks = max(1, -(-held.count() // block))
-    out = None
-    for b in range(blocks):
-        rows = held.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).toArrow()  # about ``block`` rows
-        ids, x = rows["id"].to_numpy(), KM.vectors(rows["x"].combine_chunks()) if rows.num_rows else np.zeros((0, 1))
-        sent = points.sparkSession.sparkContext.broadcast((ids, x))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            ids, x = sent.value
-            for batch in batches:
-                to, y = batch.column(0).to_numpy(), KM.vectors(batch.column(1)) if batch.num_rows else x[:0]
-                for lo in range(0, len(x) if len(y) else 0, 512):
-                    d = np.zeros((len(x[lo:lo + 512]), len(y)))
-                    for j in range(x.shape[1]):
-                        d += (x[lo:lo + 512, j:j + 1] - y[:, j]) ** 2
-                    d[ids[lo:lo + 512, None] == to] = np.inf
-                    near = np.argpartition(d, min(k, len(y)) - 1, axis=1)[:, :k]
-                    d2 = np.take_along_axis(d, near, axis=1).ravel()
-                    ok = np.isfinite(d2)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[lo:lo + 512], near.shape[1])[ok]), pa.array(to[near].ravel()[ok]), pa.array(d2[ok])],
-                                                     names=["src", "dst", "d2"])
-
-        part = points.select("id", "x").mapInArrow(run, _EDGE)
-        out = part if out is None else out.unionAll(part)
-    return _nearest(out, k)
+    """``(src, dst, d2)``: the ``k`` nearest rows by comparing the query rows ``asked`` (id, x) with every row of the cells that may hold one, block by block.
+
+    Its cells are others than those of :func:`neighbors`, and nothing in a cell is left out.
+    """
+    return _search(points, asked, k, 1, lambda *args: _by_all(*args, block))
 
 
 def recall(points: DataFrame, edges: DataFrame, asked: DataFrame, k: int = NEIGHBORS) -> float:

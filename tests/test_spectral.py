@@ -64,3 +64,19 @@ def test_two_rings_are_split(spark, rng):
     assert len(own) == 800
     assert max(np.mean(own == truth), np.mean(own != truth)) == 1.0
     assert SP.spectral(df.where("false"), ["a", "b"], 2, keep=["key"]).count() == 0
+
+
+def test_neighbours_and_ground_truth_equal_brute_force(spark, rng, monkeypatch):
+    monkeypatch.setattr(SP, "CELL", 100)
+    x = np.concatenate([rng.normal(size=(700, 3)), np.zeros((500, 3)), rng.normal(size=(10, 3)) * 50])
+    x[:, 0] = np.round(x[:, 0])
+    points = frame(spark, x)
+    d = ((x[:, None] - x) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    want = np.sort(d, axis=1)[:, :10]
+    for edges, ids in ((SP.neighbors(points), range(len(x))), (SP.exact_neighbors(points, asked(points), block=70), range(0, len(x), 20))):
+        rows = edges.toPandas().sort_values(["src", "d2"])
+        assert rows["src"].tolist() == np.repeat(ids, 10).tolist()
+        assert rows["d2"].to_numpy().reshape(-1, 10) == pytest.approx(want[list(ids)], abs=1e-12)
+        assert d[rows["src"], rows["dst"]] == pytest.approx(rows["d2"].to_numpy(), abs=1e-12)
+        assert not rows.duplicated(["src", "dst"]).any()
