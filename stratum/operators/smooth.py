@@ -1,4 +1,4 @@
-"""Smoothing and MLlib-backed regressors (OLS10, OLS11, OLS12).
+"""Smoothing, forest and MLlib-backed regressors (OLS10, OLS11, OLS12).
 
 LOWESS is re-aimed for scale: exact local regression needs every pair of
 points.  Instead x is cut into quantile bins (AGG19); each bin contributes
@@ -54,21 +54,15 @@ def binned_lowess(df: DataFrame, x: str, y: str, frac: float = 2.0 / 3.0, bins:
 
 def random_forest(df: DataFrame, target: str, features: Sequence[str], key: Sequence[str], n_trees: int = 300,
                   test_share: float = 0.2, seed: int = 42, max_depth: int = 8):
-    """OLS10: MLlib random forest on a hash 80/20 split; returns (test metrics, importances)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
+    """OLS10: random forest on a hash 80/20 split; returns (test metrics, importances)."""
+    from .forest import fit
 
-    data = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
-        df.dropna(subset=[target, *features]))
-    u = uniform(seed, *key)
-    train, test = data.filter(u >= test_share), data.filter(u < test_share)
-    model = RandomForestRegressor(labelCol=target, featuresCol="features", numTrees=n_trees, maxDepth=max_depth,
-                                  seed=seed).fit(train)
-    pred = model.transform(test)
-    e = F.col(target) - F.col("prediction")
+    data = df.dropna(subset=[target, *features]).withColumn("_held", uniform(seed, *key) < test_share)
+    forest, pred = fit(data, target, features, key, "_held", n_trees, max_depth, seed)
+    e = F.col("y") - F.col("prediction")
     metrics = pred.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                       F.avg(F.abs(e)).alias("mae"), (F.lit(1.0) - F.avg(e * e) / F.var_pop(target)).alias("r2"))
-    imp = small_frame(df.sparkSession, [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())],
+                       F.avg(F.abs(e)).alias("mae"), (F.lit(1.0) - F.avg(e * e) / F.var_pop("y")).alias("r2"))
+    imp = small_frame(df.sparkSession, [(f, float(v)) for f, v in zip(features, forest.importances)],
                       "feature string, importance double")
     return metrics, imp
 
