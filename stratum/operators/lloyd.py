@@ -128,6 +128,18 @@ def _blocks(batch: pa.RecordBatch, d: int) -> Iterator[np.ndarray]:
         yield np.frombuffer(block.as_buffer(), dtype="<f8").reshape(-1, d)
 
 
+def _spread(blocks: DataFrame, d: int) -> float:
+    """The widest range of a feature over all rows, whatever rows the starts happen to be."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in _blocks(batch, d):
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(d)), pa.array(x.min(axis=0)), pa.array(x.max(axis=0))], names=["j", "lo", "hi"])
+
+    ranges = blocks.mapInArrow(run, "j long, lo double, hi double").groupBy("j").agg((F.max("hi") - F.min("lo")).alias("w"))
+    return ranges.agg(F.max("w")).first()[0] or 0.0
+
+
 def _round(points: DataFrame, fits: Sequence[np.ndarray], d: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each fit: rows, sums of differences and of squared distances by centre."""
     sent = points.sparkSession.sparkContext.broadcast(list(fits))
@@ -163,8 +175,8 @@ def fit_many(points: DataFrame, starts: Sequence[np.ndarray], tol: float = TOL,
     if not fits:
         return fits
     d = fits[0].centers.shape[1]
-    spread = max((np.ptp(np.concatenate([f.centers for f in fits]), axis=0)).max(), 1e-300)
     blocks = _packed(points, d)
+    least = tol * _spread(blocks, d)
     for _ in range(max_rounds + 1):
         moving = [f for f in fits if not f.converged]
         if not moving:
@@ -172,7 +184,8 @@ def fit_many(points: DataFrame, starts: Sequence[np.ndarray], tol: float = TOL,
         for f, (n, s, q) in zip(moving, _round(blocks, [f.centers for f in moving], d)):
             f.sizes, f.inertia = n.astype(np.int64), float(q.sum())
             shift = s / np.maximum(n, 1)[:, None]
-            f.converged = bool(np.abs(shift).max() <= tol * spread) or f.rounds == max_rounds
+            # a step below the last digits of the centres is none
+            f.converged = bool(np.abs(shift).max() <= max(least, 4 * np.finfo(float).eps * np.abs(f.centers).max())) or f.rounds == max_rounds
             if not f.converged:
                 f.centers, f.rounds = f.centers + shift, f.rounds + 1
     return fits

@@ -11,9 +11,10 @@ Nothing depends on the number of partitions.
 
 Embedding.  ``W`` joins each row to its neighbours (1 if both found each other,
 else 1/2).  The top eigenvectors of ``(I + D^-1/2 W D^-1/2) / 2`` come from
-subspace iteration with a few vectors more than asked for: a round is a join
-and a sum by row, then the Gram of the new vectors, whose eigenvectors give
-values and an orthonormal block.  The first block is the eigenvectors of the
+subspace iteration with a few vectors more than asked for.  The links lie packed
+by blocks of ids, and so do the vectors: a round sends a block's vectors to its
+links, in one place since the start, and sums to the blocks they lead to, then the
+Gram of the new vectors, whose eigenvectors give values and an orthonormal block.  The first block is the eigenvectors of the
 graph between the rows' clustering features, which is small enough to solve at
 once, so that few rounds are left.  The rows of the embedding, scaled by
 ``D^-1/2``, are clustered by k-means to convergence.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, drop_path, scratch_path
 from . import lloyd as KM
 from . import ward as WD
 from .rank import global_index
@@ -39,6 +40,10 @@ CELL = 8192
 MOST_CELLS = 1 << 14
 LEAF = 128
 SAMPLE = 64
+#: ids of a packed block and links of a tile at most, and blocks that smaller tables make
+BLOCK = 1 << 16
+LINKS = 1 << 21
+BLOCKS = 64
 EXTRA = 4
 TOL = 1e-6
 MAX_ROUNDS = 200
@@ -299,40 +304,243 @@ def recall(points: DataFrame, edges: DataFrame, asked: DataFrame, k: int = NEIGH
     return found / max(1, true.count())
 
 
+def both_ways(edges: DataFrame) -> DataFrame:
+    """``(src, dst, w)``: half a link each way for every edge."""
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return edges.select(F.inline(ways)).withColumn("w", F.lit(0.5))
+
+
 def graph(edges: DataFrame) -> DataFrame:
     """``(src, dst, w)`` both ways with ``w`` = 1 for rows that found each other, else 1/2."""
-    both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return both.groupBy("src", "dst").agg((F.count("*") / 2).alias("w"))
+    return both_ways(edges).groupBy("src", "dst").agg(F.sum("w").alias("w"))
+
+
+def _bytes(v: np.ndarray, kind: str) -> bytes:
+    return np.ascontiguousarray(v, dtype=kind).tobytes()
+
+
+def _of(rows: pa.Table, name: str, kind: str, i: int = 0) -> np.ndarray:
+    return np.frombuffer(rows[name][i].as_buffer(), dtype=kind)
+
+
+def _table(rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema)
+
+
+_LONG, _BIN = pa.int64(), pa.binary()
+_ROWS_OF = "block long, at binary, feature binary"
+_TILE = "block long, part long, src binary, start binary, dst binary, own binary, w binary"
+_SENT = "block long, part long, origin long, at binary, deg binary, v binary"
+_HELD = "block long, at binary, deg binary, v binary, gram binary"
+
+
+def _to_blocks(ids: np.ndarray, width: int) -> Iterator[tuple[int, slice]]:
+    """Blocks of sorted ids, and where each lies."""
+    block = ids // width
+    first = np.flatnonzero(np.diff(block, prepend=block[:1] - 1))
+    for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(ids)]):
+        yield int(block[lo]), slice(lo, hi)
+
+
+class _Packed:
+    """The graph as tiles: the links that lead to the rows of a block, ``LINKS`` of them at most unless one source has more.
+
+    Block ``b`` has the rows of ids ``b * width`` to ``(b + 1) * width - 1``.  A product with a block of vectors, packed
+    likewise, is one pass over the tiles; what shuffles is a sum for each row and each block that links to it.
+    """
+
+    def __init__(self, links: DataFrame, features: DataFrame):
+        self.spark = links.sparkSession
+        span = features.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"), F.max("feature").alias("f")).first()
+        n = span["n"]
+        self.size = 1 + (span["f"] if n else -1)
+        blocks = max(1, -(-n // max(BLOCK // 16, min(BLOCK, n // BLOCKS))))
+        self.width = width = max(1, -(-(span["hi"] - span["lo"] + 1) // blocks)) if n else 1
+        self.tasks = max(1, min(blocks, 4 * int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
+        block = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
+        parts = (links.groupBy(block("dst").alias("p_block")).count().select("p_block", F.ceil(F.col("count") / LINKS).alias("parts"))
+                 .where("parts > 1").collect())  # blocks whose rows are linked by far more rows than others'
+        self.parts = F.broadcast(self.spark.createDataFrame([tuple(r) for r in parts], "p_block long, parts long"))
+        keyed = self._parted(links.withColumn("block", block("dst"))).withColumn("part", F.pmod(F.xxhash64("src"), F.col("parts"))).select("block", "part", "src", "dst", "w")
+        tiles = self._spread(keyed).groupBy("block", "part").applyInArrow(self._tile(), _TILE)
+        self.tiles = checkpointed(self._spread(tiles))
+        self.rows = checkpointed(features.select(block("id").alias("block"), "id", "feature").groupBy("block").applyInArrow(self._packed(), _ROWS_OF))
+
+    def _parted(self, df: DataFrame) -> DataFrame:
+        return df.join(self.parts, F.col("block") == F.col("p_block"), "left").drop("p_block").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.tasks, "block", "part")
+
+    def _met(self, held: DataFrame):
+        """Every tile with the packed rows of its block; the first part's task also has the block's own rows to hand on."""
+        every = self._parted(held).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+        return self._spread(every).groupBy("block", "part").cogroup(self.tiles.groupBy("block", "part"))
+
+    def _tile(self) -> Callable[[pa.Table], pa.Table]:
+        width = self.width
+        schema = pa.schema([("block", _LONG), ("part", _LONG), *((c, _BIN) for c in ("src", "start", "dst", "own", "w"))])
+
+        def run(links: pa.Table) -> pa.Table:
+            src, dst, w = (links[c].to_numpy() for c in ("src", "dst", "w"))
+            order = np.lexsort((dst, src))
+            src, dst, w = src[order], dst[order], w[order]
+            new = np.flatnonzero((np.diff(src, prepend=src[:1] - 1) != 0) | (np.diff(dst, prepend=dst[:1] - 1) != 0))
+            src, dst, w = src[new], dst[new], np.add.reduceat(w, new)
+            start = np.flatnonzero(np.diff(src, prepend=src[:1] - 1))
+            at, own = np.unique(dst, return_inverse=True)
+            block = links["block"][0].as_py()
+            return _table([{"block": block, "part": links["part"][0].as_py(), "src": _bytes(src[start], "<i8"), "start": _bytes(start, "<i8"),
+                            "dst": _bytes(at - block * width, "<i8"), "own": _bytes(own, "<i4"), "w": _bytes(w, "<f8")}], schema)
+
+        return run
+
+    def _packed(self) -> Callable[[pa.Table], pa.Table]:
+        width = self.width
+        schema = pa.schema([("block", _LONG), ("at", _BIN), ("feature", _BIN)])
+
+        def run(rows: pa.Table) -> pa.Table:
+            ids, block = rows["id"].to_numpy(), rows["block"][0].as_py()
+            order = np.argsort(ids)
+            return _table([{"block": block, "at": _bytes(ids[order] - block * width, "<i8"), "feature": _bytes(rows["feature"].to_numpy()[order], "<i8")}], schema)
+
+        return run
+
+    def coarse(self) -> tuple[DataFrame, np.ndarray]:
+        """Every block's rows with their degree, and the links' weights summed by the features of both ends."""
+        width, size = self.width, self.size
+        message = pa.schema([("block", _LONG), ("origin", _LONG), ("at", _BIN), ("b", _BIN), ("w", _BIN)])
+        summed = pa.schema([("block", _LONG), ("at", _BIN), ("feature", _BIN), ("deg", _BIN), ("pair", _BIN), ("w", _BIN)])
+
+        def send(rows: pa.Table, tile: pa.Table) -> pa.Table:
+            out = []
+            if rows.num_rows and tile.num_rows:
+                src, start, dst, own, w = (_of(tile, c, k) for c, k in (("src", "<i8"), ("start", "<i8"), ("dst", "<i8"), ("own", "<i4"), ("w", "<f8")))
+                feature = _of(rows, "feature", "<i8")[np.searchsorted(_of(rows, "at", "<i8"), dst)][own]
+                from_ = np.repeat(np.arange(len(src)), np.diff(start, append=len(w)))
+                pair, to = np.unique(from_ * size + feature, return_inverse=True)
+                total, ids = np.bincount(to, w), src[pair // size]
+                for block, some in _to_blocks(ids, width):
+                    out.append({"block": block, "origin": rows["block"][0].as_py(), "at": _bytes(ids[some] - block * width, "<i8"), "b": _bytes(pair[some] % size, "<i4"), "w": _bytes(total[some], "<f8")})
+            return _table(out, message)
+
+        def add(rows: pa.Table, sent: pa.Table) -> pa.Table:
+            if not rows.num_rows or not sent.num_rows:  # rows without links belong to no graph
+                return summed.empty_table()
+            at, feature = _of(rows, "at", "<i8"), _of(rows, "feature", "<i8")
+            order = np.argsort(sent["origin"].to_numpy(), kind="stable").tolist()
+            to = np.searchsorted(at, np.concatenate([_of(sent, "at", "<i8", i) for i in order]))
+            w = np.concatenate([_of(sent, "w", "<f8", i) for i in order])
+            deg = np.bincount(to, w, minlength=len(at))
+            pair, place = np.unique(feature[to] * size + np.concatenate([_of(sent, "b", "<i4", i) for i in order]), return_inverse=True)
+            linked = deg > 0
+            return _table([{"block": rows["block"][0].as_py(), "at": _bytes(at[linked], "<i8"), "feature": _bytes(feature[linked], "<i8"), "deg": _bytes(deg[linked], "<f8"),
+                            "pair": _bytes(pair, "<i8"), "w": _bytes(np.bincount(place, w), "<f8")}], summed)
+
+        sent = self._met(self.rows).applyInArrow(send, "block long, origin long, at binary, b binary, w binary")
+        rows = checkpointed(self.rows.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(add, "block long, at binary, feature binary, deg binary, pair binary, w binary"))
+
+        def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    pair = _of(batch, "pair", "<i8", i)
+                    yield pa.RecordBatch.from_arrays([pa.array(pair // size), pa.array(pair % size), pa.array(_of(batch, "w", "<f8", i))], names=["a", "b", "w"])
+
+        found = rows.select("pair", "w").mapInArrow(pairs, "a long, b long, w double").groupBy("a", "b").agg(F.sum("w").alias("w")).toArrow()  # pairs of features
+        w = np.zeros((size, size))
+        w[found["a"].to_numpy(), found["b"].to_numpy()] = found["w"].to_numpy()
+        return rows.drop("pair", "w"), w
+
+    def start(self, rows: DataFrame, by_feature: np.ndarray) -> DataFrame:
+        """The block whose rows are those of ``by_feature`` times the root of the degree."""
+        sent = self.spark.sparkContext.broadcast(by_feature)
+
+        def run(rows: pa.Table) -> pa.Table:
+            deg = _of(rows, "deg", "<f8")
+            return _held(rows["block"][0].as_py(), _of(rows, "at", "<i8"), deg, sent.value[_of(rows, "feature", "<i8")] * np.sqrt(deg)[:, None])
+
+        return rows.groupBy("block").applyInArrow(run, _HELD)
+
+    def times(self, held: DataFrame, turn: np.ndarray) -> DataFrame:
+        """``(I + D^-1/2 W D^-1/2) / 2`` times the block ``held`` times ``turn``."""
+        width, k = self.width, len(turn)
+        message = pa.schema([("block", _LONG), ("part", _LONG), ("origin", _LONG), ("at", _BIN), ("deg", _BIN), ("v", _BIN)])
+
+        def send(rows: pa.Table, tile: pa.Table) -> pa.Table:
+            if not rows.num_rows:
+                return message.empty_table()
+            here, part = rows["block"][0].as_py(), rows["part"][0].as_py()
+            at, deg = _of(rows, "at", "<i8"), _of(rows, "deg", "<f8")
+            root = np.sqrt(deg)[:, None]
+            x = _of(rows, "v", "<f8").reshape(-1, k) @ turn
+            kept, out = x * root, []
+            if tile.num_rows:
+                src, start, dst, own, w = (_of(tile, c, kind) for c, kind in (("src", "<i8"), ("start", "<i8"), ("dst", "<i8"), ("own", "<i4"), ("w", "<f8")))
+                z = (x / root)[np.searchsorted(at, dst)]
+                total = np.column_stack([np.add.reduceat(w * np.ascontiguousarray(v)[own], start) for v in z.T])
+                for block, some in _to_blocks(src, width):
+                    to = src[some] - block * width
+                    if block == here and part == 0:
+                        kept[np.searchsorted(at, to)] += total[some]
+                    else:
+                        out.append({"block": block, "part": part, "origin": here, "at": _bytes(to, "<i8"), "deg": None, "v": _bytes(total[some], "<f8")})
+            if part == 0:
+                out.append({"block": here, "part": part, "origin": here, "at": _bytes(at, "<i8"), "deg": _bytes(deg, "<f8"), "v": _bytes(kept, "<f8")})
+            return _table(out, message)
+
+        def add(sent: pa.Table) -> pa.Table:
+            order = np.lexsort((sent["part"].to_numpy(), sent["origin"].to_numpy())).tolist()
+            own = next(i for i in order if sent["deg"][i].is_valid)
+            at, deg, total = _of(sent, "at", "<i8", own), _of(sent, "deg", "<f8", own), _of(sent, "v", "<f8", own).reshape(-1, k).copy()
+            for i in order:
+                if i != own:
+                    total[np.searchsorted(at, _of(sent, "at", "<i8", i))] += _of(sent, "v", "<f8", i).reshape(-1, k)
+            return _held(sent["block"][0].as_py(), at, deg, total / (2 * np.sqrt(deg)[:, None]))
+
+        return self._met(held.drop("gram")).applyInArrow(send, _SENT).groupBy("block").applyInArrow(add, _HELD)
+
+    def unpacked(self, held: DataFrame, turn: np.ndarray, names: Sequence[str]) -> DataFrame:
+        """``(id, deg, names ...)``: a row for each row of the graph, the block turned."""
+        width, k = self.width, len(turn)
+
+        def run(rows: pa.Table) -> pa.Table:
+            x = _of(rows, "v", "<f8").reshape(-1, k) @ turn[:, :len(names)]
+            return pa.table([pa.array(_of(rows, "at", "<i8") + rows["block"][0].as_py() * width), pa.array(_of(rows, "deg", "<f8")), *(pa.array(np.ascontiguousarray(v)) for v in x.T)],
+                            names=["id", "deg", *names])
+
+        return held.groupBy("block").applyInArrow(run, "id long, deg double" + "".join(f", {c} double" for c in names))
+
+
+def _held(block: int, at: np.ndarray, deg: np.ndarray, v: np.ndarray) -> pa.Table:
+    return pa.table({"block": pa.array([block], _LONG), "at": pa.array([_bytes(at, "<i8")], _BIN), "deg": pa.array([_bytes(deg, "<f8")], _BIN),
+                     "v": pa.array([_bytes(v, "<f8")], _BIN), "gram": pa.array([_bytes(v.T @ v, "<f8")], _BIN)})
 
 
 def eigenvectors(links: DataFrame, features: DataFrame, k: int, tol: float = TOL, max_rounds: int = MAX_ROUNDS) -> tuple[np.ndarray, DataFrame, int]:
     """Top ``k`` eigenvalues of ``D^-1/2 W D^-1/2``, the rows ``(id, deg, v0 ...)`` of its eigenvectors, and the rounds taken.
 
+    ``links`` (src, dst, w) lead both ways; weights of one pair add up.
     ``features`` gives every row of the graph (id) its feature: numbers from 0, so few that their graph is solved on the driver.
+    Any ids do; the less is shuffled, the more links join rows whose ids lie close together.
     """
-    degree = links.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("deg"))
-    rows = checkpointed(features.join(degree, "id"))
-    coarse = (links.join(features.select(F.col("id").alias("src"), F.col("feature").alias("a")), "src")
-              .join(features.select(F.col("id").alias("dst"), F.col("feature").alias("b")), "dst").groupBy("a", "b").agg(F.sum("w").alias("w")).toArrow())
-    size = 1 + max(coarse["a"].to_pylist(), default=-1)
-    block = min(size, k + EXTRA)
-    w = np.zeros((size, size))
-    w[coarse["a"].to_numpy(), coarse["b"].to_numpy()] = coarse["w"].to_numpy()
+    spark = links.sparkSession
+    packed = _Packed(links, features)
+    rows, w = packed.coarse()
+    m = min(packed.size, k + EXTRA)
     total = np.maximum(w.sum(axis=1), 1e-300)
     _, vectors = np.linalg.eigh(w / np.sqrt(total[:, None] * total))
-    start = vectors[:, ::-1][:, :block] / np.sqrt(total)[:, None]
-    names = [f"v{j}" for j in range(block)]
-    table = links.sparkSession.createDataFrame([(i, *map(float, r)) for i, r in enumerate(start)], "f long, " + ", ".join(f"{c} double" for c in names))
-    held = rows.join(F.broadcast(table), F.col("feature") == F.col("f")).select("id", "deg", *[(F.col(c) * F.sqrt("deg")).alias(c) for c in names])
-    root = rows.select(F.col("id").alias("r_id"), F.col("deg").alias("r_deg"))
-    scaled = links.join(root, F.col("src") == F.col("r_id")).drop("r_id").withColumnRenamed("r_deg", "s_deg").join(root, F.col("dst") == F.col("r_id"))
-    step = scaled.select("src", "dst", (F.col("w") / F.sqrt(F.col("s_deg") * F.col("r_deg")) / 2).alias("w"))
-    step = checkpointed(step.unionAll(rows.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.5).alias("w"))))
+    names = [f"v{j}" for j in range(m)]
+
+    def written(df: DataFrame) -> tuple[str, DataFrame]:
+        path = scratch_path(spark, "block")
+        df.write.parquet(path)
+        return path, spark.read.schema(_HELD).parquet(path)
+
+    path, held = written(packed.start(rows, vectors[:, ::-1][:, :m] / np.sqrt(total)[:, None]))
     values, taken = None, 0
     while True:
-        gram = held.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"g{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]).first()
-        g = np.array([[gram[f"g{min(i, j)}_{max(i, j)}"] for j in range(block)] for i in range(block)])
-        theta, q = np.linalg.eigh(g)
+        grams = {r["block"]: np.frombuffer(r["gram"], dtype="<f8").reshape(m, m) for r in held.select("block", "gram").collect()}  # a row a block
+        theta, q = np.linalg.eigh(sum((grams[b] for b in sorted(grams)), np.zeros((m, m))))
         theta, q = theta[::-1], q[:, ::-1]
         turn = q / np.sqrt(np.maximum(theta, 1e-300))
         new = np.sqrt(np.maximum(theta, 0))[:k]
@@ -341,11 +549,11 @@ def eigenvectors(links: DataFrame, features: DataFrame, k: int, tol: float = TOL
             values = new
         else:
             done = False
-        basis = held.select("id", "deg", *[sum((F.col(a) * float(turn[i, j]) for i, a in enumerate(names)), F.lit(0.0)).alias(c) for j, c in enumerate(names)])
         if done or taken == max_rounds:
-            return 2 * values - 1, basis.select("id", "deg", *names[:k]), taken
-        moved = step.join(basis, F.col("dst") == F.col("id")).groupBy("src").agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in names])
-        held = checkpointed(moved.join(root, F.col("src") == F.col("r_id")).select(F.col("src").alias("id"), F.col("r_deg").alias("deg"), *names))
+            return 2 * values - 1, packed.unpacked(held, turn, names[:k]), taken
+        last = path
+        path, held = written(packed.times(held, turn))
+        drop_path(spark, last)
         taken += 1
 
 
@@ -357,10 +565,13 @@ def spectral(df: DataFrame, features: Sequence[str], k: int, keep: Sequence[str]
     points = rows.select(F.col("_id").alias("id"), "x")
     if points.first() is None:
         return rows.select(*keep, F.lit(0).alias(name))
-    links = checkpointed(graph(neighbors(points, n_neighbors, seed=seed)))
+    path = scratch_path(df.sparkSession, "edges")
+    neighbors(points, n_neighbors, seed=seed).select("src", "dst").write.parquet(path)
+    links = both_ways(df.sparkSession.read.schema("src long, dst long").parquet(path))
     n, c, q = WD.features_of(points, entries)
     own = KM.assign(points, c, keep=["id"], name="feature").withColumn("feature", F.col("feature").cast("long"))
     _, basis, _ = eigenvectors(links, checkpointed(own), k, tol)
+    drop_path(df.sparkSession, path)
     embedded = basis.select("id", *[(F.col(f"v{j}") / F.sqrt("deg")).alias(f"e{j}") for j in range(k)])
     columns = [f"e{j}" for j in range(k)]
     spots, best = KM.best_by_k(embedded, columns, ["id"], [k], starts, seed)

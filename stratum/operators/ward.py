@@ -34,36 +34,57 @@ FAN_IN = 8
 _STRIP = 1 << 16
 
 
-def _nearest_parts(n: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each feature the other one whose union with it makes the squares grow least (ties: the first), and the growth.
+def _cost(n: np.ndarray, c: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Growth of the squares by the union of features ``a`` and ``b`` (places, broadcast)."""
+    d = 0.0
+    for v in c.T:
+        e = v[a] - v[b]
+        d = d + e * e
+    return d * (n[a] * n[b] / (n[a] + n[b]))
 
-    A strip of the features meets all others at a time: what a pass holds stays in the processor's cache.
+
+def _nearest_parts(n: np.ndarray, c: np.ndarray, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each feature (or those at ``asked``) the other one whose union with it makes the squares grow least (ties: the first), and the growth.
+
+    A strip of the features meets all others at a time: what a pass holds stays in the processor's cache.  One product gives a
+    lower bound of each cost, off by rounding only; where it leaves a feature more than one candidate, these are compared exactly.
     """
-    near, cost = np.empty(len(n), dtype=np.int64), np.empty(len(n))
-    columns = np.ascontiguousarray(c.T)
+    asked = np.arange(len(n)) if asked is None else asked
+    near = np.empty(len(asked), dtype=np.int64)
+    x = c - c.mean(axis=0)
+    own = (x * x).sum(axis=1)
+    off = 16 * (c.shape[1] + 4) * np.finfo(float).eps * float(own.max(initial=0.0))  # no squared distance is off by more
+    left = np.column_stack([-2 * x, own, np.ones(len(n))])
+    right = np.ascontiguousarray(np.column_stack([x, np.ones(len(n)), own - off]).T)
+    r = 1 / n
     strip = max(1, _STRIP // max(1, len(n)))
-    d, e = np.empty((strip, len(n))), np.empty((strip, len(n)))
-    for lo in range(0, len(n), strip):
-        rows = np.arange(lo, min(lo + strip, len(n)))
-        here, part = d[:len(rows)], e[:len(rows)]
-        here[:] = 0.0
-        for v in columns:
-            np.subtract(v[rows, None], v, out=part)
-            part *= part
-            here += part
-        np.multiply(n[rows, None], n, out=part)
-        part /= n[rows, None] + n
-        here *= part
-        here[rows - lo, rows] = np.inf
-        near[rows] = here.argmin(axis=1)
-        cost[rows] = here[rows - lo, near[rows]]
-    return near, cost
+    d, e, few = np.empty((strip, len(n))), np.empty((strip, len(n))), np.empty((strip, len(n)), dtype=bool)
+    for lo in range(0, len(asked), strip):
+        rows = asked[lo:lo + strip]
+        here, part, within, at = d[:len(rows)], e[:len(rows)], few[:len(rows)], np.arange(len(rows))
+        np.matmul(left[rows], right, out=here)
+        np.add(r[rows, None], r, out=part)
+        here /= part
+        here[at, rows] = np.inf
+        best = here.argmin(axis=1)
+        least = here[at, best]
+        np.less_equal(here, (least + 2 * off / part[at, best] + 1e-14 * np.abs(least))[:, None], out=within)
+        if np.count_nonzero(within) > len(rows):
+            for i in np.flatnonzero(np.count_nonzero(within, axis=1) > 1):
+                some = np.flatnonzero(within[i])
+                best[i] = some[_cost(n, c, rows[i], some).argmin()]
+        near[lo:lo + strip] = best
+    return near, _cost(n, c, asked, near) if len(n) > 1 else np.full(len(asked), np.inf)
 
 
 def _rounds(n: np.ndarray, c: np.ndarray, target: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rounds of merges down to ``target`` features: places of both parts among the held ones, costs, counts."""
+    """Rounds of merges down to ``target`` features: places of both parts among the held ones, costs, counts.
+
+    A union is never nearer to a feature than the nearer of its parts was, so only unions and features whose nearest
+    was merged look for their nearest again.
+    """
+    near, cost = _nearest_parts(n, c) if len(n) > target else (np.zeros(len(n), dtype=np.int64), np.zeros(len(n)))
     while len(n) > target:
-        near, cost = _nearest_parts(n, c)
         a = np.flatnonzero((near[near] == np.arange(len(n))) & (np.arange(len(n)) < near))
         a = a[np.argsort(cost[a], kind="stable")][:len(n) - target]
         b = near[a]
@@ -75,11 +96,32 @@ def _rounds(n: np.ndarray, c: np.ndarray, target: int) -> Iterator[tuple[np.ndar
         n[a] = whole
         keep = np.ones(len(n), dtype=bool)
         keep[b] = False
+        merged = ~keep
+        merged[a] = True
+        again = np.flatnonzero((merged | merged[near])[keep])
+        near, cost = (np.cumsum(keep) - 1)[near][keep], cost[keep]
         n, c = n[keep], c[keep]
+        if len(n) > target:
+            near[again], cost[again] = _nearest_parts(n, c, again)
+
+
+def _distinct(n: np.ndarray, c: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features at one place as one, at the place of the first: these unions cost nothing."""
+    order = np.lexsort(c.T)
+    new = np.ones(len(n), dtype=bool)
+    new[1:] = (c[order][1:] != c[order][:-1]).any(axis=1)
+    if new.all():
+        return n, c, q
+    start = np.flatnonzero(new)
+    first = np.minimum.reduceat(order, start)
+    back = np.argsort(first)
+    return np.add.reduceat(n[order], start)[back], c[first[back]], np.add.reduceat(q[order], start)[back]
 
 
 def compressed(n: np.ndarray, c: np.ndarray, q: np.ndarray, entries: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """At most ``entries`` features with the same counts, sums and squares."""
+    if len(n) > entries:  # else every round would merge one pair of a group of equal ones
+        n, c, q = _distinct(n, c, q)
     for a, b, cost, whole in _rounds(n, c, entries):
         c, q, n = c.copy(), q.copy(), n.copy()
         c[a] += (c[b] - c[a]) * (n[b] / whole)[:, None]

@@ -89,3 +89,11 @@ def test_rounds_read_blocks_of_rows(spark, rng):
     assert blocks.count() <= 4
     got = np.concatenate([np.frombuffer(r.block).reshape(-1, 2) for r in blocks.collect()])
     assert sorted(map(tuple, got)) == sorted(map(tuple, x))
+
+
+def test_starts_that_lie_together_converge_too(spark, rng):
+    # the starts differ in the last digits only, which no centre comes nearer to than by rounding
+    x = np.concatenate([0.3 * (1 + np.finfo(float).eps * rng.integers(-2, 3, size=(300, 2))), 0.3 + rng.normal(size=(9, 2))])
+    points = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>")
+    fit = KM.fit_many(points, [x[[0, 1, 2]]], max_rounds=40)[0]
+    assert fit.converged and fit.rounds < 30

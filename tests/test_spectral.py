@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +82,42 @@ def test_neighbours_and_ground_truth_equal_brute_force(spark, rng, monkeypatch):
         assert rows["d2"].to_numpy().reshape(-1, 10) == pytest.approx(want[list(ids)], abs=1e-12)
         assert d[rows["src"], rows["dst"]] == pytest.approx(rows["d2"].to_numpy(), abs=1e-12)
         assert not rows.duplicated(["src", "dst"]).any()
+
+
+@pytest.mark.parametrize("links_of_a_tile", [1 << 21, 300])
+def test_packed_products_over_blocks_and_tiles_equal_dense_ones(spark, rng, monkeypatch, links_of_a_tile):
+    monkeypatch.setattr(SP, "BLOCK", 400)
+    monkeypatch.setattr(SP, "BLOCKS", 8)
+    monkeypatch.setattr(SP, "LINKS", links_of_a_tile)
+    ids = rng.permutation(1000)[:400] * 7 - 500  # in no order, with gaps
+    points = spark.createDataFrame([(int(i), r.tolist()) for i, r in zip(ids, rng.normal(size=(400, 2)))], "id long, x array<double>")
+    edges = SP.neighbors(points).cache()
+    place = {int(i): j for j, i in enumerate(sorted(ids))}
+    w = np.zeros((400, 400))
+    for r in edges.collect():
+        w[place[r.src], place[r.dst]] += 0.5
+        w[place[r.dst], place[r.src]] += 0.5
+    deg = w.sum(axis=1)
+    own = np.arange(400) // 80
+    feature = spark.createDataFrame([(i, int(own[j])) for i, j in place.items()] + [(99999, 4)], "id long, feature long")  # the last has no links
+    turn, table = rng.normal(size=(3, 3)), rng.normal(size=(5, 3))
+    links = SP.both_ways(edges) if links_of_a_tile == 300 else SP.graph(edges)
+    packed = SP._Packed(links, feature)
+    rows, coarse = packed.coarse()
+    member = np.eye(5)[own]
+    assert coarse == pytest.approx(member.T @ w @ member)
+    found = packed.unpacked(packed.times(packed.start(rows, table), turn), np.eye(3), ["a", "b", "c"]).orderBy("id").collect()
+    assert [r.id for r in found] == sorted(place) and [r.deg for r in found] == pytest.approx(deg)
+    x = table[own] * np.sqrt(deg)[:, None] @ turn
+    assert np.array([r[2:] for r in found]) == pytest.approx((x + w / np.sqrt(deg[:, None] * deg) @ x) / 2, abs=1e-12)
+    assert (packed.tiles.groupBy("block").count().agg(F.max("count")).first()[0] > 1) == (links_of_a_tile == 300)
+
+
+def test_a_rounds_block_goes_after_the_next_one(spark, rng):
+    points = frame(spark, rng.normal(size=(200, 2)))
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared))
+    feature = points.select("id", F.floor(F.col("id") / 20).cast("long").alias("feature"))
+    _, basis, rounds = SP.eigenvectors(SP.graph(SP.neighbors(points)), feature, 2, tol=0, max_rounds=3)
+    assert rounds == 3 and basis.count() == 200
+    assert sum(f.startswith("block-") for f in set(os.listdir(shared)) - before) == 1

@@ -119,3 +119,25 @@ def test_compression_holds_strips_and_no_matrix_of_all_pairs(rng):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 4e6  # a matrix of all pairs holds 18 MB
+
+
+def test_nearest_features_equal_brute_force_also_among_ties(rng):
+    for c in (np.round(rng.normal(size=(700, 3)), 1), rng.normal(size=(700, 3)) * 1e-4 + 1e3, np.repeat(rng.normal(size=(7, 3)), 100, axis=0)):
+        n = rng.integers(1, 900, len(c)).astype(float)
+        d = sum((v[:, None] - v) ** 2 for v in c.T) * (n[:, None] * n / (n[:, None] + n))
+        np.fill_diagonal(d, np.inf)
+        near, cost = WD._nearest_parts(n, c)
+        assert near.tolist() == d.argmin(axis=1).tolist() and cost.tolist() == d.min(axis=1).tolist()  # ties: the first
+        some = rng.permutation(len(c))[:50]
+        assert WD._nearest_parts(n, c, some)[0].tolist() == near[some].tolist()
+
+
+def test_equal_rows_take_no_rounds_and_others_few(rng, monkeypatch):
+    asked = []
+    plain = WD._nearest_parts
+    monkeypatch.setattr(WD, "_nearest_parts", lambda n, c, rows=None: (asked.append(len(n) if rows is None else len(rows)), plain(n, c, rows))[1])
+    c = np.repeat(rng.normal(size=(40, 5)), 50, axis=0)
+    n, centers, q = WD.compressed(np.ones(2000), c, np.zeros(2000), 64)
+    assert n.tolist() == [50.0] * 40 and centers.tolist() == c[::50].tolist() and not q.any() and asked == []
+    n, centers, q = WD.compressed(np.ones(2000), rng.normal(size=(2000, 5)), np.zeros(2000), 1000)
+    assert len(n) == 1000 and n.sum() == 2000 and asked[0] == 2000 and all(b < a for a, b in zip(asked, asked[1:])) and sum(asked) < 5000
