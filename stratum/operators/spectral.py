@@ -383,15 +383,26 @@ class _Packed:
 
         def run(links: pa.Table) -> pa.Table:
             src, dst, w = (links[c].to_numpy() for c in ("src", "dst", "w"))
-            order = np.lexsort((dst, src))
-            src, dst, w = src[order], dst[order], w[order]
-            new = np.flatnonzero((np.diff(src, prepend=src[:1] - 1) != 0) | (np.diff(dst, prepend=dst[:1] - 1) != 0))
-            src, dst, w = src[new], dst[new], np.add.reduceat(w, new)
-            start = np.flatnonzero(np.diff(src, prepend=src[:1] - 1))
-            at, own = np.unique(dst, return_inverse=True)
             block = links["block"][0].as_py()
+            dst = dst - block * width
+            first = int(src.min())
+            if (int(src.max()) - first + 1) < (1 << 62) // width:  # one key: a faster sort than by two
+                key = (src - first) * width + dst
+                order = np.argsort(key)
+                new = np.flatnonzero(np.diff(key[order], prepend=-1))
+            else:
+                order = np.lexsort((dst, src))
+                new = np.flatnonzero((np.diff(src[order], prepend=first - 1) != 0) | (np.diff(dst[order], prepend=-1) != 0))
+            src, dst, w = src[order[new]], dst[order[new]], np.add.reduceat(w[order], new)
+            start = np.flatnonzero(np.diff(src, prepend=first - 1))
+            if width <= 4 * BLOCK:
+                held = np.zeros(width, dtype=bool)
+                held[dst] = True
+                at, own = np.flatnonzero(held), (np.cumsum(held) - 1)[dst]
+            else:
+                at, own = np.unique(dst, return_inverse=True)
             return _table([{"block": block, "part": links["part"][0].as_py(), "src": _bytes(src[start], "<i8"), "start": _bytes(start, "<i8"),
-                            "dst": _bytes(at - block * width, "<i8"), "own": _bytes(own, "<i4"), "w": _bytes(w, "<f8")}], schema)
+                            "dst": _bytes(at, "<i8"), "own": _bytes(own, "<i4"), "w": _bytes(w, "<f8")}], schema)
 
         return run
 
